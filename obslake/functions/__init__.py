@@ -1,4 +1,4 @@
-from obslake.functions.parsing import MISSING_TEXTS, day_and_time, number, whole_number
+from obslake.functions.parsing import MISSING_TEXTS, day_and_time, is_missing, number, text, whole_number
 from obslake.functions.text import day_text, decoded, last_segment, two_decimals
 
 __all__ = [
@@ -6,8 +6,10 @@ __all__ = [
     "day_and_time",
     "day_text",
     "decoded",
+    "is_missing",
     "last_segment",
     "number",
+    "text",
     "two_decimals",
     "whole_number",
 ]

@@ -1,9 +1,11 @@
-"""Text to typed values. Nothing here raises on bad text: it yields null."""
+"""Text to typed values, as SQL expressions over a text column.
+
+Nothing here raises on bad text: it yields null.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+import re
 
 # The texts a default pandas CSV reader takes as missing.
 MISSING_TEXTS = [
@@ -11,33 +13,51 @@ MISSING_TEXTS = [
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
-_INT_MIN, _INT_MAX = -(2**31), 2**31 - 1
-
 
-def number(text: Column) -> Column:
+def number(column: str) -> str:
     """A finite double, else null.
 
-    The cast alone also reads ``NaN``, ``Infinity``, ``12f`` and hex
-    floats. NaN would rank above every reading and infinity would hold the
-    maximum for ever, so neither gets through. Adding 0.0 turns -0.0 into
-    0.0, so equal readings stay equal for Parquet's own filters too.
+    NaN would rank above every reading and infinity would hold the maximum
+    for ever, so neither gets through (NaN compares as above infinity).
+    Adding 0 turns -0.0 into 0.0, so that equal readings stay equal for
+    Parquet's own filters too.
     """
-    value = text.try_cast("double")
-    finite = F.abs(value) < F.lit(float("inf"))  # false for NaN, which sorts last
-    return F.when(finite & ~text.rlike("[dDfFxX]"), value + F.lit(0.0))
+    value = f"try_cast({column} AS double)"
+    return f"CASE WHEN abs({value}) < double('Infinity') THEN {value} + 0D END"
 
 
-def whole_number(text: Column) -> Column:
+def whole_number(column: str) -> str:
     """A 32-bit integer, also from ``12.0``, which a float column leaves behind."""
-    value = number(text)
-    fits = (value == F.rint(value)) & value.between(_INT_MIN, _INT_MAX)
-    return F.when(fits, value.cast("int"))
+    value = f"try_cast({column} AS double)"
+    whole = f"try_cast({value} AS int)"
+    return f"CASE WHEN {whole} = {value} THEN {whole} END"
 
 
-def day_and_time(text: Column) -> Column:
+def day_and_time(column: str) -> str:
     """A wall-clock timestamp from ISO text; no time zone is applied."""
-    return text.try_cast("timestamp_ntz")
+    return f"try_cast({column} AS timestamp_ntz)"
+
+
+def text(column: str) -> str:
+    return f"nullif({column}, '')"
+
+
+def is_missing(column: str) -> str:
+    return f"({column} IS NULL OR {column} RLIKE r'^(?:{_MISSING})$')"
+
+
+def invalid(columns: dict[str, str]) -> str:
+    """Is any of these text columns (keys) neither parsed (values) nor missing?
+
+    The texts that did not parse are strung together, which is mostly the
+    empty string, and matched at once. A test per column would be shorter to
+    write, but the code generated for it outgrows what the JVM compiles.
+    """
+    left = ", ".join(f"CASE WHEN {typed} IS NULL THEN {raw} END" for raw, typed in columns.items())
+    unread = f"concat_ws('{_SEPARATOR}', {left})"
+    return f"({unread} <> '' AND NOT {unread} RLIKE r'^(?:{_MISSING})(?:{_SEPARATOR}(?:{_MISSING}))*$')"
+
 
+_SEPARATOR = "\x1f"
 
-def is_missing(text: Column) -> Column:
-    return text.isNull() | F.trim(text).isin(MISSING_TEXTS)
+_MISSING = r"\s*(?:" + "|".join(re.escape(missing) for missing in MISSING_TEXTS) + r")\s*"

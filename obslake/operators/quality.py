@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obslake.functions.parsing import day_and_time, is_missing, number, whole_number
+from obslake.functions.parsing import day_and_time, invalid, is_missing, number, text, whole_number
 from obslake.schema import COLUMNS, CORRUPT, HEADER, TYPES
 
 # The messages of the checks, and the size a streamed file must stay below.
@@ -17,7 +14,12 @@ INVALID_SIZE = "File size %s must be less than %s bytes. Use Batch Process for t
 INVALID_COLUMNS = "Invalid columns."
 STREAM_MAX_BYTES = 11_000_000
 
-_PARSERS = {"double": number, "int": whole_number, "timestamp_ntz": day_and_time}
+_PARSERS = {
+    "double": number,
+    "int": whole_number,
+    "timestamp_ntz": day_and_time,
+    "string": text,
+}
 _REASONS = {
     "double": "invalid number",
     "int": "invalid number",
@@ -28,7 +30,7 @@ _REASONS = {
 # is not readable is set aside. Elsewhere only the field is lost, and noted.
 ESSENTIAL = ["observation_date", "screen_temperature"]
 
-_PARSED = [name for name in COLUMNS if TYPES[name] in _PARSERS]
+_PARSED = [name for name in COLUMNS if TYPES[name] in _REASONS]
 
 # Writes a row's fields back as the CSV reader took them.
 _AS_READ = {
@@ -87,62 +89,66 @@ def check_headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 def to_canonical(rows: DataFrame) -> DataFrame:
     """Text rows to typed rows; further columns (lineage) are kept."""
-    return rows.select(*[_typed(name).alias(name) for name in COLUMNS], *_extra(rows))
+    return rows.selectExpr(*[f"{_typed(name)} AS {name}" for name in COLUMNS], *_extra(rows))
 
 
 def assess(rows: DataFrame) -> DataFrame:
     """Typed rows with two flags: ``is_rejected``, the row must be set aside,
     and ``is_flawed``, it has something to report."""
-    both = _text_and_typed(rows)
-    malformed = F.col(CORRUPT).isNotNull()
-    rejected = reduce(or_, [_unreadable(name) for name in ESSENTIAL], malformed)
-    flawed = reduce(or_, [_unreadable(name) for name in _PARSED], malformed)
-    return both.select(
-        *[F.col(f"typed_{name}").alias(name) for name in COLUMNS],
+    return _text_and_typed(rows).selectExpr(
+        *[f"typed_{name} AS {name}" for name in COLUMNS],
         *_extra(rows),
-        rejected.alias("is_rejected"),
-        flawed.alias("is_flawed"),
+        f"{_any_unreadable(ESSENTIAL)} AS is_rejected",
+        f"{_any_unreadable(_PARSED)} AS is_flawed",
     )
 
 
 def quarantined(rows: DataFrame) -> DataFrame:
     """One row per flaw of a text row: the row's text, the column, the reason,
     and whether the row was kept (with that field null) or set aside."""
-    malformed = F.col(CORRUPT).isNotNull()
-    flaws = [_flaw(F.lit(None).cast("string"), "malformed row", malformed)]
+    flaws = [f"CASE WHEN {_MALFORMED} THEN {_flaw('string(NULL)', 'malformed row')} END"]
     for name in _PARSED:
-        found = ~malformed & _unreadable(name)
-        flaws.append(_flaw(F.lit(name), _REASONS[TYPES[name]], found))
-    rejected = reduce(or_, [_unreadable(name) for name in ESSENTIAL], malformed)
-    text = F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*COLUMNS), _AS_READ))
+        found = f"NOT {_MALFORMED} AND {_unreadable(name)}"
+        flaw = _flaw(f"'{name}'", _REASONS[TYPES[name]])
+        flaws.append(f"CASE WHEN {found} THEN {flaw} END")
     extra = _extra(rows)
     return (
         _text_and_typed(rows)
-        .withColumn("flaws", F.array_compact(F.array(*flaws)))
-        .where(F.size("flaws") > 0)
-        .select(text.alias("raw"), (~rejected).alias("row_kept"), F.explode("flaws").alias("flaw"), *extra)
+        .where(_any_unreadable(_PARSED))
+        .select(
+            F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*COLUMNS), _AS_READ)).alias("raw"),
+            F.expr(f"NOT {_any_unreadable(ESSENTIAL)}").alias("row_kept"),
+            F.expr(f"explode(array_compact(array({', '.join(flaws)})))").alias("flaw"),
+            *extra,
+        )
         .select("raw", "flaw.column_name", "flaw.reason", "row_kept", *extra)
     )
 
 
+_MALFORMED = f"({CORRUPT} IS NOT NULL)"
+
+
 def _extra(rows: DataFrame) -> list[str]:
     return [name for name in rows.columns if name not in COLUMNS and name != CORRUPT]
 
 
-def _typed(name: str) -> Column:
-    text = F.col(name)
-    parse = _PARSERS.get(TYPES[name])
-    return parse(text) if parse else F.nullif(text, F.lit(""))
+def _typed(name: str) -> str:
+    return _PARSERS[TYPES[name]](name)
 
 
 def _text_and_typed(rows: DataFrame) -> DataFrame:
     """Each value parsed once, for all conditions that look at it."""
-    return rows.select("*", *[_typed(name).alias(f"typed_{name}") for name in COLUMNS])
+    return rows.selectExpr("*", *[f"{_typed(name)} AS typed_{name}" for name in COLUMNS])
+
+
+def _unreadable(name: str) -> str:
+    return f"(typed_{name} IS NULL AND NOT {is_missing(name)})"
 
 
-def _unreadable(name: str) -> Column:
-    return F.col(f"typed_{name}").isNull() & ~is_missing(F.col(name))
+def _any_unreadable(names: list[str]) -> str:
+    """The row is malformed, or one of these fields does not parse."""
+    return f"({_MALFORMED} OR {invalid({name: f'typed_{name}' for name in names})})"
 
 
-def _flaw(column: Column, reason: str, found: Column) -> Column:
-    return F.when(found, F.struct(column.alias("column_name"), F.lit(reason).alias("reason")))
+def _flaw(column: str, reason: str) -> str:
+    return f"named_struct('column_name', {column}, 'reason', '{reason}')"
