@@ -41,7 +41,7 @@ class Measure:
         return list(dict.fromkeys(names))
 
     def rank(self) -> Column:
-        """One struct per row whose minimum is the hottest row.
+        """One struct per row whose minimum is the hottest row; null without a reading.
 
         The value is negated and nulls get a flag in front of them, since the
         smallest struct wins and null is the smallest value of a type. The
@@ -52,4 +52,4 @@ class Measure:
             fields += [F.col(name).isNull().alias(f"no_{name}"), F.col(name)]
         ordered = {self.when, *self.tiebreak}
         fields += [F.col(name) for name in self.payload if name not in ordered]
-        return F.struct(*fields)
+        return F.when(self.reading.isNotNull(), F.struct(*fields))

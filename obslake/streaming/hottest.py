@@ -16,7 +16,7 @@ def stream_hottest(stream: DataFrame, measure: Measure = Measure()) -> DataFrame
     count like any others and no watermark is set. Each task reduces its rows
     to one before they are shuffled.
     """
-    hottest = stream.agg(F.min(measure.rank()).alias("row"))
+    hottest = stream.agg(F.min(measure.rank()).alias("row")).where(F.col("row").isNotNull())
     answer = [
         day_text(F.col(f"row.{measure.when}")).alias("hottest_date"),
         (-F.col("row.negative")).alias("max_value"),
