@@ -18,15 +18,22 @@ from obslake.schema import QUESTION_DATE, QUESTION_REGION, QUESTION_TEMPERATURE
 
 
 def record_answers(
-    spark: SparkSession, lake: Lake, rows: DataFrame, batch_id: str, load_type: str, load_dt: str
+    spark: SparkSession,
+    lake: Lake,
+    rows: DataFrame,
+    batch_id: str,
+    load_type: str,
+    load_dt: str,
+    once: bool = True,
 ) -> None:
-    """Append the batch's hottest row to the log, once per batch.
+    """Append the batch's hottest row to the log; with ``once``, unless it is there.
 
     A batch without any reading adds nothing.
     """
-    log = spark.table(lake.table("answer_log"))
-    if not log.where(F.col("batch_id") == batch_id).isEmpty():
-        return
+    if once:
+        log = spark.table(lake.table("answer_log"))
+        if not log.where(F.col("batch_id") == batch_id).isEmpty():
+            return
     measure = Measure()
     top_reading(rows, measure).select(
         F.lit(batch_id).alias("batch_id"),

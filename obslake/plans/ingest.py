@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from obslake.operators.lineage import utc_stamp, with_lineage
@@ -25,6 +27,17 @@ ON_ERROR = ("fail_batch", "quarantine_file")
 APPENDED = "appended"
 
 
+class Load(NamedTuple):
+    """What names a load: its partition of the table, and its batch id."""
+
+    load_type: str
+    load_dt: str
+
+    @property
+    def batch_id(self) -> str:
+        return f"{self.load_type}-{self.load_dt}"
+
+
 def batch_ingest(
     spark: SparkSession,
     incoming: str,
@@ -76,91 +89,104 @@ def ingest_files(
     """Claim the files of a listing as one batch and load them."""
     if on_error not in ON_ERROR:
         raise ValueError(f"on_error must be one of {ON_ERROR}")
-    if load_dt is None:
-        load_dt = utc_stamp()
-        batch_id = f"{load_type}-{load_dt}"
-    else:
+    if load_dt is not None:
         # A load is replaced by a load of the same name, so a name given by
         # the caller must not be in use.
-        batch_id = f"{load_type}-{load_dt}"
-        if not ledger.batch_files(spark, lake, batch_id).isEmpty():
-            raise ValueError(f"{batch_id} has been used for another load")
+        if not ledger.batch_files(spark, lake, f"{load_type}-{load_dt}").isEmpty():
+            raise ValueError(f"{load_type}-{load_dt} has been used for another load")
+    load = Load(load_type, load_dt or utc_stamp())
     if not files.isEmpty():
-        ledger.record(
+        claimed = ledger.record(
             spark,
             lake,
             screen_files(files, max_bytes),
-            load_type=load_type,
-            load_dt=load_dt,
-            batch_id=batch_id,
+            load_type=load.load_type,
+            load_dt=load.load_dt,
+            batch_id=load.batch_id,
             status=F.when(F.col("status") == "error", "error").otherwise("in_progress"),
             step="screen",
         )
-        run_batch(spark, lake, batch_id, on_error=on_error, multi_line=multi_line)
-    return ledger.batch_files(spark, lake, batch_id)
+        _run(spark, lake, load, claimed, on_error=on_error, multi_line=multi_line)
+    return ledger.batch_files(spark, lake, load.batch_id)
 
 
-def run_batch(
+def resume_batch(
     spark: SparkSession, lake: Lake, batch_id: str, *, on_error: str, multi_line: bool = False
 ) -> None:
-    """Take the claimed files of a batch through the remaining steps.
+    """Take a batch that stopped half way through the steps it has left."""
+    state = ledger.batch_files(spark, lake, batch_id)
+    load_type, load_dt, appended = state.agg(
+        F.first("load_type"),
+        F.first("load_dt"),
+        F.count_if(ledger.is_open() & (F.col("step") == APPENDED)),
+    ).first()
+    _run(
+        spark,
+        lake,
+        Load(load_type, load_dt),
+        state,
+        on_error=on_error,
+        multi_line=multi_line,
+        resumed=True,
+        appended=appended > 0,
+    )
+
+
+def _run(
+    spark: SparkSession,
+    lake: Lake,
+    load: Load,
+    files: DataFrame,
+    *,
+    on_error: str,
+    multi_line: bool,
+    resumed: bool = False,
+    appended: bool = False,
+) -> None:
+    """Take the claimed files of a batch through header check, append and answers.
 
-    Each step may be repeated without harm, so a batch that stopped anywhere
-    can be run again: the append replaces the batch's own rows and is skipped
-    once it is on record, and the answer log takes a batch once.
+    Each step may be repeated without harm: the append replaces the batch's
+    own rows, and the answer log takes a batch once.
     """
     step = "header"
     fail_batch = on_error == "fail_batch"
     try:
-        state = _progress(spark, lake, batch_id)
-        if state.n_unchecked and not (fail_batch and state.refusal):
-            _record_headers(spark, lake, batch_id)
-            state = _progress(spark, lake, batch_id)
-        if fail_batch and state.refusal and not state.n_appended:
-            others = _open_files(spark, lake, batch_id)
-            ledger.record(spark, lake, others, status="error", step="batch", error=state.refusal)
-            return
-        if not state.n_open:
-            return
-        load = (state.load_type, state.load_dt)
-
-        step = "append"
-        good = _open_files(spark, lake, batch_id)
-        if not state.n_appended:
-            _append(spark, lake, good, *load, multi_line=multi_line)
+        good = files.where(ledger.is_open())
+        if not appended:
+            if fail_batch and _refuse_with_the_first(spark, lake, files):
+                return
+            checked = _record_headers(spark, lake, good)
+            if fail_batch and _refuse_with_the_first(spark, lake, checked):
+                return
+            step = "append"
+            good = checked.where(ledger.is_open())
+            paths = _paths(good)
+            if not paths:
+                return
+            _append(spark, lake, paths, load, multi_line=multi_line)
             ledger.record(spark, lake, good, status="in_progress", step=APPENDED, error=None)
-
         step = "answers"
-        record_answers(spark, lake, load_rows(spark, lake, *load), batch_id, *load)
+        rows = load_rows(spark, lake, load.load_type, load.load_dt)
+        record_answers(
+            spark, lake, rows, load.batch_id, load.load_type, load.load_dt, once=resumed
+        )
         ledger.record(spark, lake, good, status="processed", step=step, error=None)
     except Exception as error:
         # What was appended stays marked as such, for the batch to be resumed from there.
         at = F.when(F.col("step") == APPENDED, F.col("step")).otherwise(F.lit(f"{step} failed"))
-        left = _open_files(spark, lake, batch_id)
+        left = ledger.batch_files(spark, lake, load.batch_id).where(ledger.is_open())
         ledger.record(spark, lake, left, status="error", step=at, error=f"{step}: {error}")
         raise
 
 
-def _open_files(spark: SparkSession, lake: Lake, batch_id: str) -> DataFrame:
-    return ledger.batch_files(spark, lake, batch_id).where(ledger.is_open())
-
-
-def _progress(spark: SparkSession, lake: Lake, batch_id: str) -> Row:
-    """Where a batch stands, as one row of counts; ``refusal`` is the message
-    of its first refused file."""
-    is_open, appended = ledger.is_open(), F.col("step") == APPENDED
-    return (
-        ledger.batch_files(spark, lake, batch_id)
-        .agg(
-            F.count_if(is_open).alias("n_open"),
-            F.count_if(is_open & ~appended).alias("n_unchecked"),
-            F.count_if(is_open & appended).alias("n_appended"),
-            F.min_by("error", F.when(ledger.is_refused(), F.col("path"))).alias("refusal"),
-            F.first("load_type").alias("load_type"),
-            F.first("load_dt").alias("load_dt"),
-        )
-        .first()
-    )
+def _refuse_with_the_first(spark: SparkSession, lake: Lake, files: DataFrame) -> bool:
+    """If one of the files was refused, refuse the others with its message."""
+    refused = files.where(ledger.is_refused()).orderBy("path").select("error").first()
+    if refused is None:
+        return False
+    others = files.where(ledger.is_open())
+    ledger.record(spark, lake, others, status="error", step="batch", error=refused.error)
+    return True
 
 
 def _paths(files: DataFrame) -> list[str]:
@@ -169,15 +195,16 @@ def _paths(files: DataFrame) -> list[str]:
     return reader_paths(row.path for row in files.select("path").collect())
 
 
-def _record_headers(spark: SparkSession, lake: Lake, batch_id: str) -> None:
+def _record_headers(spark: SparkSession, lake: Lake, files: DataFrame) -> DataFrame:
     """Check the headers in one scan and put the outcome on record."""
-    files = _open_files(spark, lake, batch_id)
-    verdicts = check_headers(spark, _paths(files))
+    paths = _paths(files)
+    if not paths:
+        return files
     header_ok = F.coalesce(F.col("header_ok"), F.lit(False))  # no lines, no header
-    ledger.record(
+    return ledger.record(
         spark,
         lake,
-        files.join(verdicts, "file_uri", "left"),
+        files.join(check_headers(spark, paths), "file_uri", "left"),
         status=F.when(header_ok, "in_progress").otherwise("error"),
         step="header",
         error=F.when(~header_ok, INVALID_COLUMNS),
@@ -187,9 +214,8 @@ def _record_headers(spark: SparkSession, lake: Lake, batch_id: str) -> None:
 def _append(
     spark: SparkSession,
     lake: Lake,
-    files: DataFrame,
-    load_type: str,
-    load_dt: str,
+    paths: list[str],
+    load: Load,
     *,
     multi_line: bool,
 ) -> None:
@@ -199,12 +225,12 @@ def _append(
     or cached. The same pass counts rows with a flaw. Only if there are any
     does a second pass collect them.
     """
-    rows = with_lineage(read_rows(spark, _paths(files), multi_line), load_type, load_dt)
+    rows = with_lineage(read_rows(spark, paths, multi_line), *load)
     seen = Observation()
     judged = assess(rows).observe(seen, F.count_if("is_flawed").alias("n_flawed"))
-    append_refined(spark, lake, judged.where(~F.col("is_rejected")), load_type, load_dt)
+    append_refined(spark, lake, judged.where(~F.col("is_rejected")), *load)
     if seen.get["n_flawed"]:
-        append_quarantine(spark, lake, quarantined(rows), load_type, load_dt)
+        append_quarantine(spark, lake, quarantined(rows), *load)
 
 
 def resume_batches(
@@ -218,7 +244,7 @@ def resume_batches(
     left = ledger.ingest_ledger(spark, lake).where(ledger.is_open())
     batches = [row.batch_id for row in left.select("batch_id").distinct().sort("batch_id").collect()]
     for batch_id in batches:
-        run_batch(spark, lake, batch_id, on_error=on_error, multi_line=multi_line)
+        resume_batch(spark, lake, batch_id, on_error=on_error, multi_line=multi_line)
     return batches
 
 

@@ -32,15 +32,21 @@ _COLUMNS = [
 REFUSING_STEPS = ["screen", "header", "batch"]
 
 
-def record(spark: SparkSession, lake: Lake, files: DataFrame, **values: Column | str | None) -> None:
-    """Append a row per file, with the given columns set."""
+def record(
+    spark: SparkSession, lake: Lake, files: DataFrame, **values: Column | str | None
+) -> DataFrame:
+    """Append a row per file, with the given columns set, and return these
+    rows as they were stored, so that later steps do not depend on how the
+    files were found."""
+    stamp = time.time_ns() // 1000
     stamped = files.withColumns(
         {
             **{name: v if isinstance(v, Column) else F.lit(v) for name, v in values.items()},
-            "recorded_us": F.lit(time.time_ns() // 1000),
+            "recorded_us": F.lit(stamp),
         }
     )
     stamped.select(*_COLUMNS).write.mode("append").insertInto(lake.table("ingest_ledger"))
+    return _rows(spark, lake).where(F.col("recorded_us") == stamp)
 
 
 def ingest_ledger(spark: SparkSession, lake: Lake) -> DataFrame:

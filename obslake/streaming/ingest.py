@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from obslake.operators.quality import STREAM_MAX_BYTES
 from obslake.plans import ledger
-from obslake.plans.ingest import ingest_files, run_batch
+from obslake.plans.ingest import ingest_files, resume_batch
 from obslake.plans.lake import Lake, ensure_database
 from obslake.schema import EVENT_DRIVEN
 from obslake.sources.files import LISTING_SCHEMA, stream_files
@@ -53,7 +53,7 @@ def stream_ingest(
         claimed = ledger.ingest_ledger(spark, lake).join(files, ledger.FILE_KEY, "left_semi")
         left = claimed.where(ledger.is_open() & (F.col("load_type") == EVENT_DRIVEN))
         for row in left.select("batch_id").distinct().collect():
-            run_batch(spark, lake, row.batch_id, on_error=on_error, multi_line=multi_line)
+            resume_batch(spark, lake, row.batch_id, on_error=on_error, multi_line=multi_line)
         ingest_files(
             spark,
             ledger.unseen(spark, lake, files),
