@@ -23,6 +23,7 @@ from obslake.plans import (
     drop_refined,
     ensure_database,
     ingest_ledger,
+    publish_answers,
     record_answers,
     resume_batches,
     return_to_incoming,
@@ -54,6 +55,7 @@ __all__ = [
     "ingest_ledger",
     "list_incoming",
     "max_temperature",
+    "publish_answers",
     "query_refined",
     "read_observations",
     "read_refined",

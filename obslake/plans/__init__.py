@@ -1,4 +1,10 @@
-from obslake.plans.answers import answer_or_default, as_questions, current_answers, record_answers
+from obslake.plans.answers import (
+    answer_or_default,
+    answers_sql,
+    current_answers,
+    publish_answers,
+    record_answers,
+)
 from obslake.plans.ingest import batch_ingest, ingest_files, resume_batches, return_to_incoming
 from obslake.plans.lake import Lake, append_refined, drop_refined, ensure_database, load_rows
 from obslake.plans.ledger import ingest_ledger
@@ -6,8 +12,8 @@ from obslake.plans.ledger import ingest_ledger
 __all__ = [
     "Lake",
     "answer_or_default",
+    "answers_sql",
     "append_refined",
-    "as_questions",
     "batch_ingest",
     "current_answers",
     "drop_refined",
@@ -15,6 +21,7 @@ __all__ = [
     "ingest_files",
     "ingest_ledger",
     "load_rows",
+    "publish_answers",
     "record_answers",
     "resume_batches",
     "return_to_incoming",

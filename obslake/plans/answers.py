@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obslake.functions.text import day_text, two_decimals
 from obslake.operators.extremes import top_reading
 from obslake.operators.measure import Measure
 from obslake.plans.lake import Lake
@@ -46,34 +45,39 @@ def record_answers(
     ).write.mode("append").insertInto(lake.table("answer_log"))
 
 
-def current_answers(log: DataFrame, initial: float | None = 0.0) -> DataFrame:
-    """The three questions and their answers, from a log of batch answers.
+def answers_sql(log: str, initial: float | None = 0.0) -> str:
+    """The three questions and their answers, from the top row of a log table.
 
     Among equal temperatures the earlier load keeps the answer. A temperature
-    must be above ``initial`` to be one; ``None`` lets any count. No rows if
-    there is no answer yet.
+    must be above ``initial`` to be one; None lets any count.
+    """
+    counts = "temperature IS NOT NULL" if initial is None else f"temperature > {initial!r}D"
+    return f"""
+        SELECT inline(array(
+            named_struct('question', '{QUESTION_DATE}', 'answer',
+                         date_format(observed_at, 'yyyy-MM-dd')),
+            named_struct('question', '{QUESTION_TEMPERATURE}', 'answer',
+                         printf('%.2f', temperature)),
+            named_struct('question', '{QUESTION_REGION}', 'answer', region)
+        ))
+        FROM (
+            SELECT * FROM {log} WHERE {counts}
+            ORDER BY temperature DESC, load_dt, batch_id,
+                     observed_at NULLS LAST, region NULLS LAST
+            LIMIT 1
+        )
     """
-    if initial is not None:
-        log = log.where(F.col("temperature") > initial)
-    top = log.orderBy(
-        F.col("temperature").desc_nulls_last(),
-        "load_dt",
-        "batch_id",
-        F.col("observed_at").asc_nulls_last(),
-        F.col("region").asc_nulls_last(),
-    ).limit(1)
-    return as_questions(top.where(F.col("temperature").isNotNull()))
-
-
-def as_questions(top: DataFrame) -> DataFrame:
-    """One row (temperature, observed_at, region) as three questions with answers."""
-    pairs = [
-        (QUESTION_DATE, day_text(F.col("observed_at"))),
-        (QUESTION_TEMPERATURE, two_decimals(F.col("temperature"))),
-        (QUESTION_REGION, F.col("region")),
-    ]
-    rows = [F.struct(F.lit(q).alias("question"), a.alias("answer")) for q, a in pairs]
-    return top.select(F.inline(F.array(*rows)))
+
+
+def current_answers(log: DataFrame, initial: float | None = 0.0) -> DataFrame:
+    """``answers_sql`` over a log; no rows if there is no answer yet."""
+    return log.sparkSession.sql(answers_sql("{log}", initial), log=log)
+
+
+def publish_answers(spark: SparkSession, lake: Lake, initial: float | None = 0.0) -> None:
+    """Put the answers into the catalog as the view ``answers``, always up to date."""
+    log = answers_sql(lake.table("answer_log"), initial)
+    spark.sql(f"CREATE OR REPLACE VIEW {lake.table('answers')} AS {log}")
 
 
 def answer_or_default(answers: DataFrame, question: str, default: str) -> DataFrame:

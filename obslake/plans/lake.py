@@ -64,14 +64,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
-def drop_refined(spark: SparkSession, lake: Lake) -> None:
-    """Drop the observation table, and the database if nothing else is in it.
+def drop_refined(spark: SparkSession, lake: Lake, database: bool = False) -> None:
+    """Drop the observation table, or with ``database`` all there is in the catalog.
 
     The Parquet files stay; removing them is left to whoever owns the folder.
     """
     spark.sql(f"DROP TABLE IF EXISTS {lake.table('observation')}")
-    if spark.catalog.databaseExists(lake.database) and not spark.catalog.listTables(lake.database):
-        spark.sql(f"DROP DATABASE {lake.database}")
+    if database:
+        spark.sql(f"DROP DATABASE IF EXISTS {lake.database} CASCADE")
 
 
 def append_refined(
