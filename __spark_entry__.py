@@ -257,7 +257,8 @@ def q_refined_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_list_incoming(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = list_incoming(spark, _export_by_type(spark, sf_dir), limit=None)
-    return files.select(_feed_of("filename").alias("feed"), (F.col("length") > 0).alias("has_data")).distinct()
+    feed, has_data = _feed_of("filename"), F.col("length") > 0
+    return files.select(feed.alias("feed"), has_data.alias("has_data")).distinct()
 
 
 def q_screen_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,7 +270,8 @@ def q_screen_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = screen_files(feeds.unionAll(list_files(spark, folder)), max_bytes=1000)
     # How large a file gets depends on how many tasks wrote the feed.
     error = F.regexp_replace("error", "File size [0-9]+", "File size N")
-    return judged.select(_feed_of("filename").alias("feed"), "status", error.alias("error")).distinct()
+    feed = _feed_of("filename")
+    return judged.select(feed.alias("feed"), "status", error.alias("error")).distinct()
 
 
 def q_check_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -279,7 +281,8 @@ def q_check_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _outcomes(files: DataFrame) -> DataFrame:
-    return files.select(_feed_of("filename").alias("feed"), "load_type", "status", "error").distinct()
+    feed = _feed_of("filename")
+    return files.select(feed.alias("feed"), "load_type", "status", "error").distinct()
 
 
 def q_batch_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:

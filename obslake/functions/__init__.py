@@ -1,4 +1,12 @@
-from obslake.functions.parsing import MISSING_TEXTS, day_and_time, is_missing, number, text, whole_number
+from obslake.functions.parsing import (
+    MISSING_TEXTS,
+    day_and_time,
+    invalid,
+    is_missing,
+    number,
+    text,
+    whole_number,
+)
 from obslake.functions.text import day_text, decoded, last_segment, two_decimals
 
 __all__ = [
@@ -6,6 +14,7 @@ __all__ = [
     "day_and_time",
     "day_text",
     "decoded",
+    "invalid",
     "is_missing",
     "last_segment",
     "number",

@@ -55,7 +55,8 @@ def invalid(columns: dict[str, str]) -> str:
     """
     left = ", ".join(f"CASE WHEN {typed} IS NULL THEN {raw} END" for raw, typed in columns.items())
     unread = f"concat_ws('{_SEPARATOR}', {left})"
-    return f"({unread} <> '' AND NOT {unread} RLIKE r'^(?:{_MISSING})(?:{_SEPARATOR}(?:{_MISSING}))*$')"
+    all_missing = f"^(?:{_MISSING})(?:{_SEPARATOR}(?:{_MISSING}))*$"
+    return f"({unread} <> '' AND NOT {unread} RLIKE r'{all_missing}')"
 
 
 _SEPARATOR = "\x1f"

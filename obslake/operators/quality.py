@@ -52,7 +52,8 @@ def screen_files(files: DataFrame, max_bytes: int | None = None) -> DataFrame:
         )
         error = error.when(F.col("length") >= max_bytes, message)
     judged = files.withColumn("error", error)
-    return judged.withColumn("status", F.when(F.col("error").isNull(), "accepted").otherwise("error"))
+    accepted = F.col("error").isNull()
+    return judged.withColumn("status", F.when(accepted, "accepted").otherwise("error"))
 
 
 def check_headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:

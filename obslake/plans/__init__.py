@@ -6,11 +6,12 @@ from obslake.plans.answers import (
     record_answers,
 )
 from obslake.plans.ingest import batch_ingest, ingest_files, resume_batches, return_to_incoming
-from obslake.plans.lake import Lake, append_refined, drop_refined, ensure_database, load_rows
+from obslake.plans.lake import Lake, Load, append_refined, drop_refined, ensure_database, read_table
 from obslake.plans.ledger import ingest_ledger
 
 __all__ = [
     "Lake",
+    "Load",
     "answer_or_default",
     "answers_sql",
     "append_refined",
@@ -20,8 +21,8 @@ __all__ = [
     "ensure_database",
     "ingest_files",
     "ingest_ledger",
-    "load_rows",
     "publish_answers",
+    "read_table",
     "record_answers",
     "resume_batches",
     "return_to_incoming",

@@ -12,37 +12,24 @@ from pyspark.sql import functions as F
 
 from obslake.operators.extremes import top_reading
 from obslake.operators.measure import Measure
-from obslake.plans.lake import Lake
+from obslake.plans.lake import Lake, Load, write_load
 from obslake.schema import QUESTION_DATE, QUESTION_REGION, QUESTION_TEMPERATURE
 
 
-def record_answers(
-    spark: SparkSession,
-    lake: Lake,
-    rows: DataFrame,
-    batch_id: str,
-    load_type: str,
-    load_dt: str,
-    once: bool = True,
-) -> None:
-    """Append the batch's hottest row to the log; with ``once``, unless it is there.
+def record_answers(spark: SparkSession, lake: Lake, rows: DataFrame, load: Load) -> None:
+    """Put the hottest of a load's rows into the log, as the load's only entry.
 
-    A batch without any reading adds nothing.
+    A load without any reading adds nothing.
     """
-    if once:
-        log = spark.table(lake.table("answer_log"))
-        if not log.where(F.col("batch_id") == batch_id).isEmpty():
-            return
     measure = Measure()
-    top_reading(rows, measure).select(
-        F.lit(batch_id).alias("batch_id"),
-        F.lit(load_type).alias("load_type"),
-        F.lit(load_dt).alias("load_dt"),
+    hottest = top_reading(rows, measure).select(
+        F.lit(load.batch_id).alias("batch_id"),
         F.col(measure.value).alias("temperature"),
         F.col(measure.when).alias("observed_at"),
         F.col(measure.place).alias("region"),
         F.col(measure.country).alias("country"),
-    ).write.mode("append").insertInto(lake.table("answer_log"))
+    )
+    write_load(spark, lake, "answer_log", hottest, load)
 
 
 def answers_sql(log: str, initial: float | None = 0.0) -> str:

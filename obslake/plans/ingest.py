@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from typing import NamedTuple
-
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +15,14 @@ from obslake.operators.quality import (
 )
 from obslake.plans import ledger
 from obslake.plans.answers import record_answers
-from obslake.plans.lake import Lake, append_quarantine, append_refined, ensure_database, load_rows
+from obslake.plans.lake import (
+    Lake,
+    Load,
+    append_refined,
+    ensure_database,
+    read_table,
+    write_load,
+)
 from obslake.schema import BATCH
 from obslake.sources.files import list_incoming, reader_paths
 from obslake.sources.observations import read_rows
@@ -27,17 +32,6 @@ ON_ERROR = ("fail_batch", "quarantine_file")
 APPENDED = "appended"
 
 
-class Load(NamedTuple):
-    """What names a load: its partition of the table, and its batch id."""
-
-    load_type: str
-    load_dt: str
-
-    @property
-    def batch_id(self) -> str:
-        return f"{self.load_type}-{self.load_dt}"
-
-
 def batch_ingest(
     spark: SparkSession,
     incoming: str,
@@ -89,46 +83,32 @@ def ingest_files(
     """Claim the files of a listing as one batch and load them."""
     if on_error not in ON_ERROR:
         raise ValueError(f"on_error must be one of {ON_ERROR}")
-    if load_dt is not None:
+    load = Load(load_type, load_dt or utc_stamp())
+    if load_dt is not None and not ledger.batch_files(spark, lake, load).isEmpty():
         # A load is replaced by a load of the same name, so a name given by
         # the caller must not be in use.
-        if not ledger.batch_files(spark, lake, f"{load_type}-{load_dt}").isEmpty():
-            raise ValueError(f"{load_type}-{load_dt} has been used for another load")
-    load = Load(load_type, load_dt or utc_stamp())
+        raise ValueError(f"{load.batch_id} has been used for another load")
     if not files.isEmpty():
         claimed = ledger.record(
             spark,
             lake,
+            load,
             screen_files(files, max_bytes),
-            load_type=load.load_type,
-            load_dt=load.load_dt,
-            batch_id=load.batch_id,
             status=F.when(F.col("status") == "error", "error").otherwise("in_progress"),
             step="screen",
         )
         _run(spark, lake, load, claimed, on_error=on_error, multi_line=multi_line)
-    return ledger.batch_files(spark, lake, load.batch_id)
+    return ledger.batch_files(spark, lake, load)
 
 
 def resume_batch(
-    spark: SparkSession, lake: Lake, batch_id: str, *, on_error: str, multi_line: bool = False
+    spark: SparkSession, lake: Lake, load: Load, *, on_error: str, multi_line: bool = False
 ) -> None:
     """Take a batch that stopped half way through the steps it has left."""
-    state = ledger.batch_files(spark, lake, batch_id)
-    load_type, load_dt, appended = state.agg(
-        F.first("load_type"),
-        F.first("load_dt"),
-        F.count_if(ledger.is_open() & (F.col("step") == APPENDED)),
-    ).first()
+    state = ledger.batch_files(spark, lake, load)
+    appended = not state.where(ledger.is_open() & (F.col("step") == APPENDED)).isEmpty()
     _run(
-        spark,
-        lake,
-        Load(load_type, load_dt),
-        state,
-        on_error=on_error,
-        multi_line=multi_line,
-        resumed=True,
-        appended=appended > 0,
+        spark, lake, load, state, on_error=on_error, multi_line=multi_line, appended=appended
     )
 
 
@@ -140,23 +120,22 @@ def _run(
     *,
     on_error: str,
     multi_line: bool,
-    resumed: bool = False,
     appended: bool = False,
 ) -> None:
     """Take the claimed files of a batch through header check, append and answers.
 
-    Each step may be repeated without harm: the append replaces the batch's
-    own rows, and the answer log takes a batch once.
+    Each step may be repeated without harm: what it writes for the batch
+    replaces what an earlier attempt has written.
     """
     step = "header"
     fail_batch = on_error == "fail_batch"
     try:
         good = files.where(ledger.is_open())
         if not appended:
-            if fail_batch and _refuse_with_the_first(spark, lake, files):
+            if fail_batch and _refuse_with_the_first(spark, lake, load, files):
                 return
-            checked = _record_headers(spark, lake, good)
-            if fail_batch and _refuse_with_the_first(spark, lake, checked):
+            checked = _record_headers(spark, lake, load, good)
+            if fail_batch and _refuse_with_the_first(spark, lake, load, checked):
                 return
             step = "append"
             good = checked.where(ledger.is_open())
@@ -164,28 +143,27 @@ def _run(
             if not paths:
                 return
             _append(spark, lake, paths, load, multi_line=multi_line)
-            ledger.record(spark, lake, good, status="in_progress", step=APPENDED, error=None)
+            ledger.record(spark, lake, load, good, status="in_progress", step=APPENDED, error=None)
         step = "answers"
-        rows = load_rows(spark, lake, load.load_type, load.load_dt)
-        record_answers(
-            spark, lake, rows, load.batch_id, load.load_type, load.load_dt, once=resumed
-        )
-        ledger.record(spark, lake, good, status="processed", step=step, error=None)
+        record_answers(spark, lake, read_table(spark, lake, "observation", load), load)
+        ledger.record(spark, lake, load, good, status="processed", step=step, error=None)
     except Exception as error:
         # What was appended stays marked as such, for the batch to be resumed from there.
         at = F.when(F.col("step") == APPENDED, F.col("step")).otherwise(F.lit(f"{step} failed"))
-        left = ledger.batch_files(spark, lake, load.batch_id).where(ledger.is_open())
-        ledger.record(spark, lake, left, status="error", step=at, error=f"{step}: {error}")
+        left = ledger.batch_files(spark, lake, load).where(ledger.is_open())
+        ledger.record(spark, lake, load, left, status="error", step=at, error=f"{step}: {error}")
         raise
 
 
-def _refuse_with_the_first(spark: SparkSession, lake: Lake, files: DataFrame) -> bool:
+def _refuse_with_the_first(
+    spark: SparkSession, lake: Lake, load: Load, files: DataFrame
+) -> bool:
     """If one of the files was refused, refuse the others with its message."""
     refused = files.where(ledger.is_refused()).orderBy("path").select("error").first()
     if refused is None:
         return False
     others = files.where(ledger.is_open())
-    ledger.record(spark, lake, others, status="error", step="batch", error=refused.error)
+    ledger.record(spark, lake, load, others, status="error", step="batch", error=refused.error)
     return True
 
 
@@ -195,7 +173,9 @@ def _paths(files: DataFrame) -> list[str]:
     return reader_paths(row.path for row in files.select("path").collect())
 
 
-def _record_headers(spark: SparkSession, lake: Lake, files: DataFrame) -> DataFrame:
+def _record_headers(
+    spark: SparkSession, lake: Lake, load: Load, files: DataFrame
+) -> DataFrame:
     """Check the headers in one scan and put the outcome on record."""
     paths = _paths(files)
     if not paths:
@@ -204,6 +184,7 @@ def _record_headers(spark: SparkSession, lake: Lake, files: DataFrame) -> DataFr
     return ledger.record(
         spark,
         lake,
+        load,
         files.join(check_headers(spark, paths), "file_uri", "left"),
         status=F.when(header_ok, "in_progress").otherwise("error"),
         step="header",
@@ -230,7 +211,7 @@ def _append(
     judged = assess(rows).observe(seen, F.count_if("is_flawed").alias("n_flawed"))
     append_refined(spark, lake, judged.where(~F.col("is_rejected")), *load)
     if seen.get["n_flawed"]:
-        append_quarantine(spark, lake, quarantined(rows), *load)
+        write_load(spark, lake, "quarantine", quarantined(rows), load)
 
 
 def resume_batches(
@@ -242,16 +223,18 @@ def resume_batches(
     same as one left behind.
     """
     left = ledger.ingest_ledger(spark, lake).where(ledger.is_open())
-    batches = [row.batch_id for row in left.select("batch_id").distinct().sort("batch_id").collect()]
-    for batch_id in batches:
-        resume_batch(spark, lake, batch_id, on_error=on_error, multi_line=multi_line)
-    return batches
+    loads = left.select("load_type", "load_dt").distinct().sort("load_dt", "load_type").collect()
+    for load in loads:
+        resume_batch(spark, lake, Load(*load), on_error=on_error, multi_line=multi_line)
+    return [Load(*load).batch_id for load in loads]
 
 
 def return_to_incoming(spark: SparkSession, lake: Lake, batch_id: str) -> None:
     """Hand the refused files of a batch back, to be picked up by the next run.
 
-    For files refused along with another one, once that one is out of the way.
+    For files refused along with another one, once that one is out of the
+    way, or too large for the stream, to be taken by a batch run.
     """
-    refused = ledger.batch_files(spark, lake, batch_id).where(ledger.is_refused())
-    ledger.record(spark, lake, refused, status="incoming", step="returned", error=None)
+    load = Load.of(batch_id)
+    refused = ledger.batch_files(spark, lake, load).where(ledger.is_refused())
+    ledger.record(spark, lake, load, refused, status="incoming", step="returned", error=None)

@@ -1,26 +1,38 @@
-"""The tables of one deployment and how loads are added to them."""
+"""The tables of one deployment and how loads are added to them.
+
+Every table is external Parquet with a partition per load. A load is written
+to a folder of its own, so a batch run and a stream can write to one table at
+the same time, and repeating a load replaces its rows instead of doubling them.
+"""
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from obslake.schema import (
     ANSWER_LOG_SCHEMA,
-    COLUMNS,
+    BATCH,
+    EVENT_DRIVEN,
     LEDGER_SCHEMA,
     OBSERVATION_SCHEMA,
     QUARANTINE_SCHEMA,
 )
 
 _TABLES = {
-    "observation": (OBSERVATION_SCHEMA, ("load_type", "load_dt")),
-    "quarantine": (QUARANTINE_SCHEMA, ("load_type", "load_dt")),
-    "ingest_ledger": (LEDGER_SCHEMA, ()),
-    "answer_log": (ANSWER_LOG_SCHEMA, ()),
+    "observation": OBSERVATION_SCHEMA,
+    "quarantine": QUARANTINE_SCHEMA,
+    "ingest_ledger": LEDGER_SCHEMA,
+    "answer_log": ANSWER_LOG_SCHEMA,
 }
 
+_KEYS = ["load_type", "load_dt"]
+
 
 @dataclass(frozen=True)
 class Lake:
@@ -37,33 +49,49 @@ class Lake:
         return f"{self.root.rstrip('/')}/{folder}"
 
 
+class Load(NamedTuple):
+    """What names a load."""
+
+    load_type: str
+    load_dt: str
+
+    @property
+    def batch_id(self) -> str:
+        return f"{self.load_type}-{self.load_dt}"
+
+    @classmethod
+    def of(cls, batch_id: str) -> Load:
+        load_type = EVENT_DRIVEN if batch_id.startswith(EVENT_DRIVEN) else BATCH
+        return cls(load_type, batch_id[len(load_type) + 1 :])
+
+    @property
+    def folder(self) -> str:
+        if not re.fullmatch(r"[\w.:+-]+", self.load_dt):
+            raise ValueError(f"not usable as a load time: {self.load_dt!r}")
+        return f"load_type={self.load_type}/load_dt={self.load_dt.replace(':', '%3A')}"
+
+
 def ensure_database(spark: SparkSession, lake: Lake) -> None:
     """Create the database and its tables where they are missing.
 
-    The tables are external Parquet. If an earlier session, or a catalog
-    since dropped, left data in their folders, it is found again.
+    If an earlier session, or a catalog since dropped, left loads in the
+    tables' folders, they are found again.
     """
     spark.sql(
         f"CREATE DATABASE IF NOT EXISTS {lake.database} LOCATION '{lake.path('database')}'"
     )
-    for name, (schema, keys) in _TABLES.items():
+    for name, schema in _TABLES.items():
         table = lake.table(name)
         if spark.catalog.tableExists(table):
             continue
-        partitions = f"PARTITIONED BY ({', '.join(keys)})" if keys else ""
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {table} ({schema}) USING parquet {partitions} "
-            f"LOCATION '{lake.path(name)}'"
+            f"CREATE TABLE IF NOT EXISTS {table} ({schema}) USING parquet "
+            f"PARTITIONED BY ({', '.join(_KEYS)}) LOCATION '{lake.path(name)}'"
         )
-        if keys and _exists(spark, lake.path(name)):
+        if _exists(spark, lake.path(name)):
             spark.catalog.recoverPartitions(table)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
-
-
 def drop_refined(spark: SparkSession, lake: Lake, database: bool = False) -> None:
     """Drop the observation table, or with ``database`` all there is in the catalog.
 
@@ -77,41 +105,55 @@ def drop_refined(spark: SparkSession, lake: Lake, database: bool = False) -> Non
 def append_refined(
     spark: SparkSession, lake: Lake, rows: DataFrame, load_type: str, load_dt: str
 ) -> None:
-    """Add one load to the observation table.
+    """Add one load to the observation table, next to all earlier ones.
 
-    ``rows`` holds the canonical columns and ``filename``. Earlier loads are
-    not touched. Running the same load again replaces its own rows instead of
-    adding them twice.
+    ``rows`` holds the canonical columns and ``filename``.
     """
-    _write_load(spark, lake.table("observation"), rows, [*COLUMNS, "filename"], load_type, load_dt)
+    write_load(spark, lake, "observation", rows, Load(load_type, load_dt))
 
 
-def append_quarantine(
-    spark: SparkSession, lake: Lake, flaws: DataFrame, load_type: str, load_dt: str
-) -> None:
-    columns = ["filename", "raw", "column_name", "reason", "row_kept"]
-    _write_load(spark, lake.table("quarantine"), flaws, columns, load_type, load_dt)
-
-
-def _write_load(
+def write_load(
     spark: SparkSession,
-    table: str,
+    lake: Lake,
+    name: str,
     rows: DataFrame,
-    columns: list[str],
-    load_type: str,
-    load_dt: str,
+    load: Load,
+    mode: str = "overwrite",
 ) -> None:
-    # A load is one partition, named in the statement: tasks write their rows
-    # as they scan them, without the sort that partitions found at run time
-    # would need, and repeating the statement cannot double the load.
+    """Write a load's rows to a table and make them known to the catalog.
+
+    The partition is named, not found from the rows, so tasks write as they
+    scan, without the sort that partitions found at run time would need.
+    """
+    columns = [
+        F.col(field.name).cast(field.dataType).alias(field.name)
+        for field in StructType.fromDDL(_TABLES[name])
+        if field.name not in _KEYS
+    ]
+    rows.select(*columns).write.mode(mode).parquet(f"{lake.path(name)}/{load.folder}")
+    table = lake.table(name)
     spark.sql(
-        f"INSERT OVERWRITE TABLE {table} "
-        f"PARTITION (load_type = '{load_type}', load_dt = '{load_dt}') SELECT * FROM {{rows}}",
-        rows=rows.select(*columns),
+        f"ALTER TABLE {table} ADD IF NOT EXISTS "
+        f"PARTITION (load_type = '{load.load_type}', load_dt = '{load.load_dt}')"
     )
+    spark.catalog.refreshTable(table)
+
 
+def read_table(
+    spark: SparkSession, lake: Lake, name: str, load: Load | None = None
+) -> DataFrame:
+    """A table's rows, or those of one load, as they are in its folder now.
 
-def load_rows(spark: SparkSession, lake: Lake, load_type: str, load_dt: str) -> DataFrame:
-    """The rows of one load; only its partition is read."""
-    table = spark.table(lake.table("observation"))
-    return table.where((table.load_type == load_type) & (table.load_dt == load_dt))
+    Other than the catalog, the folder shows at once what other applications
+    have added. Of one load, only its own folder is listed.
+    """
+    root = lake.path(name)
+    folder = f"{root}/{load.folder}" if load else root
+    if not _exists(spark, folder):
+        return spark.createDataFrame([], _TABLES[name])
+    return spark.read.schema(_TABLES[name]).option("basePath", root).parquet(folder)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)

@@ -18,14 +18,11 @@ import time
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obslake.plans.lake import Lake
+from obslake.plans.lake import Lake, Load, read_table, write_load
 
 FILE_KEY = ["path", "length", "modified_ms"]
 
-_COLUMNS = [
-    "path", "file_uri", "filename", "length", "modified_ms", "load_type", "load_dt",
-    "batch_id", "status", "step", "error", "recorded_us",
-]
+_TABLE = "ingest_ledger"
 
 # Steps at which a file is refused for what it is. A failure at any other
 # step is no fault of the file, and the batch can be resumed.
@@ -33,7 +30,7 @@ REFUSING_STEPS = ["screen", "header", "batch"]
 
 
 def record(
-    spark: SparkSession, lake: Lake, files: DataFrame, **values: Column | str | None
+    spark: SparkSession, lake: Lake, load: Load, files: DataFrame, **values: Column | str | None
 ) -> DataFrame:
     """Append a row per file, with the given columns set, and return these
     rows as they were stored, so that later steps do not depend on how the
@@ -42,21 +39,22 @@ def record(
     stamped = files.withColumns(
         {
             **{name: v if isinstance(v, Column) else F.lit(v) for name, v in values.items()},
+            "batch_id": F.lit(load.batch_id),
             "recorded_us": F.lit(stamp),
         }
     )
-    stamped.select(*_COLUMNS).write.mode("append").insertInto(lake.table("ingest_ledger"))
-    return _rows(spark, lake).where(F.col("recorded_us") == stamp)
+    write_load(spark, lake, _TABLE, stamped, load, mode="append")
+    return read_table(spark, lake, _TABLE, load).where(F.col("recorded_us") == stamp)
 
 
 def ingest_ledger(spark: SparkSession, lake: Lake) -> DataFrame:
     """The current state: the latest row of each file."""
-    return _latest(_rows(spark, lake))
+    return _latest(read_table(spark, lake, _TABLE))
 
 
-def batch_files(spark: SparkSession, lake: Lake, batch_id: str) -> DataFrame:
+def batch_files(spark: SparkSession, lake: Lake, load: Load) -> DataFrame:
     """How the files stand that one batch has claimed."""
-    return _latest(_rows(spark, lake).where(F.col("batch_id") == batch_id))
+    return _latest(read_table(spark, lake, _TABLE, load))
 
 
 def unseen(spark: SparkSession, lake: Lake, files: DataFrame) -> DataFrame:
@@ -78,13 +76,7 @@ def _by_check() -> Column:
     return F.col("step").isin(REFUSING_STEPS)
 
 
-def _rows(spark: SparkSession, lake: Lake) -> DataFrame:
-    table = lake.table("ingest_ledger")
-    spark.catalog.refreshTable(table)  # other applications append to it too
-    return spark.table(table)
-
-
 def _latest(rows: DataFrame) -> DataFrame:
-    state = [name for name in _COLUMNS if name not in FILE_KEY]
+    state = [name for name in rows.columns if name not in FILE_KEY]
     latest = F.max_by(F.struct(*state), F.col("recorded_us")).alias("state")
-    return rows.groupBy(*FILE_KEY).agg(latest).select(*FILE_KEY, "state.*").select(*_COLUMNS)
+    return rows.groupBy(*FILE_KEY).agg(latest).select(*FILE_KEY, "state.*").select(*rows.columns)

@@ -74,11 +74,11 @@ QUARANTINE_SCHEMA = (
 
 LEDGER_SCHEMA = (
     "path string, file_uri string, filename string, length bigint, modified_ms bigint, "
-    "load_type string, load_dt string, batch_id string, status string, step string, "
-    "error string, recorded_us bigint"
+    "batch_id string, status string, step string, error string, recorded_us bigint, "
+    "load_type string, load_dt string"
 )
 
 ANSWER_LOG_SCHEMA = (
-    "batch_id string, load_type string, load_dt string, temperature double, "
-    "observed_at timestamp_ntz, region string, country string"
+    "batch_id string, temperature double, observed_at timestamp_ntz, region string, "
+    "country string, load_type string, load_dt string"
 )

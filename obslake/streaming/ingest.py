@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from obslake.operators.quality import STREAM_MAX_BYTES
 from obslake.plans import ledger
 from obslake.plans.ingest import ingest_files, resume_batch
-from obslake.plans.lake import Lake, ensure_database
+from obslake.plans.lake import Lake, Load, ensure_database
 from obslake.schema import EVENT_DRIVEN
 from obslake.sources.files import LISTING_SCHEMA, stream_files
 
@@ -45,15 +45,15 @@ def stream_ingest(
     """
     ensure_database(spark, lake)
 
-    def load(arrived: DataFrame, _epoch: int) -> None:
+    def take(arrived: DataFrame, _epoch: int) -> None:
         # At most max_files_per_trigger names. They move from the stream's
         # session, which has settings of its own, to the caller's.
         files = spark.createDataFrame(arrived.collect(), LISTING_SCHEMA)
         # A repeated micro-batch finds its files claimed by its first attempt.
         claimed = ledger.ingest_ledger(spark, lake).join(files, ledger.FILE_KEY, "left_semi")
         left = claimed.where(ledger.is_open() & (F.col("load_type") == EVENT_DRIVEN))
-        for row in left.select("batch_id").distinct().collect():
-            resume_batch(spark, lake, row.batch_id, on_error=on_error, multi_line=multi_line)
+        for load in left.select("load_type", "load_dt").distinct().collect():
+            resume_batch(spark, lake, Load(*load), on_error=on_error, multi_line=multi_line)
         ingest_files(
             spark,
             ledger.unseen(spark, lake, files),
@@ -66,7 +66,7 @@ def stream_ingest(
 
     files = stream_files(spark, incoming, max_files_per_trigger, max_file_age, archive_dir)
     return (
-        files.writeStream.foreachBatch(load)
+        files.writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()

@@ -109,7 +109,7 @@ def test_running_answer_log_over_many_batches(spark):
 
 
 def test_ties_and_order_of_batches_with_a_rising_series(spark):
-    rows = [(b, float(b), 0, "A") for b in range(1, 60)] + [(b, float(b), 0, "A") for b in range(1, 60)]
+    rows = [(b, float(b), 0, "A") for b in range(1, 60)] * 2
     log = running_answer_log(frame(spark, rows), "b", MEASURE, groups=4)
     assert [r.batch for r in log.sort("batch").collect()] == list(range(1, 60))
 

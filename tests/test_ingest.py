@@ -39,7 +39,7 @@ def observation(spark, lake):
 
 
 def test_two_files_one_answer(spark, lake, incoming):
-    write_csv(incoming, "a.csv", [row(3.5, region="Wales"), row(9.25, "2016-02-02T00:00:00", "Yorkshire")])
+    write_csv(incoming, "a.csv", [row(3.5), row(9.25, "2016-02-02T00:00:00", "Yorkshire")])
     write_csv(incoming, "b.csv", [row(15.8, "2016-03-17T00:00:00", "Highland"), row(-2)])
     done = batch_ingest(spark, str(incoming), lake)
     assert outcome(done) == {"a.csv": ("processed", None), "b.csv": ("processed", None)}
@@ -150,6 +150,29 @@ def test_unreadable_values(spark, lake, incoming):
     assert "1,2,3" in raw and rows[1] in raw and rows[5] in raw
 
 
+def test_session_settings_do_not_matter(spark, lake, incoming):
+    settings = {
+        "spark.sql.ansi.enabled": "false",
+        "spark.sql.session.timeZone": "Asia/Kolkata",
+        "spark.sql.caseSensitive": "true",
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        write_csv(incoming, "a.csv", [row("warm"), row(7.5, "2016-02-01T23:30:00"), row("")])
+        assert outcome(batch_ingest(spark, str(incoming), lake)) == {"a.csv": ("processed", None)}
+        assert batch_ingest(spark, str(incoming), lake).isEmpty()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert batch_ingest(spark, str(incoming), lake).isEmpty()
+    assert answers(spark, lake)[QUESTION_DATE] == "2016-02-01"
+    assert answers(spark, lake)[QUESTION_TEMPERATURE] == "7.50"
+    assert spark.table(lake.table("quarantine")).count() == 1
+
+
 def test_null_region_is_a_null_answer(spark, lake, incoming):
     write_csv(incoming, "a.csv", [row(8, region="")])
     batch_ingest(spark, str(incoming), lake)
@@ -246,7 +269,8 @@ def test_batch_has_no_size_limit_unless_given(spark, lake, incoming):
 
 
 def test_odd_file_names(spark, lake, incoming):
-    names = ["a b.csv", "c[1].csv", "d{x}.csv", "e%20f.csv", "g*.csv", "ü.csv", "q?.csv", "p+q.csv"]
+    names = ["a b.csv", "c[1].csv", "d{x}.csv", "e%20f.csv", "g*.csv", "ü.csv", "q?.csv"]
+    names += ["p+q.csv", "back\\slash.csv", "ha#sh.csv"]
     for i, name in enumerate(names):
         write_csv(incoming, name, [row(i + 1, region=f"R{i}")])
     done = outcome(batch_ingest(spark, str(incoming), lake))
@@ -277,7 +301,7 @@ def test_a_failed_step_is_recorded_and_resumed_without_doubling(
     write_csv(incoming, "a.csv", [row(8), row("warm")])
     target = {
         "header": (ingest_module, "check_headers"),
-        "append": (ingest_module, "append_quarantine"),
+        "append": (ingest_module, "quarantined"),
         "answers": (answers_module, "top_reading"),
     }[step]
 

@@ -50,7 +50,8 @@ def test_a_load_is_added_once_next_to_others(spark, lake, incoming):
     ensure_database(spark, lake)
     ensure_database(spark, lake)
     path = write_csv(incoming, "a.csv", [row(3.5), row(4)])
-    for load_type, load_dt in [("BATCH", "1"), ("BATCH", "2"), ("EVENT-DRIVEN", "1"), ("BATCH", "2")]:
+    loads = [("BATCH", "1"), ("BATCH", "2"), ("EVENT-DRIVEN", "1"), ("BATCH", "2")]
+    for load_type, load_dt in loads:
         rows = to_canonical(with_lineage(read_rows(spark, path), load_type, load_dt))
         append_refined(spark, lake, rows, load_type, load_dt)
     found = query_refined(
@@ -77,11 +78,13 @@ def test_answers_are_a_view(spark, lake, incoming):
 
 
 def test_reading_is_typed_and_total(spark, incoming):
-    write_csv(incoming, "a.csv", [row("x", date="2016-02-01"), row(" 4.5 "), "1,2", row(1, WindSpeed=1.5)])
+    rows = [row("x", date="2016-02-01"), row(" 4.5 "), "1,2", row(1, WindSpeed=1.5)]
+    write_csv(incoming, "a.csv", rows)
     found = read_observations(spark, str(incoming))
     assert found.columns == COLUMNS
     assert dict(found.dtypes)["observation_date"] == "timestamp_ntz"
-    assert sorted((r.screen_temperature for r in found.collect()), key=str) == [1.0, 4.5, None, None]
+    readings = [r.screen_temperature for r in found.collect()]
+    assert sorted(readings, key=str) == [1.0, 4.5, None, None]
     assert found.where("wind_speed IS NULL").count() == 2
 
 

@@ -13,6 +13,7 @@ from obslake import (
     batch_ingest,
     current_answers,
     ingest_ledger,
+    return_to_incoming,
     stream_hottest,
     stream_ingest,
 )
@@ -96,6 +97,30 @@ def test_a_file_is_loaded_by_one_path_only(spark, lake, incoming, tmp_path):
     assert sorted(loaded) == [("a.csv", "BATCH"), ("b.csv", "EVENT-DRIVEN")]
 
 
+def test_a_file_too_large_for_the_stream_goes_to_a_batch_run(spark, lake, incoming, tmp_path):
+    write_csv(incoming, "a.csv", [row(5)] * 20)
+    run(spark, incoming, lake, tmp_path, max_bytes=100)
+    [refused] = ingest_ledger(spark, lake).collect()
+    assert refused.status == "error" and refused.error.endswith("Use Batch Process for this file.")
+    assert batch_ingest(spark, str(incoming), lake).isEmpty()
+    return_to_incoming(spark, lake, refused.batch_id)
+    assert outcome(batch_ingest(spark, str(incoming), lake)) == {"a.csv": ("processed", None)}
+    assert spark.table(lake.table("observation")).count() == 20
+
+
+def test_a_stream_on_a_schedule(spark, lake, incoming, tmp_path):
+    write_csv(incoming, "a.csv", [row(5)])
+    checkpoint, trigger = str(tmp_path / "cp"), {"processingTime": "1 second"}
+    query = stream_ingest(spark, str(incoming), lake, checkpoint=checkpoint, trigger=trigger)
+    try:
+        query.processAllAvailable()
+        write_csv(incoming, "b.csv", [row(6)])
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert spark.table(lake.table("observation")).count() == 2
+
+
 @pytest.mark.parametrize("step", ["check_headers", "append_refined", "record_answers"])
 def test_a_repeated_micro_batch_does_not_double(
     spark, lake, incoming, tmp_path, monkeypatch, step
