@@ -208,9 +208,10 @@ def q_csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read_rows(spark, _export_by_type(spark, sf_dir) + "/*/*.csv")
+    """Each row with the file it came from, over all files in one scan."""
+    rows = read_rows(spark, _export_thirds(spark, sf_dir) + "/*/*.csv")
     tagged = to_canonical(with_lineage(rows, BATCH, "2024-02-01T00:00:00.000000"))
-    return tagged.where(_feed_of("filename") != "error").select(
+    return tagged.select(
         F.substring_index("site_name", " ", -1).cast("bigint").alias("event_id"),
         _feed_of("filename").alias("feed"),
         "load_type",
@@ -503,10 +504,10 @@ def oracle_sql() -> dict[str, str]:
                    user_id, event_type, value, props
             FROM events
         """,
-        "lineage": """
-            SELECT event_id, event_type AS feed, 'BATCH' AS load_type,
+        "lineage": f"""
+            SELECT event_id, 'third' || ({third}) AS feed, 'BATCH' AS load_type,
                    '2024-02-01T00:00:00.000000' AS load_dt
-            FROM events WHERE event_type NOT IN ('error', 'purchase')
+            FROM events
         """,
         "parquet_round_trip": _TOP.format(where=""),
         "refined_append": """

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+import pytest
 from conftest import row, write_csv
 
 from obslake import (
@@ -20,6 +21,7 @@ from obslake import (
     with_lineage,
     work_dir,
 )
+from obslake.plans import Load
 from obslake.schema import COLUMNS, QUESTION_REGION
 
 
@@ -66,6 +68,14 @@ def test_a_load_is_added_once_next_to_others(spark, lake, incoming):
     ]
 
 
+def test_load_names():
+    for load in (Load("BATCH", "2016-02-01T00:00:00.5"), Load("EVENT-DRIVEN", "2016-02-01")):
+        assert Load.of(load.batch_id) == load
+    assert Load("BATCH", "a:b").folder == "load_type=BATCH/load_dt=a%3Ab"
+    with pytest.raises(ValueError, match="not usable"):
+        _ = Load("BATCH", "../x").folder
+
+
 def test_answers_are_a_view(spark, lake, incoming):
     ensure_database(spark, lake)
     publish_answers(spark, lake)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from conftest import row, write_csv
@@ -12,6 +13,7 @@ from obslake import (
     Lake,
     batch_ingest,
     current_answers,
+    ensure_database,
     ingest_ledger,
     return_to_incoming,
     stream_hottest,
@@ -108,6 +110,34 @@ def test_a_file_too_large_for_the_stream_goes_to_a_batch_run(spark, lake, incomi
     assert spark.table(lake.table("observation")).count() == 20
 
 
+def test_stream_and_batch_at_the_same_time(spark, lake, tmp_path):
+    folders = {}
+    for name in ("batch", "stream"):
+        folders[name] = tmp_path / name
+        folders[name].mkdir()
+        for i in range(6):
+            write_csv(folders[name], f"{name}{i}.csv", [row(i + 1, region=name)] * 50)
+    ensure_database(spark, lake)
+    with ThreadPoolExecutor(2) as pool:
+        streamed = pool.submit(
+            run, spark, folders["stream"], lake, tmp_path, max_files_per_trigger=2
+        )
+        batched = [
+            pool.submit(batch_ingest, spark, str(folders["batch"]), lake, limit=2).result()
+            for _ in range(3)
+        ]
+        streamed.result()
+    assert all(run.count() == 2 for run in batched)
+    done = ingest_ledger(spark, lake)
+    assert done.count() == 12 and done.where("status <> 'processed'").isEmpty()
+    table = spark.table(lake.table("observation"))
+    assert {(r.region, r["count"]) for r in table.groupBy("region").count().collect()} == {
+        ("batch", 300),
+        ("stream", 300),
+    }
+    assert spark.table(lake.table("answer_log")).count() == 6
+
+
 def test_a_stream_on_a_schedule(spark, lake, incoming, tmp_path):
     write_csv(incoming, "a.csv", [row(5)])
     checkpoint, trigger = str(tmp_path / "cp"), {"processingTime": "1 second"}
