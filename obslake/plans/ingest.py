@@ -21,6 +21,7 @@ from obslake.plans.lake import (
     append_refined,
     ensure_database,
     read_table,
+    register_load,
     write_load,
 )
 from obslake.schema import BATCH
@@ -105,6 +106,7 @@ def resume_batch(
     spark: SparkSession, lake: Lake, load: Load, *, on_error: str, multi_line: bool = False
 ) -> None:
     """Take a batch that stopped half way through the steps it has left."""
+    register_load(spark, lake, "ingest_ledger", load)  # where it may have stopped
     state = ledger.batch_files(spark, lake, load)
     appended = not state.where(ledger.is_open() & (F.col("step") == APPENDED)).isEmpty()
     _run(

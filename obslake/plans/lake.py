@@ -130,13 +130,21 @@ def write_load(
         for field in StructType.fromDDL(_TABLES[name])
         if field.name not in _KEYS
     ]
-    rows.select(*columns).write.mode(mode).parquet(f"{lake.path(name)}/{load.folder}")
-    table = lake.table(name)
+    folder = f"{lake.path(name)}/{load.folder}"
+    known = mode == "append" and _exists(spark, folder)
+    rows.select(*columns).write.mode(mode).parquet(folder)
+    if known:
+        spark.catalog.refreshTable(lake.table(name))
+    else:
+        register_load(spark, lake, name, load)
+
+
+def register_load(spark: SparkSession, lake: Lake, name: str, load: Load) -> None:
     spark.sql(
-        f"ALTER TABLE {table} ADD IF NOT EXISTS "
+        f"ALTER TABLE {lake.table(name)} ADD IF NOT EXISTS "
         f"PARTITION (load_type = '{load.load_type}', load_dt = '{load.load_dt}')"
     )
-    spark.catalog.refreshTable(table)
+    spark.catalog.refreshTable(lake.table(name))
 
 
 def read_table(
@@ -150,7 +158,7 @@ def read_table(
     root = lake.path(name)
     folder = f"{root}/{load.folder}" if load else root
     if not _exists(spark, folder):
-        return spark.createDataFrame([], _TABLES[name])
+        return spark.table(lake.table(name)).where("false")
     return spark.read.schema(_TABLES[name]).option("basePath", root).parquet(folder)
 
 

@@ -48,7 +48,7 @@ def stream_ingest(
     def take(arrived: DataFrame, _epoch: int) -> None:
         # At most max_files_per_trigger names. They move from the stream's
         # session, which has settings of its own, to the caller's.
-        files = spark.createDataFrame(arrived.collect(), LISTING_SCHEMA)
+        files = spark.createDataFrame(arrived.collect(), LISTING_SCHEMA).coalesce(1)
         # A repeated micro-batch finds its files claimed by its first attempt.
         claimed = ledger.ingest_ledger(spark, lake).join(files, ledger.FILE_KEY, "left_semi")
         left = claimed.where(ledger.is_open() & (F.col("load_type") == EVENT_DRIVEN))
