@@ -112,14 +112,16 @@ def quarantined(rows: DataFrame) -> DataFrame:
         found = f"NOT {_MALFORMED} AND {_unreadable(name)}"
         flaw = _flaw(f"'{name}'", _REASONS[TYPES[name]])
         flaws.append(f"CASE WHEN {found} THEN {flaw} END")
+    # Not a filter: it would be moved in front of the parsing and repeat it.
+    listed = f"array_compact(array({', '.join(flaws)}))"
+    found = f"CASE WHEN {_any_unreadable(_PARSED)} THEN {listed} END"
     extra = _extra(rows)
     return (
         _text_and_typed(rows)
-        .where(_any_unreadable(_PARSED))
         .select(
             F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*COLUMNS), _AS_READ)).alias("raw"),
             F.expr(f"NOT {_any_unreadable(ESSENTIAL)}").alias("row_kept"),
-            F.expr(f"explode(array_compact(array({', '.join(flaws)})))").alias("flaw"),
+            F.expr(f"explode({found})").alias("flaw"),
             *extra,
         )
         .select("raw", "flaw.column_name", "flaw.reason", "row_kept", *extra)

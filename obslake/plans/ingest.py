@@ -212,6 +212,7 @@ def _append(
     seen = Observation()
     judged = assess(rows).observe(seen, F.count_if("is_flawed").alias("n_flawed"))
     append_refined(spark, lake, judged.where(~F.col("is_rejected")), *load)
+    # Repeated tasks may count a row twice; it only matters whether there are any.
     if seen.get["n_flawed"]:
         write_load(spark, lake, "quarantine", quarantined(rows), load)
 

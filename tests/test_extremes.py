@@ -173,7 +173,7 @@ def test_running_log_plan(stored):
 
 
 def test_load_plan_has_no_shuffle_and_compiles(spark, tmp_path):
-    from obslake.operators import assess, with_lineage
+    from obslake.operators import assess, quarantined, to_canonical, with_lineage
     from obslake.sources import read_rows
     from conftest import row, write_csv
 
@@ -182,11 +182,16 @@ def test_load_plan_has_no_shuffle_and_compiles(spark, tmp_path):
     loaded = assess(rows).where(~F.col("is_rejected")).drop("is_rejected", "is_flawed")
     plan = plan_of(loaded)
     assert "Exchange" not in plan and "Sort" not in plan
-    debug = spark._jvm.org.apache.spark.sql.execution.debug
+    for frame in (loaded, assess(rows), quarantined(rows), to_canonical(rows)):
+        assert largest_method(frame) < 8000
+
+
+def largest_method(df):
+    """Bytes of generated code; beyond 8000 the JVM runs a method uncompiled."""
+    debug = df.sparkSession._jvm.org.apache.spark.sql.execution.debug
     package = getattr(getattr(debug, "package$"), "MODULE$")
-    code = package.codegenString(loaded._jdf.queryExecution().executedPlan())
-    # Beyond 8000 bytes the JVM would run a method without compiling it.
-    assert max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)) < 8000
+    code = package.codegenString(df._jdf.queryExecution().executedPlan())
+    return max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code))
 
 
 def test_listing_does_not_read_contents(spark, tmp_path):
