@@ -57,10 +57,26 @@ def batch_files(spark: SparkSession, lake: Lake, load: Load) -> DataFrame:
     return _latest(read_table(spark, lake, _TABLE, load))
 
 
+def states_of(spark: SparkSession, lake: Lake, files: DataFrame) -> DataFrame:
+    """How the files of a short listing stand, as far as they are known."""
+    return _latest(read_table(spark, lake, _TABLE).join(files, FILE_KEY, "left_semi"))
+
+
 def unseen(spark: SparkSession, lake: Lake, files: DataFrame) -> DataFrame:
-    """Files of a listing that no run has claimed, or that were handed back."""
-    claimed = ingest_ledger(spark, lake).where(F.col("status") != "incoming")
-    return files.join(claimed.select(*FILE_KEY), FILE_KEY, "left_anti")
+    """Files of a listing that no run has claimed, or that were handed back.
+
+    This looks at the whole ledger, so it keeps to numbers, which a hash
+    aggregate can hold: a file is claimed if its last row is not the one
+    that handed it back.
+    """
+    returned = F.when(F.col("status") == "incoming", F.col("recorded_us"))
+    claimed = (
+        read_table(spark, lake, _TABLE)
+        .groupBy(*FILE_KEY)
+        .agg(F.max("recorded_us").alias("last"), F.max(returned).alias("returned"))
+        .where(F.col("returned").isNull() | (F.col("last") > F.col("returned")))
+    )
+    return files.join(claimed, FILE_KEY, "left_anti")
 
 
 def is_open() -> Column:

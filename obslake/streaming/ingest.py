@@ -50,8 +50,9 @@ def stream_ingest(
         # session, which has settings of its own, to the caller's.
         files = spark.createDataFrame(arrived.collect(), LISTING_SCHEMA).coalesce(1)
         # A repeated micro-batch finds its files claimed by its first attempt.
-        claimed = ledger.ingest_ledger(spark, lake).join(files, ledger.FILE_KEY, "left_semi")
-        left = claimed.where(ledger.is_open() & (F.col("load_type") == EVENT_DRIVEN))
+        left = ledger.states_of(spark, lake, files).where(
+            ledger.is_open() & (F.col("load_type") == EVENT_DRIVEN)
+        )
         for load in left.select("load_type", "load_dt").distinct().collect():
             resume_batch(spark, lake, Load(*load), on_error=on_error, multi_line=multi_line)
         ingest_files(
