@@ -3,8 +3,8 @@ from obslake.functions.parsing import (
     day_and_time,
     invalid,
     is_missing,
+    non_empty,
     number,
-    text,
     whole_number,
 )
 from obslake.functions.text import day_text, decoded, last_segment, two_decimals
@@ -17,8 +17,8 @@ __all__ = [
     "invalid",
     "is_missing",
     "last_segment",
+    "non_empty",
     "number",
-    "text",
     "two_decimals",
     "whole_number",
 ]

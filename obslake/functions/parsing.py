@@ -38,7 +38,7 @@ def day_and_time(column: str) -> str:
     return f"try_cast({column} AS timestamp_ntz)"
 
 
-def text(column: str) -> str:
+def non_empty(column: str) -> str:
     return f"nullif({column}, '')"
 
 

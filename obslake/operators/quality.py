@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obslake.functions.parsing import day_and_time, invalid, is_missing, number, text, whole_number
+from obslake.functions.parsing import (
+    day_and_time,
+    invalid,
+    is_missing,
+    non_empty,
+    number,
+    whole_number,
+)
 from obslake.schema import COLUMNS, CORRUPT, HEADER, TYPES
 
 # The messages of the checks, and the size a streamed file must stay below.
@@ -18,7 +25,7 @@ _PARSERS = {
     "double": number,
     "int": whole_number,
     "timestamp_ntz": day_and_time,
-    "string": text,
+    "string": non_empty,
 }
 _REASONS = {
     "double": "invalid number",
