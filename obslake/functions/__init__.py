@@ -7,7 +7,7 @@ from obslake.functions.parsing import (
     number,
     whole_number,
 )
-from obslake.functions.text import day_text, decoded, last_segment, two_decimals
+from obslake.functions.text import day_text, decoded, last_segment
 
 __all__ = [
     "MISSING_TEXTS",
@@ -19,6 +19,5 @@ __all__ = [
     "last_segment",
     "non_empty",
     "number",
-    "two_decimals",
     "whole_number",
 ]

@@ -1,4 +1,4 @@
-"""Values to the text shown in answers."""
+"""Days and file names as text."""
 
 from __future__ import annotations
 
@@ -11,11 +11,6 @@ def day_text(when: Column) -> Column:
     return F.date_format(when, "yyyy-MM-dd")
 
 
-def two_decimals(value: Column) -> Column:
-    """``15.8`` as ``15.80``, without thousands separators."""
-    return F.format_string("%.2f", value)
-
-
 def last_segment(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 

@@ -28,28 +28,26 @@ class Measure:
         value = F.col(self.value)
         return F.when(~F.isnan(value), value)
 
-    @property
-    def order(self) -> list[Column]:
-        """Sort order among equal readings."""
-        return [F.col(name).asc_nulls_last() for name in (self.when, *self.tiebreak)]
-
     @property
     def payload(self) -> list[str]:
+        """The columns of an answer, in the order in which they break ties."""
         names = [self.when, *self.tiebreak, self.place]
         if self.country:
             names.append(self.country)
         return list(dict.fromkeys(names))
 
+    @property
+    def order(self) -> list[Column]:
+        """Sort order among equal readings."""
+        return [F.col(name).asc_nulls_last() for name in self.payload]
+
     def rank(self) -> Column:
         """One struct per row whose minimum is the hottest row; null without a reading.
 
         The value is negated and nulls get a flag in front of them, since the
-        smallest struct wins and null is the smallest value of a type. The
-        other payload columns come last.
+        smallest struct wins and null is the smallest value of a type.
         """
         fields = [(-self.reading).alias("negative")]
-        for name in (self.when, *self.tiebreak):
+        for name in self.payload:
             fields += [F.col(name).isNull().alias(f"no_{name}"), F.col(name)]
-        ordered = {self.when, *self.tiebreak}
-        fields += [F.col(name) for name in self.payload if name not in ordered]
         return F.when(self.reading.isNotNull(), F.struct(*fields))
