@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -44,3 +46,20 @@ def work_dir(spark: SparkSession, purpose: str = "run") -> str:
             _local_base[app] = tempfile.mkdtemp(prefix="obslake-")
         base = _local_base[app]
     return f"{base.rstrip('/')}/obslake-{purpose}-{uuid.uuid4().hex}"
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python tasks, wherever the cluster runs them."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="obslake-")) / "obslake-package.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, str(source.relative_to(package.parent)))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(app)
