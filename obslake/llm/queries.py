@@ -1,0 +1,54 @@
+"""The registered queries of the text operators, and SQL for those that it can express."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from obslake.llm.common import held_out, table
+from obslake.llm.packing import pack_documents
+from obslake.llm.quality import score_quality, train_quality
+from obslake.llm.toxicity import toxic_passages, train_toxicity
+
+
+def byte_vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train_toxicity(docs, table(spark, sf_dir, "labels"))
+    scored = toxic_passages(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc.doc_id",
+        held_out(5, "doc.doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("passages").alias("n_passages"),
+    )
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), byte_vocabulary())
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train_quality(docs, table(spark, sf_dir, "labels"))
+    scored = score_quality(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc.doc_id",
+        held_out(5, "doc.doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+def queries() -> dict:
+    return {name: query for name, query in globals().items() if name.startswith("op")}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {}
