@@ -47,6 +47,13 @@ from obslake.schema import BATCH, EVENT_DRIVEN, HEADER, QUESTION_DATE, QUESTION_
 from obslake.schema import QUESTION_TEMPERATURE, snake_case
 from obslake.sources import list_files
 
+# The text operators may be taken out of the package; the other queries do without them.
+try:
+    import corpus_pipeline
+    from obslake.llm import queries as text_queries
+except ImportError:
+    corpus_pipeline = text_queries = None
+
 EVENTS = Measure(
     value="value", when="ts", place="event_type", country=None, tiebreak=("event_type", "event_id")
 )
@@ -423,7 +430,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name[2:]: query for name, query in globals().items() if name.startswith("q_")}
+    found = {name[2:]: query for name, query in globals().items() if name.startswith("q_")}
+    if text_queries is not None:
+        found |= text_queries.queries() | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 _TOP = """
@@ -483,7 +493,7 @@ def oracle_sql() -> dict[str, str]:
     extension = "Invalid file extension. Expected a CSV file."
     size = "File size N must be less than 1000 bytes. Use Batch Process for this file."
     third = "least((day(ts) - 1) // 10, 2)"
-    return {
+    oracles = {
         "max_temperature": "SELECT max(value) AS max_value FROM events",
         "hottest_records": "SELECT * FROM events WHERE value = (SELECT max(value) FROM events)",
         "hottest_answer": _TOP.format(where=""),
@@ -568,3 +578,4 @@ def oracle_sql() -> dict[str, str]:
         ),
         "stream_answers": _questions(f"WHERE {loaded}"),
     }
+    return oracles | (text_queries.oracle_sql() if text_queries is not None else {})
