@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obslake.llm.common import held_out, table
+from obslake.llm.minhash import near_duplicates
 from obslake.llm.packing import pack_documents
 from obslake.llm.quality import score_quality, train_quality
 from obslake.llm.toxicity import toxic_passages, train_toxicity
@@ -34,6 +35,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), byte_vocabulary())
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = train_quality(docs, table(spark, sf_dir, "labels"))
