@@ -6,10 +6,11 @@ from the start. Each text gets a signature of minwise hashes. In each of several
 node sends its texts on to children named by the minwise tokens at a few positions that
 the node's name chooses, so similar texts tend to share children. Nodes of bounded size
 are compared exhaustively; larger ones branch again. A node that branching does not
-shrink (a group of near copies, a very common passage) is compared exhaustively too,
-block against block, so its size is not capped. Pairs whose signatures agree closely are
-confirmed on the full sets. Within a comparison, only links that join two classes are
-reported: as many as texts, not as pairs, and no class is lost.
+shrink (a group of near copies) is compared in blocks, and then all its texts that are
+still in different classes are compared, so its size is not capped and its work grows
+with what differs in it. Pairs whose signatures agree closely are confirmed on the full
+sets. Within a comparison, only links that join two classes are reported: as many as
+texts, not as pairs, and no class is lost.
 
 A pair at the least similarity shares no node with a probability below 1e-6 (see
 ``CHOSEN`` and ``TREES``), and is missed by its signatures with one of about 1e-5.
@@ -148,55 +149,105 @@ def _sized(children: DataFrame) -> DataFrame:
     return children.join(sizes, "node")
 
 
-def _groups(texts: DataFrame) -> DataFrame:
-    """(members): lists of at most about LEAF ids to be compared exhaustively, each once."""
+def _nodes(texts: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(node, id) of the nodes to compare, and (node, id, size) of those too large for that."""
     trees = F.array(*[F.lit(7919 * (tree + 1)).cast("long") for tree in range(TREES)])
     everything = F.lit(2**62).cast("long").alias("size")
     root = texts.select(F.explode(trees).alias("node"), everything, "id", "signature")
     level = stored(_sized(_children(root)), "nodes")
-    parts: list[DataFrame] = []
+    small, stuck = [], []
     for depth in range(1, DEPTH + 1):
-        small = F.col("size") <= LEAF
-        parts.append(level.where(small).select("node", "id"))
-        large = level.where(~small)
-        stuck = (F.col("size") > SHRINKS * F.col("parent_size")) | F.lit(depth == DEPTH)
-        # Both blocks of a pair go to one group, and a block meets each other block once.
-        block = F.pmod(F.xxhash64("id", "node"), F.col("blocks"))
-        pairs = (
-            large.where(stuck)
-            .withColumn("blocks", F.ceil(F.col("size") / (LEAF // 2)))
-            .withColumn("block", block)
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .where("block != other or blocks = 1")
-        )
-        low, high = F.least("block", "other"), F.greatest("block", "other")
-        parts.append(pairs.select(F.xxhash64("node", low, high).alias("node"), "id"))
-        branching = large.where(~stuck)
+        small.append(level.where(F.col("size") <= LEAF).select("node", "id"))
+        large = level.where(F.col("size") > LEAF)
+        if large.isEmpty():
+            break
+        ends = (F.col("size") > SHRINKS * F.col("parent_size")) | F.lit(depth == DEPTH)
+        stuck.append(large.where(ends).select("node", "id", "size"))
+        branching = large.where(~ends)
         if depth == DEPTH or branching.isEmpty():
             break
-        next_level = branching.select("node", "size", "id").join(texts, "id")
-        level = stored(_sized(_children(next_level)), "nodes")
+        members = branching.select("node", "size", "id").join(texts, "id")
+        level = stored(_sized(_children(members)), "nodes")
+    return _all_of(small), _all_of(stuck) if stuck else None
+
+
+def _all_of(parts: list[DataFrame]) -> DataFrame:
     together = parts[0]
     for part in parts[1:]:
         together = together.unionAll(part)
-    # The same texts often meet in many nodes; equal lists are compared once.
+    return together
+
+
+def _blocks(stuck: DataFrame) -> DataFrame:
+    """(node, id): each large node in blocks of about LEAF texts."""
+    blocks = F.ceil(F.col("size") / LEAF)
+    block = F.pmod(F.xxhash64("id", "node"), blocks)
+    return stuck.select(F.xxhash64("node", block).alias("node"), "id")
+
+
+def _between_classes(stuck: DataFrame, classes: DataFrame) -> DataFrame:
+    """(node, id): groups in which all texts of different classes of a large node meet.
+
+    Texts of one class need not meet again. So those of a node's largest class meet only
+    the others: nothing is left where all are one class, and otherwise the rows grow with
+    the node as long as the others fit in a block.
+    """
+    half = LEAF // 2
+    placed = (
+        stuck.join(classes, "id", "left")
+        .withColumn("class", F.coalesce("component_id", "id"))
+        .select("node", "id", "class", "size")
+    )
+    largest = (
+        placed.groupBy("node", "class", "size")
+        .count()
+        .groupBy("node", "size")
+        .agg(F.max(F.struct("count", "class")).alias("top"))
+        .select(
+            "node",
+            F.col("top.class").alias("main"),
+            F.ceil(F.col("top.count") / half).alias("main_blocks"),
+            F.ceil((F.col("size") - F.col("top.count")) / half).alias("other_blocks"),
+        )
+        .where("other_blocks > 0")
+    )
+    in_main = F.col("class") == F.col("main")
+    draw = F.xxhash64("id", "node", F.lit(5))
+    block = F.when(in_main, F.pmod(draw, "main_blocks")).otherwise(
+        F.col("main_blocks") + F.pmod(draw, "other_blocks")
+    )
+    first = F.when(in_main, F.col("main_blocks")).otherwise(F.lit(0))
+    met = F.sequence(first, F.col("main_blocks") + F.col("other_blocks") - 1)
+    pairs = (
+        placed.join(largest, "node")
+        .withColumn("block", block)
+        .withColumn("met", F.explode(met))
+        .where("block != met")
+    )
+    low, high = F.least("block", "met"), F.greatest("block", "met")
+    return pairs.select(F.xxhash64("node", low, high, F.lit(6)).alias("node"), "id")
+
+
+def _distinct_lists(groups: DataFrame) -> DataFrame:
+    """The same texts often meet in many nodes; equal lists are compared once."""
     return (
-        together.groupBy("node")
+        groups.groupBy("node")
         .agg(F.sort_array(F.collect_set("id")).alias("members"))
         .where(F.size("members") > 1)
         .groupBy("members")
         .agg(F.min("node").alias("node"))
+        .select("node", F.explode("members").alias("id"))
     )
 
 
-def _roots(parent: list[int], i: int) -> int:
+def _root(parent: list[int], i: int) -> int:
     while parent[i] != i:
         parent[i] = parent[parent[i]]
         i = parent[i]
     return i
 
 
-def _agreeing(signatures: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _agreeing(signatures: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs i < j whose signatures agree in at least ``least`` positions, best first."""
     left, right, agree = [], [], []
     for i in range(len(signatures) - 1):
@@ -207,63 +258,54 @@ def _agreeing(signatures: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarra
             right.append(found + i + 1)
             agree.append(same[found])
     if not left:
-        nothing = np.empty(0, np.int64)
-        return nothing, nothing, nothing
-    i, j, same = np.concatenate(left), np.concatenate(right), np.concatenate(agree)
-    order = np.argsort(-same, kind="stable")
-    return i[order], j[order], same[order]
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    order = np.argsort(-np.concatenate(agree), kind="stable")
+    return np.concatenate(left)[order], np.concatenate(right)[order]
+
+
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets share ``percent`` per cent of their union."""
+    if len(x) > len(y):
+        x, y = y, x
+    if 100 * len(x) < percent * len(y):
+        return False
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    common = int((y[at] == x).sum())
+    return 100 * common >= percent * (len(x) + len(y) - common)
 
 
 def _classes(count: int, i: np.ndarray, j: np.ndarray) -> dict[int, list[int]]:
     parent = list(range(count))
     for a, b in zip(i.tolist(), j.tolist()):
-        a, b = _roots(parent, a), _roots(parent, b)
+        a, b = _root(parent, a), _root(parent, b)
         if a != b:
             parent[max(a, b)] = min(a, b)
     found: dict[int, list[int]] = {}
     for k in range(count):
-        found.setdefault(_roots(parent, k), []).append(k)
+        found.setdefault(_root(parent, k), []).append(k)
     return found
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for each row of (doc_id, text).
+def _links(
+    docs: DataFrame, signatures: DataFrame, groups: DataFrame, size: int, percent: int
+) -> DataFrame:
+    """(a, b): confirmed links that join the classes of each group, by exhaustive comparison.
 
-    ``component_id`` is the smallest doc_id reachable over links of at least ``percent``
-    per cent; the row with that id is kept.
+    A group's texts are first split into classes whose signatures agree; most groups end
+    there. The full sets are made again from the texts, for the texts that are left.
     """
     share = percent / 100
     least = int(np.floor(POSITIONS * (share - 4.3 * np.sqrt(share * (1 - share) / POSITIONS))))
-    described = stored(_describe(docs, size), "signatures")
-    texts = stored(
-        described.where("text_key is not null and doc_id is not null")
-        .groupBy("text_key")
-        .agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature")),
-        "texts",
-    )
-    signatures = texts.select("id", "signature")
 
     def refine(group: pa.Table) -> pa.Table:
-        """Classes of texts whose signatures agree; most nodes end here."""
         group = group.sort_by("id")
         ids = group.column("id").to_numpy()
         packed = b"".join(group.column("signature").to_pylist())
         values = np.frombuffer(packed, np.uint32).reshape(-1, POSITIONS)
-        i, j, _ = _agreeing(values, least)
+        i, j = _agreeing(values, least)
         lists = [ids[k].tolist() for k in _classes(len(ids), i, j).values() if len(k) > 1]
         return pa.table({"members": pa.array(lists, pa.list_(pa.int64()))})
 
-    candidates = _groups(signatures).select("node", F.explode("members").alias("id"))
-    refined = map_groups(
-        candidates.join(signatures, "id").select("node", "id", "signature"),
-        ["node"],
-        refine,
-        "members array<long>",
-    )
-    groups = stored(
-        refined.distinct().withColumn("node", F.xxhash64("members", F.lit(1))), "groups"
-    ).select("node", F.explode("members").alias("id"))
-
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(words_of(t), size).tobytes() for t in as_bytes(batch.column(1))]
@@ -272,7 +314,6 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
             )
 
     def confirm(group: pa.Table) -> pa.Table:
-        """Links between classes that the full sets confirm, likeliest first."""
         group = group.sort_by("id")
         ids = group.column("id").to_pylist()
         packed = b"".join(group.column("signature").to_pylist())
@@ -280,38 +321,54 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         sets = [np.frombuffer(s, np.uint64) for s in group.column("shingles").to_pylist()]
         parent = list(range(len(ids)))
         left, right = [], []
-        i, j, _ = _agreeing(values, least)
+        i, j = _agreeing(values, least)
         for a, b in zip(i.tolist(), j.tolist()):
-            root_a, root_b = _roots(parent, a), _roots(parent, b)
-            if root_a == root_b:
-                continue
-            x, y = (sets[a], sets[b]) if len(sets[a]) <= len(sets[b]) else (sets[b], sets[a])
-            if 100 * len(x) < percent * len(y):
-                continue
-            at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-            common = int((y[at] == x).sum())
-            if 100 * common >= percent * (len(x) + len(y) - common):
+            root_a, root_b = _root(parent, a), _root(parent, b)
+            if root_a != root_b and similar(sets[a], sets[b], percent):
                 parent[max(root_a, root_b)] = min(root_a, root_b)
                 left.append(ids[a])
                 right.append(ids[b])
         return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
 
-    needed = groups.select("id").distinct().join(texts, "id")
+    candidates = _distinct_lists(groups).join(signatures, "id")
+    refined = map_groups(
+        candidates.select("node", "id", "signature"), ["node"], refine, "members array<long>"
+    )
+    refined = refined.distinct().withColumn("node", F.xxhash64("members", F.lit(1)))
+    agreed = stored(refined, "groups").select("node", F.explode("members").alias("id"))
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string"))
-    sets = map_batches(
-        rows.join(needed.select("id"), "id", "left_semi"), shingle, "id long, shingles binary"
-    ).dropDuplicates(["id"])
+    needed = rows.join(agreed.select("id").distinct(), "id", "left_semi")
+    sets = map_batches(needed, shingle, "id long, shingles binary").dropDuplicates(["id"])
     full = stored(sets.join(signatures, "id"), "sets")
-    links = map_groups(
-        groups.join(full, "id").select("node", "id", "signature", "shingles"),
-        ["node"],
-        confirm,
-        "a long, b long",
+    members = agreed.join(full, "id").select("node", "id", "signature", "shingles")
+    return stored(map_groups(members, ["node"], confirm, "a long, b long"), "links")
+
+
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for each row of (doc_id, text).
+
+    ``component_id`` is the smallest doc_id reachable over links of at least ``percent``
+    per cent; the row with that id is kept.
+    """
+    described = stored(_describe(docs, size), "signatures")
+    texts = stored(
+        described.where("text_key is not null and doc_id is not null")
+        .groupBy("text_key")
+        .agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature")),
+        "texts",
     )
-    classes = components(links).select(F.col("id").alias("text_id"), "component_id")
+    signatures = texts.select("id", "signature")
+    small, stuck = _nodes(signatures)
+    groups = small if stuck is None else small.unionAll(_blocks(stuck))
+    links = _links(docs, signatures, groups, size, percent)
+    classes = components(links)
+    if stuck is not None:
+        rest = stored(_between_classes(stuck, classes), "rest")
+        if not rest.isEmpty():
+            classes = components(links.unionAll(_links(docs, signatures, rest, size, percent)))
     of_text = (
         texts.select("text_key", F.col("id").alias("text_id"))
-        .join(classes, "text_id", "left")
+        .join(classes.withColumnRenamed("id", "text_id"), "text_id", "left")
         .select("text_key", F.coalesce("component_id", "text_id").alias("component_id"))
     )
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
