@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from obslake.llm.chat import format_conversations, parse_conversations
 from obslake.llm.common import held_out, table
+from obslake.llm.extraction import extract_text
 from obslake.llm.minhash import near_duplicates
 from obslake.llm.packing import pack_documents
+from obslake.llm.pivots import link_vectors
 from obslake.llm.quality import score_quality, train_quality
 from obslake.llm.toxicity import toxic_passages, train_toxicity
 from obslake.llm.winnowing import fingerprint, fingerprints_with_edits
@@ -55,6 +57,10 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_vectors(table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), byte_vocabulary())
 
@@ -89,6 +95,11 @@ def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract_text(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def queries() -> dict:
     return {name: query for name, query in globals().items() if name.startswith("op")}
 
