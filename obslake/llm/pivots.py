@@ -29,8 +29,10 @@ from pyspark.sql import functions as F
 
 from obslake.llm.common import components, map_batches, map_groups, stored
 
-#: Reference points, all vectors' nearest ones that count, and vectors compared at a time.
-PIVOTS, PREFIX, BLOCK = 256, 5, 1024
+#: Reference points, each vector's nearest ones that count, and vectors compared at a time.
+PIVOTS, PREFIX, BLOCK = 256, 6, 1024
+#: Vectors that the pivots are chosen from, and the cosine that pivots stay below.
+SAMPLE, APART = 2048, 0.7
 _PAIRS = list(combinations(range(PREFIX), 2))
 
 
@@ -73,6 +75,26 @@ def _read(vectors: DataFrame) -> DataFrame:
     return map_batches(rows, read, "vec_id long, key binary, dims int, unit binary")
 
 
+def spread_pivots(sample: list[np.ndarray]) -> np.ndarray:
+    """Up to PIVOTS of the sampled vectors, none close to an earlier one.
+
+    Pivots from one group of near copies would order its vectors by chance. Where there are
+    too few, fixed directions make up the number, so that every vector has a prefix.
+    """
+    wide = max((len(vector) for vector in sample), default=1)
+    pivots = np.zeros((PIVOTS, wide))
+    n = 0
+    for vector in sample:
+        padded = np.pad(vector, (0, wide - len(vector)))
+        if n < PIVOTS and (n == 0 or (pivots[:n] @ padded).max() < APART):
+            pivots[n] = padded
+            n += 1
+    if n < PIVOTS:
+        more = np.random.default_rng(11).standard_normal((PIVOTS - n, wide))
+        pivots[n:] = more / np.linalg.norm(more, axis=1, keepdims=True)
+    return pivots
+
+
 def nearest_pivots(units: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     """Numbers of the PREFIX nearest pivots of each row, nearest first, ties by number."""
     wide = max(units.shape[1], pivots.shape[1])
@@ -137,16 +159,9 @@ def link_vectors(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
         ),
         "distinct-vectors",
     )
-    # At most PIVOTS vectors, those with the smallest hashes.
-    drawn = distinct.orderBy(F.xxhash64("id", F.lit(3)), "id").limit(PIVOTS).select("unit")
-    chosen = [np.frombuffer(row["unit"]) for row in drawn.collect()]
-    wide = max((len(p) for p in chosen), default=1)
-    pivots = np.array([np.pad(p, (0, wide - len(p))) for p in chosen]).reshape(-1, wide)
-    if len(pivots) < PIVOTS:
-        # Few distinct vectors: axes make up the number, so that every vector has a prefix.
-        axes = np.zeros((PIVOTS - len(pivots), wide))
-        axes[np.arange(len(axes)), np.arange(len(axes)) % wide] = 1
-        pivots = np.concatenate([pivots, axes])
+    # At most SAMPLE vectors, those with the smallest hashes.
+    drawn = distinct.orderBy(F.xxhash64("id", F.lit(3)), "id").limit(SAMPLE).select("unit")
+    pivots = spread_pivots([np.frombuffer(row["unit"]) for row in drawn.collect()])
     posted = stored(_post(distinct, pivots), "posted")
 
     postings = posted.select("id", "dims", F.explode("lists").alias("list"))
