@@ -9,8 +9,9 @@ are compared exhaustively; larger ones branch again. A node that branching does
 shrink (a group of near copies) is compared in blocks, and then all its texts that are
 still in different classes are compared, so its size is not capped and its work grows
 with what differs in it. Pairs whose signatures agree closely are confirmed on the full
-sets. Within a comparison, only links that join two classes are reported: as many as
-texts, not as pairs, and no class is lost.
+sets. A pair that meets in several nodes is compared in the first of them only. Within a
+comparison, only links that join two classes are reported: as many as texts, not as
+pairs, and no class is lost.
 
 A pair at the least similarity shares no node with a probability below 1e-6 (see
 ``CHOSEN`` and ``TREES``), and is missed by its signatures with one of about 1e-5.
@@ -41,7 +42,7 @@ POSITIONS = 64
 #: node with probability 1 - (1 - s) ** CHOSEN: 0.98 for 0.85, in each of TREES trees.
 TREES, CHOSEN = 4, 2
 #: Texts of a node that are compared in one task.
-LEAF = 512
+LEAF = 4096
 #: A node branches again while its children have at most this share of it.
 SHRINKS = 0.5
 #: Levels after which every node left is compared.
@@ -228,18 +229,6 @@ def _between_classes(stuck: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.select(F.xxhash64("node", low, high, F.lit(6)).alias("node"), "id")
 
 
-def _distinct_lists(groups: DataFrame) -> DataFrame:
-    """The same texts often meet in many nodes; equal lists are compared once."""
-    return (
-        groups.groupBy("node")
-        .agg(F.sort_array(F.collect_set("id")).alias("members"))
-        .where(F.size("members") > 1)
-        .groupBy("members")
-        .agg(F.min("node").alias("node"))
-        .select("node", F.explode("members").alias("id"))
-    )
-
-
 def _root(parent: list[int], i: int) -> int:
     while parent[i] != i:
         parent[i] = parent[parent[i]]
@@ -263,6 +252,34 @@ def _agreeing(signatures: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarra
     return np.concatenate(left)[order], np.concatenate(right)[order]
 
 
+def _met_before(nodes: list, here: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether each pair shares a node that comes before this one."""
+    before = [sorted({n for n in known if n < here}) for known in nodes]
+    wide = max(map(len, before), default=0)
+    found = np.zeros(len(i), bool)
+    if not wide:
+        return found
+    # Unused places hold values that are no node's and differ between the two sides.
+    table = np.full((len(before), wide), here, np.int64)
+    for row, known in zip(table, before):
+        row[: len(known)] = known
+    for start in range(0, len(i), 8192):
+        a, b = table[i[start : start + 8192]], table[j[start : start + 8192]]
+        same = (a[:, :, None] == b[:, None, :]) & (a != here)[:, :, None]
+        found[start : start + 8192] = same.any(axis=(1, 2))
+    return found
+
+
+def _pairs_here(group: pa.Table, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a node's texts that agree and meet here first, likeliest first."""
+    packed = b"".join(group.column("signature").to_pylist())
+    values = np.frombuffer(packed, np.uint32).reshape(-1, POSITIONS)
+    i, j = _agreeing(values, least)
+    here = group.column("node")[0].as_py()
+    new = ~_met_before(group.column("nodes").to_pylist(), here, i, j)
+    return i[new], j[new]
+
+
 def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     """Whether two sorted sets share ``percent`` per cent of their union."""
     if len(x) > len(y):
@@ -300,11 +317,17 @@ def _links(
     def refine(group: pa.Table) -> pa.Table:
         group = group.sort_by("id")
         ids = group.column("id").to_numpy()
-        packed = b"".join(group.column("signature").to_pylist())
-        values = np.frombuffer(packed, np.uint32).reshape(-1, POSITIONS)
-        i, j = _agreeing(values, least)
-        lists = [ids[k].tolist() for k in _classes(len(ids), i, j).values() if len(k) > 1]
-        return pa.table({"members": pa.array(lists, pa.list_(pa.int64()))})
+        i, j = _pairs_here(group, least)
+        found = [(ids[root], k) for root, k in _classes(len(ids), i, j).items() if len(k) > 1]
+        names = [root for root, k in found for _ in k]
+        members = [ids[m] for _, k in found for m in k]
+        return pa.table(
+            {
+                "node": pa.array([group.column("node")[0].as_py()] * len(members), pa.int64()),
+                "root": pa.array(names, pa.int64()),
+                "id": pa.array(members, pa.int64()),
+            }
+        )
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -316,12 +339,10 @@ def _links(
     def confirm(group: pa.Table) -> pa.Table:
         group = group.sort_by("id")
         ids = group.column("id").to_pylist()
-        packed = b"".join(group.column("signature").to_pylist())
-        values = np.frombuffer(packed, np.uint32).reshape(-1, POSITIONS)
-        sets = [np.frombuffer(s, np.uint64) for s in group.column("shingles").to_pylist()]
+        sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in group.column("shingles")]
         parent = list(range(len(ids)))
         left, right = [], []
-        i, j = _agreeing(values, least)
+        i, j = _pairs_here(group, least)
         for a, b in zip(i.tolist(), j.tolist()):
             root_a, root_b = _root(parent, a), _root(parent, b)
             if root_a != root_b and similar(sets[a], sets[b], percent):
@@ -330,18 +351,22 @@ def _links(
                 right.append(ids[b])
         return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
 
-    candidates = _distinct_lists(groups).join(signatures, "id")
+    places = groups.groupBy("id").agg(F.collect_set("node").alias("nodes"))
+    posted = stored(places.join(signatures, "id"), "posted")
+    candidates = posted.withColumn("node", F.explode("nodes"))
     refined = map_groups(
-        candidates.select("node", "id", "signature"), ["node"], refine, "members array<long>"
+        candidates.select("node", "id", "nodes", "signature"),
+        ["node"],
+        refine,
+        "node long, root long, id long",
     )
-    refined = refined.distinct().withColumn("node", F.xxhash64("members", F.lit(1)))
-    agreed = stored(refined, "groups").select("node", F.explode("members").alias("id"))
+    agreed = stored(refined, "agreed")
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string"))
     needed = rows.join(agreed.select("id").distinct(), "id", "left_semi")
     sets = map_batches(needed, shingle, "id long, shingles binary").dropDuplicates(["id"])
-    full = stored(sets.join(signatures, "id"), "sets")
-    members = agreed.join(full, "id").select("node", "id", "signature", "shingles")
-    return stored(map_groups(members, ["node"], confirm, "a long, b long"), "links")
+    full = sets.join(posted, "id")
+    members = agreed.join(full, "id").select("node", "root", "id", "nodes", "signature", "shingles")
+    return stored(map_groups(members, ["node", "root"], confirm, "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
