@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,10 +22,23 @@ CHUNK_WORDS = 1_000_000
 
 SCHEMA = (
     "doc_ids array<long>, held_out array<boolean>, lengths binary, numbers binary,"
-    " words array<binary>, counts array<long>"
+    " words binary, counts binary"
 )
 
 
+def squeeze(raw: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(raw)
+
+
+def unsqueeze(packed: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(packed)
+
+
+def word_list(packed: bytes) -> list[bytes]:
+    """The dictionary of a chunk; its words hold no space."""
+    return unsqueeze(packed).split(b" ")
+
+
 class _Numbers(dict):
     def __missing__(self, word: bytes) -> int:
         number = self[word] = len(self)
@@ -38,7 +52,7 @@ def word_chunks(
 
     ``lengths`` has the words of each text and ``numbers`` those words one after the
     other, as 32-bit places in ``words``; ``counts`` says how often each word occurs in
-    rows that are not held out.
+    rows that are not held out. All but ``lengths`` are compressed: they are shuffled.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -54,9 +68,9 @@ def word_chunks(
                     pa.array([ids], pa.list_(pa.int64())),
                     pa.array([held], pa.list_(pa.bool_())),
                     pa.array([lengths.tobytes()], pa.binary()),
-                    pa.array([numbers.tobytes()], pa.binary()),
-                    pa.array([list(known)], pa.list_(pa.binary())),
-                    pa.array([counts], pa.list_(pa.int64())),
+                    pa.array([squeeze(numbers.tobytes())], pa.binary()),
+                    pa.array([squeeze(b" ".join(known))], pa.binary()),
+                    pa.array([squeeze(counts.astype("<i8").tobytes())], pa.binary()),
                 ],
                 ["doc_ids", "held_out", "lengths", "numbers", "words", "counts"],
             )
@@ -84,6 +98,36 @@ def word_chunks(
     return squeezed(chunks.withColumn("chunk", F.monotonically_increasing_id()), "chunks")
 
 
+def dictionary_rows(
+    chunks: DataFrame, kept: Callable[[list[bytes], np.ndarray], np.ndarray]
+) -> DataFrame:
+    """(chunk, at, word, c): the chosen places of each chunk's dictionary, a row for each.
+
+    ``kept`` gives the places from the words and their counts.
+    """
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, packed, counted in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                words, counts = word_list(packed), np.frombuffer(unsqueeze(counted), "<i8")
+                places = kept(words, counts)
+                for start in range(0, len(places), 50_000):
+                    at = places[start : start + 50_000]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([chunk] * len(at), pa.int64()),
+                            pa.array(at.astype(np.int32)),
+                            pa.array([words[i] for i in at.tolist()], pa.binary()),
+                            pa.array(counts[at]),
+                        ],
+                        ["chunk", "at", "word", "c"],
+                    )
+
+    return map_batches(
+        chunks.select("chunk", "words", "counts"), rows, "chunk long, at int, word binary, c long"
+    )
+
+
 def squeezed(frame: DataFrame, purpose: str) -> DataFrame:
     """The frame as a table in the shared folder, compressed well."""
     spark = frame.sparkSession

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obslake.llm.chunks import squeezed, word_chunks
+from obslake.llm.chunks import dictionary_rows, squeezed, unsqueeze, word_chunks, word_list
 from obslake.llm.common import map_batches, stored
 
 STATES, FREQUENT, CLASSES = 8, 8192, 256
@@ -191,7 +191,9 @@ def _primed(encoded: DataFrame, share: np.ndarray) -> Model:
     """First values: passes over the training texts of a few chunks, on the driver."""
     rng = np.random.default_rng(5)
     symbols, lengths, size = [], [], 0
-    for row in encoded.orderBy("chunk").select("held_out", "lengths", "symbols").limit(3).collect():
+    first = [row["chunk"] for row in encoded.select("chunk").orderBy("chunk").limit(3).collect()]
+    few = encoded.where(F.col("chunk").isin(first)).orderBy("chunk")
+    for row in few.select("held_out", "lengths", "symbols").collect():
         counts, seen = _array_of(row["lengths"], "<i4"), _array_of(row["symbols"], "<u2")
         ends = np.cumsum(counts)
         for held, end, n in zip(row["held_out"], ends, counts):
@@ -260,9 +262,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     chunks = word_chunks(docs, tokens_of)
     counts = stored(
-        chunks.select(F.explode(F.arrays_zip("words", "counts")).alias("w"))
-        .select(F.col("w.words").alias("word"), F.col("w.counts").alias("c"))
-        .where("c > 0")
+        dictionary_rows(chunks, lambda words, counts: np.flatnonzero(counts))
         .groupBy("word")
         .agg(F.sum("c").alias("c")),
         "counts",
@@ -293,24 +293,11 @@ def score_texts(docs: DataFrame) -> DataFrame:
     share = np.array([c for _, c in frequent.values()] + in_class.tolist()) + SMOOTH
     share = share / share.sum()
 
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rare(words: list[bytes], counts: np.ndarray) -> np.ndarray:
         known = shared_frequent.value
-        for batch in batches:
-            for chunk, words in zip(batch.column(0).to_pylist(), batch.column(1)):
-                found = words.as_py()
-                at = [i for i, word in enumerate(found) if word not in known]
-                for start in range(0, len(at), 50_000):
-                    part = at[start : start + 50_000]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([chunk] * len(part), pa.int64()),
-                            pa.array(part, pa.int32()),
-                            pa.array([found[i] for i in part], pa.binary()),
-                        ],
-                        ["chunk", "at", "word"],
-                    )
-
-    wanted = map_batches(chunks.select("chunk", "words"), rare, "chunk long, at int, word binary")
+        return np.array([i for i, word in enumerate(words) if word not in known], np.int64)
+
+    wanted = dictionary_rows(chunks, rare).drop("c")
     answers = (
         wanted.join(counts, "word")
         .groupBy("chunk")
@@ -326,7 +313,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
                 chunk, ids, held, lengths, numbers, words, at, c = (
                     batch.column(i)[row] for i in range(8)
                 )
-                words = words.as_py()
+                words = word_list(words.as_py())
                 total = np.zeros(len(words), np.int64)
                 if at.is_valid:
                     total[at.values.to_numpy()] = c.values.to_numpy()
@@ -344,7 +331,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
                 inside = np.where(common, 0.0, np.log10(total + SMOOTH) - inside)
                 base = np.log10(total + SMOOTH) - base_total
                 sizes = _array_of(lengths.as_py(), "<i4")
-                places = _array_of(numbers.as_py(), "<i4")
+                places = _array_of(unsqueeze(numbers.as_py()), "<i4")
                 first = np.cumsum(sizes) - sizes  # every text has its end, so none is empty
                 yield pa.RecordBatch.from_arrays(
                     [
