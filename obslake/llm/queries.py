@@ -11,6 +11,7 @@ from obslake.llm.extraction import extract_text
 from obslake.llm.lm import score_texts
 from obslake.llm.minhash import near_duplicates
 from obslake.llm.packing import pack_documents
+from obslake.llm.pieces import decode_texts, encode_texts
 from obslake.llm.pivots import link_vectors
 from obslake.llm.quality import score_quality, train_quality
 from obslake.llm.toxicity import toxic_passages, train_toxicity
@@ -23,6 +24,12 @@ def byte_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = train_toxicity(docs, table(spark, sf_dir, "labels"))
@@ -36,6 +43,15 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    coded = encode_texts(docs.select("doc_id", "text"), piece_model())
+    back = decode_texts(coded, piece_model())
+    return back.select(
+        "doc_id", "codes", F.size("codes").alias("n_codes"), F.sha2("text", 256).alias("decoded_sha256")
+    )
+
+
 def op3_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return score_texts(docs.withColumn("held_out", held_out(10)))
