@@ -126,8 +126,10 @@ def _export_by_type(spark: SparkSession, sf_dir: str) -> str:
     purchases under another extension."""
     folder = work_dir(spark, "feeds")
     events = _events(spark, sf_dir)
-    for feed in ("click", "signup", "view", "error", "purchase"):
-        rows = _as_observations(events.where(F.col("event_type") == feed))
+    kinds = events.select("event_type").distinct().collect()
+    for (kind,) in kinds:
+        feed = "untyped" if kind is None else kind
+        rows = _as_observations(events.where(F.col("event_type").eqNullSafe(F.lit(kind))))
         if feed == "error":
             rows = rows.select(*reversed(HEADER))
         _export(rows, f"{folder}/{feed}", feed, "txt" if feed == "purchase" else "csv")
@@ -264,7 +266,7 @@ def q_refined_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_list_incoming(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = list_incoming(spark, _export_by_type(spark, sf_dir), limit=None)
+    files = list_incoming(spark, _export_by_type(spark, sf_dir))
     feed, has_data = _feed_of("filename"), F.col("length") > 0
     return files.select(feed.alias("feed"), has_data.alias("has_data")).distinct()
 
@@ -297,7 +299,7 @@ def q_batch_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load all feeds, setting bad files aside; what came of it, per feed."""
     lake = _new_lake(spark)
     batch_ingest(
-        spark, _export_by_type(spark, sf_dir), lake, limit=None, on_error="quarantine_file"
+        spark, _export_by_type(spark, sf_dir), lake, on_error="quarantine_file"
     )
     table = spark.table(lake.table("observation"))
     return table.groupBy("region", "load_type").agg(
@@ -305,10 +307,40 @@ def q_batch_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_batch_second_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that finds nothing new: no files, and the rows of the first run as they were."""
+    lake = _new_lake(spark)
+    folder = _export_all(spark, sf_dir)
+    batch_ingest(spark, folder, lake)
+    again = batch_ingest(spark, folder, lake).agg(F.count(F.lit(1)).alias("n_files"))
+    rows = spark.table(lake.table("observation")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return again.join(rows)
+
+
+def q_parse_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings written with a type suffix or in hexadecimal are no numbers."""
+    shown = (
+        F.when(F.col("event_id") % 3 == 0, F.concat("ScreenTemperature", F.lit("F")))
+        .when(F.col("event_id") % 3 == 1, F.concat(F.lit("0x"), F.hex("event_id"), F.lit("p3")))
+        .otherwise(F.col("ScreenTemperature"))
+    )
+    events = _events(spark, sf_dir)
+    rows = _as_observations(events).withColumn(
+        "event_id", F.substring_index("SiteName", " ", -1).cast("bigint")
+    )
+    folder = work_dir(spark, "feed")
+    _export(rows.withColumn("ScreenTemperature", shown).drop("event_id"), folder, "events")
+    lake = _new_lake(spark)
+    batch_ingest(spark, folder, lake)
+    loaded = spark.table(lake.table("observation")).select("site_name", "screen_temperature")
+    event_id = F.substring_index("site_name", " ", -1).cast("bigint")
+    return loaded.select(event_id.alias("event_id"), F.col("screen_temperature").alias("value"))
+
+
 def q_ingest_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _new_lake(spark)
     batch_ingest(
-        spark, _export_by_type(spark, sf_dir), lake, limit=None, on_error="quarantine_file"
+        spark, _export_by_type(spark, sf_dir), lake, on_error="quarantine_file"
     )
     return _outcomes(ingest_ledger(spark, lake))
 
@@ -316,7 +348,7 @@ def q_ingest_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_ingest_ledger_fail_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _new_lake(spark)
     folder = _export_by_type(spark, sf_dir)
-    return _outcomes(batch_ingest(spark, folder, lake, limit=None, on_error="fail_batch"))
+    return _outcomes(batch_ingest(spark, folder, lake, on_error="fail_batch"))
 
 
 def q_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -326,7 +358,7 @@ def q_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _as_observations(_events(spark, sf_dir))
     reading = F.when(F.col("Region") == "error", "none").otherwise(F.col("ScreenTemperature"))
     _export(rows.withColumn("ScreenTemperature", reading), folder, "events")
-    batch_ingest(spark, folder, lake, limit=None)
+    batch_ingest(spark, folder, lake)
     return spark.table(lake.table("quarantine")).select(
         F.regexp_extract("raw", "site ([0-9]+)", 1).cast("bigint").alias("event_id"),
         "column_name",
@@ -353,7 +385,7 @@ def _ingest_in_three(spark: SparkSession, sf_dir: str) -> Lake:
     lake = _new_lake(spark)
     folder = _export_thirds(spark, sf_dir)
     for third in range(3):
-        batch_ingest(spark, f"{folder}/{third}", lake, limit=None)
+        batch_ingest(spark, f"{folder}/{third}", lake)
     return lake
 
 
@@ -403,7 +435,6 @@ def _stream_in(spark: SparkSession, sf_dir: str) -> Lake:
         _export_by_type(spark, sf_dir),
         lake,
         checkpoint=work_dir(spark, "checkpoint"),
-        max_bytes=None,
     )
     query.awaitTermination()
     return lake
@@ -544,6 +575,8 @@ def oracle_sql() -> dict[str, str]:
             FROM events WHERE event_type <> 'purchase'
         """,
         "batch_ingest": per_region.format(load_type="BATCH"),
+        "batch_second_run": "SELECT 0 AS n_files, count(*) AS n_rows FROM events",
+        "parse_numbers": "SELECT event_id, value FROM events WHERE event_id % 3 = 2",
         "ingest_ledger": outcomes.format(
             load_type="BATCH",
             status="event_type WHEN 'error' THEN 'error' ELSE 'processed'",

@@ -23,14 +23,21 @@ def number(column: str) -> str:
     Parquet's own filters too.
     """
     value = f"try_cast({column} AS double)"
-    return f"CASE WHEN abs({value}) < double('Infinity') THEN {value} + 0D END"
+    finite = f"abs({value}) < double('Infinity')"
+    return f"CASE WHEN {finite} AND NOT {_is_literal(column)} THEN {value} + 0D END"
 
 
 def whole_number(column: str) -> str:
     """A 32-bit integer, also from ``12.0``, which a float column leaves behind."""
     value = f"try_cast({column} AS double)"
     whole = f"try_cast({value} AS int)"
-    return f"CASE WHEN {whole} = {value} THEN {whole} END"
+    return f"CASE WHEN {whole} = {value} AND NOT {_is_literal(column)} THEN {whole} END"
+
+
+def _is_literal(column: str) -> str:
+    """Whether a text that casts to a double has letters that only program text
+    has: a type suffix (``15.8F``, ``12d``) or a hexadecimal form (``0x1p3``)."""
+    return f"{column} RLIKE '[dDfFxX]'"
 
 
 def day_and_time(column: str) -> str:

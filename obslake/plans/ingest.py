@@ -38,7 +38,7 @@ def batch_ingest(
     incoming: str,
     lake: Lake,
     *,
-    limit: int | None = 1000,
+    limit: int | None = None,
     max_bytes: int | None = None,
     on_error: str = "fail_batch",
     load_dt: str | None = None,
@@ -47,8 +47,8 @@ def batch_ingest(
     """Load the next files of a folder and bring the answers up to date.
 
     Returns the run's files with their outcome; no rows, and nothing written,
-    if there is no file to process. ``limit`` is the number of files a run
-    takes on. Files over it stay for the next run.
+    if there is no file to process. A run takes all files that are new;
+    ``limit`` makes it take that many, in path order, and leave the others.
 
     ``on_error`` says what a refused file does: ``fail_batch`` refuses all
     files of the run with it, ``quarantine_file`` only that one.

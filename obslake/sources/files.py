@@ -46,11 +46,11 @@ def list_files(spark: SparkSession, directory: str, pattern: str | None = None)
     return as_listing(files).where(F.col("length") > 0)
 
 
-def list_incoming(spark: SparkSession, directory: str, limit: int | None = 1000) -> DataFrame:
-    """The next CSV files of a directory in path order, at most ``limit``.
+def list_incoming(spark: SparkSession, directory: str, limit: int | None = None) -> DataFrame:
+    """The CSV files of a directory; with ``limit``, the first ones in path order.
 
-    ``limit`` bounds one run, not the work: what is over it comes with the
-    next run. ``None`` lists all.
+    This is a listing and knows nothing of earlier runs: the same limit gives
+    the same files again. ``batch_ingest`` leaves out what was loaded before.
     """
     files = list_files(spark, directory, "*.csv")
     return files if limit is None else files.orderBy("path").limit(limit)

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from obslake.operators.quality import STREAM_MAX_BYTES
 from obslake.plans import ledger
 from obslake.plans.ingest import ingest_files, resume_batch
 from obslake.plans.lake import Lake, Load, ensure_database
@@ -23,24 +22,24 @@ def stream_ingest(
     *,
     checkpoint: str,
     max_files_per_trigger: int = 1000,
-    max_bytes: int | None = STREAM_MAX_BYTES,
+    max_bytes: int | None = None,
     on_error: str = "quarantine_file",
     trigger: dict[str, Any] | None = None,
-    max_file_age: str = "3650d",
+    max_file_age: str = "106751d",
     archive_dir: str | None = None,
     multi_line: bool = False,
 ) -> StreamingQuery:
     """Start loading a folder's files as they arrive.
 
     The stream carries names and sizes; each micro-batch loads its files like
-    a batch run. Files are screened by name and, unless ``max_bytes`` is None,
-    by size. ``max_files_per_trigger=1`` handles every file on its own.
+    a batch run. Files are screened by name and, where ``max_bytes`` is given,
+    by size (``STREAM_MAX_BYTES`` is the usual ceiling). ``max_files_per_trigger=1`` handles every file on its own.
 
     ``trigger`` is passed on: ``{"availableNow": True}`` (default) takes what
     is there and stops, ``{"processingTime": "15 minutes"}`` goes on.
 
-    ``max_file_age`` is wide, because the source passes over files whose time
-    stamp lies further than that behind the newest one. The price is driver
+    ``max_file_age`` is wider than any time stamp reaches back, because the source
+    passes over files that lie further than that behind the newest one. The price is driver
     memory for the names of files seen; lower it where files keep pace.
     """
     ensure_database(spark, lake)
