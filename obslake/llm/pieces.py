@@ -35,6 +35,8 @@ MARK = "▁"
 LONGEST, BYTE_COST = 32, 1e5
 #: Words of a chunk: large ones have fewer dictionary entries in all.
 CHUNK = 4_000_000
+#: Distinct words whose lattices one task builds.
+TASK_WORDS = 50_000
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -123,7 +125,10 @@ def encode_texts(docs: DataFrame, model_path: str) -> DataFrame:
         "chunk", "at", F.col("word").cast("string").alias("word")
     )
     wanted = wanted.where("word != ''")
-    coded = stored(encode_words(wanted.select("word").distinct(), model_path), "codes")
+    distinct = stored(wanted.select("word").distinct(), "words")
+    # A word has some dozens of edges, so a task gets fewer words than their size suggests.
+    tasks = max(1, -(-distinct.count() // TASK_WORDS))
+    coded = stored(encode_words(distinct.repartition(tasks, "word"), model_path), "codes")
     answers = (
         wanted.join(coded, "word")
         .groupBy("chunk")
