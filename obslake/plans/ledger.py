@@ -79,6 +79,13 @@ def unseen(spark: SparkSession, lake: Lake, files: DataFrame) -> DataFrame:
     return files.join(claimed, FILE_KEY, "left_anti")
 
 
+def known_again(spark: SparkSession, lake: Lake, files: DataFrame) -> DataFrame:
+    """Files of a listing to be loaded although their path was seen before: replaced
+    since, or handed back."""
+    paths = read_table(spark, lake, _TABLE).select("path").distinct()
+    return unseen(spark, lake, files).join(paths, "path", "left_semi")
+
+
 def is_open() -> Column:
     """Claimed and not done: at work, or left behind by a step that failed."""
     return (F.col("status") == "in_progress") | ((F.col("status") == "error") & ~_by_check())

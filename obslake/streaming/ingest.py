@@ -12,7 +12,7 @@ from obslake.plans import ledger
 from obslake.plans.ingest import ingest_files, resume_batch
 from obslake.plans.lake import Lake, Load, ensure_database
 from obslake.schema import EVENT_DRIVEN
-from obslake.sources.files import LISTING_SCHEMA, stream_files
+from obslake.sources.files import LISTING_SCHEMA, list_files, stream_files
 
 
 def stream_ingest(
@@ -38,6 +38,9 @@ def stream_ingest(
     ``trigger`` is passed on: ``{"availableNow": True}`` (default) takes what
     is there and stops, ``{"processingTime": "15 minutes"}`` goes on.
 
+    Files that were replaced under their old name, or handed back by
+    ``return_to_incoming``, are loaded each time the stream is started.
+
     ``max_file_age`` is wider than any time stamp reaches back, because the source
     passes over files that lie further than that behind the newest one. The price is driver
     memory for the names of files seen; lower it where files keep pace.
@@ -64,6 +67,17 @@ def stream_ingest(
             multi_line=multi_line,
         )
 
+    # The file source knows files by path alone and never shows one twice. Files that
+    # were replaced or handed back since are loaded here, before the stream starts.
+    ingest_files(
+        spark,
+        ledger.known_again(spark, lake, list_files(spark, incoming)),
+        lake,
+        load_type=EVENT_DRIVEN,
+        max_bytes=max_bytes,
+        on_error=on_error,
+        multi_line=multi_line,
+    )
     files = stream_files(spark, incoming, max_files_per_trigger, max_file_age, archive_dir)
     return (
         files.writeStream.foreachBatch(take)

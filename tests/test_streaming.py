@@ -99,6 +99,32 @@ def test_a_file_is_loaded_by_one_path_only(spark, lake, incoming, tmp_path):
     assert sorted(loaded) == [("a.csv", "BATCH"), ("b.csv", "EVENT-DRIVEN")]
 
 
+def test_replaced_and_old_files_are_taken_by_default(spark, lake, incoming, tmp_path):
+    write_csv(incoming, "a.csv", [row(9)])
+    run(spark, incoming, lake, tmp_path)
+    old = write_csv(incoming, "old.csv", [row(12)])
+    os.utime(old, (86_400, 86_400))
+    write_csv(incoming, "a.csv", [row(30)] * 3)
+    run(spark, incoming, lake, tmp_path)
+    run(spark, incoming, lake, tmp_path)
+    assert answers(spark, lake)[QUESTION_TEMPERATURE] == "30.00"
+    assert spark.table(lake.table("observation")).count() == 1 + 1 + 3
+    states = ingest_ledger(spark, lake).select("filename", "status").collect()
+    assert sorted(states) == [("a.csv", "processed")] * 2 + [("old.csv", "processed")]
+
+
+def test_returned_files_come_back_on_the_stream(spark, lake, incoming, tmp_path):
+    write_csv(incoming, "good.csv", [row(7)])
+    bad = write_csv(incoming, "bad.csv", [row(8)], list(reversed(HEADER)))
+    run(spark, incoming, lake, tmp_path, on_error="fail_batch")
+    batches = {r.batch_id for r in ingest_ledger(spark, lake).collect()}
+    os.remove(bad)
+    for batch in batches:
+        return_to_incoming(spark, lake, batch)
+    run(spark, incoming, lake, tmp_path, on_error="fail_batch")
+    assert answers(spark, lake)[QUESTION_TEMPERATURE] == "7.00"
+
+
 def test_a_file_too_large_for_the_stream_goes_to_a_batch_run(spark, lake, incoming, tmp_path):
     write_csv(incoming, "a.csv", [row(5)] * 20)
     run(spark, incoming, lake, tmp_path, max_bytes=100)
