@@ -1,16 +1,19 @@
 """SentencePiece encoding by a relational lattice, and decoding.
 
 A text's spaces become the space mark, one more stands in front, and a word is a mark
-with what follows up to the next one, cut after LONGEST characters. The distinct words of
-the corpus are a table. Their substrings up to the length of the longest piece are
-exploded and joined to the piece table on equality; what matches is an edge. Edges are
-grouped by word, and a fold over the word's positions keeps the best way to each (Viterbi,
-the largest sum of the pieces' scores). A character that is no piece is an edge of its
-bytes, at a cost that no piece has. The codes come back to the texts through the
-dictionaries of the chunks that hold these.
+with what follows up to the next one. A word is cut between two characters that stand
+side by side in no piece, which no way through the lattice can bridge, and after LONGEST
+characters. The distinct parts of the corpus are a table. Their substrings, as long as the
+longest piece that begins like them, are exploded and joined to the piece table on
+equality; what matches is an edge. Edges are grouped by part, and a fold over
+the part's positions keeps the best way to each (Viterbi, the largest sum of the
+pieces' scores). A character that is no piece is an edge of its bytes, at a cost that no
+piece has. The codes come back to the texts through the dictionaries of the chunks that
+hold these.
 
 This is the best segmentation under the model's scores. For a vocabulary built by merges
-it may differ from replaying the merges. Decoding joins the pieces, undoes the marks and
+it may differ from replaying the merges. Scores are taken in fixed point: SCORE_BITS
+bits over the whole range of a model's scores, exact for the ranks of merges. Decoding joins the pieces, undoes the marks and
 drops the first: any text without the mark itself comes back as it was.
 
 Of equally good ways the one with the larger codes is taken. A null or empty text has no
@@ -20,6 +23,7 @@ ignored. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,31 +31,51 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obslake.llm.chunks import dictionary_rows, unsqueeze, word_chunks
-from obslake.llm.common import map_batches, stored
+from obslake.llm.chunks import dictionary_rows, squeezed, unsqueeze, word_chunks
+from obslake.llm.common import map_batches
 
 MARK = "▁"
-#: Characters of a word, and what a byte without a piece costs.
+#: Characters of a part, and what a byte without a piece costs.
 LONGEST, BYTE_COST = 32, 1e5
-#: Words of a chunk: large ones have fewer dictionary entries in all.
+#: An edge is one number: end and start, then the score's size, then the piece.
+PLACE_BITS, SCORE_BITS, ID_BITS = 6, 31, 20
+NO_PIECE = 2**ID_BITS - 1
+#: Characters that a piece's bound on its length is looked up by.
+PREFIX = 3
+#: Parts of a chunk: large ones have fewer dictionary entries in all.
 CHUNK = 4_000_000
-#: Distinct words whose lattices one task builds.
-TASK_WORDS = 50_000
+#: Distinct parts whose lattices one task builds.
+TASK_PARTS = 50_000
+#: Words whose parts a task remembers at a time.
+REMEMBERED = 200_000
 
 
-def words_of(text: bytes) -> list[bytes]:
-    if not text:
-        return []
-    mark = MARK.encode()
-    words = []
-    for part in text.split(b" "):
-        word = mark + part
-        if len(word) > LONGEST:
-            whole = word.decode("utf-8", "replace")
-            words += [whole[i : i + LONGEST].encode() for i in range(0, len(whole), LONGEST)]
-        else:
-            words.append(word)
-    return words
+class Splitter:
+    """The parts of a text. ``bridged`` has the pairs of characters within pieces."""
+
+    def __init__(self, bridged: frozenset[str]):
+        self.bridged, self.known = bridged, {}
+
+    def __call__(self, text: bytes) -> list[bytes]:
+        if not text:
+            return []
+        if len(self.known) > REMEMBERED:
+            self.known = {}
+        known, parts = self.known, []
+        for word in text.split(b" "):
+            cut = known.get(word)
+            if cut is None:
+                cut = known[word] = self.cut(MARK + word.decode("utf-8", "replace"))
+            parts += cut
+        return parts
+
+    def cut(self, word: str) -> list[bytes]:
+        parts, start = [], 0
+        for at in range(1, len(word) + 1):
+            if at - start == LONGEST or word[at - 1 : at + 1] not in self.bridged:
+                parts.append(word[start:at].encode())
+                start = at
+        return parts if start == len(word) else [*parts, word[start:].encode()]
 
 
 def _model(path: str):
@@ -71,64 +95,107 @@ def piece_table(spark: SparkSession, model_path: str) -> DataFrame:
     return spark.createDataFrame(rows, "piece string, id int, score double")
 
 
-def encode_words(words: DataFrame, model_path: str) -> DataFrame:
-    """(word, codes) for distinct words."""
-    spark = words.sparkSession
+def splitter(model_path: str) -> Splitter:
+    model = _model(model_path)
+    pieces = (model.id_to_piece(i) for i in range(model.get_piece_size()))
+    return Splitter(frozenset(p[i : i + 2] for p in pieces for i in range(len(p) - 1)))
+
+
+def _fixed_point(pieces: DataFrame) -> tuple[float, int]:
+    """The power of two that scores are multiplied with, and the largest product."""
+    low, high = pieces.agg(F.min("score"), F.max("score")).first()
+    span = max(high - low, 2.0**-20)
+    scale = 2.0 ** math.floor(math.log2((2**SCORE_BITS - 1) / span))
+    return scale, math.floor(high * scale)
+
+
+def encode_parts(parts: DataFrame, model_path: str) -> DataFrame:
+    """(word, codes) for distinct parts."""
+    spark = parts.sparkSession
     pieces = piece_table(spark, model_path)
     longest = pieces.agg(F.max(F.length("piece"))).first()[0]
-    byte_zero = _model(model_path).piece_to_id("<0x00>")
-    size = F.length("word")
-    starts = words.select("word", F.explode(F.sequence(F.lit(1), size)).alias("start"))
-    lengths = F.sequence(F.lit(1), F.least(F.lit(longest), size - F.col("start") + 1))
-    substrings = starts.select("word", "start", F.explode(lengths).alias("n")).withColumn(
-        "piece", F.substring(F.col("word"), F.col("start"), F.col("n"))
+    scale, high = _fixed_point(pieces)
+    # What a score lies below the highest one, from the top of its bits.
+    zero = F.lit(2**SCORE_BITS - 1 - high).cast("long")
+    scored = pieces.select(
+        "piece", "id", (F.floor(F.col("score") * scale).cast("long") + zero).alias("points")
     )
-    # The vocabulary is fixed: some ten thousand pieces.
-    edges = substrings.join(F.broadcast(pieces), "piece", "left").where("id is not null or n = 1")
-    hexed = F.hex(F.encode("piece", "UTF-8"))
-    byte_codes = F.transform(
-        F.sequence(F.lit(1), F.length(hexed) - 1, F.lit(2)),
-        lambda at: F.conv(F.substring(hexed, at, F.lit(2)), 16, 10).cast("int") + F.lit(byte_zero),
+    bounds = pieces.groupBy(F.left("piece", F.lit(PREFIX)).alias("begins")).agg(
+        F.max(F.length("piece")).alias("longest")
     )
-    known = F.col("id").isNotNull()
-    edge = F.struct(
-        (F.col("start") + F.col("n")).alias("end"),
-        F.col("start"),
-        F.when(known, F.col("score")).otherwise(-BYTE_COST * F.length(hexed) / 2).alias("score"),
-        F.when(known, F.array("id")).otherwise(byte_codes).alias("codes"),
+    byte_zero = _model(model_path).piece_to_id("<0x00>")
+    starts = parts.select(
+        "word", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("start")
+    ).withColumn("rest", F.substring("word", F.col("start"), F.lit(longest)))
+    # The vocabulary is fixed: some ten thousand pieces, and fewer ways to begin one.
+    bounded = starts.withColumn("begins", F.left("rest", F.lit(PREFIX))).join(
+        F.broadcast(bounds), "begins", "left"
+    )
+    bound = F.greatest(F.coalesce("longest", F.lit(1)), F.lit(PREFIX - 1))
+    lengths = F.sequence(F.lit(1), F.least(bound, F.length("rest")))
+    substrings = bounded.select("word", "start", "rest", F.explode(lengths).alias("n")).select(
+        "word", "start", "n", F.left("rest", "n").alias("piece")
     )
-    lattice = edges.groupBy("word").agg(F.collect_list(edge).alias("edges"))
+    edges = substrings.join(F.broadcast(scored), "piece", "left").where("id is not null or n = 1")
+    packed = F.lit(0).cast("long")
+    for value, bits in (
+        (F.col("start") + F.col("n"), PLACE_BITS),
+        (F.col("start"), PLACE_BITS),
+        (F.coalesce("points", F.lit(0)), SCORE_BITS),
+        (F.coalesce("id", F.lit(NO_PIECE)), ID_BITS),
+    ):
+        packed = F.shiftleft(packed, bits) + value
+    lattice = edges.groupBy("word").agg(F.collect_list(packed).alias("edges"))
 
-    def reach(best, end):
-        """The best way to a position, after the best ways to all positions before it."""
-        arriving = F.filter("edges", lambda e: e["end"] == end)
-        ways = F.transform(
-            arriving,
-            lambda e: F.struct(
-                (F.get(best, e["start"] - 1)["score"] + e["score"]).alias("score"),
-                F.concat(F.get(best, e["start"] - 1)["codes"], e["codes"]).alias("codes"),
+    def field(edge, above: int, bits: int):
+        return F.shiftright(edge, above).bitwiseAND(F.lit(2**bits - 1)).cast("int")
+
+    def way(best, edge):
+        """The best way to an edge's start, and then the edge."""
+        piece = field(edge, 0, ID_BITS)
+        points = field(edge, ID_BITS, SCORE_BITS).cast("long") - zero
+        start = field(edge, ID_BITS + SCORE_BITS, PLACE_BITS)
+        hexed = F.hex(F.encode(F.substring(F.col("word"), start, F.lit(1)), "UTF-8"))
+        byte_codes = F.transform(
+            F.sequence(F.lit(1), F.length(hexed) - 1, F.lit(2)),
+            lambda at: F.conv(F.substring(hexed, at, F.lit(2)), 16, 10).cast("int") + byte_zero,
+        )
+        known = piece != NO_PIECE
+        before = F.get(best, start - 1)
+        cost = F.lit(round(-BYTE_COST * scale)) * (F.length(hexed) / 2).cast("long")
+        return F.struct(
+            (before["points"] + F.when(known, points).otherwise(cost)).alias("points"),
+            F.concat(before["codes"], F.when(known, F.array(piece)).otherwise(byte_codes)).alias(
+                "codes"
             ),
         )
+
+    def reach(best, end):
+        """The best way to a position, after the best ways to all positions before it."""
+        above = ID_BITS + SCORE_BITS + PLACE_BITS
+        arriving = F.filter("edges", lambda edge: F.shiftright(edge, above) == end)
+        ways = F.transform(arriving, lambda edge: way(best, edge))
         return F.concat(best, F.array(F.array_max(ways)))
 
     nothing = F.array().cast("array<int>").alias("codes")
-    origin = F.array(F.struct(F.lit(0.0).alias("score"), nothing))
-    folded = F.aggregate(F.sequence(F.lit(2), F.length("word") + 1), origin, reach)
+    origin = F.array(F.struct(F.lit(0).cast("long").alias("points"), nothing))
+    ends = F.transform(F.sequence(F.lit(2), F.length("word") + 1), lambda end: end.cast("long"))
+    folded = F.aggregate(ends, origin, reach)
     return lattice.select("word", F.element_at(folded, -1)["codes"].alias("codes"))
 
 
 def encode_texts(docs: DataFrame, model_path: str) -> DataFrame:
     """doc_id and codes for each row of (doc_id, text)."""
     rows = docs.select("doc_id", F.lit(False).alias("held_out"), "text")
-    chunks = word_chunks(rows, words_of, CHUNK)
+    chunks = word_chunks(rows, splitter(model_path), CHUNK)
     wanted = dictionary_rows(chunks, lambda words, _: np.arange(len(words))).select(
         "chunk", "at", F.col("word").cast("string").alias("word")
     )
     wanted = wanted.where("word != ''")
-    distinct = stored(wanted.select("word").distinct(), "words")
-    # A word has some dozens of edges, so a task gets fewer words than their size suggests.
-    tasks = max(1, -(-distinct.count() // TASK_WORDS))
-    coded = stored(encode_words(distinct.repartition(tasks, "word"), model_path), "codes")
+    distinct = squeezed(wanted.select("word").distinct(), "words")
+    # A part has some dozens of edges, so a task gets fewer parts than their size suggests.
+    tasks = max(1, -(-distinct.count() // TASK_PARTS))
+    coded = squeezed(encode_parts(distinct.repartition(tasks, "word"), model_path), "codes")
     answers = (
         wanted.join(coded, "word")
         .groupBy("chunk")
