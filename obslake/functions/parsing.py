@@ -41,8 +41,13 @@ def _is_literal(column: str) -> str:
 
 
 def day_and_time(column: str) -> str:
-    """A wall-clock timestamp from ISO text; no time zone is applied."""
-    return f"try_cast({column} AS timestamp_ntz)"
+    """A wall-clock timestamp; no time zone is applied.
+
+    The day is read from ``2016-02-01``, ``20160201`` or ``01/02/2016`` (day first),
+    with or without a time. A text without a day (``2016``, ``2016-02``) is none.
+    """
+    day = f"regexp_replace({column}, {_DAY}, '$3$4-$2$5-$1$6')"
+    return f"try_cast({day} AS timestamp_ntz)"
 
 
 def non_empty(column: str) -> str:
@@ -66,6 +71,13 @@ def invalid(columns: dict[str, str]) -> str:
     return f"({unread} <> '' AND NOT {unread} RLIKE r'{all_missing}')"
 
 
+# Day first, year first, or no day, of which nothing stays that could be read; then a time
+# or at most the mark of a zone.
+_DAY = (
+    r"r'^\s*(?:(\d{2})/(\d{2})/(\d{4})|(\d{4})-?(\d{2})-?(\d{2})|\d{4,7}(?:-\d{1,2})?\s*$)"
+    r"(?:Z$|(?!\d))'"
+)
+
 _SEPARATOR = "\x1f"
 
 _MISSING = r"\s*(?:" + "|".join(re.escape(missing) for missing in MISSING_TEXTS) + r")\s*"

@@ -15,7 +15,7 @@ def running_answer_log(
     batch: str | Column,
     measure: Measure = Measure(),
     initial: float | None = 0.0,
-    groups: int = 64,
+    groups: int | None = None,
 ) -> DataFrame:
     """One row for each batch that raised the answer, batches taken in order of ``batch``.
 
@@ -24,25 +24,31 @@ def running_answer_log(
     stays. ``initial=None`` lets any first reading count.
 
     1. The maximum per batch: a hash aggregate over two columns.
-    2. The batches that improve on all earlier ones. A batch beaten by an
-       earlier one of its own group cannot improve on all, so the batches are
-       first thinned out in ``groups`` parallel windows, and the window over
-       all of them sees only what is left. It still sees the true running
-       maximum, because a batch that sets one is never thinned out.
+    2. The batches that improve on all earlier ones. The batches are dealt into
+       ``groups`` ranges (by default as many as a shuffle has partitions), each
+       with a window of its own that starts from the maximum of the ranges
+       before it. Only one row per range is ever in one task. The bounds are
+       batches drawn by their hashes: they spread the work, and any bounds
+       give the same rows.
     3. The rows behind them. No row below the lowest improving maximum can be
-       one, and that bound is pushed into the scan as a scalar subquery.
-       What is left is reduced inside each task before it is shuffled.
+       one, and that bound is pushed into the scan as a scalar subquery. An
+       equi-join leaves the rows that have their batch's maximum, so only
+       these are ranked.
     """
+    if groups is None:
+        groups = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     batches = df.withColumn("batch", batch if isinstance(batch, Column) else F.col(batch))
     maxima = batches.groupBy("batch").agg(F.max(measure.reading).alias("max_value"))
-    group = F.pmod(F.xxhash64("batch"), F.lit(groups))
-    thinned = _improving(maxima, W.partitionBy(group), initial)
-    improving = _improving(thinned, W.partitionBy(), initial)
+    improving = _improving(maxima, groups, initial)
 
     floor = improving.select(F.min("max_value")).scalar()
+    top = improving.select(F.col("batch").alias("top_batch"), F.col("max_value").alias("top_value"))
+    same_batch = F.col("batch").eqNullSafe(F.col("top_batch"))
     winners = (
         batches.where(F.col(measure.value) >= floor)
-        .groupBy(F.col("batch").alias("row_batch"))
+        .withColumn("reading", measure.reading)
+        .join(top, same_batch & (F.col("reading") == F.col("top_value")))
+        .groupBy("batch", F.col("top_value").alias("max_value"))
         .agg(F.min(measure.rank()).alias("row"))
     )
     answer = [
@@ -53,15 +59,31 @@ def running_answer_log(
     ]
     if measure.country:
         answer.append(F.col(f"row.{measure.country}").alias("country"))
-    same_batch = F.col("batch").eqNullSafe(F.col("row_batch"))
-    return improving.join(winners, same_batch).select(*answer)
+    return winners.select(*answer)
 
 
-def _improving(maxima: DataFrame, window: W, initial: float | None) -> DataFrame:
-    earlier = window.orderBy("batch").rowsBetween(W.unboundedPreceding, -1)
-    best = F.max("max_value").over(earlier)
-    if initial is not None:
-        best = F.greatest(best, F.lit(initial))
+def _improving(maxima: DataFrame, groups: int, initial: float | None) -> DataFrame:
+    drawn = maxima.where("batch is not null").orderBy(F.xxhash64("batch"), "batch").limit(groups - 1)
+    bounds = drawn.select(F.collect_list("batch")).scalar()
+    # A null batch is the first of all, and lies above no bound.
+    below = F.filter("bounds", lambda bound: bound <= F.col("batch"))
+    dealt = maxima.withColumn("bounds", bounds).withColumn("range", F.size(below)).drop("bounds")
+    per_range = dealt.groupBy("range").agg(F.max("max_value").alias("range_max"))
+    preceding = W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    before = per_range.select(
+        F.col("range").alias("of_range"), F.max("range_max").over(preceding).alias("before")
+    )
+    earlier = W.partitionBy("range").orderBy("batch").rowsBetween(W.unboundedPreceding, -1)
+    best = F.greatest(
+        F.max("max_value").over(earlier),
+        "before",
+        *([] if initial is None else [F.lit(initial)]),
+    )
     value = F.col("max_value")
     beats = F.coalesce(value > best, value.isNotNull())  # nothing to beat yet
-    return maxima.withColumn("beats", beats).where("beats").drop("beats")
+    return (
+        dealt.join(before, F.col("range") == F.col("of_range"))
+        .withColumn("beats", beats)
+        .where("beats")
+        .select("batch", "max_value")
+    )

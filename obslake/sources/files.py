@@ -61,7 +61,6 @@ def stream_files(
     directory: str,
     max_files_per_trigger: int,
     max_file_age: str,
-    archive_dir: str | None = None,
 ) -> DataFrame:
     """Arriving files as a stream of listing rows."""
     reader = (
@@ -71,8 +70,6 @@ def stream_files(
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .option("maxFileAge", max_file_age)
     )
-    if archive_dir:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return as_listing(reader.load(directory)).where(F.col("length") > 0)
 
 

@@ -26,14 +26,15 @@ def stream_ingest(
     on_error: str = "quarantine_file",
     trigger: dict[str, Any] | None = None,
     max_file_age: str = "106751d",
-    archive_dir: str | None = None,
     multi_line: bool = False,
 ) -> StreamingQuery:
     """Start loading a folder's files as they arrive.
 
     The stream carries names and sizes; each micro-batch loads its files like
     a batch run. Files are screened by name and, where ``max_bytes`` is given,
-    by size (``STREAM_MAX_BYTES`` is the usual ceiling). ``max_files_per_trigger=1`` handles every file on its own.
+    by size (``STREAM_MAX_BYTES`` is the usual ceiling). ``max_files_per_trigger=1``
+    handles every file on its own. Files stay where they are, refused ones too; what
+    became of them is in the ledger.
 
     ``trigger`` is passed on: ``{"availableNow": True}`` (default) takes what
     is there and stops, ``{"processingTime": "15 minutes"}`` goes on.
@@ -78,7 +79,7 @@ def stream_ingest(
         on_error=on_error,
         multi_line=multi_line,
     )
-    files = stream_files(spark, incoming, max_files_per_trigger, max_file_age, archive_dir)
+    files = stream_files(spark, incoming, max_files_per_trigger, max_file_age)
     return (
         files.writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)

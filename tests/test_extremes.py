@@ -167,7 +167,7 @@ def test_running_log_plan(stored):
     plan = plan_of(running_answer_log(stored, "b", MEASURE))
     assert "wide" not in plan
     assert "GreaterThanOrEqual(v,ScalarSubquery" in plan
-    # Nothing is shuffled before it is reduced, and no cross join is used.
+    # No cross join is used, and the one window over everything has a row per range.
     assert "partial_max" in plan and "partial_min" in plan
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 

@@ -45,7 +45,18 @@ def test_days(spark):
         "2016-02-01 13:45:10.5": "2016-02-01 13:45:10.5",
         "2016-02-01T13:45:10Z": "2016-02-01 13:45:10",
         "2016-13-01": None,
-        "01/02/2016": None,
+        "2016": None,
+        "2016-02": None,
+        "01/02/2016": "2016-02-01 00:00:00",
+        "01/02/2016 10:00": "2016-02-01 10:00:00",
+        "20160201": "2016-02-01 00:00:00",
+        "20160201T13:45:10": "2016-02-01 13:45:10",
+        "2016-02-01Z": "2016-02-01 00:00:00",
+        "201602011": None,
+        "201602": None,
+        " 2016-02-01 ": "2016-02-01 00:00:00",
+        "2016-2-1": "2016-02-01 00:00:00",
+        "32/02/2016": None,
         "": None,
     }
     sql = f"CAST({day_and_time('t')} AS string)"

@@ -54,7 +54,8 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    own = {name[2:] for name in vars(contract) if name.startswith("q_")}
+    assert own <= set(contract.queries()) and own <= set(contract.oracle_sql())
 
 
 def test_entry(spark):

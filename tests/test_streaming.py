@@ -200,16 +200,16 @@ def test_a_repeated_micro_batch_does_not_double(
     assert answers(spark, lake)[QUESTION_TEMPERATURE] == "6.00"
 
 
-def test_processed_files_can_be_archived(spark, lake, incoming, tmp_path):
-    archive = str(tmp_path / "archive")
+def test_refused_files_stay_and_come_back(spark, lake, incoming, tmp_path):
     write_csv(incoming, "a.csv", [row(5)])
-    run(spark, incoming, lake, tmp_path, archive_dir=archive)
+    write_csv(incoming, "big.csv", [row(30)] * 20)
+    run(spark, incoming, lake, tmp_path, max_bytes=500)
     write_csv(incoming, "b.csv", [row(6)])
-    run(spark, incoming, lake, tmp_path, archive_dir=archive)
-    # The source moves a file when a later batch is planned.
-    assert not (incoming / "a.csv").exists()
-    assert any("a.csv" in names for _, _, names in os.walk(archive))
-    assert spark.table(lake.table("observation")).count() == 2
+    run(spark, incoming, lake, tmp_path, max_bytes=500)
+    [refused] = ingest_ledger(spark, lake).where("status = 'error'").collect()
+    return_to_incoming(spark, lake, refused.batch_id)
+    assert outcome(batch_ingest(spark, str(incoming), lake)) == {"big.csv": ("processed", None)}
+    assert answers(spark, lake)[QUESTION_TEMPERATURE] == "30.00"
 
 
 def test_hottest_of_a_stream(spark, tmp_path):
