@@ -22,6 +22,7 @@ from obslake import (
     check_headers,
     column_profile,
     current_answers,
+    drop_refined,
     ensure_database,
     hottest_answer,
     hottest_records,
@@ -32,6 +33,7 @@ from obslake import (
     read_observations,
     read_refined,
     read_rows,
+    return_to_incoming,
     running_answer_log,
     screen_files,
     stream_hottest,
@@ -265,10 +267,15 @@ def q_refined_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _by_feed(files: DataFrame, path: str, *columns: str | F.Column) -> DataFrame:
+    """What is said of a feed's files, and whether each of them is there once."""
+    once = F.count(F.lit(1)) == F.count_distinct(path)
+    return files.groupBy(_feed_of("filename").alias("feed"), *columns).agg(once.alias("listed_once"))
+
+
 def q_list_incoming(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = list_incoming(spark, _export_by_type(spark, sf_dir))
-    feed, has_data = _feed_of("filename"), F.col("length") > 0
-    return files.select(feed.alias("feed"), has_data.alias("has_data")).distinct()
+    return _by_feed(files, "path", (F.col("length") > 0).alias("has_data"))
 
 
 def q_screen_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -280,19 +287,17 @@ def q_screen_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = screen_files(feeds.unionAll(list_files(spark, folder)), max_bytes=1000)
     # How large a file gets depends on how many tasks wrote the feed.
     error = F.regexp_replace("error", "File size [0-9]+", "File size N")
-    feed = _feed_of("filename")
-    return judged.select(feed.alias("feed"), "status", error.alias("error")).distinct()
+    return _by_feed(judged, "path", "status", error.alias("error"))
 
 
 def q_check_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdicts = check_headers(spark, _export_by_type(spark, sf_dir) + "/*/*.csv")
-    filename = F.substring_index("file_uri", "/", -1)
-    return verdicts.select(F.split(filename, "-")[0].alias("feed"), "header_ok").distinct()
+    named = verdicts.withColumn("filename", F.substring_index("file_uri", "/", -1))
+    return _by_feed(named, "file_uri", "header_ok")
 
 
 def _outcomes(files: DataFrame) -> DataFrame:
-    feed = _feed_of("filename")
-    return files.select(feed.alias("feed"), "load_type", "status", "error").distinct()
+    return _by_feed(files, "path", "load_type", "status", "error")
 
 
 def q_batch_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -317,6 +322,72 @@ def q_batch_second_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return again.join(rows)
 
 
+def q_empty_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run on a folder without CSV files, after a load: no files, and all rows as they were."""
+    lake = _new_lake(spark)
+    batch_ingest(spark, _export_all(spark, sf_dir), lake)
+    none = batch_ingest(spark, _export_by_type(spark, sf_dir) + "/purchase", lake)
+    rows = spark.table(lake.table("observation")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return none.agg(F.count(F.lit(1)).alias("n_files")).join(rows)
+
+
+def q_batch_many_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run takes as many files as there are."""
+    folder = work_dir(spark, "feed")
+    _export(_as_observations(_events(spark, sf_dir).repartition(1100)), folder, "events")
+    lake = _new_lake(spark)
+    done = batch_ingest(spark, folder, lake).agg(
+        F.count_if(F.col("status") == "processed").alias("n_files")
+    )
+    loaded = spark.table(lake.table("observation")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.max("screen_temperature").alias("max_value")
+    )
+    return done.withColumn("many", F.col("n_files") > 1000).drop("n_files").join(loaded)
+
+
+def q_drop_and_recover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table dropped from the catalog is found again with all its loads."""
+    lake = _new_lake(spark)
+    batch_ingest(spark, _export_all(spark, sf_dir), lake)
+    drop_refined(spark, lake)
+    gone = not spark.catalog.tableExists(lake.table("observation"))
+    ensure_database(spark, lake)
+    table = spark.table(lake.table("observation"))
+    return table.groupBy("region").agg(F.count(F.lit(1)).alias("n")).withColumn("gone", F.lit(gone))
+
+
+def q_full_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reading behind the answer, unrounded, next to the two decimals shown."""
+    lake = _new_lake(spark)
+    batch_ingest(spark, _export_all(spark, sf_dir), lake)
+    log = spark.table(lake.table("answer_log"))
+    shown = answer_or_default(current_answers(log), QUESTION_TEMPERATURE, "0")
+    return log.agg(F.max("temperature").alias("temperature")).join(shown)
+
+
+def q_parse_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days written in three forms; a month alone is no day, and its row is set aside."""
+    rows = _as_observations(_events(spark, sf_dir)).withColumn(
+        "event_id", F.substring_index("SiteName", " ", -1).cast("bigint")
+    )
+    day = F.left("ObservationDate", F.lit(10))
+    kind = F.col("event_id") % 4
+    shown = (
+        F.when(kind == 0, day)
+        .when(kind == 1, F.replace(day, F.lit("-"), F.lit("")))
+        .when(kind == 2, F.date_format(day.cast("date"), "dd/MM/yyyy"))
+        .otherwise(F.left(day, F.lit(7)))
+    )
+    folder = work_dir(spark, "feed")
+    _export(rows.withColumn("ObservationDate", shown).drop("event_id"), folder, "events")
+    lake = _new_lake(spark)
+    batch_ingest(spark, folder, lake)
+    return spark.table(lake.table("observation")).select(
+        F.substring_index("site_name", " ", -1).cast("bigint").alias("event_id"),
+        F.date_format("observation_date", "yyyy-MM-dd").alias("day"),
+    )
+
+
 def q_parse_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings written with a type suffix or in hexadecimal are no numbers."""
     shown = (
@@ -455,6 +526,42 @@ def q_stream_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_answers(spark.table(_stream_in(spark, sf_dir).table("answer_log")))
 
 
+def _per_region(spark: SparkSession, lake: Lake) -> DataFrame:
+    return (
+        spark.table(lake.table("observation"))
+        .groupBy("region", "load_type")
+        .agg(F.count(F.lit(1)).alias("n"), F.max("screen_temperature").alias("max_value"))
+    )
+
+
+def q_stream_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that looks for files each second, stopped once it has taken all."""
+    lake = _new_lake(spark)
+    query = stream_ingest(
+        spark,
+        _export_by_type(spark, sf_dir),
+        lake,
+        checkpoint=work_dir(spark, "checkpoint"),
+        trigger={"processingTime": "1 second"},
+    )
+    query.processAllAvailable()
+    query.stop()
+    return _per_region(spark, lake)
+
+
+def q_stream_returned_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files refused for their size and handed back are loaded by the next start."""
+    lake = _new_lake(spark)
+    checkpoint = work_dir(spark, "checkpoint")
+    folder = _export_by_type(spark, sf_dir)
+    stream_ingest(spark, folder, lake, checkpoint=checkpoint, max_bytes=1).awaitTermination()
+    batches = ingest_ledger(spark, lake).select("batch_id").distinct().collect()
+    for (batch_id,) in batches:
+        return_to_incoming(spark, lake, batch_id)
+    stream_ingest(spark, folder, lake, checkpoint=checkpoint).awaitTermination()
+    return _per_region(spark, lake)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the hottest day, its reading and its region."""
     return q_hottest_answer(spark, "/root/testdata/sf0.001")
@@ -518,7 +625,7 @@ def oracle_sql() -> dict[str, str]:
     """
     outcomes = """
         SELECT DISTINCT event_type AS feed, '{load_type}' AS load_type,
-               CASE {status} END AS status, CASE {error} END AS error
+               CASE {status} END AS status, CASE {error} END AS error, true AS listed_once
         FROM events {where}
     """
     extension = "Invalid file extension. Expected a CSV file."
@@ -561,21 +668,36 @@ def oracle_sql() -> dict[str, str]:
             FROM events GROUP BY 1
         """,
         "list_incoming": """
-            SELECT DISTINCT event_type AS feed, true AS has_data
+            SELECT DISTINCT event_type AS feed, true AS has_data, true AS listed_once
             FROM events WHERE event_type <> 'purchase'
         """,
         "screen_files": f"""
             SELECT DISTINCT event_type AS feed, 'error' AS status,
-                   CASE event_type WHEN 'purchase' THEN '{extension}' ELSE '{size}' END AS error
+                   CASE event_type WHEN 'purchase' THEN '{extension}' ELSE '{size}' END AS error,
+                   true AS listed_once
             FROM events
-            UNION ALL SELECT 'hottest', 'accepted', NULL
+            UNION ALL SELECT 'hottest', 'accepted', NULL, true
         """,
         "check_headers": """
-            SELECT DISTINCT event_type AS feed, event_type <> 'error' AS header_ok
+            SELECT DISTINCT event_type AS feed, event_type <> 'error' AS header_ok,
+                   true AS listed_once
             FROM events WHERE event_type <> 'purchase'
         """,
         "batch_ingest": per_region.format(load_type="BATCH"),
         "batch_second_run": "SELECT 0 AS n_files, count(*) AS n_rows FROM events",
+        "empty_run": "SELECT 0 AS n_files, count(*) AS n_rows FROM events",
+        "batch_many_files": """
+            SELECT true AS many, count(*) AS n_rows, max(value) AS max_value FROM events
+        """,
+        "drop_and_recover": """
+            SELECT event_type AS region, count(*) AS n, true AS gone FROM events GROUP BY 1
+        """,
+        "full_precision": """
+            SELECT max(value) AS temperature, printf('%.2f', max(value)) AS answer FROM events
+        """,
+        "parse_days": """
+            SELECT event_id, strftime(ts, '%Y-%m-%d') AS day FROM events WHERE event_id % 4 <> 3
+        """,
         "parse_numbers": "SELECT event_id, value FROM events WHERE event_id % 3 = 2",
         "ingest_ledger": outcomes.format(
             load_type="BATCH",
@@ -601,6 +723,8 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT '0', false
         """,
         "stream_hottest": _TOP.format(where=""),
+        "stream_schedule": per_region.format(load_type="EVENT-DRIVEN"),
+        "stream_returned_files": per_region.format(load_type="EVENT-DRIVEN"),
         "stream_ingest": per_region.format(load_type="EVENT-DRIVEN"),
         "stream_ledger": outcomes.format(
             load_type="EVENT-DRIVEN",
