@@ -3,17 +3,21 @@
 A page is cut into blocks at block-level tags. Each block has a zone: article (inside an
 article or a main element or one named so), chrome (menus, headers, footers, sidebars,
 notices, adverts, forms, comments, by tag or by the words of class, id and role), or
-neither. The blocks of the innermost kind of article zone are the text.
-
-A page without any has its other blocks judged by the host's suffix array. The token
-streams of all blocks outside articles are concatenated by host and their suffixes
-brought into the order of their first DEPTH tokens: suffixes that agree that far stand
-side by side, and those of pages with different streams mark a repeated substring. The
-order is kept to that depth and by hash, since only agreement matters, so the suffixes of
-one large host spread over all tasks. A block that is mostly covered by such substrings
-is boilerplate; the others are the text. If none is left, paragraphs of some length are.
-
-Inside an article nothing is removed for being repeated: pages do share passages.
+neither.
+
+The blocks of every page are judged by its host's suffix array. The token streams of all
+pages are concatenated by host and their suffixes brought into the order of their first
+DEPTH tokens: suffixes that agree that far stand side by side, and those of different
+pages mark a repeated substring. The order is kept to that depth and by 48 bits of hash,
+since only agreement matters, so the suffixes of one large host spread over all tasks:
+chunks of pages send their distinct prefixes to ranges of hashes, and get back those that
+several pages have with the number of these pages. A block that is mostly covered by
+repeated substrings is boilerplate, the others are kept.
+
+Page structure is a check after it. If a page has an article zone, blocks outside of its
+innermost kind are dropped, and inside it repeated paragraphs come back, as do short blocks
+that less than half of the host's pages have: pages do share passages. Without one, blocks
+in chrome are dropped; if none is left, paragraphs of some length are the text.
 
 A null or empty page has an empty text. Pages with a null url have no host and share
 one. Pages of the same stream count once, so copies of a page do not remove each other.
@@ -23,6 +27,7 @@ empty result. Cut-off pages end where they end.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 from html import unescape
@@ -33,12 +38,21 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obslake.llm.common import as_bytes, map_batches, stored
+from obslake.llm.chunks import squeeze, squeezed, unsqueeze
+from obslake.llm.common import SLICE, as_bytes, map_batches, map_groups
 
 #: Tokens of a substring that is long enough to be boilerplate, and the covered share of a block.
 DEPTH, COVERED = 6, 0.6
 #: Words of a paragraph that is text when nothing else is.
 PARAGRAPH = 15
+#: Bits of a prefix's hash.
+HASH_BITS = 48
+#: Tokens of a chunk of pages, before the page that exceeds them, and of a range of hashes.
+CHUNK_TOKENS, RANGE_TOKENS = 500_000, 2_000_000
+#: Pages, and share of a host's pages, that have what is usual there.
+USUAL_PAGES, USUAL_SHARE = 3, 0.5
+#: Tokens whose hashes a task remembers at a time.
+REMEMBERED = 200_000
 
 CHROME, OTHER, MAIN, ARTICLE = 0, 1, 2, 3
 
@@ -188,144 +202,220 @@ def _host(url: str) -> str:
     return re.split(r"[/?#]", rest, maxsplit=1)[0].lower()
 
 
-def _prefixes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the first DEPTH tokens of each suffix, and the block of each token.
+def _whole_host(host: str) -> np.uint64:
+    """What stands for all pages of a host among the prefixes."""
+    return np.uint64(xxhash.xxh3_64_intdigest(host.encode(), seed=1) >> (64 - HASH_BITS))
+
+
+class _Hashes(dict):
+    def __missing__(self, token: bytes) -> int:
+        if len(self) > REMEMBERED:
+            self.clear()
+        found = self[token] = xxhash.xxh3_64_intdigest(token)
+        return found
+
+
+_hashes = _Hashes()
+
+
+def _prefixes(host: str, zones: list[int], texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the host, zone and first DEPTH tokens of each suffix, and the block of each token.
 
     Substrings run across blocks, so that short blocks in the same order agree too.
     """
-    hashes, owner = [], []
-    for i, text in enumerate(texts):
-        for token in text.encode().split():
-            hashes.append(xxhash.xxh3_64_intdigest(token))
-            owner.append(i)
-    tokens = np.array(hashes, np.uint64)
+    parts = [text.encode().split() for text in texts]
+    sizes = np.array([len(part) for part in parts], np.int64)
+    owner = np.repeat(np.arange(len(parts)), sizes)
+    tokens = np.array([_hashes[token] for part in parts for token in part], np.uint64)
     found = np.zeros(max(len(tokens) - DEPTH + 1, 0), np.uint64)
+    kinds = np.array(zones, np.int64).astype(np.uint64)
+    found += np.uint64(xxhash.xxh3_64_intdigest(host.encode())) + kinds[owner[: len(found)]]
     for step in range(DEPTH):
         found = (found ^ tokens[step : step + len(found)]) * np.uint64(0x9E3779B97F4A7C15)
         found ^= found >> np.uint64(29)
-    return found.view(np.int64), np.array(owner, np.int64)
+    return found >> np.uint64(64 - HASH_BITS), owner
+
+
+def _packed(ascending: np.ndarray) -> bytes:
+    """Ascending numbers, as the bytes of their differences by place."""
+    steps = np.diff(ascending, prepend=np.uint64(0)).astype("<u8")
+    return squeeze(steps.view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    steps = np.frombuffer(unsqueeze(raw), np.uint8).reshape(8, -1).T
+    return np.cumsum(np.ascontiguousarray(steps).view("<u8").ravel(), dtype=np.uint64)
 
 
-_PARSED = "page_id long, url string, host string, text string, zones array<int>, outside array<string>"
+_CHUNKS = "page_ids array<long>, urls array<string>, hosts array<string>, streams array<long>, blocks binary, tokens long"
 
 
 def _parse(pages: DataFrame) -> DataFrame:
-    """The text of pages that have an article zone, and all blocks outside of articles."""
+    """Chunks of pages, stored: their zones and blocks, and a hash of each page's stream."""
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, urls, hosts, streams, found, size = [], [], [], [], [], 0
+
+        def flush() -> pa.RecordBatch:
+            values = [ids, urls, hosts, streams, squeeze(json.dumps(found, ensure_ascii=False).encode()), size]
+            kinds = [pa.list_(pa.int64()), *[pa.list_(pa.string())] * 2, pa.list_(pa.int64())]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([v], kind) for v, kind in zip(values, [*kinds, pa.binary(), pa.int64()])],
+                ["page_ids", "urls", "hosts", "streams", "blocks", "tokens"],
+            )
+
         for batch in batches:
-            hosts, texts, zones, outside = [], [], [], []
-            urls = batch.column(1).to_pylist()
-            for url, html in zip(urls, as_bytes(batch.column(2))):
+            for page_id, url, html in zip(
+                batch.column(0).to_pylist(), batch.column(1).to_pylist(), as_bytes(batch.column(2))
+            ):
+                if size > CHUNK_TOKENS:
+                    yield flush()
+                    ids, urls, hosts, streams, found, size = [], [], [], [], [], 0
                 blocks = page_blocks(html.decode("utf-8", "replace"))
-                level = max((zone for zone, _ in blocks), default=CHROME)
-                hosts.append(_host(url or ""))
-                if level >= MAIN:
-                    texts.append("\n\n".join(text for zone, text in blocks if zone == level))
-                else:
-                    texts.append(None)
-                rest = [(zone, text) for zone, text in blocks if zone < MAIN]
-                zones.append([zone for zone, _ in rest])
-                outside.append([text for _, text in rest])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(urls, pa.string()),
-                    pa.array(hosts, pa.string()),
-                    pa.array(texts, pa.string()),
-                    pa.array(zones, pa.list_(pa.int32())),
-                    pa.array(outside, pa.list_(pa.string())),
-                ],
-                ["page_id", "url", "host", "text", "zones", "outside"],
-            )
+                texts, host = [text for _, text in blocks], _host(url or "")
+                ids.append(page_id)
+                urls.append(url)
+                hosts.append(host)
+                streams.append(xxhash.xxh3_64_intdigest("\0".join([host, *texts]).encode()) >> 1)
+                found.append([[zone for zone, _ in blocks], texts])
+                size += sum(text.count(" ") + 1 for text in texts) + 1
+        if ids:
+            yield flush()
 
     rows = pages.select(
         F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")
     )
-    return map_batches(rows, parse, _PARSED)
+    chunks = map_batches(rows, parse, _CHUNKS)
+    return squeezed(chunks.withColumn("chunk", F.monotonically_increasing_id()), "pages")
+
+
+def _counted(chunks: DataFrame) -> DataFrame:
+    """(chunk, counted): the places of pages that count. Of pages with the same stream one does."""
+    streams = chunks.select("chunk", F.posexplode("streams").alias("at", "stream"))
+    firsts = streams.groupBy("stream").agg(F.min(F.struct("chunk", "at")).alias("first"))
+    return firsts.groupBy("first.chunk").agg(F.collect_list("first.at").alias("counted"))
 
 
-def _suffixes(parsed: DataFrame) -> DataFrame:
-    """(host, prefix, stream, page): a suffix of a page's stream; page numbers undecided pages."""
+def _repeated(chunks: DataFrame) -> DataFrame:
+    """(chunk, prefixes, pages): the prefixes of a chunk that more than one page has, and on how many."""
+    spark = chunks.sparkSession
+    tokens = chunks.agg(F.sum("tokens")).first()[0] or 0
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-tokens // RANGE_TOKENS))
+    bounds = np.array([i * 2**HASH_BITS // ranges for i in range(1, ranges)], np.uint64)
 
-    def sort_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for page, host, undecided, outside in zip(
-                *(batch.column(i).to_pylist() for i in range(4))
-            ):
-                prefixes, _ = _prefixes(outside)
-                prefixes = np.unique(prefixes)
-                if not len(prefixes):
-                    continue
-                stream = xxhash.xxh3_64_intdigest("\0".join(outside).encode()) >> 1
-                n = len(prefixes)
-                number = pa.array([page if undecided else None] * n, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([xxhash.xxh3_64_intdigest(host.encode()) >> 1] * n, pa.int64()),
-                        pa.array(prefixes),
-                        pa.array([stream] * n, pa.int64()),
-                        number,
-                    ],
-                    ["host", "prefix", "stream", "page"],
-                )
-
-    rows = parsed.select("page", "host", F.col("text").isNull().alias("undecided"), "outside")
-    return map_batches(rows, sort_keys, "host long, prefix long, stream long, page long")
+            for row in range(batch.num_rows):
+                chunk, hosts, blocks, counted = (batch.column(i)[row].as_py() for i in range(4))
+                every, sizes = [], []
+                for host, (zones, texts) in zip(hosts, json.loads(unsqueeze(blocks))):
+                    found = np.unique(_prefixes(host, zones, texts)[0])
+                    every.append(np.append(found, _whole_host(host)))
+                    sizes.append(len(every[-1]))
+                counts = np.isin(np.arange(len(hosts)), counted or [])
+                values, place = np.unique(np.concatenate(every), return_inverse=True)
+                pages = np.bincount(place, np.repeat(counts, sizes), len(values)).astype("<i8")
+                cuts = np.searchsorted(values, bounds).tolist()
+                for i, (low, high) in enumerate(zip([0, *cuts], [*cuts, len(values)])):
+                    if low < high:
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array([i], pa.int32()),
+                                pa.array([chunk], pa.int64()),
+                                pa.array([_packed(values[low:high])], pa.binary()),
+                                pa.array([squeeze(pages[low:high].tobytes())], pa.binary()),
+                            ],
+                            ["range", "chunk", "prefixes", "pages"],
+                        )
+
+    def summed(table: pa.Table) -> pa.Table:
+        each = [_unpacked(raw) for raw in table["prefixes"].to_pylist()]
+        pages = [np.frombuffer(unsqueeze(raw), "<i8") for raw in table["pages"].to_pylist()]
+        values, place = np.unique(np.concatenate(each), return_inverse=True)
+        total = np.bincount(place, np.concatenate(pages), len(values)).astype("<i8")[place]
+        ends = np.cumsum([len(x) for x in each])
+        rows = []
+        for chunk, found, end in zip(table["chunk"].to_pylist(), each, ends):
+            here = total[end - len(found) : end]
+            several = here > 1
+            rows.append((chunk, _packed(found[several]), squeeze(here[several].tobytes())))
+        kinds = (pa.int64(), pa.binary(), pa.binary())
+        return pa.table(
+            [pa.array(v, kind) for v, kind in zip(zip(*rows), kinds)], ["chunk", "prefixes", "pages"]
+        )
+
+    columns = ["chunk", "hosts", "blocks", "counted"]
+    known = chunks.join(_counted(chunks), "chunk", "left").select(*columns)
+    sent = map_batches(known, distinct, "range int, chunk long, prefixes binary, pages binary")
+    sums = map_groups(sent, ["range"], summed, "chunk long, prefixes binary, pages binary")
+    found = F.sort_array(F.collect_list(F.struct("prefixes", "pages"))).alias("found")
+    return sums.groupBy("chunk").agg(found)
+
+
+def chosen(
+    zones: list[int], words: np.ndarray, repeated: np.ndarray, usual: np.ndarray
+) -> list[int]:
+    """The blocks that are text: those that do not repeat, checked by the page's structure.
+
+    ``usual`` are the blocks that repeat on most pages of the host.
+    """
+    level = max(zones, default=CHROME)
+    long = words >= PARAGRAPH
+    if level >= MAIN:
+        inside = np.array(zones) == level
+        kept = inside & (~repeated | ~usual | long)
+        return np.flatnonzero(kept if kept.any() else inside).tolist()
+    other = np.array(zones, np.int64) == OTHER
+    kept = other & ~repeated
+    return np.flatnonzero(kept if kept.any() else other & long).tolist()
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
     """page_id, url and text for each row of (page_id, url, html)."""
-    numbered = _parse(pages).withColumn("page", F.monotonically_increasing_id())
-    parsed = stored(numbered, "pages")
-    decided = parsed.where("text is not null").select("page_id", "url", "text")
-    undecided = parsed.where("text is null").select("page", "page_id", "url", "zones", "outside")
-
-    suffixes = _suffixes(parsed.where("size(outside) > 0"))
-    repeated = (
-        suffixes.groupBy("host", "prefix")
-        .agg(F.min("stream").alias("low"), F.max("stream").alias("high"))
-        .where("low != high")
-        .select("host", "prefix")
-    )
-    covered = (
-        suffixes.where("page is not null")
-        .join(repeated, ["host", "prefix"], "left_semi")
-        .groupBy("page")
-        .agg(F.collect_set("prefix").alias("prefixes"))
-    )
+    chunks = _parse(pages)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = []
-            for zones, outside, known in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4))):
-                prefixes, owner = _prefixes(outside)
-                under = np.zeros(len(owner), bool)
-                if known:
-                    hits = np.flatnonzero(np.isin(prefixes, np.array(known, np.int64)))
-                    for step in range(DEPTH):
-                        under[hits + step] = True
-                n = np.bincount(owner, minlength=len(outside))
-                share = np.bincount(owner, under, len(outside)) / np.maximum(n, 1)
-                kept = [
-                    text
-                    for zone, text, part in zip(zones, outside, share)
-                    if zone == OTHER and part < COVERED
-                ]
-                if not kept:
-                    kept = [
-                        text
-                        for zone, text, words in zip(zones, outside, n)
-                        if zone == OTHER and words >= PARAGRAPH
-                    ]
-                texts.append("\n\n".join(kept))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(texts, pa.string())],
-                ["page_id", "url", "text"],
-            )
-
-    joined = undecided.join(covered, "page", "left").select(
-        "page_id", "url", "zones", "outside", "prefixes"
+            for row in range(batch.num_rows):
+                ids, urls, hosts, packed, found = (batch.column(i)[row].as_py() for i in range(5))
+                known = np.concatenate([_unpacked(part["prefixes"]) for part in found or []] or [[]])
+                pages_with = [np.frombuffer(unsqueeze(part["pages"]), "<i8") for part in found or []]
+                order = np.argsort(known)
+                known = np.append(known[order].astype(np.uint64), np.uint64(2**64 - 1))
+                counts = np.append(np.concatenate([*pages_with, []])[order], 1)
+
+                def on_pages(prefixes: np.ndarray) -> np.ndarray:
+                    at = np.searchsorted(known, prefixes)
+                    return np.where(known[at] == prefixes, counts[at], 1)
+
+                texts = []
+                for host, (zones, blocks) in zip(hosts, json.loads(unsqueeze(packed))):
+                    prefixes, owner = _prefixes(host, zones, blocks)
+                    n, on_host = on_pages(prefixes), on_pages(_whole_host(host))
+                    words = np.bincount(owner, minlength=len(blocks))
+
+                    def mostly(hits: np.ndarray) -> np.ndarray:
+                        under = np.zeros(len(owner), bool)
+                        for step in range(DEPTH):
+                            under[np.flatnonzero(hits) + step] = True
+                        share = np.bincount(owner, under, len(blocks)) / np.maximum(words, 1)
+                        return share >= COVERED
+
+                    usual = (n >= USUAL_PAGES) & (n >= USUAL_SHARE * on_host)
+                    kept = chosen(zones, words, mostly(n > 1), mostly(usual))
+                    texts.append("\n\n".join(blocks[i] for i in kept))
+                for low in range(0, len(ids), SLICE):
+                    some = slice(low, low + SLICE)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(ids[some], pa.int64()),
+                            pa.array(urls[some], pa.string()),
+                            pa.array(texts[some], pa.string()),
+                        ],
+                        ["page_id", "url", "text"],
+                    )
+
+    joined = chunks.join(_repeated(chunks), "chunk", "left").select(
+        "page_ids", "urls", "hosts", "blocks", "found"
     )
-    judged = map_batches(joined, judge, "page_id long, url string, text string")
-    return decided.unionAll(judged)
+    return map_batches(joined, judge, "page_id long, url string, text string")

@@ -346,3 +346,23 @@ def test_pipeline_stages_keep_columns(spark):
     kept = pipeline.keep_one_of_each(spark, odd_docs(spark), SMALL)
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 7, 8]
     assert pipeline.run(spark, SMALL).count() > 0
+
+
+def test_host_repeats_decide_pages_with_articles(spark):
+    """What most pages of a host repeat inside their articles goes; shared paragraphs stay."""
+    shared = "A paragraph that every page quotes and that is as long as prose usually is " * 2
+    rows = [
+        (i, f"http://h/{i}", "<article><h1>Title of page %d</h1><p>%s</p><p>%s</p><p>%s</p></article>" % (
+            i,
+            f"own{i} " * 20,
+            "Share this story with all of your friends",
+            shared if i < 4 else "Only two of the pages say so here" if i < 6 else f"end{i}",
+        ))
+        for i in range(8)
+    ]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = dict(values(extract_text(frame), "page_id", "text"))
+    for i in range(8):
+        last = shared.strip() if i < 4 else "Only two of the pages say so here" if i < 6 else f"end{i}"
+        own = " ".join([f"own{i}"] * 20)
+        assert got[i] == f"Title of page {i}\n\n{own}\n\n{last}"
