@@ -34,6 +34,17 @@ def unsqueeze(packed: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(packed)
 
 
+def packed(ascending: np.ndarray) -> bytes:
+    """Ascending numbers, as the bytes of their differences by place."""
+    steps = np.diff(ascending, prepend=np.uint64(0)).astype("<u8")
+    return squeeze(steps.view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    steps = np.frombuffer(unsqueeze(raw), np.uint8).reshape(8, -1).T
+    return np.cumsum(np.ascontiguousarray(steps).view("<u8").ravel(), dtype=np.uint64)
+
+
 def word_list(packed: bytes) -> list[bytes]:
     """The dictionary of a chunk; its words hold no space."""
     return unsqueeze(packed).split(b" ")

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obslake.llm.chunks import squeeze, squeezed, unsqueeze
+from obslake.llm.chunks import packed, squeeze, squeezed, unpacked, unsqueeze
 from obslake.llm.common import SLICE, as_bytes, map_batches, map_groups
 
 #: Tokens of a substring that is long enough to be boilerplate, and the covered share of a block.
@@ -236,17 +236,6 @@ def _prefixes(host: str, zones: list[int], texts: list[str]) -> tuple[np.ndarray
     return found >> np.uint64(64 - HASH_BITS), owner
 
 
-def _packed(ascending: np.ndarray) -> bytes:
-    """Ascending numbers, as the bytes of their differences by place."""
-    steps = np.diff(ascending, prepend=np.uint64(0)).astype("<u8")
-    return squeeze(steps.view(np.uint8).reshape(-1, 8).T.tobytes())
-
-
-def _unpacked(raw: bytes) -> np.ndarray:
-    steps = np.frombuffer(unsqueeze(raw), np.uint8).reshape(8, -1).T
-    return np.cumsum(np.ascontiguousarray(steps).view("<u8").ravel(), dtype=np.uint64)
-
-
 _CHUNKS = "page_ids array<long>, urls array<string>, hosts array<string>, streams array<long>, blocks binary, tokens long"
 
 
@@ -322,14 +311,14 @@ def _repeated(chunks: DataFrame) -> DataFrame:
                             [
                                 pa.array([i], pa.int32()),
                                 pa.array([chunk], pa.int64()),
-                                pa.array([_packed(values[low:high])], pa.binary()),
+                                pa.array([packed(values[low:high])], pa.binary()),
                                 pa.array([squeeze(pages[low:high].tobytes())], pa.binary()),
                             ],
                             ["range", "chunk", "prefixes", "pages"],
                         )
 
     def summed(table: pa.Table) -> pa.Table:
-        each = [_unpacked(raw) for raw in table["prefixes"].to_pylist()]
+        each = [unpacked(raw) for raw in table["prefixes"].to_pylist()]
         pages = [np.frombuffer(unsqueeze(raw), "<i8") for raw in table["pages"].to_pylist()]
         values, place = np.unique(np.concatenate(each), return_inverse=True)
         total = np.bincount(place, np.concatenate(pages), len(values)).astype("<i8")[place]
@@ -338,7 +327,7 @@ def _repeated(chunks: DataFrame) -> DataFrame:
         for chunk, found, end in zip(table["chunk"].to_pylist(), each, ends):
             here = total[end - len(found) : end]
             several = here > 1
-            rows.append((chunk, _packed(found[several]), squeeze(here[several].tobytes())))
+            rows.append((chunk, packed(found[several]), squeeze(here[several].tobytes())))
         kinds = (pa.int64(), pa.binary(), pa.binary())
         return pa.table(
             [pa.array(v, kind) for v, kind in zip(zip(*rows), kinds)], ["chunk", "prefixes", "pages"]
@@ -377,8 +366,8 @@ def extract_text(pages: DataFrame) -> DataFrame:
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                ids, urls, hosts, packed, found = (batch.column(i)[row].as_py() for i in range(5))
-                known = np.concatenate([_unpacked(part["prefixes"]) for part in found or []] or [[]])
+                ids, urls, hosts, raw, found = (batch.column(i)[row].as_py() for i in range(5))
+                known = np.concatenate([unpacked(part["prefixes"]) for part in found or []] or [[]])
                 pages_with = [np.frombuffer(unsqueeze(part["pages"]), "<i8") for part in found or []]
                 order = np.argsort(known)
                 known = np.append(known[order].astype(np.uint64), np.uint64(2**64 - 1))
@@ -389,7 +378,7 @@ def extract_text(pages: DataFrame) -> DataFrame:
                     return np.where(known[at] == prefixes, counts[at], 1)
 
                 texts = []
-                for host, (zones, blocks) in zip(hosts, json.loads(unsqueeze(packed))):
+                for host, (zones, blocks) in zip(hosts, json.loads(unsqueeze(raw))):
                     prefixes, owner = _prefixes(host, zones, blocks)
                     n, on_host = on_pages(prefixes), on_pages(_whole_host(host))
                     words = np.bincount(owner, minlength=len(blocks))

@@ -1,16 +1,18 @@
 """A hidden Markov model of words, trained on the whole corpus.
 
 The tokens of a text are its words, A-Z in lower case, parted by ASCII white space, and
-one end. The model's hidden states emit symbols: each of the FREQUENT commonest tokens is
-one, and all others share CLASSES symbols by their last bytes. A token of a class is then
-drawn from the class by its smoothed count, so every token has a probability. Start,
-transition and emission probabilities come from Baum-Welch passes over all training
-texts: each task runs forward-backward over its texts, cut into windows, and the expected
-counts are summed by Spark. Only their first values come from a bounded sample. The score
-of a text is the exact logarithm of its probability by the scaled forward recursion;
-windows of long texts become transition matrices first, which are then chained.
-
-The base score is that of a unigram model with the smoothing the caller names.
+one end. Every word of the training texts is a symbol of the hidden states, and all unknown
+words are one more. What is gathered is a table of words and states: each pass of
+Baum-Welch runs forward-backward over all training texts, cut into windows, in chunks of
+texts. A chunk sends the shares of the states in its words to ranges of words, where they
+are summed over the chunks, and gets the sums of its own words back, so no task holds the
+table. Shares travel as 16 bits each. First values are drawn by the words' hashes, so they
+do not depend on order or partitions, nor does the number of passes on the input's size.
+The score of a text is the exact logarithm of its probability by the scaled forward
+recursion; windows of long texts become transition matrices first, which are then chained.
+
+The base score is that of a unigram model with SMOOTH added to each count; the states'
+probabilities of words are smoothed alike.
 
 A null or empty text is one end token. Rows with a null doc_id are scored and not
 learned from. Repeated rows are learned from repeatedly and scored alike. Extra columns
@@ -20,21 +22,37 @@ unknown.
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obslake.llm.chunks import dictionary_rows, squeezed, unsqueeze, word_chunks, word_list
-from obslake.llm.common import map_batches, stored
-
-STATES, FREQUENT, CLASSES = 8, 8192, 256
-#: Full passes over the training texts, after PRIMING passes over at most PRIMERS tokens.
-PASSES, PRIMING, PRIMERS = 2, 12, 300_000
+from obslake.llm.chunks import (
+    dictionary_rows,
+    packed,
+    squeeze,
+    squeezed,
+    unpacked,
+    unsqueeze,
+    word_chunks,
+    word_list,
+)
+from obslake.llm.common import map_batches, map_groups, stored
+from obslake.session import work_dir
+
+STATES = 8
+#: Passes over the training texts.
+PASSES = 14
+#: Words of a chunk, and distinct words of a range, whose sums one task builds.
+CHUNK, RANGE = 2_000_000, 100_000
+#: What a share of one is when it travels.
+WHOLE = 2**16 - 1
+#: Rows of the state that are not for a chunk: totals of a range, and all other counts.
+TOTALS, MOVES = -1, -2
 #: Tokens of a window, and windows that run side by side.
 SPAN, ABREAST = 256, 2048
 SMOOTH = 0.1
@@ -46,10 +64,6 @@ def tokens_of(text: bytes) -> list[bytes]:
     return [*text.lower().split(), END]
 
 
-def word_class(word: bytes) -> int:
-    return zlib.crc32(word[-3:]) % CLASSES
-
-
 @dataclass
 class Model:
     """Probabilities: of the first state of a text and of a window inside one, of the
@@ -67,6 +81,8 @@ class Expected:
     inside: np.ndarray
     step: np.ndarray
     emit: np.ndarray
+    #: Natural logarithm of the probability of what was counted.
+    logs: float = 0.0
 
     @staticmethod
     def none(symbols: int) -> Expected:
@@ -102,6 +118,7 @@ def expect(model: Model, symbols: np.ndarray, lengths: np.ndarray, found: Expect
             n = active[t]
             now = (now if t == 0 else now[:n] @ step) * emit[seen[t, :n]]
             total = now.sum(axis=1)
+            found.logs += float(np.log(total).sum(dtype=np.float64))
             now = now / total[:, None]
             alpha[t, :n], scale[t, :n] = now, total
         beta = np.ones((len(rows), STATES), np.float32)
@@ -123,13 +140,21 @@ def expect(model: Model, symbols: np.ndarray, lengths: np.ndarray, found: Expect
             found.emit[:, k] += np.bincount(flat, alpha[:, :, k].ravel(), len(found.emit))
 
 
-def improve(found: Expected, share: np.ndarray) -> Model:
-    """Probabilities from expected counts, drawn a little towards the symbols' shares."""
+def moves(found: Expected) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Probabilities of first and next states from expected counts."""
     start = (found.start + 1) / (found.start.sum() + STATES)
     inside = (found.inside + 1) / (found.inside.sum() + STATES)
-    step = (found.step + 1) / (found.step + 1).sum(axis=1, keepdims=True)
-    emit = found.emit + 100 * share[:, None]
-    return Model(start, inside, step, emit / emit.sum(axis=0))
+    return start, inside, (found.step + 1) / (found.step + 1).sum(axis=1, keepdims=True)
+
+
+def emissions(counts: np.ndarray, totals: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Probabilities of symbols, drawn a little towards the symbols' shares."""
+    return (counts + 100 * share[:, None]) / (totals + 100)
+
+
+def improve(found: Expected, share: np.ndarray) -> Model:
+    """Probabilities from expected counts of all symbols."""
+    return Model(*moves(found), emissions(found.emit, found.emit.sum(axis=0), share))
 
 
 def log_likelihood(model: Model, symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -187,71 +212,179 @@ def _array_of(packed: bytes, kind: str) -> np.ndarray:
     return np.frombuffer(packed, kind)
 
 
-def _primed(encoded: DataFrame, share: np.ndarray) -> Model:
-    """First values: passes over the training texts of a few chunks, on the driver."""
-    rng = np.random.default_rng(5)
-    symbols, lengths, size = [], [], 0
-    first = [row["chunk"] for row in encoded.select("chunk").orderBy("chunk").limit(3).collect()]
-    few = encoded.where(F.col("chunk").isin(first)).orderBy("chunk")
-    for row in few.select("held_out", "lengths", "symbols").collect():
-        counts, seen = _array_of(row["lengths"], "<i4"), _array_of(row["symbols"], "<u2")
-        ends = np.cumsum(counts)
-        for held, end, n in zip(row["held_out"], ends, counts):
-            if not held and size + n <= PRIMERS:
-                symbols.append(seen[end - n : end])
-                lengths.append(n)
-                size += n
-    noise = rng.dirichlet(np.ones(STATES), len(share))
-    emit = share[:, None] * (0.5 / STATES + 0.5 * noise)
-    even = np.full(STATES, 1 / STATES)
-    stay = np.full((STATES, STATES), 0.1 / STATES) + np.eye(STATES) * 0.9
-    model = Model(even, even, stay, emit / emit.sum(axis=0))
-    for _ in range(PRIMING if lengths else 0):
-        found = Expected.none(len(share))
-        expect(model, np.concatenate(symbols).astype(np.int64), np.array(lengths), found)
-        model = improve(found, share)
-    return model
-
-
-def _baum_welch(encoded: DataFrame, model: Model, share: np.ndarray) -> Model:
-    """One pass over all training texts; the counts of the tasks are summed by row."""
-    shared = encoded.sparkSession.sparkContext.broadcast(model)
-    columns = ["part", "at", *[f"k{k}" for k in range(STATES)]]
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        found = Expected.none(len(known.emit))
-        for batch in batches:
-            for held, lengths, symbols in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                sizes = _array_of(lengths, "<i4").astype(np.int64)
-                learned = ~np.array(held, bool)
-                seen = _array_of(symbols, "<u2")[np.repeat(learned, sizes)].astype(np.int64)
-                if len(seen):
-                    expect(known, seen, sizes[learned], found)
-        for part, table in enumerate(
-            (found.start[None, :], found.inside[None, :], found.step, found.emit)
-        ):
-            at = np.flatnonzero(table.sum(axis=1))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(len(at), part, np.int32)),
-                    pa.array(at.astype(np.int32)),
-                    *[pa.array(table[at, k]) for k in range(STATES)],
-                ],
-                columns,
+def _first_shares(seeds: np.ndarray) -> np.ndarray:
+    """The states' shares in words before the first pass, half of them by the words' hashes."""
+    mixed = seeds.astype(np.uint64)[:, None] + np.arange(1, STATES + 1, dtype=np.uint64) * np.uint64(
+        0x9E3779B97F4A7C15
+    )
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        mixed = (mixed ^ (mixed >> np.uint64(shift))) * np.uint64(factor)
+    noise = -np.log(((mixed >> np.uint64(40)) + np.uint64(1)) / 2.0**24 * (1 - 2.0**-25))
+    return 0.5 / STATES + 0.5 * noise / noise.sum(axis=1, keepdims=True)
+
+
+def _sent(shares: np.ndarray) -> bytes:
+    return squeeze(np.rint(shares * WHOLE).astype("<u2").T.tobytes())
+
+
+def _received(raw: bytes) -> np.ndarray:
+    shares = np.frombuffer(unsqueeze(raw), "<u2").reshape(STATES, -1).T.astype(np.float64)
+    return shares / np.maximum(shares.sum(axis=1, keepdims=True), 1)
+
+
+@dataclass
+class Corpus:
+    """Training tokens, distinct ones, and the texts in chunks."""
+
+    tokens: int
+    types: int
+    encoded: DataFrame
+
+    def emit(self, counts: np.ndarray, shares: np.ndarray, totals: np.ndarray) -> np.ndarray:
+        """Probabilities of a chunk's words and, as the last, of an unknown one."""
+        n, whole = self.tokens, self.tokens + SMOOTH * (self.types + 1)
+        known = np.zeros((0, STATES))
+        if len(counts):
+            known = emissions(counts[:, None] * shares, totals, counts / n)
+        return np.concatenate([known * n + SMOOTH, np.full((1, STATES), SMOOTH)]) / whole
+
+
+def _sums(shares_of_chunk: Callable, rows: DataFrame, path: str) -> DataFrame:
+    """The state after a pass: the shares of each chunk's words, by range, and all totals.
+
+    ``shares_of_chunk`` gives a chunk's shares and its other counts from a row of ``rows``,
+    which begins with the chunk, its words' ids and their counts in the chunk's training texts.
+    """
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def sent(*values) -> pa.RecordBatch:
+            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([v], kind) for v, kind in zip(values, kinds)],
+                ["range", "chunk", "ids", "own", "shares"],
             )
 
-    kinds = ", ".join(f"{name} double" for name in columns[2:])
-    counts = map_batches(
-        encoded.select("held_out", "lengths", "symbols"), count, f"part int, at int, {kinds}"
+        for batch in batches:
+            for row in range(batch.num_rows):
+                chunk, ids, own, *rest = (batch.column(i)[row].as_py() for i in range(batch.num_columns))
+                ids, own = unpacked(ids), _array_of(unsqueeze(own), "<i4")
+                shares, others = shares_of_chunk(own, *rest)
+                yield sent(MOVES, chunk, None, None, others.astype("<f8").tobytes())
+                ranges = ids // np.uint64(RANGE)
+                cuts = np.flatnonzero(np.diff(ranges)) + 1
+                for low, high in zip([0, *cuts], [*cuts, len(ids)]):
+                    if low < high:
+                        yield sent(
+                            int(ranges[low]),
+                            chunk,
+                            packed(ids[low:high]),
+                            squeeze(own[low:high].tobytes()),
+                            _sent(shares[low:high]),
+                        )
+
+    def add(table: pa.Table) -> pa.Table:
+        at, chunks = table["range"][0].as_py(), table["chunk"].to_pylist()
+        sent = table["shares"].to_pylist()
+        if at == MOVES:
+            rows = [(MOVES, at, sum(_array_of(raw, "<f8") for raw in sent).tobytes())]
+        else:
+            each = [unpacked(raw) for raw in table["ids"].to_pylist()]
+            own = [_array_of(unsqueeze(raw), "<i4") for raw in table["own"].to_pylist()]
+            words, place = np.unique(np.concatenate(each), return_inverse=True)
+            ends = np.cumsum([len(x) for x in each])
+            total = np.zeros((len(words), STATES))
+            for ids, counts, raw, end in zip(each, own, sent, ends):
+                # No word is twice in a chunk.
+                total[place[end - len(ids) : end]] += counts[:, None] * _received(raw)
+            counts = np.rint(total.sum(axis=1))
+            total = np.rint(total / np.maximum(counts, 1)[:, None] * WHOLE) / WHOLE
+            rows = [
+                (chunk, at, _sent(total[place[end - len(ids) : end]]))
+                for chunk, ids, end in zip(chunks, each, ends)
+            ]
+            total /= np.maximum(total.sum(axis=1, keepdims=True), 1 / WHOLE)
+            rows.append((TOTALS, at, (counts @ total).astype("<f8").tobytes()))
+        kinds = (pa.int64(), pa.int64(), pa.binary())
+        return pa.table(
+            [pa.array(v, kind) for v, kind in zip(zip(*rows), kinds)], ["chunk", "range", "shares"]
+        )
+
+    shares = map_batches(
+        rows, send, "range long, chunk long, ids binary, own binary, shares binary"
     )
-    sums = counts.groupBy("part", "at").agg(*[F.sum(name).alias(name) for name in columns[2:]])
-    found = Expected.none(len(share))
-    parts = [found.start[None, :], found.inside[None, :], found.step, found.emit]
-    # As many rows as the model has symbols and states.
-    for row in sums.collect():
-        parts[row["part"]][row["at"]] = [row[name] for name in columns[2:]]
-    return improve(found, share)
+    sums = map_groups(shares, ["range"], add, "chunk long, range long, shares binary")
+    sums.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    spark = rows.sparkSession
+    # Else the shuffles of all passes stay until the driver happens to collect its garbage.
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(sums.schema).parquet(path)
+
+
+def _with_shares(corpus: Corpus, state: DataFrame, columns: list[str]) -> DataFrame:
+    """The chunks with the shares of their words."""
+    in_order = F.sort_array(F.collect_list(F.struct("range", "shares")))
+    shares = state.where("chunk >= 0").groupBy("chunk").agg(in_order["shares"].alias("shares"))
+    return corpus.encoded.join(shares, "chunk", "left").select(*columns, "shares")
+
+
+def _joined(shares: list[bytes] | None) -> np.ndarray:
+    return np.concatenate([np.zeros((0, STATES)), *[_received(raw) for raw in shares or []]])
+
+
+def _totals(state: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Expected counts of the states, and all other counts."""
+    totals, others = np.zeros(STATES), None
+    # A row for each range of words.
+    for row in state.where("chunk < 0").orderBy("range").collect():
+        if row["chunk"] == TOTALS:
+            totals += _array_of(row["shares"], "<f8")
+        else:
+            others = _array_of(row["shares"], "<f8")
+    return totals, others
+
+
+def train(corpus: Corpus) -> tuple[Model, np.ndarray, DataFrame]:
+    """The model without its emissions, the states' expected counts, and the words' shares."""
+    spark, encoded = corpus.encoded.sparkSession, corpus.encoded
+    paths = [work_dir(spark, "shares"), work_dir(spark, "shares")]
+    even = np.full(STATES, 1 / STATES)
+    stay = np.full((STATES, STATES), 0.1 / STATES) + np.eye(STATES) * 0.9
+    none = np.zeros((0, STATES))
+    model = Model(even, even, stay, none)
+
+    def first(own: np.ndarray, seeds: bytes) -> tuple[np.ndarray, np.ndarray]:
+        return _first_shares(_array_of(unsqueeze(seeds), "<u4")), np.zeros(1)
+
+    state = _sums(first, encoded.select("chunk", "ids", "own", "seeds"), paths[0])
+    totals, _ = _totals(state)
+    for turn in range(1, PASSES + 1):
+        shared = spark.sparkContext.broadcast((model, totals))
+        size = Corpus(corpus.tokens, corpus.types, None)
+
+        def expected(
+            own: np.ndarray, held: list, lengths: bytes, symbols: bytes, counts: bytes, shares: list
+        ) -> tuple[np.ndarray, np.ndarray]:
+            known, of_states = shared.value
+            emit = size.emit(_array_of(unsqueeze(counts), "<i8"), _joined(shares), of_states)
+            found = Expected.none(len(emit))
+            sizes = _array_of(lengths, "<i4").astype(np.int64)
+            learned = ~np.array(held, bool)
+            seen = _array_of(unsqueeze(symbols), "<u4")[np.repeat(learned, sizes)].astype(np.int64)
+            if len(seen):
+                expect(Model(known.start, known.inside, known.step, emit), seen, sizes[learned], found)
+            shares = found.emit[:-1] / np.maximum(found.emit[:-1].sum(axis=1, keepdims=True), 1e-30)
+            others = [found.start, found.inside, found.step.ravel(), [found.logs]]
+            return shares, np.concatenate(others)
+
+        rows = _with_shares(
+            corpus, state, ["chunk", "ids", "own", "held_out", "lengths", "symbols", "counts"]
+        )
+        state = _sums(expected, rows, paths[turn % 2])
+        totals, others = _totals(state)
+        k = STATES
+        found = Expected(others[:k], others[k : 2 * k], others[2 * k : -1].reshape(k, k), none)
+        model = Model(*moves(found), none)
+    return model, totals, state
 
 
 def score_texts(docs: DataFrame) -> DataFrame:
@@ -260,120 +393,107 @@ def score_texts(docs: DataFrame) -> DataFrame:
     ``docs`` has doc_id, held_out and text; the rows that are not held out are learned from.
     """
     spark = docs.sparkSession
-    chunks = word_chunks(docs, tokens_of)
+    chunks = word_chunks(docs, tokens_of, CHUNK)
     counts = stored(
         dictionary_rows(chunks, lambda words, counts: np.flatnonzero(counts))
         .groupBy("word")
-        .agg(F.sum("c").alias("c")),
+        .agg(F.sum("c").alias("c"))
+        .withColumn("id", F.monotonically_increasing_id()),
         "counts",
     )
     whole = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = whole["n"] or 0, whole["v"]
-    top = counts.orderBy(F.desc("c"), "word").limit(FREQUENT).collect()
-    frequent = {bytes(row["word"]): (i, row["c"]) for i, row in enumerate(top)}
-    shared_frequent = spark.sparkContext.broadcast(frequent)
-
-    def of_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, types = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
-        for batch in batches:
-            for word, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if word not in shared_frequent.value:
-                    at = word_class(word)
-                    tokens[at] += c
-                    types[at] += 1
-        numbers = pa.array(np.arange(CLASSES, dtype=np.int32))
-        yield pa.RecordBatch.from_arrays(
-            [numbers, pa.array(tokens), pa.array(types)], ["class", "tokens", "types"]
-        )
-
-    in_class, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
-    sums = map_batches(counts, of_class, "class int, tokens long, types long").groupBy("class")
-    for row in sums.agg(F.sum("tokens").alias("n"), F.sum("types").alias("v")).collect():
-        in_class[row["class"]], kinds[row["class"]] = row["n"], row["v"]
-    share = np.array([c for _, c in frequent.values()] + in_class.tolist()) + SMOOTH
-    share = share / share.sum()
-
-    def rare(words: list[bytes], counts: np.ndarray) -> np.ndarray:
-        known = shared_frequent.value
-        return np.array([i for i, word in enumerate(words) if word not in known], np.int64)
-
-    wanted = dictionary_rows(chunks, rare).drop("c")
+    wanted = dictionary_rows(chunks, lambda words, _: np.arange(len(words))).drop("c")
     answers = (
         wanted.join(counts, "word")
         .groupBy("chunk")
-        .agg(F.collect_list("at").alias("at"), F.collect_list("c").alias("c"))
+        .agg(*[F.collect_list(name).alias(name) for name in ("at", "id", "c")])
     )
     base_total = np.log10(n + SMOOTH * (v + 1))
-    class_total = np.log10(in_class + SMOOTH * (kinds + 1))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared_frequent.value
         for batch in batches:
             for row in range(batch.num_rows):
-                chunk, ids, held, lengths, numbers, words, at, c = (
-                    batch.column(i)[row] for i in range(8)
+                chunk, ids, held, lengths, numbers, words, at, word_ids, c = (
+                    batch.column(i)[row] for i in range(9)
                 )
                 words = word_list(words.as_py())
-                total = np.zeros(len(words), np.int64)
-                if at.is_valid:
-                    total[at.values.to_numpy()] = c.values.to_numpy()
-                symbol = np.empty(len(words), np.uint16)
-                inside = np.zeros(len(words))
-                for i, word in enumerate(words):
-                    hit = known.get(word)
-                    if hit is not None:
-                        symbol[i], total[i] = hit
-                    else:
-                        kind = word_class(word)
-                        symbol[i] = len(known) + kind
-                        inside[i] = class_total[kind]
-                common = symbol < len(known)
-                inside = np.where(common, 0.0, np.log10(total + SMOOTH) - inside)
-                base = np.log10(total + SMOOTH) - base_total
+                spots, total, numbered = (
+                    column.values.to_numpy() if column.is_valid else np.zeros(0, np.int64)
+                    for column in (at, c, word_ids)
+                )
+                order = np.argsort(numbered)
+                spots, total, numbered = spots[order], total[order], numbered[order]
+                symbol = np.full(len(words), len(spots), np.uint32)
+                symbol[spots] = np.arange(len(spots))
+                seeds = [xxhash.xxh32_intdigest(words[i]) for i in spots.tolist()]
                 sizes = _array_of(lengths.as_py(), "<i4")
-                places = _array_of(unsqueeze(numbers.as_py()), "<i4")
+                symbols = symbol[_array_of(unsqueeze(numbers.as_py()), "<i4")]
+                learned = np.repeat(~np.array(held.as_py(), bool), sizes)
+                own = np.bincount(symbols[learned], minlength=len(spots) + 1)[:-1]
+                base = np.log10(np.append(total, 0) + SMOOTH) - base_total
                 first = np.cumsum(sizes) - sizes  # every text has its end, so none is empty
+                known = np.add.reduceat((symbols < len(spots)).astype(np.int64), first)
+                binary = [
+                    sizes.tobytes(),
+                    squeeze(symbols.astype("<u4").tobytes()),
+                    packed(numbered.astype(np.uint64)),
+                    squeeze(own.astype("<i4").tobytes()),
+                    squeeze(total.astype("<i8").tobytes()),
+                    squeeze(np.array(seeds, "<u4").tobytes()),
+                ]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([chunk.as_py()], pa.int64()),
                         pa.array([ids.as_py()], pa.list_(pa.int64())),
                         pa.array([held.as_py()], pa.list_(pa.bool_())),
-                        pa.array([sizes.tobytes()], pa.binary()),
-                        pa.array([symbol[places].astype("<u2").tobytes()], pa.binary()),
-                        pa.array([np.add.reduceat(base[places], first)], pa.list_(pa.float64())),
-                        pa.array([np.add.reduceat(inside[places], first)], pa.list_(pa.float64())),
-                        pa.array(
-                            [np.add.reduceat((total > 0)[places].astype(np.int64), first)],
-                            pa.list_(pa.int64()),
-                        ),
+                        *[pa.array([value], pa.binary()) for value in binary],
+                        pa.array([np.add.reduceat(base[symbols], first)], pa.list_(pa.float64())),
+                        pa.array([known], pa.list_(pa.int64())),
                     ],
-                    ["chunk", "doc_ids", "held_out", "lengths", "symbols", "base", "inside", "known"],
+                    ["chunk", "doc_ids", "held_out", "lengths", "symbols", "ids", "own"]
+                    + ["counts", "seeds", "base", "known"],
                 )
 
-    columns = ["chunk", "doc_ids", "held_out", "lengths", "numbers", "words", "at", "c"]
+    columns = ["chunk", "doc_ids", "held_out", "lengths", "numbers", "words", "at", "id", "c"]
     encoded = squeezed(
         map_batches(
             chunks.join(answers, "chunk", "left").select(*columns),
             encode,
             "chunk long, doc_ids array<long>, held_out array<boolean>, lengths binary,"
-            " symbols binary, base array<double>, inside array<double>, known array<long>",
+            " symbols binary, ids binary, own binary, counts binary, seeds binary,"
+            " base array<double>, known array<long>",
         ),
         "encoded",
     )
-    model = _primed(encoded, share)
-    for _ in range(PASSES):
-        model = _baum_welch(encoded, model, share)
-    shared = spark.sparkContext.broadcast(model)
+    corpus = Corpus(n, v, encoded)
+    even = np.full(STATES, 1 / STATES)
+    step = np.full((STATES, STATES), 1 / STATES)
+    trained = Model(even, even, step, step), np.zeros(STATES), None
+    if n:
+        trained = train(corpus)
+    model, totals, state = trained
+    columns = ["doc_ids", "held_out", "lengths", "symbols", "counts", "base", "known"]
+    if state is None:
+        rows = encoded.select(*columns, F.lit(None).cast("array<binary>").alias("shares"))
+    else:
+        rows = _with_shares(corpus, state, columns)
+    shared = spark.sparkContext.broadcast((model, totals))
+    size = Corpus(n, v, None)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                ids, held, lengths, symbols, base, inside, known = (
-                    batch.column(i)[row] for i in range(7)
+                ids, held, lengths, symbols, counts, base, known, shares = (
+                    batch.column(i)[row] for i in range(8)
                 )
+                model, totals = shared.value
+                counts = _array_of(unsqueeze(counts.as_py()), "<i8")
+                emit = size.emit(counts, _joined(shares.as_py()), totals)
                 sizes = _array_of(lengths.as_py(), "<i4").astype(np.int64)
-                seen = _array_of(symbols.as_py(), "<u2").astype(np.int64)
-                logs = log_likelihood(shared.value, seen, sizes) / np.log(10)
+                seen = _array_of(unsqueeze(symbols.as_py()), "<u4").astype(np.int64)
+                whole = Model(model.start, model.inside, model.step, emit)
+                logs = log_likelihood(whole, seen, sizes) / np.log(10)
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.values,
@@ -382,14 +502,14 @@ def score_texts(docs: DataFrame) -> DataFrame:
                         known.values,
                         pa.array(np.full(len(sizes), n, np.int64)),
                         base.values,
-                        pa.array(logs + inside.values.to_numpy()),
+                        pa.array(logs),
                     ],
                     ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens"]
                     + ["base_score", "score"],
                 )
 
     return map_batches(
-        encoded.select("doc_ids", "held_out", "lengths", "symbols", "base", "inside", "known"),
+        rows,
         score,
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long,"
         " base_score double, score double",

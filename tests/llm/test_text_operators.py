@@ -366,3 +366,18 @@ def test_host_repeats_decide_pages_with_articles(spark):
         last = shared.strip() if i < 4 else "Only two of the pages say so here" if i < 6 else f"end{i}"
         own = " ".join([f"own{i}"] * 20)
         assert got[i] == f"Title of page {i}\n\n{own}\n\n{last}"
+
+
+def test_hidden_markov_learns_states_of_rare_words(spark):
+    """Words beyond any fixed number of common ones tell the states apart, too."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(1500):
+        group = "ab"[i % 2]
+        words = " ".join(f"{group}{w}" for w in rng.integers(0, 8000, 100))
+        rows.append((i, i >= 1400, words))
+    docs = spark.createDataFrame(rows, "doc_id long, held_out boolean, text string").repartition(3)
+    found = lm.score_texts(docs).where("held_out").collect()
+    tokens = sum(row.n_tokens for row in found)
+    # The best is a factor of two for each word: its group is known from the others.
+    assert sum(row.score - row.base_score for row in found) / tokens > 0.2
