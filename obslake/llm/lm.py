@@ -7,7 +7,7 @@ Baum-Welch runs forward-backward over all training texts, cut into windows, in c
 texts. A chunk sends the shares of the states in its words to ranges of words, where they
 are summed over the chunks, and gets the sums of its own words back, so no task holds the
 table. Shares travel as 16 bits each. First values are drawn by the words' hashes, so they
-do not depend on order or partitions, nor does the number of passes on the input's size.
+do not depend on order or partitions, and passes are made until the likelihood settles.
 The score of a text is the exact logarithm of its probability by the scaled forward
 recursion; windows of long texts become transition matrices first, which are then chained.
 
@@ -45,8 +45,8 @@ from obslake.llm.common import map_batches, map_groups, stored
 from obslake.session import work_dir
 
 STATES = 8
-#: Passes over the training texts.
-PASSES = 14
+#: Training has settled when a pass raises the log likelihood by less than this share of it.
+SETTLED = 1e-3
 #: Words of a chunk, and distinct words of a range, whose sums one task builds.
 CHUNK, RANGE = 2_000_000, 100_000
 #: What a share of one is when it travels.
@@ -357,7 +357,8 @@ def train(corpus: Corpus) -> tuple[Model, np.ndarray, DataFrame]:
 
     state = _sums(first, encoded.select("chunk", "ids", "own", "seeds"), paths[0])
     totals, _ = _totals(state)
-    for turn in range(1, PASSES + 1):
+    logs: list[float] = []
+    while len(logs) < 2 or logs[-1] - logs[-2] > SETTLED * abs(logs[-1]):
         shared = spark.sparkContext.broadcast((model, totals))
         size = Corpus(corpus.tokens, corpus.types, None)
 
@@ -379,11 +380,12 @@ def train(corpus: Corpus) -> tuple[Model, np.ndarray, DataFrame]:
         rows = _with_shares(
             corpus, state, ["chunk", "ids", "own", "held_out", "lengths", "symbols", "counts"]
         )
-        state = _sums(expected, rows, paths[turn % 2])
+        state = _sums(expected, rows, paths[1 - len(logs) % 2])
         totals, others = _totals(state)
         k = STATES
         found = Expected(others[:k], others[k : 2 * k], others[2 * k : -1].reshape(k, k), none)
         model = Model(*moves(found), none)
+        logs.append(others[-1])
     return model, totals, state
 
 

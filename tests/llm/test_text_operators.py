@@ -381,3 +381,12 @@ def test_hidden_markov_learns_states_of_rare_words(spark):
     tokens = sum(row.n_tokens for row in found)
     # The best is a factor of two for each word: its group is known from the others.
     assert sum(row.score - row.base_score for row in found) / tokens > 0.2
+
+
+def test_hidden_markov_learns_alike_from_any_order(spark):
+    docs = documents(spark).select("doc_id", "text")
+    docs = docs.withColumn("held_out", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0)
+    one = dict(values(lm.score_texts(docs.coalesce(1)), "doc_id", "score"))
+    other = docs.repartitionByRange(8, F.desc("text"))
+    for doc_id, score in values(lm.score_texts(other), "doc_id", "score"):
+        assert score == pytest.approx(one[doc_id], rel=2e-3)
