@@ -2,12 +2,14 @@
 
 A text's spaces become the space mark, one more stands in front, and a word is a mark
 with what follows up to the next one. A word is cut between two characters that stand
-side by side in no piece, which no way through the lattice can bridge, and after LONGEST
-characters. The distinct parts of the corpus are a table. Their substrings, as long as the
+side by side in no piece, which no way through the lattice can bridge, and nowhere else.
+The distinct parts of the corpus are a table. Their substrings, as long as the
 longest piece that begins like them, are exploded and joined to the piece table on
 equality; what matches is an edge. Edges are grouped by part, and a fold over
 the part's positions keeps the best way to each (Viterbi, the largest sum of the
-pieces' scores). A character that is no piece is an edge of its bytes, at a cost that no
+pieces' scores). Parts of more than LONGEST characters are exploded in blocks, which overlap
+by a piece, and their edges folded from the last position to the first, in time that grows
+with their number. A character that is no piece is an edge of its bytes, at a cost that no
 piece has. The codes come back to the texts through the dictionaries of the chunks that
 hold these.
 
@@ -35,13 +37,15 @@ from obslake.llm.chunks import dictionary_rows, squeezed, unsqueeze, word_chunks
 from obslake.llm.common import map_batches
 
 MARK = "▁"
-#: Characters of a part, and what a byte without a piece costs.
+#: Characters of a part whose edges are one number each, and what a byte without a piece costs.
 LONGEST, BYTE_COST = 32, 1e5
 #: An edge is one number: end and start, then the score's size, then the piece.
 PLACE_BITS, SCORE_BITS, ID_BITS = 6, 31, 20
 NO_PIECE = 2**ID_BITS - 1
 #: Characters that a piece's bound on its length is looked up by.
 PREFIX = 3
+#: Characters of a longer part that are exploded together.
+BLOCK = 256
 #: Parts of a chunk: large ones have fewer dictionary entries in all.
 CHUNK = 4_000_000
 #: Distinct parts whose lattices one task builds.
@@ -72,7 +76,7 @@ class Splitter:
     def cut(self, word: str) -> list[bytes]:
         parts, start = [], 0
         for at in range(1, len(word) + 1):
-            if at - start == LONGEST or word[at - 1 : at + 1] not in self.bridged:
+            if word[at - 1 : at + 1] not in self.bridged:
                 parts.append(word[start:at].encode())
                 start = at
         return parts if start == len(word) else [*parts, word[start:].encode()]
@@ -109,9 +113,35 @@ def _fixed_point(pieces: DataFrame) -> tuple[float, int]:
     return scale, math.floor(high * scale)
 
 
+def best_way(
+    word: str, edges: list[tuple[int, int, int, int]], byte_zero: int, byte_points: int
+) -> list[int]:
+    """The codes of the best way through edges (start, size, points, piece).
+
+    Ways from one start differ in their first code, so the largest one settles a tie.
+    """
+    best: list[tuple[int, int, int]] = [(0, 0, 0)] * (len(word) + 1)
+    reached = [False] * len(word)
+    for start, n, points, piece in sorted(edges, reverse=True):
+        if piece == NO_PIECE:
+            raw = word[start - 1].encode()
+            points, piece = byte_points * len(raw), byte_zero + raw[0]
+        way = (points + best[start - 1 + n][0], piece, n)
+        if not reached[start - 1] or way[:2] > best[start - 1][:2]:
+            best[start - 1], reached[start - 1] = way, True
+    codes, at = [], 0
+    while at < len(word):
+        _, piece, n = best[at]
+        raw = word[at].encode() if n == 1 and piece == byte_zero + word[at].encode()[0] else None
+        codes += [piece] if raw is None else [byte_zero + b for b in raw]
+        at += n
+    return codes
+
+
 def encode_parts(parts: DataFrame, model_path: str) -> DataFrame:
     """(word, codes) for distinct parts."""
     spark = parts.sparkSession
+    short = parts.where(F.length("word") <= LONGEST)
     pieces = piece_table(spark, model_path)
     longest = pieces.agg(F.max(F.length("piece"))).first()[0]
     scale, high = _fixed_point(pieces)
@@ -124,19 +154,25 @@ def encode_parts(parts: DataFrame, model_path: str) -> DataFrame:
         F.max(F.length("piece")).alias("longest")
     )
     byte_zero = _model(model_path).piece_to_id("<0x00>")
-    starts = parts.select(
+
+    def edges_of(starts: DataFrame, key: str) -> DataFrame:
+        """The pieces that begin at a start with ``rest``, and every single character."""
+        # The vocabulary is fixed: some ten thousand pieces, and fewer ways to begin one.
+        bounded = starts.withColumn("begins", F.left("rest", F.lit(PREFIX))).join(
+            F.broadcast(bounds), "begins", "left"
+        )
+        bound = F.greatest(F.coalesce("longest", F.lit(1)), F.lit(PREFIX - 1))
+        lengths = F.sequence(F.lit(1), F.least(bound, F.length("rest")))
+        substrings = bounded.select(key, "start", "rest", F.explode(lengths).alias("n")).select(
+            key, "start", "n", F.left("rest", "n").alias("piece")
+        )
+        found = substrings.join(F.broadcast(scored), "piece", "left")
+        return found.where("id is not null or n = 1")
+
+    starts = short.select(
         "word", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("start")
     ).withColumn("rest", F.substring("word", F.col("start"), F.lit(longest)))
-    # The vocabulary is fixed: some ten thousand pieces, and fewer ways to begin one.
-    bounded = starts.withColumn("begins", F.left("rest", F.lit(PREFIX))).join(
-        F.broadcast(bounds), "begins", "left"
-    )
-    bound = F.greatest(F.coalesce("longest", F.lit(1)), F.lit(PREFIX - 1))
-    lengths = F.sequence(F.lit(1), F.least(bound, F.length("rest")))
-    substrings = bounded.select("word", "start", "rest", F.explode(lengths).alias("n")).select(
-        "word", "start", "n", F.left("rest", "n").alias("piece")
-    )
-    edges = substrings.join(F.broadcast(scored), "piece", "left").where("id is not null or n = 1")
+    edges = edges_of(starts, "word")
     packed = F.lit(0).cast("long")
     for value, bits in (
         (F.col("start") + F.col("n"), PLACE_BITS),
@@ -181,7 +217,44 @@ def encode_parts(parts: DataFrame, model_path: str) -> DataFrame:
     origin = F.array(F.struct(F.lit(0).cast("long").alias("points"), nothing))
     ends = F.transform(F.sequence(F.lit(2), F.length("word") + 1), lambda end: end.cast("long"))
     folded = F.aggregate(ends, origin, reach)
-    return lattice.select("word", F.element_at(folded, -1)["codes"].alias("codes"))
+    coded = lattice.select("word", F.element_at(folded, -1)["codes"].alias("codes"))
+
+    numbered = parts.where(F.length("word") > LONGEST).withColumn(
+        "part", F.monotonically_increasing_id()
+    )
+    long = squeezed(numbered, "long-words")
+    last = F.floor((F.length("word") - 1) / BLOCK).cast("int")
+    block = F.transform(
+        F.sequence(F.lit(0), last),
+        lambda i: F.substring(F.col("word"), i * BLOCK + 1, F.lit(BLOCK + longest - 1)),
+    )
+    blocks = long.select("part", F.posexplode(block).alias("block", "text"))
+    inside = F.sequence(F.lit(1), F.least(F.lit(BLOCK), F.length("text")))
+    starts = blocks.select("part", "block", "text", F.explode(inside).alias("at")).select(
+        "part",
+        (F.col("block") * BLOCK + F.col("at")).alias("start"),
+        F.substring("text", F.col("at"), F.lit(longest)).alias("rest"),
+    )
+    edge = F.struct(
+        "start",
+        "n",
+        F.coalesce(F.col("points") - zero, F.lit(0)).alias("points"),
+        F.coalesce("id", F.lit(NO_PIECE)).alias("id"),
+    )
+    lattice = edges_of(starts, "part").groupBy("part").agg(F.collect_list(edge).alias("edges"))
+    byte_points = round(-BYTE_COST * scale)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for word, edges in zip(batch.column(0).to_pylist(), batch.column(1)):
+                fields = (edges.values.field(i).to_pylist() for i in range(4))
+                codes = best_way(word, list(zip(*fields)), byte_zero, byte_points)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([word]), pa.array([codes], pa.list_(pa.int32()))], ["word", "codes"]
+                )
+
+    folded = long.join(lattice, "part").select("word", "edges")
+    return coded.unionAll(map_batches(folded, fold, "word string, codes array<int>"))
 
 
 def encode_texts(docs: DataFrame, model_path: str) -> DataFrame:

@@ -390,3 +390,32 @@ def test_hidden_markov_learns_alike_from_any_order(spark):
     other = docs.repartitionByRange(8, F.desc("text"))
     for doc_id, score in values(lm.score_texts(other), "doc_id", "score"):
         assert score == pytest.approx(one[doc_id], rel=2e-3)
+
+
+def test_long_bridged_words_equal_a_plain_viterbi(spark):
+    rng = np.random.default_rng(12)
+    words = ["-" * 80, "antidisestablishmentarianismfloccinaucinihilipilification", "a" * 33]
+    words += ["=" * 1000, "".join(rng.choice(list("etaoinshr"), 900)), "thе" + "ing" * 200]
+    docs = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "doc_id long, text string")
+    coded = pieces.encode_texts(docs, piece_model())
+    back = {r.doc_id: r for r in pieces.decode_texts(coded, piece_model()).collect()}
+    model = pieces._model(piece_model())
+    known = {
+        model.id_to_piece(i): (model.get_score(i), i)
+        for i in range(model.get_piece_size())
+        if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))
+    }
+    longest, zero = max(map(len, known)), model.piece_to_id("<0x00>")
+    for i, text in enumerate(words):
+        word, best = "▁" + text, [(0.0, [])]
+        for end in range(1, len(word) + 1):
+            ways = []
+            for start in range(max(0, end - longest), end):
+                part, (points, codes) = word[start:end], best[start]
+                if part in known:
+                    ways.append((points + known[part][0], [*codes, known[part][1]]))
+                elif len(part) == 1:
+                    raw = part.encode()
+                    ways.append((points - pieces.BYTE_COST * len(raw), [*codes, *[zero + b for b in raw]]))
+            best.append(max(ways))
+        assert back[i].codes == best[-1][1] and back[i].text == text
