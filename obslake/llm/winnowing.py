@@ -1,11 +1,13 @@
-"""Document fingerprints by winnowing over word k-grams.
+"""Document fingerprints by winnowing over k-grams of characters.
 
-Words are parted by ASCII white space. Every run of GRAM words is hashed; of every WINDOW
-hashes in a row the least is marked, the rightmost of equal ones, with its position. Two
-texts that share GRAM + WINDOW - 1 words in a row therefore share a mark. A text with
-fewer words than a gram is one gram, one with fewer grams than a window is one window. All
-of it is column expressions on arrays; a mark is one long, 32 bits of hash above 31 bits
-that fall as the position rises, so that the least of a window is its rightmost least hash.
+ASCII white space counts as one space, and none at the ends. Every run of GRAM characters
+is hashed; of every WINDOW hashes in a row the least is marked, the rightmost of equal
+ones, with its position. Two texts that share GRAM + WINDOW - 1 characters in a row
+therefore share a mark, with or without spaces in them. A text of less than FEW grams has
+all of them as marks: two such texts need to share GRAM characters only. A text shorter than
+a gram is one gram. All of it is column expressions on arrays; a mark is one long, 32 bits of
+hash above 31 bits that fall as the position rises, so that the least of a window is its
+rightmost least hash.
 
 A null text is empty; a text without words has no marks. Equal texts have equal marks. Two
 empty fingerprints are alike (1), an empty one is unlike any other (0). Rows with a null
@@ -18,29 +20,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-GRAM, WINDOW = 5, 8
+#: Characters of a gram, grams of a window, and of a text that keeps all.
+GRAM, WINDOW, FEW = 8, 12, 48
 #: Documents of a range of ids that is handled together, on average.
 RANGE_ROWS = 2000
 _QUANTILES = 64
 _LOW = (1 << 31) - 1
-_BLANK = " \t\n\x0b\f\r"
 
 
 def with_marks(rows: DataFrame, text: str, marks: str) -> DataFrame:
     """Adds the marks of a text column, in the order of their positions."""
-    trimmed = F.btrim(F.col(text), F.lit(_BLANK))
-    words = F.split(trimmed, "[ \\t-\\r]+")
-    hashes = F.transform(words, lambda word: F.xxhash64(word))
-    rows = rows.withColumn("_h", hashes).withColumn("_n", F.size("_h"))
-    h = F.col("_h")
-
-    def gram(first: Column, i: Column) -> Column:
-        mixed = F.xxhash64(first, *[F.get(h, i + j) for j in range(1, GRAM)])
-        bits = F.shiftleft(mixed.bitwiseAND(F.lit(0xFFFFFFFF)), 31)
+    spaced = F.regexp_replace(F.col(text), "[ \\t-\\r]+", " ")
+    rows = rows.withColumn("_t", F.btrim(spaced, F.lit(" ")))
+    # Each place where a gram begins matches, and the gram is what is seen from there.
+    grams = F.regexp_extract_all(F.col("_t"), F.lit(f"(?s)(?=(.{{{GRAM}}}))"), F.lit(1))
+    whole = F.length("_t") <= GRAM
+    rows = rows.withColumn("_g", F.when(whole, F.array("_t")).otherwise(grams))
+
+    def mark(gram: Column, i: Column) -> Column:
+        bits = F.shiftleft(F.xxhash64(gram).bitwiseAND(F.lit(0xFFFFFFFF)), 31)
         return bits.bitwiseOR((F.lit(_LOW) - i).cast("long"))
 
-    heads = F.slice(h, F.lit(1), F.greatest(F.col("_n") - (GRAM - 1), F.lit(1)))
-    rows = rows.withColumn("_m", F.transform(heads, gram))
+    rows = rows.withColumn("_a", F.transform("_g", mark)).drop("_g")
+    rows = rows.withColumn("_m", F.col("_a"))
     width = 1
     while width < WINDOW:
         step = min(width, WINDOW - width)
@@ -49,10 +51,11 @@ def with_marks(rows: DataFrame, text: str, marks: str) -> DataFrame:
         rows = rows.withColumn("_m", F.zip_with(m, later, lambda a, b: F.least(a, b)))
         width += step
     windows = F.greatest(F.size("_m") - (WINDOW - 1), F.lit(1))
-    found = F.array_distinct(F.slice("_m", F.lit(1), windows))
-    blank = F.btrim(F.col(text), F.lit(_BLANK)) == ""
+    least = F.array_distinct(F.slice("_m", F.lit(1), windows))
+    found = F.when(F.size("_a") < FEW, F.col("_a")).otherwise(least)
     none = F.array().cast("array<bigint>")
-    return rows.withColumn(marks, F.when(blank, none).otherwise(found)).drop("_h", "_n", "_m")
+    marked = F.when(F.col("_t") == "", none).otherwise(found)
+    return rows.withColumn(marks, marked).drop("_t", "_a", "_m")
 
 
 def mark_positions(marks: Column) -> Column:

@@ -419,3 +419,17 @@ def test_long_bridged_words_equal_a_plain_viterbi(spark):
                     ways.append((points - pieces.BYTE_COST * len(raw), [*codes, *[zero + b for b in raw]]))
             best.append(max(ways))
         assert back[i].codes == best[-1][1] and back[i].text == text
+
+
+def test_short_and_unspaced_texts_share_marks_with_their_edits(spark):
+    texts = [
+        "seven words are enough for a mark", "four words, two halves",
+        "天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏闰余成岁律吕调阳云腾致雨露结为霜", "x9" * 10 + "q7z" * 40,
+        " ".join(f"word{i}" for i in range(18)),
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = winnowing.fingerprints_with_edits(docs).collect()
+    assert len(found) == 5 and all(0 < row.near_edited < 1 for row in found if row.doc_id != 3)
+    assert found and all(row.near_edited > row.near_next for row in found)
+    spaced = spark.createDataFrame([(" a  text of\t\nwords ",), ("a text of words",)], "text string")
+    assert len({tuple(r.marks) for r in winnowing.with_marks(spaced, "text", "marks").collect()}) == 1
