@@ -14,6 +14,11 @@ chunks of pages send their distinct prefixes to ranges of hashes, and get back t
 several pages have with the number of these pages. A block that is mostly covered by
 repeated substrings is boilerplate, the others are kept.
 
+Near copies of a page on a host, found by SKETCH least hashes of their paragraphs, count as
+one page, so they do not remove each other's text. Short blocks are boilerplate if their
+substrings are on some pages of the host, in the same kind of zone, and paragraphs only if
+they are on half of its pages.
+
 Page structure is a check after it. If a page has an article zone, blocks outside of its
 innermost kind are dropped, and inside it repeated paragraphs come back, as do short blocks
 that less than half of the host's pages have: pages do share passages. Without one, blocks
@@ -51,6 +56,10 @@ HASH_BITS = 48
 CHUNK_TOKENS, RANGE_TOKENS = 500_000, 2_000_000
 #: Pages, and share of a host's pages, that have what is usual there.
 USUAL_PAGES, USUAL_SHARE = 3, 0.5
+#: Pages, or if these are fewer the share of a host's pages, that have what some do; 2 at least.
+SOME_PAGES, SOME_SHARE = 20, 0.1
+#: Least hashes of a page, and how many of them near copies share.
+SKETCH, ALIKE = 8, 5
 #: Tokens whose hashes a task remembers at a time.
 REMEMBERED = 200_000
 
@@ -236,21 +245,39 @@ def _prefixes(host: str, zones: list[int], texts: list[str]) -> tuple[np.ndarray
     return found >> np.uint64(64 - HASH_BITS), owner
 
 
-_CHUNKS = "page_ids array<long>, urls array<string>, hosts array<string>, streams array<long>, blocks binary, tokens long"
+def _sketch(host: str, zones: list[int], texts: list[str]) -> list[int]:
+    """Least hashes of the prefixes in paragraphs outside of chrome, or of the whole stream."""
+    prefixes, owner = _prefixes(host, zones, texts)
+    owner = owner[: len(prefixes)]
+    words = np.array([text.count(" ") + 1 for text in texts], np.int64)
+    content = (words >= PARAGRAPH) & (np.array(zones, np.int64) != CHROME)
+    values = prefixes[content[owner]]
+    if not len(values):
+        stream = "\0".join([host, *texts]).encode()
+        values = np.array([xxhash.xxh3_64_intdigest(stream)], np.uint64)
+    least = []
+    for i in range(SKETCH):
+        mixed = (values ^ np.uint64(i * 0xD6E8FEB86659FD93 & 2**64 - 1)) * np.uint64(0x9E3779B97F4A7C15)
+        mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        least.append(int((mixed ^ (mixed >> np.uint64(32))).min() >> np.uint64(1)))
+    return least
+
+
+_CHUNKS = "blocks binary, sketches array<long>, tokens long"
 
 
 def _parse(pages: DataFrame) -> DataFrame:
-    """Chunks of pages, stored: their zones and blocks, and a hash of each page's stream."""
+    """Chunks of pages, stored: ids, urls, hosts, zones and blocks, and the pages' sketches."""
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, urls, hosts, streams, found, size = [], [], [], [], [], 0
+        found, sketches, size = [], [], 0
 
         def flush() -> pa.RecordBatch:
-            values = [ids, urls, hosts, streams, squeeze(json.dumps(found, ensure_ascii=False).encode()), size]
-            kinds = [pa.list_(pa.int64()), *[pa.list_(pa.string())] * 2, pa.list_(pa.int64())]
+            blocks = squeeze(json.dumps(found, ensure_ascii=False).encode())
+            kinds = [pa.binary(), pa.list_(pa.int64()), pa.int64()]
             return pa.RecordBatch.from_arrays(
-                [pa.array([v], kind) for v, kind in zip(values, [*kinds, pa.binary(), pa.int64()])],
-                ["page_ids", "urls", "hosts", "streams", "blocks", "tokens"],
+                [pa.array([v], kind) for v, kind in zip((blocks, sketches, size), kinds)],
+                ["blocks", "sketches", "tokens"],
             )
 
         for batch in batches:
@@ -259,16 +286,14 @@ def _parse(pages: DataFrame) -> DataFrame:
             ):
                 if size > CHUNK_TOKENS:
                     yield flush()
-                    ids, urls, hosts, streams, found, size = [], [], [], [], [], 0
+                    found, sketches, size = [], [], 0
                 blocks = page_blocks(html.decode("utf-8", "replace"))
-                texts, host = [text for _, text in blocks], _host(url or "")
-                ids.append(page_id)
-                urls.append(url)
-                hosts.append(host)
-                streams.append(xxhash.xxh3_64_intdigest("\0".join([host, *texts]).encode()) >> 1)
-                found.append([[zone for zone, _ in blocks], texts])
+                zones, texts = [zone for zone, _ in blocks], [text for _, text in blocks]
+                host = _host(url or "")
+                found.append([page_id, url, host, zones, texts])
+                sketches += _sketch(host, zones, texts)
                 size += sum(text.count(" ") + 1 for text in texts) + 1
-        if ids:
+        if found:
             yield flush()
 
     rows = pages.select(
@@ -278,11 +303,16 @@ def _parse(pages: DataFrame) -> DataFrame:
     return squeezed(chunks.withColumn("chunk", F.monotonically_increasing_id()), "pages")
 
 
-def _counted(chunks: DataFrame) -> DataFrame:
-    """(chunk, counted): the places of pages that count. Of pages with the same stream one does."""
-    streams = chunks.select("chunk", F.posexplode("streams").alias("at", "stream"))
-    firsts = streams.groupBy("stream").agg(F.min(F.struct("chunk", "at")).alias("first"))
-    return firsts.groupBy("first.chunk").agg(F.collect_list("first.at").alias("counted"))
+def _copies(chunks: DataFrame) -> DataFrame:
+    """(chunk, copies): the places of pages that are near copies of an earlier one."""
+    least = chunks.select("chunk", F.posexplode("sketches").alias("place", "sketch")).select(
+        F.struct("chunk", F.floor(F.col("place") / SKETCH).cast("int").alias("at")).alias("page"),
+        "sketch",
+    )
+    firsts = least.groupBy("sketch").agg(F.min("page").alias("first"))
+    alike = least.join(firsts, "sketch").where("first < page").groupBy("page", "first").count()
+    copies = alike.where(F.col("count") >= ALIKE)
+    return copies.groupBy("page.chunk").agg(F.collect_set("page.at").alias("copies"))
 
 
 def _repeated(chunks: DataFrame) -> DataFrame:
@@ -295,13 +325,13 @@ def _repeated(chunks: DataFrame) -> DataFrame:
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                chunk, hosts, blocks, counted = (batch.column(i)[row].as_py() for i in range(4))
+                chunk, blocks, copies = (batch.column(i)[row].as_py() for i in range(3))
                 every, sizes = [], []
-                for host, (zones, texts) in zip(hosts, json.loads(unsqueeze(blocks))):
+                for _, _, host, zones, texts in json.loads(unsqueeze(blocks)):
                     found = np.unique(_prefixes(host, zones, texts)[0])
                     every.append(np.append(found, _whole_host(host)))
                     sizes.append(len(every[-1]))
-                counts = np.isin(np.arange(len(hosts)), counted or [])
+                counts = ~np.isin(np.arange(len(every)), copies or [])
                 values, place = np.unique(np.concatenate(every), return_inverse=True)
                 pages = np.bincount(place, np.repeat(counts, sizes), len(values)).astype("<i8")
                 cuts = np.searchsorted(values, bounds).tolist()
@@ -333,8 +363,7 @@ def _repeated(chunks: DataFrame) -> DataFrame:
             [pa.array(v, kind) for v, kind in zip(zip(*rows), kinds)], ["chunk", "prefixes", "pages"]
         )
 
-    columns = ["chunk", "hosts", "blocks", "counted"]
-    known = chunks.join(_counted(chunks), "chunk", "left").select(*columns)
+    known = chunks.join(_copies(chunks), "chunk", "left").select("chunk", "blocks", "copies")
     sent = map_batches(known, distinct, "range int, chunk long, prefixes binary, pages binary")
     sums = map_groups(sent, ["range"], summed, "chunk long, prefixes binary, pages binary")
     found = F.sort_array(F.collect_list(F.struct("prefixes", "pages"))).alias("found")
@@ -346,16 +375,16 @@ def chosen(
 ) -> list[int]:
     """The blocks that are text: those that do not repeat, checked by the page's structure.
 
-    ``usual`` are the blocks that repeat on most pages of the host.
+    ``repeated`` are the blocks that some pages of the host repeat, ``usual`` those that half do.
     """
     level = max(zones, default=CHROME)
     long = words >= PARAGRAPH
     if level >= MAIN:
         inside = np.array(zones) == level
-        kept = inside & (~repeated | ~usual | long)
+        kept = inside & (~usual | long)
         return np.flatnonzero(kept if kept.any() else inside).tolist()
     other = np.array(zones, np.int64) == OTHER
-    kept = other & ~repeated
+    kept = other & ~np.where(long, usual, repeated)
     return np.flatnonzero(kept if kept.any() else other & long).tolist()
 
 
@@ -366,7 +395,7 @@ def extract_text(pages: DataFrame) -> DataFrame:
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                ids, urls, hosts, raw, found = (batch.column(i)[row].as_py() for i in range(5))
+                raw, found = (batch.column(i)[row].as_py() for i in range(2))
                 known = np.concatenate([unpacked(part["prefixes"]) for part in found or []] or [[]])
                 pages_with = [np.frombuffer(unsqueeze(part["pages"]), "<i8") for part in found or []]
                 order = np.argsort(known)
@@ -377,8 +406,8 @@ def extract_text(pages: DataFrame) -> DataFrame:
                     at = np.searchsorted(known, prefixes)
                     return np.where(known[at] == prefixes, counts[at], 1)
 
-                texts = []
-                for host, (zones, blocks) in zip(hosts, json.loads(unsqueeze(raw))):
+                ids, urls, texts = [], [], []
+                for page_id, url, host, zones, blocks in json.loads(unsqueeze(raw)):
                     prefixes, owner = _prefixes(host, zones, blocks)
                     n, on_host = on_pages(prefixes), on_pages(_whole_host(host))
                     words = np.bincount(owner, minlength=len(blocks))
@@ -391,7 +420,10 @@ def extract_text(pages: DataFrame) -> DataFrame:
                         return share >= COVERED
 
                     usual = (n >= USUAL_PAGES) & (n >= USUAL_SHARE * on_host)
-                    kept = chosen(zones, words, mostly(n > 1), mostly(usual))
+                    some = n >= max(2, min(SOME_PAGES, SOME_SHARE * on_host))
+                    kept = chosen(zones, words, mostly(some), mostly(usual))
+                    ids.append(page_id)
+                    urls.append(url)
                     texts.append("\n\n".join(blocks[i] for i in kept))
                 for low in range(0, len(ids), SLICE):
                     some = slice(low, low + SLICE)
@@ -404,7 +436,5 @@ def extract_text(pages: DataFrame) -> DataFrame:
                         ["page_id", "url", "text"],
                     )
 
-    joined = chunks.join(_repeated(chunks), "chunk", "left").select(
-        "page_ids", "urls", "hosts", "blocks", "found"
-    )
+    joined = chunks.join(_repeated(chunks), "chunk", "left").select("blocks", "found")
     return map_batches(joined, judge, "page_id long, url string, text string")

@@ -433,3 +433,21 @@ def test_short_and_unspaced_texts_share_marks_with_their_edits(spark):
     assert found and all(row.near_edited > row.near_next for row in found)
     spaced = spark.createDataFrame([(" a  text of\t\nwords ",), ("a text of words",)], "text string")
     assert len({tuple(r.marks) for r in winnowing.with_marks(spaced, "text", "marks").collect()}) == 1
+
+
+def test_near_copies_and_shared_passages_stay(spark):
+    nav = "<div>Home page news sport weather travel shop now</div>"
+    own = ["".join(f"<p>{f'c{j}x ' * 3}{' '.join(f'v{j}w{w}' for w in range(20))}</p>" for j in range(12))]
+    quote = " ".join(f"quoted{w}" for w in range(30))
+    rows = [(i, f"http://h/{i}", f"{nav}<h2>The one title of all copies here</h2>{own[0]}<p>edit {i}</p>") for i in range(3)]
+    rows += [
+        (i, f"http://h/{i}", f"{nav}<p>{' '.join(f'b{i}w{w}' for w in range(40))}</p>" + (f"<p>{quote}</p>" if i < 5 else ""))
+        for i in range(3, 9)
+    ]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = dict(values(extract_text(frame), "page_id", "text"))
+    for i in range(9):
+        assert "Home page" not in got[i]
+    for i in range(3):
+        assert got[i].startswith("The one title") and len(got[i].split("\n\n")) == 14
+    assert got[3].endswith(quote) and got[4].endswith(quote) and len(got[5].split()) == 40
