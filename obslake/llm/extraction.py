@@ -3,7 +3,9 @@
 A page is cut into blocks at block-level tags. Each block has a zone: article (inside an
 article or a main element or one named so), chrome (menus, headers, footers, sidebars,
 notices, adverts, forms, comments, by tag or by the words of class, id and role), or
-neither.
+neither. Words in names of html, body, main and article make no chrome, and what a form or
+an element with such a name holds is the text if the page has no other: its articles, or
+else its paragraphs.
 
 The blocks of every page are judged by its host's suffix array. The token streams of all
 pages are concatenated by host and their suffixes brought into the order of their first
@@ -64,6 +66,8 @@ SKETCH, ALIKE = 8, 5
 REMEMBERED = 200_000
 
 CHROME, OTHER, MAIN, ARTICLE = 0, 1, 2, 3
+#: In a form or an element named like chrome: anything, and articles. Settled for the whole page.
+SOFT, HELD = -1, -2
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
@@ -86,7 +90,7 @@ _BLOCKS = frozenset(
 )
 _SPACES = frozenset("br td th button label input img".split())
 _CHROME_TAGS = frozenset(
-    "nav footer aside form menu dialog button select head search fieldset".split()
+    "nav footer aside menu dialog button select head search fieldset".split()
 )
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code del dfn em font i ins kbd mark q s samp small span"
@@ -109,21 +113,44 @@ def _zone(tag: str, attributes: str, around: int) -> int:
     if around == CHROME or tag in _CHROME_TAGS:
         return CHROME
     words: set[str] = set()
-    if "=" in attributes:
-        lowered = attributes.lower()
+    lowered = attributes.lower()
+    root, article = tag in ("html", "body"), tag in ("main", "article")
+    if "=" in lowered and not root:
         for names in _NAMES.findall(lowered):
             words.update(_WORD.findall("".join(names)))
-        if words & _CHROME_WORDS or _HIDDEN.search(lowered):
-            return CHROME
-    elif attributes and _HIDDEN.search(attributes.lower()):
+    if lowered and not root and _HIDDEN.search(lowered):
         return CHROME
-    if around < MAIN and (tag == "header" or words & _OUTER_WORDS):
+    inside = around >= MAIN or around == HELD
+    named_main = bool(words & _MAIN_WORDS)
+    if tag == "form" or words & _CHROME_WORDS:
+        if not article:
+            return CHROME if inside else SOFT
+        if around in (ARTICLE, HELD):
+            return CHROME
+        if tag == "article" and not named_main:
+            return HELD  # perhaps a comment
+    if not inside and not article and (tag == "header" or words & _OUTER_WORDS):
         return CHROME
+    if around == SOFT:
+        return HELD if article or named_main else SOFT
+    if around == HELD:
+        return HELD
     if tag == "article":
         return ARTICLE
-    if tag == "main" or (words & _MAIN_WORDS and tag not in ("html", "body")):
-        return max(around, MAIN)
-    return around
+    return max(around, MAIN) if tag == "main" or named_main else around
+
+
+def _settled(blocks: list[tuple[int, str]]) -> list[tuple[int, str]]:
+    """Blocks with the zones of a page: held articles are the text if there is no other."""
+    zones = {zone for zone, _ in blocks}
+    if not zones & {SOFT, HELD}:
+        return blocks
+    free = ARTICLE not in zones and not any(
+        zone in (OTHER, MAIN) and len(text.split()) >= PARAGRAPH for zone, text in blocks
+    )
+    became = {HELD: ARTICLE if free else CHROME}
+    became[SOFT] = SOFT if free and not zones & {HELD, MAIN} else CHROME
+    return [(became.get(zone, zone), text) for zone, text in blocks]
 
 
 def page_blocks(html: str) -> list[tuple[int, str]]:
@@ -203,7 +230,7 @@ def page_blocks(html: str) -> list[tuple[int, str]]:
             rest = rest[:cut]  # a tag that is cut off
         pieces.append(rest)
     close()
-    return blocks
+    return _settled(blocks)
 
 
 def _host(url: str) -> str:
@@ -385,7 +412,11 @@ def chosen(
         return np.flatnonzero(kept if kept.any() else inside).tolist()
     other = np.array(zones, np.int64) == OTHER
     kept = other & ~np.where(long, usual, repeated)
-    return np.flatnonzero(kept if kept.any() else other & long).tolist()
+    if not kept.any():
+        kept = other & long
+    if not kept.any():
+        kept = (np.array(zones, np.int64) == SOFT) & long & ~usual
+    return np.flatnonzero(kept).tolist()
 
 
 def extract_text(pages: DataFrame) -> DataFrame:

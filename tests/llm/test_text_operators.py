@@ -451,3 +451,22 @@ def test_near_copies_and_shared_passages_stay(spark):
     for i in range(3):
         assert got[i].startswith("The one title") and len(got[i].split("\n\n")) == 14
     assert got[3].endswith(quote) and got[4].endswith(quote) and len(got[5].split()) == 40
+
+
+def test_containers_named_like_chrome_keep_the_text(spark):
+    prose = " ".join(f"word{i}" for i in range(20))
+    article = f"<article><h1>T</h1><p>{prose}</p></article>"
+    pages = [
+        f"<html class='js cookies'><body class='has-sidebar'>{article}</body></html>",
+        f"<body><article class='post comments-open'><h1>T</h1><p>{prose}</p></article></body>",
+        f"<body><form id='f'>{article}</form></body>",
+        f"<body><div class='with-sidebar'>{article}</div></body>",
+        f"<body><main class='no-ads'><h1>T</h1><p>{prose}</p></main></body>",
+        f"<body>{article}<section class='comments'><article class='comment'><p>{prose}</p></article></section></body>",
+        f"<body><article class='has-sidebar'><h1>T</h1><p>{prose}</p></article></body>",
+        f"<body><form><p>short</p><p>{prose}</p></form></body>",
+    ]
+    rows = [(i, f"http://h{i}/", page) for i, page in enumerate(pages)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = dict(values(extract_text(frame), "page_id", "text"))
+    assert [got[i] for i in range(7)] == [f"T\n\n{prose}"] * 7 and got[7] == prose
