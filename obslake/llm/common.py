@@ -75,13 +75,14 @@ def labelled_sample(
 ) -> tuple[DataFrame, dict[int, float]]:
     """Texts of at most ``per_class`` training rows of each class, and class weights.
 
-    Training rows are those whose id has a non-zero remainder. The rows with the
+    Training rows are those of ``docs`` whose id has a non-zero remainder. The rows with the
     smallest hashes of their ids are taken. The weights restore the shares the
     classes have among all training rows.
     """
-    usable = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(
+    labelled = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(
         ~held_out(modulus) & F.col("label").isin(0, 1)
     )
+    usable = stored(labelled.join(docs.select("doc_id"), "doc_id", "left_semi"), "labels")
     totals = {row["label"]: row["count"] for row in usable.groupBy("label").count().collect()}
     parts = [
         usable.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from obslake.llm import lm, minhash, packing, pieces, pivots, toxicity, winnowing
 from obslake.llm.chat import format_conversations, parse_conversations
+from obslake.llm.common import held_out, labelled_sample
 from obslake.llm.extraction import extract_text, page_blocks
 from obslake.llm.quality import score_quality, train_quality
 from obslake.llm.queries import byte_vocabulary, piece_model
@@ -470,3 +471,14 @@ def test_containers_named_like_chrome_keep_the_text(spark):
     frame = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = dict(values(extract_text(frame), "page_id", "text"))
     assert [got[i] for i in range(7)] == [f"T\n\n{prose}"] * 7 and got[7] == prose
+
+
+def test_labelled_sample_is_drawn_from_the_rows_at_hand(spark):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(3000)], "doc_id long, toxic int")
+    docs = spark.createDataFrame([(i, "t") for i in range(0, 3000, 60)], "doc_id long, text string")
+    docs = docs.unionAll(spark.createDataFrame([(i, "t") for i in range(1, 1800, 60)], docs.schema))
+    found, weights = labelled_sample(docs, labels, "toxic", 10, 5)
+    held = {row.doc_id for row in docs.where(held_out(5)).collect()}
+    n = [sum(row.doc_id % 2 == k and row.doc_id not in held for row in docs.collect()) for k in (0, 1)]
+    assert min(n) > 10 and sorted(row.label for row in found.collect()) == [0] * 10 + [1] * 10
+    assert weights == {0: n[0] / 10, 1: n[1] / 10}
