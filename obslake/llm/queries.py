@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from obslake.llm.centroids import cluster_vectors, with_cluster_facts
 from obslake.llm.chat import format_conversations, parse_conversations
-from obslake.llm.common import held_out, table
+from obslake.llm.common import held_out, id_remainder, table
 from obslake.llm.extraction import extract_text
 from obslake.llm.lm import score_texts
+from obslake.llm.merkle import fold, leaf_hash, manifest, proof_text
 from obslake.llm.minhash import near_duplicates
 from obslake.llm.packing import pack_documents
 from obslake.llm.pieces import decode_texts, encode_texts
 from obslake.llm.pivots import link_vectors
 from obslake.llm.quality import score_quality, train_quality
+from obslake.llm.topk import top_k
 from obslake.llm.toxicity import toxic_passages, train_toxicity
 from obslake.llm.winnowing import fingerprint, fingerprints_with_edits
 
@@ -122,10 +125,188 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return with_cluster_facts(*cluster_vectors(vectors, k=40, rounds=5, scale=256, size=64, seed=2))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    without_lines = F.replace("text", F.lit("\n"), F.lit(""))
+    changed = leaf_hash(["doc_id", "source", "lang", "n_chars", without_lines])
+    tampered = F.when(id_remainder(2) == 0, changed)
+    made = manifest(docs, keep={"tampered": tampered})
+    folded = made.withColumn("folded_root", fold(F.coalesce("tampered", "leaf"), F.col("path")))
+    return folded.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(proof_text(F.col("path")), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op13_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors, F.pmod("vec_id", F.lit(20)) == 0, k=20, scale=64)
+
+
 def queries() -> dict:
     return {name: query for name, query in globals().items() if name.startswith("op")}
 
 
+#: Vectors without nulls and non-finite components, scaled and rounded down.
+_WHOLE = """
+    SELECT row_number() OVER () AS rid, vec_id,
+        list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0 {where}
+"""
+
+_TOP_K = f"""
+    WITH whole AS MATERIALIZED ({_WHOLE.format(scale=64, where="AND vec_id IS NOT NULL")}),
+    scored AS (
+        SELECT q.rid, q.vec_id AS query_id, c.vec_id,
+            list_inner_product(q.v, c.v)::BIGINT AS score
+        FROM whole q JOIN whole c ON len(q.v) = len(c.v) AND q.rid <> c.rid
+        WHERE q.vec_id % 20 = 0
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id)::INTEGER AS rank
+        FROM scored
+    )
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+def _clustering(k: int = 40, rounds: int = 5) -> str:
+    """Rounds of assigning and averaging, one after the other."""
+    chosen = f"""
+        SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id::VARCHAR)) - 1 AS cluster, v
+        FROM whole WHERE vec_id IS NOT NULL ORDER BY cluster LIMIT {k}
+    """
+    steps = [
+        f"whole AS MATERIALIZED ({_WHOLE.format(scale=256, where='AND len(embedding) = 64')})",
+        f"c0 AS MATERIALIZED ({chosen})",
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"""
+            a{i} AS MATERIALIZED (
+                SELECT w.rid, w.vec_id, w.v, min(ROW(list_inner_product(w.v, w.v)
+                    - 2 * list_inner_product(w.v, c.v) + list_inner_product(c.v, c.v), c.cluster))
+                    AS nearest
+                FROM whole w CROSS JOIN c{i} c GROUP BY 1, 2, 3
+            )""")
+        if i < rounds:
+            steps.append(f"""
+                m{i} AS (
+                    SELECT cluster, list(floored ORDER BY d) AS v FROM (
+                        SELECT nearest[2] AS cluster, d,
+                            (sum(v[d]::HUGEINT) - ((sum(v[d]::HUGEINT) % count(*)) + count(*))
+                                % count(*)) // count(*) AS floored
+                        FROM a{i}, range(1, 65) AS r(d) GROUP BY 1, 2
+                    ) GROUP BY 1
+                ), c{i + 1} AS MATERIALIZED (
+                    SELECT c.cluster, coalesce(m.v::DOUBLE[], c.v) AS v
+                    FROM c{i} c LEFT JOIN m{i} m USING (cluster)
+                )""")
+    return f"""
+        WITH {", ".join(steps)}
+        SELECT a.vec_id, a.nearest[2]::INTEGER AS cluster, a.nearest[1]::BIGINT AS distance,
+            (sum(a.nearest[1]) OVER (PARTITION BY a.nearest[2]))::BIGINT AS cluster_inertia,
+            (sum(a.nearest[1]) OVER ())::BIGINT AS inertia,
+            sha256(array_to_string(c.v::BIGINT[], ',')) AS centroid_sha256
+        FROM a{rounds} a JOIN c{rounds} c ON c.cluster = a.nearest[2]
+    """
+
+
+def _merkle(levels: int = 14, top_levels: int = 8) -> str:
+    """Trees of up to 3 ** ``levels`` leaves in a source, and 3 ** ``top_levels`` sources."""
+
+    def leaf(text: str) -> str:
+        shown = "coalesce(octet_length(encode({0}::VARCHAR))::VARCHAR || ':' || {0}::VARCHAR, '-')"
+        columns = ["doc_id", "source", "lang", "n_chars", text]
+        return f"sha256({' || '.join(shown.format(column) for column in columns)})"
+
+    # Bit by bit: a byte comes in at the first of eight steps.
+    crc = """
+        list_reduce(list_prepend(4294967295::UBIGINT, flatten(list_transform(
+            range(1, length(doc_id::VARCHAR) + 1),
+            lambda i: [ascii(substr(doc_id::VARCHAR, i, 1))::UBIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+            lambda c, b: xor(xor(c, b) >> 1, 3988292384::UBIGINT * (xor(c, b) & 1)))
+    """
+    tampered = f"({crc}) & 1 = 1"  # the last step inverts all bits
+    steps = [f"""
+        hashed AS MATERIALIZED (
+            SELECT doc_id, coalesce('=' || source, '-') AS grp, {leaf("text")} AS leaf,
+                CASE WHEN {tampered} THEN {leaf("replace(text, chr(10), '')")} END AS changed
+            FROM documents
+        ), l0 AS MATERIALIZED (
+            SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1
+                AS pos, count(*) OVER (PARTITION BY grp) AS n, leaf AS hash
+            FROM hashed
+        )"""]
+
+    def tree(name: str, depth: int) -> None:
+        for i in range(depth):
+            steps.append(f"""
+                {name}{i + 1} AS MATERIALIZED (
+                    SELECT grp, pos // 3 AS pos, (max(n) + 2) // 3 AS n,
+                        coalesce(max(hash) FILTER (pos % 3 = 0), '') AS s0,
+                        coalesce(max(hash) FILTER (pos % 3 = 1), '') AS s1,
+                        coalesce(max(hash) FILTER (pos % 3 = 2), '') AS s2,
+                        sha256(string_agg(hash, '' ORDER BY pos)) AS hash
+                    FROM {name}{i} WHERE n > 1 GROUP BY 1, 2
+                )""")
+
+    def climb(name: str, tree_name: str, first: str, group: str, depth: int) -> None:
+        steps.append(f"{name}0 AS ({first})")
+        for i in range(depth):
+            steps.append(f"""
+                {name}{i + 1} AS MATERIALIZED (
+                    SELECT f.* REPLACE (
+                        CASE WHEN p.pos IS NULL THEN proof ELSE proof || CASE way % 3
+                            WHEN 0 THEN s1 || s2 WHEN 1 THEN s0 || s2 ELSE s0 || s1 END
+                        END AS proof,
+                        CASE WHEN p.pos IS NULL THEN folded ELSE sha256(CASE way % 3
+                            WHEN 0 THEN folded || s1 || s2 WHEN 1 THEN s0 || folded || s2
+                            ELSE s0 || s1 || folded END) END AS folded,
+                        way // 3 AS way)
+                    FROM {name}{i} f LEFT JOIN {tree_name}{i + 1} p
+                        ON p.grp = f.{group} AND p.pos = f.way // 3
+                )""")
+
+    tree("l", levels)
+    found = " UNION ALL ".join(f"SELECT grp, hash FROM l{i} WHERE n = 1" for i in range(levels + 1))
+    steps.append(f"subroots AS MATERIALIZED ({found})")
+    steps.append("""
+        t0 AS MATERIALIZED (
+            SELECT 'all' AS grp, grp AS of, hash, row_number() OVER (ORDER BY grp) - 1 AS pos,
+                count(*) OVER () AS n
+            FROM subroots
+        )""")
+    tree("t", top_levels)
+    tops = " UNION ALL ".join(f"SELECT hash FROM t{i} WHERE n = 1" for i in range(top_levels + 1))
+    start = """
+        SELECT doc_id, grp, 'all' AS all_groups, leaf, '' AS proof,
+            coalesce(changed, leaf) AS folded, pos AS way FROM l0
+    """
+    climb("f", "l", start, "grp", levels)
+    rest = f"""
+        SELECT f.* REPLACE (t.pos AS way), t.hash AS subroot
+        FROM f{levels} f JOIN t0 t ON t.of = f.grp
+    """
+    climb("g", "t", rest, "all_groups", top_levels)
+    return f"""
+        WITH {", ".join(steps)}, summit AS ({tops})
+        SELECT doc_id, leaf, subroot, s.hash AS root, sha256(proof) AS proof_sha256,
+            folded AS folded_root, folded = s.hash AS verified
+        FROM g{top_levels}, summit s
+    """
+
+
 def oracle_sql() -> dict[str, str]:
     # A text is shown plainly if it holds no marker and nothing that reads as an escape; with
     # its markers as two-letter codes if only markers stand in the way; else with doubled
@@ -161,4 +342,7 @@ def oracle_sql() -> dict[str, str]:
                 sum(4 + length(role) + 2 + body + 8)::BIGINT AS formatted_chars
             FROM shown GROUP BY conv_id
         """,
+        "op11_centroids": _clustering(),
+        "op12_merkle": _merkle(),
+        "op13_top_k": _TOP_K,
     }
