@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from obslake.functions.text import day_text
 from obslake.operators.measure import Measure
+from obslake.session import work_dir
+
+#: Batches in one window.
+PER_RANGE = 10_000
 
 
 def running_answer_log(
@@ -23,23 +27,29 @@ def running_answer_log(
     maxima of all batches before it; with an equal reading the earlier batch
     stays. ``initial=None`` lets any first reading count.
 
-    1. The maximum per batch: a hash aggregate over two columns.
+    1. The maximum per batch: a hash aggregate over two columns, written once to the shared
+       folder of the cluster. All that follows but the last step works on these few rows.
     2. The batches that improve on all earlier ones. The batches are dealt into
-       ``groups`` ranges (by default as many as a shuffle has partitions), each
-       with a window of its own that starts from the maximum of the ranges
+       ranges of some PER_RANGE, ``groups`` at most (by default as many as a shuffle has
+       partitions), each with a window of its own that starts from the maximum of the ranges
        before it. Only one row per range is ever in one task. The bounds are
        batches drawn by their hashes: they spread the work, and any bounds
        give the same rows.
-    3. The rows behind them. No row below the lowest improving maximum can be
-       one, and that bound is pushed into the scan as a scalar subquery. An
-       equi-join leaves the rows that have their batch's maximum, so only
+    3. The rows behind them, in the second and last scan of the table. No row below the lowest
+       improving maximum can be one, and that bound is pushed into the scan as a scalar
+       subquery. An equi-join leaves the rows that have their batch's maximum, so only
        these are ranked.
     """
+    spark = df.sparkSession
     if groups is None:
-        groups = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        groups = int(spark.conf.get("spark.sql.shuffle.partitions"))
     batches = df.withColumn("batch", batch if isinstance(batch, Column) else F.col(batch))
+    seen = Observation()
+    path = work_dir(spark, "maxima")
     maxima = batches.groupBy("batch").agg(F.max(measure.reading).alias("max_value"))
-    improving = _improving(maxima, groups, initial)
+    maxima.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    maxima = spark.read.schema(maxima.schema).parquet(path)
+    improving = _improving(maxima, min(groups, -(-seen.get["n"] // PER_RANGE)), initial)
 
     floor = improving.select(F.min("max_value")).scalar()
     top = improving.select(F.col("batch").alias("top_batch"), F.col("max_value").alias("top_value"))
@@ -63,6 +73,9 @@ def running_answer_log(
 
 
 def _improving(maxima: DataFrame, groups: int, initial: float | None) -> DataFrame:
+    if groups <= 1:
+        earlier = W.orderBy("batch").rowsBetween(W.unboundedPreceding, -1)
+        return _beating(maxima, F.max("max_value").over(earlier), initial)
     drawn = maxima.where("batch is not null").orderBy(F.xxhash64("batch"), "batch").limit(groups - 1)
     bounds = drawn.select(F.collect_list("batch")).scalar()
     # A null batch is the first of all, and lies above no bound.
@@ -74,16 +87,13 @@ def _improving(maxima: DataFrame, groups: int, initial: float | None) -> DataFra
         F.col("range").alias("of_range"), F.max("range_max").over(preceding).alias("before")
     )
     earlier = W.partitionBy("range").orderBy("batch").rowsBetween(W.unboundedPreceding, -1)
-    best = F.greatest(
-        F.max("max_value").over(earlier),
-        "before",
-        *([] if initial is None else [F.lit(initial)]),
-    )
+    dealt = dealt.join(before, F.col("range") == F.col("of_range"))
+    return _beating(dealt, F.greatest(F.max("max_value").over(earlier), "before"), initial)
+
+
+def _beating(maxima: DataFrame, best: Column, initial: float | None) -> DataFrame:
     value = F.col("max_value")
+    if initial is not None:
+        best = F.greatest(best, F.lit(initial))
     beats = F.coalesce(value > best, value.isNotNull())  # nothing to beat yet
-    return (
-        dealt.join(before, F.col("range") == F.col("of_range"))
-        .withColumn("beats", beats)
-        .where("beats")
-        .select("batch", "max_value")
-    )
+    return maxima.withColumn("beats", beats).where("beats").select("batch", "max_value")

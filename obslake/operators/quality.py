@@ -95,6 +95,21 @@ def check_headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     )
 
 
+def mark_first_lines(rows: DataFrame) -> DataFrame:
+    """Adds ``header_of``: the file, if the row is the first one of its task, at the beginning of
+    a file, and is exactly the expected header; else null.
+
+    For scans that take headers as rows and have a task for each split of a file: there, the
+    first row of the split at the beginning is the file's first line.
+    """
+    in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    first = (F.col("_metadata.file_block_start") == 0) & (in_task == 0)
+    # As one text: a comparison for each field would outgrow what the JVM compiles.
+    as_read = F.to_csv(F.struct(*COLUMNS), _AS_READ)
+    is_header = first & F.col(CORRUPT).isNull() & (as_read == ",".join(HEADER))
+    return rows.withColumn("header_of", F.when(is_header, F.col("_metadata.file_path")))
+
+
 def to_canonical(rows: DataFrame) -> DataFrame:
     """Text rows to typed rows; further columns (lineage) are kept."""
     return rows.selectExpr(*[f"{_typed(name)} AS {name}" for name in COLUMNS], *_extra(rows))

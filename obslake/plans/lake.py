@@ -15,10 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from obslake.plans.store import Store
 from obslake.schema import (
     ANSWER_LOG_SCHEMA,
     BATCH,
     EVENT_DRIVEN,
+    FOLDER_SCHEMA,
     LEDGER_SCHEMA,
     OBSERVATION_SCHEMA,
     QUARANTINE_SCHEMA,
@@ -28,6 +30,7 @@ _TABLES = {
     "observation": OBSERVATION_SCHEMA,
     "quarantine": QUARANTINE_SCHEMA,
     "ingest_ledger": LEDGER_SCHEMA,
+    "incoming_folders": FOLDER_SCHEMA,
     "answer_log": ANSWER_LOG_SCHEMA,
 }
 
@@ -64,6 +67,10 @@ class Load(NamedTuple):
         load_type = EVENT_DRIVEN if batch_id.startswith(EVENT_DRIVEN) else BATCH
         return cls(load_type, batch_id[len(load_type) + 1 :])
 
+    @classmethod
+    def of_folder(cls, load_type: str, load_dt: str) -> Load:
+        return cls(load_type.split("=", 1)[1], load_dt.split("=", 1)[1].replace("%3A", ":"))
+
     @property
     def folder(self) -> str:
         if not re.fullmatch(r"[\w.:+-]+", self.load_dt):
@@ -103,13 +110,21 @@ def drop_refined(spark: SparkSession, lake: Lake, database: bool = False) -> Non
 
 
 def append_refined(
-    spark: SparkSession, lake: Lake, rows: DataFrame, load_type: str, load_dt: str
+    spark: SparkSession,
+    lake: Lake,
+    rows: DataFrame,
+    load_type: str,
+    load_dt: str,
+    *,
+    register: bool = True,
 ) -> None:
     """Add one load to the observation table, next to all earlier ones.
 
-    ``rows`` holds the canonical columns and ``filename``.
+    ``rows`` holds the canonical columns and ``filename``. With ``register=False`` the rows are
+    written, but the catalog does not show them until ``register_load`` is called.
     """
-    write_load(spark, lake, "observation", rows, Load(load_type, load_dt))
+    load = Load(load_type, load_dt)
+    write_load(spark, lake, "observation", rows, load, register=register)
 
 
 def write_load(
@@ -119,6 +134,7 @@ def write_load(
     rows: DataFrame,
     load: Load,
     mode: str = "overwrite",
+    register: bool = True,
 ) -> None:
     """Write a load's rows to a table and make them known to the catalog.
 
@@ -135,7 +151,7 @@ def write_load(
     rows.select(*columns).write.mode(mode).parquet(folder)
     if known:
         spark.catalog.refreshTable(lake.table(name))
-    else:
+    elif register:
         register_load(spark, lake, name, load)
 
 
@@ -147,6 +163,27 @@ def register_load(spark: SparkSession, lake: Lake, name: str, load: Load) -> Non
     spark.catalog.refreshTable(lake.table(name))
 
 
+def remove_load(spark: SparkSession, lake: Lake, name: str, load: Load) -> None:
+    """Take a load out of a table, with its files."""
+    spark.sql(
+        f"ALTER TABLE {lake.table(name)} DROP IF EXISTS "
+        f"PARTITION (load_type = '{load.load_type}', load_dt = '{load.load_dt}')"
+    )
+    Store(spark, lake.path(name)).remove(load.folder)
+    spark.catalog.refreshTable(lake.table(name))
+
+
+def loads_of(spark: SparkSession, lake: Lake, name: str) -> list[Load]:
+    """The loads that a table has folders for."""
+    store = Store(spark, lake.path(name))
+    found = []
+    for kind in sorted(store.listed()):
+        if kind.startswith("load_type="):
+            names = sorted(store.listed(kind))
+            found += [Load.of_folder(kind, n) for n in names if n.startswith("load_dt=")]
+    return found
+
+
 def read_table(
     spark: SparkSession, lake: Lake, name: str, load: Load | None = None
 ) -> DataFrame:

@@ -9,16 +9,25 @@ file's latest row:
 ``processed``    its rows and answers are stored
 ``error``        refused by a check, or caught in a failed step
 ``incoming``     handed back, to be picked up again
+
+Each run adds a partition with a few small files. ``compact_ledger`` copies the latest rows
+of all files into one partition and takes out those that they were copied from. A row may
+be there twice for a while, which changes nothing: only a file's latest row counts. For the
+same reason a copy that was cut short does no harm.
 """
 
 from __future__ import annotations
 
+import json
 import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obslake.plans.lake import Lake, Load, read_table, write_load
+from obslake.operators.lineage import utc_stamp
+from obslake.plans.lake import Lake, Load, loads_of, read_table, remove_load, write_load
+from obslake.plans.store import Store
+from obslake.schema import BATCH, EVENT_DRIVEN, RETURNED, SNAPSHOT
 
 FILE_KEY = ["path", "length", "modified_ms"]
 
@@ -49,7 +58,7 @@ def record(
 
 def ingest_ledger(spark: SparkSession, lake: Lake) -> DataFrame:
     """The current state: the latest row of each file."""
-    return _latest(read_table(spark, lake, _TABLE))
+    return _latest(_named(read_table(spark, lake, _TABLE)))
 
 
 def batch_files(spark: SparkSession, lake: Lake, load: Load) -> DataFrame:
@@ -59,15 +68,18 @@ def batch_files(spark: SparkSession, lake: Lake, load: Load) -> DataFrame:
 
 def states_of(spark: SparkSession, lake: Lake, files: DataFrame) -> DataFrame:
     """How the files of a short listing stand, as far as they are known."""
-    return _latest(read_table(spark, lake, _TABLE).join(files, FILE_KEY, "left_semi"))
+    rows = read_table(spark, lake, _TABLE).join(files, FILE_KEY, "left_semi")
+    return _latest(_named(rows))
 
 
-def unseen(spark: SparkSession, lake: Lake, files: DataFrame) -> DataFrame:
+def unseen(
+    spark: SparkSession, lake: Lake, files: DataFrame, held: list[DataFrame] | None = None
+) -> DataFrame:
     """Files of a listing that no run has claimed, or that were handed back.
 
     This looks at the whole ledger, so it keeps to numbers, which a hash
     aggregate can hold: a file is claimed if its last row is not the one
-    that handed it back.
+    that handed it back. ``held`` are lists of files that count as claimed, too.
     """
     returned = F.when(F.col("status") == "incoming", F.col("recorded_us"))
     claimed = (
@@ -76,14 +88,82 @@ def unseen(spark: SparkSession, lake: Lake, files: DataFrame) -> DataFrame:
         .agg(F.max("recorded_us").alias("last"), F.max(returned).alias("returned"))
         .where(F.col("returned").isNull() | (F.col("last") > F.col("returned")))
     )
+    claimed = claimed.select(*FILE_KEY)
+    for files_held in held or []:
+        claimed = claimed.unionAll(files_held.select(*FILE_KEY))
     return files.join(claimed, FILE_KEY, "left_anti")
 
 
-def known_again(spark: SparkSession, lake: Lake, files: DataFrame) -> DataFrame:
+def known_again(
+    spark: SparkSession, lake: Lake, files: DataFrame, held: list[DataFrame] | None = None
+) -> DataFrame:
     """Files of a listing to be loaded although their path was seen before: replaced
     since, or handed back."""
     paths = read_table(spark, lake, _TABLE).select("path").distinct()
-    return unseen(spark, lake, files).join(paths, "path", "left_semi")
+    return unseen(spark, lake, files, held).join(paths, "path", "left_semi")
+
+
+def hand_back(spark: SparkSession, lake: Lake, batch_id: str) -> DataFrame:
+    """Record the refused files of a batch as handed back, and return them.
+
+    That goes to a partition of its own: nothing is added to a load that is over.
+    """
+    known = ingest_ledger(spark, lake)
+    refused = known.where((F.col("batch_id") == batch_id) & is_refused()).withColumns(
+        {
+            "status": F.lit("incoming"),
+            "step": F.lit("returned"),
+            "error": F.lit(None).cast("string"),
+            "recorded_us": F.lit(time.time_ns() // 1000),
+        }
+    )
+    returned = Load(RETURNED, utc_stamp())
+    write_load(spark, lake, _TABLE, refused, returned)
+    return _named(read_table(spark, lake, _TABLE, returned))
+
+
+def has_batch(spark: SparkSession, lake: Lake, load: Load) -> bool:
+    rows = read_table(spark, lake, _TABLE)
+    return not rows.where(F.col("batch_id") == load.batch_id).isEmpty()
+
+
+def compact_ledger(spark: SparkSession, lake: Lake, open_batches: set[str] | None = None) -> None:
+    """Merge the ledger: one row for each file, in one partition.
+
+    Loads at work, those of ``open_batches`` and those with files that are not done, keep their
+    own partitions. Partitions that a merge has copied are taken out by the next merge, so
+    whoever was reading them has that long to finish.
+    """
+    merge(spark, lake, _TABLE, FILE_KEY, open_batches or set(), is_open())
+
+
+def merge(
+    spark: SparkSession,
+    lake: Lake,
+    name: str,
+    key: list[str],
+    open_batches: set[str],
+    at_work: Column | None = None,
+) -> None:
+    """Copy the latest row of each key into a new partition, and take out the partitions that
+    the merge before this one has copied."""
+    notes = Store(spark, lake.path("merges"))
+    copied_before = [note for note in notes.listed(name) if note.endswith(".copied")]
+    loads = loads_of(spark, lake, name)
+    rows = read_table(spark, lake, name)
+    latest = _latest(rows, key)
+    held = set(open_batches)
+    if at_work is not None:
+        left = latest.where(at_work).select("batch_id").distinct()
+        held |= {row.batch_id for row in left.collect()}
+    stamp = utc_stamp()
+    write_load(spark, lake, name, latest, Load(SNAPSHOT, stamp))
+    copied = [list(load) for load in loads if load.batch_id not in held]
+    notes.write(f"{name}/{stamp.replace(':', '.')}.copied", json.dumps(copied))
+    for note in copied_before:
+        for load in json.loads(notes.read(f"{name}/{note}") or "[]"):
+            remove_load(spark, lake, name, Load(*load))
+        notes.remove(f"{name}/{note}")
 
 
 def is_open() -> Column:
@@ -99,7 +179,16 @@ def _by_check() -> Column:
     return F.col("step").isin(REFUSING_STEPS)
 
 
-def _latest(rows: DataFrame) -> DataFrame:
-    state = [name for name in rows.columns if name not in FILE_KEY]
+def _latest(rows: DataFrame, key: list[str] = FILE_KEY) -> DataFrame:
+    state = [name for name in rows.columns if name not in key]
     latest = F.max_by(F.struct(*state), F.col("recorded_us")).alias("state")
-    return rows.groupBy(*FILE_KEY).agg(latest).select(*FILE_KEY, "state.*").select(*rows.columns)
+    return rows.groupBy(*key).agg(latest).select(*key, "state.*").select(*rows.columns)
+
+
+def _named(rows: DataFrame) -> DataFrame:
+    """Rows with the load they are about, whichever partition they stand in."""
+    of_stream = F.col("batch_id").startswith(f"{EVENT_DRIVEN}-")
+    load_type = F.when(of_stream, F.lit(EVENT_DRIVEN)).otherwise(F.lit(BATCH))
+    # What a batch is named by is its load type, a dash and its time.
+    load_dt = F.substr("batch_id", F.length(load_type) + 2)
+    return rows.withColumns({"load_type": load_type, "load_dt": load_dt})

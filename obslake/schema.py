@@ -32,6 +32,10 @@ QUESTION_REGION = "In which region was the hottest day?"
 BATCH = "BATCH"
 EVENT_DRIVEN = "EVENT-DRIVEN"
 
+# Partitions of the ledger that are no loads: merged rows, and files handed back.
+SNAPSHOT = "SNAPSHOT"
+RETURNED = "RETURNED"
+
 
 def snake_case(name: str) -> str:
     return re.sub(r"(?<!^)(?=[A-Z])", "_", name).lower()
@@ -78,6 +82,11 @@ LEDGER_SCHEMA = (
     "load_type string, load_dt string"
 )
 
+FOLDER_SCHEMA = (
+    "folder string, n_files bigint, digest_a bigint, digest_b bigint, recorded_us bigint, "
+    "load_type string, load_dt string"
+)
+
 ANSWER_LOG_SCHEMA = (
     "batch_id string, temperature double, observed_at timestamp_ntz, region string, "
     "country string, load_type string, load_dt string"

@@ -48,6 +48,15 @@ def work_dir(spark: SparkSession, purpose: str = "run") -> str:
     return f"{base.rstrip('/')}/obslake-{purpose}-{uuid.uuid4().hex}"
 
 
+def session_with(spark: SparkSession, conf: dict[str, str]) -> SparkSession:
+    """Another session of the application, with the settings of this one but for some."""
+    other = spark.newSession()
+    for key, value in {**spark.conf.getAll, **conf}.items():
+        if spark.conf.isModifiable(key):
+            other.conf.set(key, value)
+    return other
+
+
 _shipped: set[str] = set()
 
 

@@ -8,17 +8,20 @@ from obslake.operators.quality import to_canonical
 from obslake.schema import CORRUPT, RAW_SCHEMA
 
 
-def read_rows(spark: SparkSession, paths: str | list[str], multi_line: bool = False) -> DataFrame:
+def read_rows(
+    spark: SparkSession, paths: str | list[str], multi_line: bool = False, header: bool = True
+) -> DataFrame:
     """All rows of all files in one scan, every field as text.
 
     A fixed schema means no pass to infer types. Doubled quotes inside a
     quoted field are one quote. Fields are taken by position, so screen
     headers first (``check_headers``). ``multi_line`` accepts line breaks
-    inside quotes, at the price of files that cannot be split.
+    inside quotes, at the price of files that cannot be split. With ``header=False``
+    the header is a row like others.
     """
     return (
         spark.read.schema(RAW_SCHEMA)
-        .option("header", True)
+        .option("header", header)
         .option("quote", '"')
         .option("escape", '"')
         .option("mode", "PERMISSIVE")

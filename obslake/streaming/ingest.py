@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from obslake.plans import ledger
-from obslake.plans.ingest import ingest_files, resume_batch
+from obslake.plans.claims import LEASE
+from obslake.plans.ingest import finish_abandoned, ingest_files, resume_stopped
 from obslake.plans.lake import Lake, Load, ensure_database
 from obslake.schema import EVENT_DRIVEN
 from obslake.sources.files import LISTING_SCHEMA, list_files, stream_files
@@ -27,6 +29,7 @@ def stream_ingest(
     trigger: dict[str, Any] | None = None,
     max_file_age: str = "106751d",
     multi_line: bool = False,
+    lease: float = LEASE,
 ) -> StreamingQuery:
     """Start loading a folder's files as they arrive.
 
@@ -45,8 +48,17 @@ def stream_ingest(
     ``max_file_age`` is wider than any time stamp reaches back, because the source
     passes over files that lie further than that behind the newest one. The price is driver
     memory for the names of files seen; lower it where files keep pace.
+
+    Streams and batch runs may work on one folder: each file goes to one of them.
     """
     ensure_database(spark, lake)
+    options = {"on_error": on_error, "multi_line": multi_line, "owner": checkpoint}
+
+    def load(find: Callable[[list[DataFrame]], DataFrame]) -> None:
+        # A checkpoint has one query at a time, so what it has begun is there to be finished.
+        finish_abandoned(spark, lake, max_bytes=max_bytes, **options)
+        more = {"load_type": EVENT_DRIVEN, "max_bytes": max_bytes, "lease": lease}
+        ingest_files(spark, find, lake, **more, **options)
 
     def take(arrived: DataFrame, _epoch: int) -> None:
         # At most max_files_per_trigger names. They move from the stream's
@@ -56,29 +68,13 @@ def stream_ingest(
         left = ledger.states_of(spark, lake, files).where(
             ledger.is_open() & (F.col("load_type") == EVENT_DRIVEN)
         )
-        for load in left.select("load_type", "load_dt").distinct().collect():
-            resume_batch(spark, lake, Load(*load), on_error=on_error, multi_line=multi_line)
-        ingest_files(
-            spark,
-            ledger.unseen(spark, lake, files),
-            lake,
-            load_type=EVENT_DRIVEN,
-            max_bytes=max_bytes,
-            on_error=on_error,
-            multi_line=multi_line,
-        )
+        for stopped in left.select("load_type", "load_dt").distinct().collect():
+            resume_stopped(spark, lake, Load(*stopped), **options)
+        load(lambda held: ledger.unseen(spark, lake, files, held))
 
     # The file source knows files by path alone and never shows one twice. Files that
     # were replaced or handed back since are loaded here, before the stream starts.
-    ingest_files(
-        spark,
-        ledger.known_again(spark, lake, list_files(spark, incoming)),
-        lake,
-        load_type=EVENT_DRIVEN,
-        max_bytes=max_bytes,
-        on_error=on_error,
-        multi_line=multi_line,
-    )
+    load(lambda held: ledger.known_again(spark, lake, list_files(spark, incoming), held))
     files = stream_files(spark, incoming, max_files_per_trigger, max_file_age)
     return (
         files.writeStream.foreachBatch(take)
