@@ -9,18 +9,22 @@ with the table.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obslake import (
+    ClaimLog,
     Lake,
     Measure,
     answer_or_default,
     append_refined,
     batch_ingest,
+    changed_folders,
     check_headers,
     column_profile,
+    compact_ledger,
     current_answers,
     drop_refined,
     ensure_database,
@@ -331,6 +335,70 @@ def q_empty_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return none.agg(F.count(F.lit(1)).alias("n_files")).join(rows)
 
 
+def q_batch_at_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs on one folder at the same time: each file goes to one of them."""
+    lake = _new_lake(spark)
+    folder = _export_by_type(spark, sf_dir)
+    with ThreadPoolExecutor(2) as pool:
+        runs = [
+            pool.submit(batch_ingest, spark, folder, lake, on_error="quarantine_file")
+            for _ in range(2)
+        ]
+        for run in runs:
+            run.result()
+    return _per_region(spark, lake)
+
+
+def _left_behind(spark: SparkSession, lake: Lake, folder: str) -> None:
+    """What is there of a run that died once it had claimed its files."""
+    log = ClaimLog(spark, lake)
+    stamp = "2024-02-01T00:00:00.000000"
+    listed = list_incoming(spark, folder)
+    claim, _ = log.claim(BATCH, "gone#1", lambda _held: listed, load_dt=lambda: stamp, lease=0)
+    log.release(claim)
+
+
+def q_dead_run_finished(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run with nothing new to load first finishes the load of a run that died."""
+    lake = _new_lake(spark)
+    folder = _export_by_type(spark, sf_dir)
+    _left_behind(spark, lake, folder)
+    batch_ingest(spark, folder, lake, on_error="quarantine_file")
+    states = ingest_ledger(spark, lake)
+    return _by_feed(states, "path", "load_type", "load_dt", "status", "error")
+
+
+def q_ledger_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger after its loads were merged into one partition, twice."""
+    lake = _new_lake(spark)
+    batch_ingest(spark, _export_by_type(spark, sf_dir), lake, on_error="quarantine_file")
+    batch_ingest(spark, _export_all(spark, sf_dir), lake)
+    compact_ledger(spark, lake)
+    compact_ledger(spark, lake)
+    partitions = spark.table(lake.table("ingest_ledger")).select("load_type").distinct()
+    only_merged = partitions.agg(F.array_agg("load_type") == F.array(F.lit("SNAPSHOT")))
+    return _outcomes(ingest_ledger(spark, lake)).withColumn("only_merged", only_merged.scalar())
+
+
+def q_changed_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which folders are compared file by file once all were loaded and one got more files."""
+    folder = work_dir(spark, "thirds")
+    events = _events(spark, sf_dir)
+    day = F.dayofmonth("ts")
+    thirds = [events.where(day <= 10), events.where(day.between(11, 20)), events.where(day > 20)]
+    for third, rows in enumerate(thirds):
+        _export(_as_observations(rows), f"{folder}/{third}", f"third{third}")
+    lake = _new_lake(spark)
+    batch_ingest(spark, folder, lake)
+    _export(_as_observations(events.where(day <= 10)), f"{folder}/1", "more")
+    changed = changed_folders(spark, lake, list_incoming(spark, folder))
+    again = batch_ingest(spark, folder, lake)
+    compared = changed.select(F.substring_index("folder", "/", -1).alias("folder"))
+    feeds = again.select(_feed_of("filename").alias("feed")).distinct()
+    rows = spark.table(lake.table("observation")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return compared.withColumns({"feed": feeds.scalar(), "n_rows": rows.scalar()})
+
+
 def q_batch_many_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One run takes as many files as there are."""
     folder = work_dir(spark, "feed")
@@ -628,6 +696,12 @@ def oracle_sql() -> dict[str, str]:
                CASE {status} END AS status, CASE {error} END AS error, true AS listed_once
         FROM events {where}
     """
+    batch_outcomes = outcomes.format(
+        load_type="BATCH",
+        status="event_type WHEN 'error' THEN 'error' ELSE 'processed'",
+        error="event_type WHEN 'error' THEN 'Invalid columns.'",
+        where="WHERE event_type <> 'purchase'",
+    )
     extension = "Invalid file extension. Expected a CSV file."
     size = "File size N must be less than 1000 bytes. Use Batch Process for this file."
     third = "least((day(ts) - 1) // 10, 2)"
@@ -686,6 +760,19 @@ def oracle_sql() -> dict[str, str]:
         "batch_ingest": per_region.format(load_type="BATCH"),
         "batch_second_run": "SELECT 0 AS n_files, count(*) AS n_rows FROM events",
         "empty_run": "SELECT 0 AS n_files, count(*) AS n_rows FROM events",
+        "batch_at_once": per_region.format(load_type="BATCH"),
+        "dead_run_finished": f"""
+            SELECT *, '2024-02-01T00:00:00.000000' AS load_dt FROM ({batch_outcomes})
+        """,
+        "ledger_merged": f"""
+            SELECT *, true AS only_merged FROM (
+                {batch_outcomes} UNION ALL SELECT 'events', 'BATCH', 'processed', NULL, true)
+        """,
+        "changed_folders": """
+            SELECT '1' AS folder, 'more' AS feed,
+                count(*) + count(*) FILTER (day(ts) <= 10) AS n_rows
+            FROM events
+        """,
         "batch_many_files": """
             SELECT true AS many, count(*) AS n_rows, max(value) AS max_value FROM events
         """,
@@ -699,12 +786,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT event_id, strftime(ts, '%Y-%m-%d') AS day FROM events WHERE event_id % 4 <> 3
         """,
         "parse_numbers": "SELECT event_id, value FROM events WHERE event_id % 3 = 2",
-        "ingest_ledger": outcomes.format(
-            load_type="BATCH",
-            status="event_type WHEN 'error' THEN 'error' ELSE 'processed'",
-            error="event_type WHEN 'error' THEN 'Invalid columns.'",
-            where="WHERE event_type <> 'purchase'",
-        ),
+        "ingest_ledger": batch_outcomes,
         "ingest_ledger_fail_batch": outcomes.format(
             load_type="BATCH",
             status="WHEN true THEN 'error'",

@@ -15,10 +15,13 @@ from obslake.operators import (
     with_lineage,
 )
 from obslake.plans import (
+    ClaimLog,
     Lake,
     answer_or_default,
     append_refined,
     batch_ingest,
+    changed_folders,
+    compact_ledger,
     current_answers,
     drop_refined,
     ensure_database,
@@ -39,14 +42,17 @@ from obslake.sources import (
 from obslake.streaming import stream_hottest, stream_ingest
 
 __all__ = [
+    "ClaimLog",
     "Lake",
     "Measure",
     "answer_or_default",
     "append_refined",
     "batch_ingest",
     "build_session",
+    "changed_folders",
     "check_headers",
     "column_profile",
+    "compact_ledger",
     "current_answers",
     "drop_refined",
     "ensure_database",

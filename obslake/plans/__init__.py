@@ -5,17 +5,23 @@ from obslake.plans.answers import (
     publish_answers,
     record_answers,
 )
+from obslake.plans.claims import Claim, ClaimLog
+from obslake.plans.folders import changed_folders
 from obslake.plans.ingest import batch_ingest, ingest_files, resume_batches, return_to_incoming
 from obslake.plans.lake import Lake, Load, append_refined, drop_refined, ensure_database, read_table
-from obslake.plans.ledger import ingest_ledger
+from obslake.plans.ledger import compact_ledger, ingest_ledger
 
 __all__ = [
+    "Claim",
+    "ClaimLog",
     "Lake",
     "Load",
     "answer_or_default",
     "answers_sql",
     "append_refined",
     "batch_ingest",
+    "changed_folders",
+    "compact_ledger",
     "current_answers",
     "drop_refined",
     "ensure_database",
