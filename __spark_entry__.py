@@ -41,6 +41,7 @@ from obslake import (
     running_answer_log,
     screen_files,
     stream_hottest,
+    stream_improvements,
     stream_ingest,
     to_canonical,
     union_by_name,
@@ -51,7 +52,9 @@ from obslake import (
 from obslake.operators import top_reading
 from obslake.schema import BATCH, EVENT_DRIVEN, HEADER, QUESTION_DATE, QUESTION_REGION
 from obslake.schema import QUESTION_TEMPERATURE, snake_case
+from obslake.session import session_with
 from obslake.sources import list_files
+from obslake.streaming import ROCKSDB
 
 # The text operators may be taken out of the package; the other queries do without them.
 try:
@@ -567,6 +570,29 @@ def q_stream_hottest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def q_stream_improvements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which thirds of the month raised the answer, each third a micro-batch."""
+    folder = work_dir(spark, "arriving")
+    events = _events(spark, sf_dir)
+    third = F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2))
+    for i in range(3):
+        events.where(third == i).coalesce(1).write.mode("append").parquet(folder)
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    session = session_with(spark, {provider: ROCKSDB, "spark.sql.shuffle.partitions": "1"})
+    arriving = session.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+    risen = stream_improvements(arriving.parquet(folder), EVENTS)
+    out = work_dir(spark, "risen")
+    query = (
+        risen.writeStream.outputMode("append")
+        .format("parquet")
+        .option("checkpointLocation", work_dir(spark, "checkpoint"))
+        .trigger(availableNow=True)
+        .start(out)
+    )
+    query.awaitTermination()
+    return spark.read.schema(risen.schema).parquet(out)
+
+
 def _stream_in(spark: SparkSession, sf_dir: str) -> Lake:
     lake = _new_lake(spark)
     query = stream_ingest(
@@ -805,6 +831,11 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT '0', false
         """,
         "stream_hottest": _TOP.format(where=""),
+        "stream_improvements": f"""
+            SELECT row_number() OVER (ORDER BY batch) AS place_in_log, hottest_date, max_value,
+                region
+            FROM ({_improvements(third)})
+        """,
         "stream_schedule": per_region.format(load_type="EVENT-DRIVEN"),
         "stream_returned_files": per_region.format(load_type="EVENT-DRIVEN"),
         "stream_ingest": per_region.format(load_type="EVENT-DRIVEN"),

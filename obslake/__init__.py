@@ -39,7 +39,7 @@ from obslake.sources import (
     read_refined,
     read_rows,
 )
-from obslake.streaming import stream_hottest, stream_ingest
+from obslake.streaming import stream_hottest, stream_improvements, stream_ingest
 
 __all__ = [
     "ClaimLog",
@@ -72,6 +72,7 @@ __all__ = [
     "running_answer_log",
     "screen_files",
     "stream_hottest",
+    "stream_improvements",
     "stream_ingest",
     "to_canonical",
     "union_by_name",

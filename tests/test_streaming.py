@@ -16,11 +16,15 @@ from obslake import (
     ensure_database,
     ingest_ledger,
     return_to_incoming,
+    running_answer_log,
     stream_hottest,
+    stream_improvements,
     stream_ingest,
 )
 from obslake.plans import ingest as ingest_module
 from obslake.schema import HEADER, QUESTION_REGION, QUESTION_TEMPERATURE
+from obslake.session import session_with
+from obslake.streaming import ROCKSDB
 
 
 def run(spark, incoming, lake, tmp_path, **options):
@@ -245,3 +249,52 @@ def test_hottest_of_a_stream(spark, tmp_path):
     arrive((float("nan"), "2016-02-01", 1, "N", 1, "X"), (None, "2016-02-01", 1, "M", 1, "X"))
     arrive((7.0, "2016-02-01", 1, None, 1, None), (6.0, "2016-01-01", 1, "C", 1, "X"))
     assert now("hot2") == [("2016-02-01", 7.0, None, None)]
+
+
+ROWS = (
+    "batch int, screen_temperature double, observation_date timestamp_ntz, observation_time int, "
+    "region string, forecast_site_code int, country string"
+)
+
+
+@pytest.mark.parametrize("initial", [0.0, None])
+def test_stream_of_improvements_equals_the_log_across_restarts(spark, tmp_path, initial):
+    """Ties, missing readings, batches that raise nothing, and a stop after every batch."""
+    batches = [
+        [(-4.0, "2016-02-01", 1, "Below", 1), (-9.0, "2016-02-01", 2, "B", 1)],
+        [(float("nan"), "2016-02-01", 1, "N", 1), (None, None, None, None, None)],
+        [(7.0, "2016-02-03", 1, "B", 1), (7.0, "2016-02-02", 5, "A", 1), (7.0, None, 1, "C", 1)],
+        [(7.0, "2015-01-01", 1, "Tie", 1), (6.5, "2016-02-01", 1, "Low", 1)],
+        [(9.0, "2016-02-09", None, None, 3), (9.0, "2016-02-09", 4, "Z", None)],
+        [(9.5, "1066-10-14", 1, "Old", 2)] * 40 + [(9.25, "2016-02-01", 1, "X", 1)] * 40,
+    ]
+    source, checkpoint = str(tmp_path / "rows"), str(tmp_path / "cp")
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    with pytest.raises(ValueError, match="RocksDB"):
+        stream_improvements(spark.readStream.schema(ROWS).parquet(str(tmp_path)))
+    session = session_with(spark, {provider: ROCKSDB, "spark.sql.shuffle.partitions": "2"})
+    kinds = "t double, d string, h int, r string, s int"
+    for number, rows in enumerate(batches):
+        frame = spark.createDataFrame(rows, kinds).selectExpr(
+            f"{number} AS batch", "t AS screen_temperature",
+            "CAST(d AS timestamp_ntz) AS observation_date", "h AS observation_time",
+            "r AS region", "s AS forecast_site_code", "concat(r, '!') AS country",
+        )
+        frame.coalesce(2).write.mode("append").parquet(source)
+        arriving = session.readStream.schema(ROWS).parquet(source)
+        query = (
+            stream_improvements(arriving, initial=initial)
+            .writeStream.outputMode("append")
+            .format("parquet")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start(str(tmp_path / "risen"))
+        )
+        query.awaitTermination()
+    columns = ["max_value", "hottest_date", "region", "country"]
+    risen = spark.read.parquet(str(tmp_path / "risen")).sort("place_in_log").collect()
+    log = running_answer_log(spark.read.parquet(source), "batch", initial=initial)
+    expected = log.sort("batch").select(*columns).collect()
+    assert [tuple(r[c] for c in columns) for r in risen] == [tuple(r) for r in expected]
+    assert [r.place_in_log for r in risen] == list(range(1, len(risen) + 1))
+    assert len(risen) == (3 if initial == 0.0 else 4)
