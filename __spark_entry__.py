@@ -31,6 +31,9 @@ from obslake import (
     hottest_answer,
     hottest_records,
     ingest_ledger,
+    lake_hottest_records,
+    lake_maximum,
+    late_records,
     list_incoming,
     max_temperature,
     query_refined,
@@ -543,6 +546,31 @@ def q_batch_answer_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.select("max_value", "hottest_date", "region")
 
 
+def q_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The middle of the month comes first, then its beginning, then its end; whatever lies more
+    than 12 hours behind what was there before is late, and is in the table like the rest."""
+    lake = _new_lake(spark)
+    folder = _export_thirds(spark, sf_dir)
+    for third in (1, 0, 2):
+        batch_ingest(spark, f"{folder}/{third}", lake)
+    table = spark.table(lake.table("observation"))
+    late = late_records(table, "load_dt", "observation_date", "12 hours")
+    return late.select(
+        F.substring_index("site_name", " ", -1).cast("bigint").alias("event_id"),
+        _feed_of("filename").alias("feed"),
+        F.timestamp_diff("MICROSECOND", "observation_date", "watermark").alias("late_by_us"),
+        F.lit(table.count()).alias("n_rows"),
+    )
+
+
+def q_lake_hottest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hottest rows of a table of three loads, from the loads that can hold them."""
+    lake = _ingest_in_three(spark, sf_dir)
+    rows = _event_columns(lake_hottest_records(spark, lake))
+    highest = lake_maximum(spark, lake)
+    return rows.select("event_id", "event_type", "value").withColumn("max_value", highest.scalar())
+
+
 def q_answer_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     answers = q_three_questions(spark, sf_dir)
     known = answer_or_default(answers, QUESTION_TEMPERATURE, "0")
@@ -826,6 +854,25 @@ def oracle_sql() -> dict[str, str]:
         """,
         "batch_answers": _questions(),
         "batch_answer_log": f"SELECT max_value, hottest_date, region FROM ({_improvements(third)})",
+        "late_rows": f"""
+            WITH loads AS (
+                SELECT *, {third} AS third, CASE {third} WHEN 1 THEN 0 WHEN 0 THEN 1 ELSE 2 END
+                    AS place
+                FROM events
+            ), marks AS (
+                SELECT b.place, max(e.ts) - INTERVAL 12 HOUR AS watermark
+                FROM (SELECT DISTINCT place FROM loads) b JOIN loads e ON e.place < b.place
+                GROUP BY 1
+            )
+            SELECT event_id, 'third' || third AS feed,
+                date_diff('microsecond', ts, watermark) AS late_by_us,
+                (SELECT count(*) FROM events) AS n_rows
+            FROM loads JOIN marks USING (place) WHERE ts < watermark
+        """,
+        "lake_hottest": """
+            SELECT event_id, event_type, value, value AS max_value FROM events
+            WHERE value = (SELECT max(value) FROM events)
+        """,
         "answer_lookup": """
             SELECT printf('%.2f', max(value)) AS answer, true AS known FROM events
             UNION ALL SELECT '0', false

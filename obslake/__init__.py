@@ -6,6 +6,7 @@ from obslake.operators import (
     column_profile,
     hottest_answer,
     hottest_records,
+    late_records,
     max_temperature,
     running_answer_log,
     screen_files,
@@ -26,6 +27,8 @@ from obslake.plans import (
     drop_refined,
     ensure_database,
     ingest_ledger,
+    lake_hottest_records,
+    lake_maximum,
     publish_answers,
     record_answers,
     resume_batches,
@@ -59,6 +62,9 @@ __all__ = [
     "hottest_answer",
     "hottest_records",
     "ingest_ledger",
+    "lake_hottest_records",
+    "lake_maximum",
+    "late_records",
     "list_incoming",
     "max_temperature",
     "publish_answers",

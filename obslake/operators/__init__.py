@@ -1,5 +1,6 @@
 from obslake.operators.extremes import hottest_answer, hottest_records, max_temperature, top_reading
 from obslake.operators.improvements import running_answer_log
+from obslake.operators.lateness import late_records
 from obslake.operators.lineage import utc_stamp, with_lineage
 from obslake.operators.measure import Measure
 from obslake.operators.profile import column_profile
@@ -19,6 +20,7 @@ __all__ = [
     "column_profile",
     "hottest_answer",
     "hottest_records",
+    "late_records",
     "max_temperature",
     "quarantined",
     "running_answer_log",

@@ -40,16 +40,8 @@ def running_answer_log(
        subquery. An equi-join leaves the rows that have their batch's maximum, so only
        these are ranked.
     """
-    spark = df.sparkSession
-    if groups is None:
-        groups = int(spark.conf.get("spark.sql.shuffle.partitions"))
     batches = df.withColumn("batch", batch if isinstance(batch, Column) else F.col(batch))
-    seen = Observation()
-    path = work_dir(spark, "maxima")
-    maxima = batches.groupBy("batch").agg(F.max(measure.reading).alias("max_value"))
-    maxima.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
-    maxima = spark.read.schema(maxima.schema).parquet(path)
-    improving = _improving(maxima, min(groups, -(-seen.get["n"] // PER_RANGE)), initial)
+    improving = _improving(*stored_maxima(batches, measure.reading, groups), initial)
 
     floor = improving.select(F.min("max_value")).scalar()
     top = improving.select(F.col("batch").alias("top_batch"), F.col("max_value").alias("top_value"))
@@ -73,9 +65,23 @@ def running_answer_log(
 
 
 def _improving(maxima: DataFrame, groups: int, initial: float | None) -> DataFrame:
+    value, best = F.col("max_value"), F.col("best_before")
+    if initial is not None:
+        best = F.greatest(best, F.lit(initial))
+    beats = F.coalesce(value > best, value.isNotNull())  # nothing to beat yet
+    before = best_before(maxima, groups).withColumn("beats", beats)
+    return before.where("beats").select("batch", "max_value")
+
+
+def best_before(maxima: DataFrame, groups: int) -> DataFrame:
+    """Adds ``best_before``, the maximum of all earlier batches, to (batch, max_value).
+
+    With more than one group, batches are dealt into ranges, and a window over everything
+    has a row for each range only.
+    """
     if groups <= 1:
         earlier = W.orderBy("batch").rowsBetween(W.unboundedPreceding, -1)
-        return _beating(maxima, F.max("max_value").over(earlier), initial)
+        return maxima.withColumn("best_before", F.max("max_value").over(earlier))
     drawn = maxima.where("batch is not null").orderBy(F.xxhash64("batch"), "batch").limit(groups - 1)
     bounds = drawn.select(F.collect_list("batch")).scalar()
     # A null batch is the first of all, and lies above no bound.
@@ -87,13 +93,20 @@ def _improving(maxima: DataFrame, groups: int, initial: float | None) -> DataFra
         F.col("range").alias("of_range"), F.max("range_max").over(preceding).alias("before")
     )
     earlier = W.partitionBy("range").orderBy("batch").rowsBetween(W.unboundedPreceding, -1)
+    best = F.greatest(F.max("max_value").over(earlier), "before")
     dealt = dealt.join(before, F.col("range") == F.col("of_range"))
-    return _beating(dealt, F.greatest(F.max("max_value").over(earlier), "before"), initial)
+    return dealt.withColumn("best_before", best).select(*maxima.columns, "best_before")
 
 
-def _beating(maxima: DataFrame, best: Column, initial: float | None) -> DataFrame:
-    value = F.col("max_value")
-    if initial is not None:
-        best = F.greatest(best, F.lit(initial))
-    beats = F.coalesce(value > best, value.isNotNull())  # nothing to beat yet
-    return maxima.withColumn("beats", beats).where("beats").select("batch", "max_value")
+def stored_maxima(batches: DataFrame, value: Column, groups: int | None) -> tuple[DataFrame, int]:
+    """(batch, max_value) of a table with a column ``batch``, written to the shared folder, and
+    into how many ranges to deal them."""
+    spark = batches.sparkSession
+    if groups is None:
+        groups = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    seen = Observation()
+    path = work_dir(spark, "maxima")
+    maxima = batches.groupBy("batch").agg(F.max(value).alias("max_value"))
+    maxima.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    ranges = min(groups, -(-seen.get["n"] // PER_RANGE))
+    return spark.read.schema(maxima.schema).parquet(path), ranges

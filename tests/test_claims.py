@@ -18,7 +18,10 @@ from obslake import (
     Lake,
     batch_ingest,
     ensure_database,
+    hottest_records,
     ingest_ledger,
+    lake_hottest_records,
+    lake_maximum,
     list_incoming,
     resume_batches,
     return_to_incoming,
@@ -264,6 +267,40 @@ def test_headers_are_checked_by_the_scan_that_loads(spark, lake, incoming, monke
     assert observation(spark, lake).count() == 3 * 20_000 + 1
 
 
+def test_the_hottest_rows_are_read_from_the_loads_that_hold_them(spark, lake, incoming, monkeypatch):
+    for i in range(6):
+        rows = [row((j * 7 + i) % 30, region=f"R{j}", site=j) for j in range(20_000)]
+        write_csv(incoming, f"f{i}.csv", rows + [row(40 if i in (2, 4) else 35, region=f"Top{i}")])
+        batch_ingest(spark, str(incoming), lake)
+    write_csv(incoming, "none.csv", [row("")])
+    batch_ingest(spark, str(incoming), lake)
+    table = spark.table(lake.table("observation"))
+    parts = Path(lake.path("observation")).rglob("*.parquet")
+    size = sum(part.stat().st_size for part in parts)
+    before = bytes_read(spark)
+    assert lake_maximum(spark, lake).first().max_value == 40
+    assert bytes_read(spark) - before < 0.3 * size / 6
+    before = bytes_read(spark)
+    found = lake_hottest_records(spark, lake).collect()
+    assert bytes_read(spark) - before < 3 * size / 6
+    assert sorted(found) == sorted(hottest_records(table).collect())
+    assert sorted(r.region for r in found) == ["Top2", "Top4"]
+    # A load without an entry in the log counts, too.
+    write_csv(incoming, "open.csv", [row(50, region="Open")])
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest_module, "record_answers", killed)
+        with pytest.raises(Killed):
+            batch_ingest(spark, str(incoming), lake)
+    assert lake_maximum(spark, lake).first().max_value == 50
+    assert [r.region for r in lake_hottest_records(spark, lake).collect()] == ["Open"]
+
+
+def test_no_rows_have_no_hottest(spark, lake, incoming):
+    ensure_database(spark, lake)
+    assert lake_maximum(spark, lake).collect() == [(None,)]
+    assert lake_hottest_records(spark, lake).isEmpty()
+
+
 def test_splits_put_together_are_loaded_right(spark, lake, incoming, monkeypatch):
     """If a task reads several files after all, they are looked at one by one."""
     for i in range(6):

@@ -18,6 +18,7 @@ from obslake import (
     column_profile,
     hottest_answer,
     hottest_records,
+    late_records,
     max_temperature,
     running_answer_log,
     union_by_name,
@@ -210,3 +211,38 @@ def test_listing_does_not_read_contents(spark, tmp_path):
 
     (tmp_path / "a.csv").write_text("x")
     assert "content" not in plan_of(list_incoming(spark, str(tmp_path)))
+
+
+def late_by_brute_force(rows, delay):
+    """(batch, time) of rows behind the latest time of all earlier batches, less the delay."""
+    order = sorted({r[0] for r in rows}, key=lambda b: (b is not None, b or 0))
+    late, latest = [], None
+    for batch in order:
+        times = [r[1] for r in rows if r[0] == batch and r[1] is not None]
+        if latest is not None:
+            late += [(batch, t, latest - delay - t) for t in times if t < latest - delay]
+        latest = max([*times, latest] if latest is not None else times, default=None)
+    return sorted(late, key=repr)
+
+
+@pytest.mark.parametrize("groups", [None, 4])
+@pytest.mark.parametrize("hours", [0, 5])
+def test_late_rows_are_those_behind_the_batches_before(spark, monkeypatch, groups, hours):
+    monkeypatch.setattr("obslake.operators.improvements.PER_RANGE", 10)
+    draw = random.Random(hours)
+    start = datetime(2016, 3, 27)  # clocks change in many zones
+    rows = [
+        (draw.choice([None, *range(60)]), draw.choice([None, *[start + timedelta(hours=h / 4) for h in range(300)]]))
+        for _ in range(500)
+    ]
+    rows += [(1000, start), (1001, None)]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/London")
+    try:
+        df = spark.createDataFrame(rows, "b int, at timestamp_ntz")
+        found = late_records(df, "b", "at", f"{hours} hours", groups=groups).collect()
+        assert late_records(df.where("false"), "b", "at").isEmpty()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    expected = late_by_brute_force(rows, timedelta(hours=hours))
+    assert sorted(((r.b, r["at"], r.late_by) for r in found), key=repr) == expected
