@@ -8,6 +8,7 @@ with the table.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -598,6 +599,59 @@ def q_stream_hottest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def q_stream_replaced_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file for each third of the month, and the first one replaced by the second while the
+    stream runs: the rows of each name."""
+    folder, thirds = work_dir(spark, "arriving"), _export_thirds(spark, sf_dir)
+    rows = spark.read.text(f"{thirds}/*/*.csv").where(F.col("value") != ",".join(HEADER))
+    third = F.regexp_extract("_metadata.file_path", "/([012])/[^/]*$", 1)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    fs = jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(conf)
+
+    def put(number: int, name: str) -> None:
+        draft = jvm.org.apache.hadoop.fs.Path(work_dir(spark, "draft"))
+        lines = rows.where(third == str(number)).select("value").coalesce(1)
+        header = spark.createDataFrame([(",".join(HEADER),)], "value string").coalesce(1)
+        header.unionAll(lines).coalesce(1).write.text(draft.toString())
+        [part] = [f.getPath() for f in fs.listStatus(draft) if "/part-" in f.getPath().toString()]
+        target = jvm.org.apache.hadoop.fs.Path(folder, name)
+        jvm.org.apache.hadoop.fs.FileUtil.copy(fs, part, fs, target, False, True, conf)
+
+    for number in range(3):
+        put(number, f"f{number}.csv")
+    lake = _new_lake(spark)
+    query = stream_ingest(
+        spark,
+        folder,
+        lake,
+        checkpoint=work_dir(spark, "checkpoint"),
+        trigger={"processingTime": "500 milliseconds"},
+        look_again=0.5,
+    )
+    query.processAllAvailable()
+    put(1, "f0.csv")
+    until = time.time() + 300
+    while ingest_ledger(spark, lake).where("status = 'processed'").count() < 4:
+        if time.time() > until:
+            raise TimeoutError("the replaced file was not loaded")
+        time.sleep(0.5)
+    query.stop()
+    table = spark.table(lake.table("observation"))
+    return table.groupBy("filename").agg(
+        F.count(F.lit(1)).alias("n"), F.max("screen_temperature").alias("max_value")
+    )
+
+
+def q_oversized_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files too large for the stream, taken by a batch run that asks for them."""
+    lake = _new_lake(spark)
+    folder = _export_by_type(spark, sf_dir)
+    checkpoint = work_dir(spark, "checkpoint")
+    stream_ingest(spark, folder, lake, checkpoint=checkpoint, max_bytes=1).awaitTermination()
+    batch_ingest(spark, folder, lake, on_error="quarantine_file", oversized=True)
+    return _per_region(spark, lake)
+
+
 def q_stream_improvements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which thirds of the month raised the answer, each third a micro-batch."""
     folder = work_dir(spark, "arriving")
@@ -878,6 +932,13 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT '0', false
         """,
         "stream_hottest": _TOP.format(where=""),
+        "stream_replaced_files": f"""
+            SELECT 'f' || name || '.csv' AS filename, count(*) AS n, max(value) AS max_value
+            FROM events, (SELECT unnest([[0, 0], [0, 1], [1, 1], [2, 2]]) AS put) p,
+                LATERAL (SELECT put[1] AS name, put[2] AS part) q
+            WHERE part = {third} GROUP BY 1
+        """,
+        "oversized_files": per_region.format(load_type="BATCH"),
         "stream_improvements": f"""
             SELECT row_number() OVER (ORDER BY batch) AS place_in_log, hottest_date, max_value,
                 region

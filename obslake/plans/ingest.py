@@ -57,6 +57,7 @@ def batch_ingest(
     load_dt: str | None = None,
     multi_line: bool = False,
     lease: float = LEASE,
+    oversized: bool = False,
 ) -> DataFrame:
     """Load the next files of a folder and bring the answers up to date.
 
@@ -67,6 +68,9 @@ def batch_ingest(
     ``on_error`` says what a refused file does: ``fail_batch`` refuses all
     files of the run with it, ``quarantine_file`` only that one.
 
+    With ``oversized`` a run also takes the folder's files that a stream, or another run, has
+    refused for their size.
+
     Runs may overlap, on one folder too: each file goes to one of them. A run first
     finishes what a run has left behind that was not heard of for ``lease`` seconds.
     """
@@ -86,6 +90,8 @@ def batch_ingest(
         else:
             changed = folders.fingerprints(listed)
         files = ledger.unseen(spark, lake, files, held)
+        if oversized:
+            files = files.unionAll(ledger.refused_for_size(spark, lake, listed, held))
         return files if limit is None else files.orderBy("path").limit(limit)
 
     def settle(load: Load, files: DataFrame) -> None:

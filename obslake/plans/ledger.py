@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obslake.operators.lineage import utc_stamp
+from obslake.operators.quality import INVALID_SIZE
 from obslake.plans.lake import Lake, Load, loads_of, read_table, remove_load, write_load
 from obslake.plans.store import Store
 from obslake.schema import BATCH, EVENT_DRIVEN, RETURNED, SNAPSHOT
@@ -103,6 +104,21 @@ def known_again(
     return unseen(spark, lake, files, held).join(paths, "path", "left_semi")
 
 
+def refused_for_size(
+    spark: SparkSession, lake: Lake, files: DataFrame, held: list[DataFrame]
+) -> DataFrame:
+    """Files of a listing that were refused for nothing but their size."""
+    size = INVALID_SIZE.partition("%s")[0]
+    states = ingest_ledger(spark, lake)
+    refused = states.where(
+        (F.col("status") == "error") & (F.col("step") == "screen") & F.col("error").startswith(size)
+    )
+    found = files.join(refused, FILE_KEY, "left_semi")
+    for files_held in held:
+        found = found.join(files_held, FILE_KEY, "left_anti")
+    return found
+
+
 def hand_back(spark: SparkSession, lake: Lake, batch_id: str) -> DataFrame:
     """Record the refused files of a batch as handed back, and return them.
 

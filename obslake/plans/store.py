@@ -23,6 +23,9 @@ class Store:
     def _path(self, name: str) -> Any:
         return self._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}" if name else self.folder)
 
+    def make(self) -> None:
+        self._fs.mkdirs(self._path(""))
+
     def listed(self, name: str = "") -> dict[str, int]:
         """Names in a folder and when they were last written; none if there is no folder."""
         try:

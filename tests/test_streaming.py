@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import time
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
@@ -76,6 +77,58 @@ def test_stream_screens_loads_and_goes_on(spark, lake, incoming, tmp_path):
     }
 
 
+def until(condition, seconds=60):
+    end = time.time() + seconds
+    while not condition() and time.time() < end:
+        time.sleep(0.2)
+    assert condition()
+
+
+def test_replaced_and_returned_files_are_loaded_while_the_stream_runs(
+    spark, lake, incoming, tmp_path
+):
+    write_csv(incoming, "a.csv", [row(3.5)])
+    write_csv(incoming, "bad.csv", [row(60)], list(reversed(HEADER)))
+    query = stream_ingest(
+        spark, str(incoming), lake, checkpoint=str(tmp_path / "cp"), look_again=0.5,
+        trigger={"processingTime": "500 milliseconds"},
+    )
+    try:
+        query.processAllAvailable()
+        states = lambda: sorted(
+            (r.filename, r.status) for r in ingest_ledger(spark, lake).collect()
+        )
+        assert states() == [("a.csv", "processed"), ("bad.csv", "error")]
+        write_csv(incoming, "a.csv", [row(9.5)] * 4)
+        until(lambda: states().count(("a.csv", "processed")) == 2)
+        [refused] = ingest_ledger(spark, lake).where("status = 'error'").collect()
+        return_to_incoming(spark, lake, refused.batch_id)
+        batches = lambda: {r.batch_id for r in ingest_ledger(spark, lake).collect()}
+        known = batches()
+        until(lambda: batches() - known)
+        until(lambda: ("bad.csv", "error") in states())
+        write_csv(incoming, "bad.csv", [row(12)])
+        os.utime(incoming / "bad.csv", (86_400, 86_400))
+        until(lambda: ("bad.csv", "processed") in states())
+    finally:
+        query.stop()
+    assert answers(spark, lake)[QUESTION_TEMPERATURE] == "12.00"
+    assert spark.table(lake.table("observation")).count() == 1 + 4 + 1
+    run(spark, incoming, lake, tmp_path)
+    assert spark.table(lake.table("observation")).count() == 6
+
+
+def test_a_batch_run_takes_what_was_too_large_for_the_stream(spark, lake, incoming, tmp_path):
+    write_csv(incoming, "big.csv", [row(5)] * 20)
+    write_csv(incoming, "bad.csv", [row(60)], list(reversed(HEADER)))
+    run(spark, incoming, lake, tmp_path, max_bytes=1000)
+    assert batch_ingest(spark, str(incoming), lake).isEmpty()
+    done = batch_ingest(spark, str(incoming), lake, oversized=True)
+    assert outcome(done) == {"big.csv": ("processed", None)}
+    assert batch_ingest(spark, str(incoming), lake, oversized=True).isEmpty()
+    assert spark.table(lake.table("observation")).count() == 20
+
+
 def test_stream_equals_batch_file_by_file(spark, lake, incoming, tmp_path):
     for i, temperature in enumerate([5, 11, 3, 11]):
         write_csv(incoming, f"f{i}.csv", [row(temperature, f"2016-02-0{i + 1}T00:00:00", f"R{i}")])
