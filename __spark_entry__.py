@@ -38,6 +38,7 @@ from obslake import (
     list_incoming,
     max_temperature,
     query_refined,
+    read_inferred,
     read_observations,
     read_refined,
     read_rows,
@@ -229,6 +230,17 @@ def q_csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _event_columns(read_observations(spark, _export_all(spark, sf_dir)))
 
 
+def q_inferred_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What types the columns of the feed have, and how many values and which highest one."""
+    rows = read_inferred(spark, _export_thirds(spark, sf_dir) + "/*/*.csv")
+    profile = column_profile(rows).where("n_non_null > 0")
+    numbers = [f.name for f in rows.schema if f.dataType.simpleString() in ("bigint", "double")]
+    highest = rows.agg(*[F.max(name).cast("double").alias(name) for name in numbers])
+    shown = ", ".join(f"'{name}', {name}" for name in numbers)
+    tall = highest.selectExpr(f"stack({len(numbers)}, {shown}) AS (column_name, max_value)")
+    return profile.join(tall, "column_name", "left")
+
+
 def q_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each row with the file it came from, over all files in one scan."""
     rows = read_rows(spark, _export_thirds(spark, sf_dir) + "/*/*.csv")
@@ -834,6 +846,19 @@ def oracle_sql() -> dict[str, str]:
                    user_id, event_type, value, props
             FROM events
         """,
+        "inferred_types": """
+            SELECT 'forecast_site_code' AS column_name, 'bigint' AS dtype, count(*) AS n_rows,
+                count(user_id) AS n_non_null, max(user_id)::DOUBLE AS max_value FROM events
+            UNION ALL SELECT 'observation_time', 'bigint', count(*), count(ts), max(hour(ts))
+                FROM events
+            UNION ALL SELECT 'observation_date', 'timestamp_ntz', count(*), count(ts), NULL
+                FROM events
+            UNION ALL SELECT 'screen_temperature', 'double', count(*), count(value), max(value)
+                FROM events
+            UNION ALL SELECT 'site_name', 'string', count(*), count(event_id), NULL FROM events
+            UNION ALL SELECT 'region', 'string', count(*), count(event_type), NULL FROM events
+            UNION ALL SELECT 'country', 'string', count(*), count(props), NULL FROM events
+        """,
         "lineage": f"""
             SELECT event_id, 'third' || ({third}) AS feed, 'BATCH' AS load_type,
                    '2024-02-01T00:00:00.000000' AS load_dt

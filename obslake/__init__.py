@@ -6,6 +6,7 @@ from obslake.operators import (
     column_profile,
     hottest_answer,
     hottest_records,
+    infer_types,
     late_records,
     max_temperature,
     running_answer_log,
@@ -38,6 +39,7 @@ from obslake.session import build_session, work_dir
 from obslake.sources import (
     list_incoming,
     query_refined,
+    read_inferred,
     read_observations,
     read_refined,
     read_rows,
@@ -61,6 +63,7 @@ __all__ = [
     "ensure_database",
     "hottest_answer",
     "hottest_records",
+    "infer_types",
     "ingest_ledger",
     "lake_hottest_records",
     "lake_maximum",
@@ -69,6 +72,7 @@ __all__ = [
     "max_temperature",
     "publish_answers",
     "query_refined",
+    "read_inferred",
     "read_observations",
     "read_refined",
     "read_rows",

@@ -1,5 +1,6 @@
 from obslake.operators.extremes import hottest_answer, hottest_records, max_temperature, top_reading
 from obslake.operators.improvements import running_answer_log
+from obslake.operators.inference import infer_types, read_as
 from obslake.operators.lateness import late_records
 from obslake.operators.lineage import utc_stamp, with_lineage
 from obslake.operators.measure import Measure
@@ -20,9 +21,11 @@ __all__ = [
     "column_profile",
     "hottest_answer",
     "hottest_records",
+    "infer_types",
     "late_records",
     "max_temperature",
     "quarantined",
+    "read_as",
     "running_answer_log",
     "screen_files",
     "to_canonical",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from obslake.operators.inference import infer_types, read_as
 from obslake.operators.quality import to_canonical
 from obslake.schema import CORRUPT, RAW_SCHEMA
 
@@ -36,3 +37,14 @@ def read_observations(
 ) -> DataFrame:
     """Observation files as typed rows; fields that do not parse are null."""
     return to_canonical(read_rows(spark, paths, multi_line))
+
+
+def read_inferred(
+    spark: SparkSession, paths: str | list[str], multi_line: bool = False
+) -> DataFrame:
+    """Observation files with the types that all their values have in common.
+
+    Two passes over the files: one for the types, one when the rows are used.
+    """
+    rows = read_rows(spark, paths, multi_line).drop(CORRUPT)
+    return read_as(rows, infer_types(rows))

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import random
 
-from conftest import write_csv
+from conftest import row, write_csv
 from pyspark.sql import functions as F
 
-from obslake import read_rows, screen_files, with_lineage
+from obslake import infer_types, read_inferred, read_rows, screen_files, with_lineage
 from obslake.functions import day_and_time, is_missing, non_empty, number, whole_number
-from obslake.operators import assess, quarantined
+from obslake.operators import assess, quarantined, read_as
 from obslake.operators.quality import STREAM_MAX_BYTES
 from obslake.schema import HEADER, TYPES, snake_case
 
@@ -131,3 +131,46 @@ def test_every_row_is_kept_or_set_aside_and_every_flaw_named(spark, tmp_path):
     )
     assert {tuple(r) for r in named.collect()} == flaws
     assert {r.raw for r in quarantined(rows).collect()} <= set(lines)
+
+
+def test_inferred_types_do_not_depend_on_files_or_order(spark, tmp_path):
+    values = {
+        "WindSpeed": ["1", "-22", "", "NA"],
+        "WindGust": ["1", "2.5", "", "7"],
+        "Visibility": ["", "NaN", "null", ""],
+        "Pressure": ["123456789012345678901", "5", "", "6"],
+        "SignificantWeatherCode": ["true", "FALSE", "", "true"],
+        "SiteName": ["2016-02-01", "7", "", "x"],
+        "Region": ["2016-02-01", "20160202T10:00:00", "", "03/02/2016"],
+        "Country": ["Infinity", "1", "", "2"],
+    }
+    rows = [row(i, **{name: texts[i] for name, texts in values.items()}) for i in range(4)]
+    expected = {
+        "wind_speed": "bigint", "wind_gust": "double", "visibility": "string",
+        "pressure": "double", "significant_weather_code": "boolean", "site_name": "string",
+        "region": "timestamp_ntz", "country": "string", "screen_temperature": "bigint",
+        "observation_date": "timestamp_ntz", "latitude": "double",
+    }
+    seen = set()
+    for cut in range(5):
+        folder = tmp_path / str(cut)
+        folder.mkdir()
+        order = rows if cut % 2 else rows[::-1]
+        write_csv(folder, "a.csv", order[:cut])
+        write_csv(folder, "b.csv", order[cut:])
+        typed = read_inferred(spark, str(folder))
+        found = {field.name: field.dataType.simpleString() for field in typed.schema}
+        assert {name: found[name] for name in expected} == expected
+        seen.add(tuple(sorted(map(repr, typed.collect()))))
+    assert len(seen) == 1
+    second = [r for r in typed.collect() if r.wind_speed == -22][0]
+    assert second.wind_gust == 2.5 and second.significant_weather_code is False
+    assert str(second.region) == "2016-02-02 10:00:00" and second.pressure == 5.0
+
+
+def test_inferred_types_of_no_rows_are_text(spark):
+    empty = spark.createDataFrame([], "`a b` string, `c``d` string")
+    types = infer_types(empty)
+    assert [f.dataType.simpleString() for f in types] == ["string", "string"]
+    odd = spark.createDataFrame([("1", None), (None, "x")], "`a b` string, `c``d` string")
+    assert read_as(odd, infer_types(odd)).collect() == [(1, None), (None, "x")]
