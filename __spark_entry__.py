@@ -37,6 +37,7 @@ from obslake import (
     late_records,
     list_incoming,
     max_temperature,
+    merge_small_files,
     query_refined,
     read_inferred,
     read_observations,
@@ -278,6 +279,25 @@ def q_refined_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_merged_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of a great many files each, merged into a few: rows and lineage stay."""
+    lake = _new_lake(spark)
+    rows = read_rows(spark, _export_all(spark, sf_dir))
+    for load_type in (BATCH, EVENT_DRIVEN):
+        load_dt = "2024-02-01T00:00:00.000000"
+        tagged = to_canonical(with_lineage(rows, load_type, load_dt)).repartition(150)
+        append_refined(spark, lake, tagged, load_type, load_dt)
+    report = merge_small_files(spark, lake)
+    merge_small_files(spark, lake)  # takes the replaced files away
+    table = spark.table(lake.table("observation"))
+    found = table.groupBy("load_type", "load_dt", _feed_of("filename").alias("feed")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.substring_index("site_name", " ", -1).cast("bigint")).alias("ids"),
+    )
+    few = (F.col("files_before") == 150) & (F.col("files_after") == 1)
+    return found.join(report.select("load_type", few.alias("few")), "load_type")
+
+
 def q_refined_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _append_twice(spark, sf_dir)
     return query_refined(
@@ -869,6 +889,11 @@ def oracle_sql() -> dict[str, str]:
             SELECT load_type, count(*) AS n, max(value) AS max_value
             FROM events, (SELECT unnest(['BATCH', 'EVENT-DRIVEN']) AS load_type) GROUP BY 1
         """,
+        "merged_files": """
+            SELECT load_type, '2024-02-01T00:00:00.000000' AS load_dt, 'events' AS feed,
+                count(*) AS n, sum(event_id)::BIGINT AS ids, true AS few
+            FROM events, (SELECT unnest(['BATCH', 'EVENT-DRIVEN']) AS load_type) GROUP BY 1
+        """,
         "refined_sql": """
             SELECT event_type AS region, count(*) AS n, max(value) AS max_value,
                    strftime(max_by(ts, value), '%Y-%m-%d') AS day

@@ -30,6 +30,7 @@ from obslake.plans import (
     ingest_ledger,
     lake_hottest_records,
     lake_maximum,
+    merge_small_files,
     publish_answers,
     record_answers,
     resume_batches,
@@ -69,6 +70,7 @@ __all__ = [
     "lake_maximum",
     "late_records",
     "list_incoming",
+    "merge_small_files",
     "max_temperature",
     "publish_answers",
     "query_refined",

@@ -10,6 +10,7 @@ from obslake.plans.folders import changed_folders
 from obslake.plans.ingest import batch_ingest, ingest_files, resume_batches, return_to_incoming
 from obslake.plans.lake import Lake, Load, append_refined, drop_refined, ensure_database, read_table
 from obslake.plans.ledger import compact_ledger, ingest_ledger
+from obslake.plans.merging import merge_small_files
 from obslake.plans.zones import lake_hottest_records, lake_maximum
 
 __all__ = [
@@ -30,6 +31,7 @@ __all__ = [
     "ingest_ledger",
     "lake_hottest_records",
     "lake_maximum",
+    "merge_small_files",
     "publish_answers",
     "read_table",
     "record_answers",

@@ -97,6 +97,10 @@ def ensure_database(spark: SparkSession, lake: Lake) -> None:
         )
         if _exists(spark, lake.path(name)):
             spark.catalog.recoverPartitions(table)
+        if name == "observation":
+            for load in loads_of(spark, lake, "merged"):
+                if copy := merged_copy(spark, lake, load):
+                    point_to(spark, lake, load, copy)
 
 
 def drop_refined(spark: SparkSession, lake: Lake, database: bool = False) -> None:
@@ -149,6 +153,9 @@ def write_load(
     folder = f"{lake.path(name)}/{load.folder}"
     known = mode == "append" and _exists(spark, folder)
     rows.select(*columns).write.mode(mode).parquet(folder)
+    if name == "observation" and merged_copy(spark, lake, load):
+        point_to(spark, lake, load, folder)
+        Store(spark, lake.path("merged")).remove(load.folder)
     if known:
         spark.catalog.refreshTable(lake.table(name))
     elif register:
@@ -173,6 +180,27 @@ def remove_load(spark: SparkSession, lake: Lake, name: str, load: Load) -> None:
     spark.catalog.refreshTable(lake.table(name))
 
 
+def remove_files(spark: SparkSession, lake: Lake, name: str, load: Load) -> None:
+    """Delete a load's own folder, to which its partition no longer points."""
+    Store(spark, lake.path(name)).remove(load.folder)
+
+
+def point_to(spark: SparkSession, lake: Lake, load: Load, folder: str) -> None:
+    """Have the refined table read a load from this folder, from now on."""
+    key = f"PARTITION (load_type = '{load.load_type}', load_dt = '{load.load_dt}')"
+    table = lake.table("observation")
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {key} LOCATION '{folder}'")
+    spark.sql(f"ALTER TABLE {table} {key} SET LOCATION '{folder}'")
+    spark.catalog.refreshTable(table)
+
+
+def merged_copy(spark: SparkSession, lake: Lake, load: Load) -> str | None:
+    """Where the merged files of a load are; only a complete copy counts, of two of them either."""
+    store = Store(spark, f"{lake.path('merged')}/{load.folder}")
+    copies = [copy for copy in sorted(store.listed()) if "_SUCCESS" in store.listed(copy)]
+    return f"{store.folder}/{copies[0]}" if copies else None
+
+
 def loads_of(spark: SparkSession, lake: Lake, name: str) -> list[Load]:
     """The loads that a table has folders for."""
     store = Store(spark, lake.path(name))
@@ -194,6 +222,9 @@ def read_table(
     """
     root = lake.path(name)
     folder = f"{root}/{load.folder}" if load else root
+    if load and name == "observation" and (copy := merged_copy(spark, lake, load)):
+        rows = spark.read.schema(_TABLES[name]).parquet(copy)
+        return rows.withColumns({k: F.lit(v) for k, v in zip(_KEYS, load)})
     if not _exists(spark, folder):
         return spark.table(lake.table(name)).where("false")
     return spark.read.schema(_TABLES[name]).option("basePath", root).parquet(folder)

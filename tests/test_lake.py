@@ -12,16 +12,18 @@ from obslake import (
     batch_ingest,
     drop_refined,
     ensure_database,
+    merge_small_files,
     publish_answers,
     query_refined,
     read_observations,
     read_refined,
     read_rows,
+    resume_batches,
     to_canonical,
     with_lineage,
     work_dir,
 )
-from obslake.plans import Load
+from obslake.plans import Load, read_table
 from obslake.schema import COLUMNS, QUESTION_REGION
 
 
@@ -102,3 +104,73 @@ def test_work_folder_is_below_the_shared_one(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     first, second = work_dir(spark), work_dir(spark)
     assert first.startswith(base) and first != second
+
+
+def crowded_load(spark, lake, incoming, load_dt="1", files=40):
+    path = write_csv(incoming, f"f{load_dt}.csv", [row(i, region=f"R{i}") for i in range(400)])
+    rows = to_canonical(with_lineage(read_rows(spark, path), "BATCH", load_dt))
+    append_refined(spark, lake, rows.repartition(files), "BATCH", load_dt)
+
+
+def test_small_files_are_merged_and_nothing_else_changes(spark, lake, incoming, monkeypatch):
+    ensure_database(spark, lake)
+    for load_dt in ("1", "2"):
+        crowded_load(spark, lake, incoming, load_dt)
+    table = lambda: spark.table(lake.table("observation"))
+    before = sorted(map(repr, table().collect()))
+    reading = table()  # planned with the old files
+    old = parquet_files(lake.path("observation"))
+
+    # A copy that is cut short: nothing points to it, and it is made anew.
+    def killed(*_args):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        patch.setattr("obslake.plans.merging.point_to", killed)
+        with pytest.raises(KeyboardInterrupt):
+            merge_small_files(spark, lake)
+    for found in (lake.path("merged") + "/" + Load("BATCH", "1").folder,):
+        for copy in os.listdir(found):
+            os.remove(f"{found}/{copy}/_SUCCESS")
+    assert len(table().inputFiles()) == 80
+    report = {tuple(r) for r in merge_small_files(spark, lake).collect()}
+    assert report == {("BATCH", "1", 40, 1, 400), ("BATCH", "2", 40, 1, 400)}
+    assert len(table().inputFiles()) == 2
+    assert sorted(map(repr, table().collect())) == before
+    assert parquet_files(lake.path("observation")) == old
+    assert sorted(map(repr, reading.collect())) == before
+    # The next call takes the old files away, and finds nothing else to do.
+    assert merge_small_files(spark, lake).isEmpty()
+    assert parquet_files(lake.path("observation")) == []
+    spark.catalog.refreshTable(lake.table("observation"))
+    assert sorted(map(repr, table().collect())) == before
+    # Another catalog finds the merged files; a load that is written again has its own.
+    drop_refined(spark, lake)
+    ensure_database(spark, lake)
+    assert sorted(map(repr, table().collect())) == before
+    assert read_table(spark, lake, "observation", Load("BATCH", "1")).count() == 400
+    crowded_load(spark, lake, incoming, "1", files=3)
+    assert table().where("load_dt = '1'").count() == 400
+    assert len(table().inputFiles()) == 4
+    assert sorted(map(repr, table().collect())) == before
+
+
+def test_loads_at_work_are_not_merged(spark, lake, incoming, monkeypatch):
+    from obslake.plans import ingest as ingest_module
+
+    for i in range(5):
+        write_csv(incoming, f"f{i}.csv", [row(i)])
+
+    def broken(*_args, **_kwargs):
+        raise OSError("store is away")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest_module, "record_answers", broken)
+        with pytest.raises(OSError):
+            batch_ingest(spark, str(incoming), lake)
+    assert merge_small_files(spark, lake).isEmpty()
+    resume_batches(spark, lake)
+    [merged] = merge_small_files(spark, lake).collect()
+    assert merged.files_before == 5 and merged.files_after == 1 and merged.n_rows == 5
+    assert batch_ingest(spark, str(incoming), lake).isEmpty()
+    assert spark.table(lake.table("observation")).count() == 5
