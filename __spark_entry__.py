@@ -279,6 +279,25 @@ def q_refined_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_new_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feeds with and without a further column, loaded by a run that adds it to the table."""
+    folder = work_dir(spark, "feeds")
+    events = _events(spark, sf_dir)
+    clicks = _as_observations(events.where(F.col("event_type") == "click"))
+    others = _as_observations(events.where(F.col("event_type") != "click"))
+    key = F.concat(F.lit("key "), F.substring_index("SiteName", " ", -1))
+    _export(clicks.withColumn("EventKey", key), folder, "clicks")
+    _export(others, folder, "others")
+    lake = _new_lake(spark)
+    batch_ingest(spark, folder, lake, new_columns="add")
+    merge_small_files(spark, lake)
+    return spark.table(lake.table("observation")).select(
+        F.substring_index("site_name", " ", -1).cast("bigint").alias("event_id"),
+        "event_key",
+        F.col("screen_temperature").alias("value"),
+    )
+
+
 def q_merged_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads of a great many files each, merged into a few: rows and lineage stay."""
     lake = _new_lake(spark)
@@ -889,6 +908,11 @@ def oracle_sql() -> dict[str, str]:
             SELECT load_type, count(*) AS n, max(value) AS max_value
             FROM events, (SELECT unnest(['BATCH', 'EVENT-DRIVEN']) AS load_type) GROUP BY 1
         """,
+        "new_columns": """
+            SELECT event_id, CASE WHEN event_type = 'click' THEN 'key ' || event_id END
+                AS event_key, value
+            FROM events
+        """,
         "merged_files": """
             SELECT load_type, '2024-02-01T00:00:00.000000' AS load_dt, 'events' AS feed,
                 count(*) AS n, sum(event_id)::BIGINT AS ids, true AS few

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +16,7 @@ from obslake.functions.parsing import (
     number,
     whole_number,
 )
-from obslake.schema import COLUMNS, CORRUPT, HEADER, TYPES
+from obslake.schema import COLUMNS, CORRUPT, HEADER, LINEAGE, TYPES
 
 # The messages of the checks, and the size a streamed file must stay below.
 INVALID_EXTENSION = "Invalid file extension. Expected a CSV file."
@@ -95,6 +98,30 @@ def check_headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     )
 
 
+def read_headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """The first line of each file (``file_uri``, ``header``) that is not blank."""
+    line_id = F.monotonically_increasing_id()
+    lines = (
+        spark.read.text(paths)
+        .where((F.col("_metadata.file_block_start") == 0) & (F.length(F.trim("value")) > 0))
+        .select(F.col("_metadata.file_path").alias("file_uri"), "value", line_id.alias("line_id"))
+    )
+    return lines.groupBy("file_uri").agg(F.min_by("value", "line_id").alias("header"))
+
+
+def further_columns(header: str) -> list[str] | None:
+    """The columns that a header has after the expected ones, as the table names them; None if
+    it does not begin with these, or goes on with what cannot be the name of a column."""
+    names = next(csv.reader([header]))
+    if names[: len(HEADER)] != HEADER:
+        return None
+    words = [re.sub("(?<=[a-z0-9])(?=[A-Z])", "_", name.strip()) for name in names[len(HEADER) :]]
+    found = [re.sub(r"\W+", "_", word).lower() for word in words]
+    taken = {*COLUMNS, *LINEAGE}
+    fit = len(set(found)) == len(found) and not taken & set(found)
+    return found if fit and all(name[:1] not in ("", "_") for name in found) else None
+
+
 def mark_first_lines(rows: DataFrame) -> DataFrame:
     """Adds ``header_of``: the file, if the row is the first one of its task, at the beginning of
     a file, and is exactly the expected header; else null.
@@ -154,7 +181,7 @@ _MALFORMED = f"({CORRUPT} IS NOT NULL)"
 
 
 def _extra(rows: DataFrame) -> list[str]:
-    return [name for name in rows.columns if name not in COLUMNS and name != CORRUPT]
+    return [f"`{name}`" for name in rows.columns if name not in COLUMNS and name != CORRUPT]
 
 
 def _typed(name: str) -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import time
 import uuid
 from collections.abc import Callable
@@ -15,8 +16,10 @@ from obslake.operators.quality import (
     INVALID_COLUMNS,
     assess,
     check_headers,
+    further_columns,
     mark_first_lines,
     quarantined,
+    read_headers,
     screen_files,
 )
 from obslake.plans import folders, ledger
@@ -25,6 +28,7 @@ from obslake.plans.claims import LEASE, Alive, Claim, ClaimLog, Lost
 from obslake.plans.lake import (
     Lake,
     Load,
+    add_columns,
     append_refined,
     ensure_database,
     loads_of,
@@ -39,6 +43,7 @@ from obslake.sources.files import list_incoming, reader_paths
 from obslake.sources.observations import read_rows
 
 ON_ERROR = ("fail_batch", "quarantine_file")
+NEW_COLUMNS = ("refuse", "add")
 
 APPENDED = "appended"
 
@@ -58,6 +63,7 @@ def batch_ingest(
     multi_line: bool = False,
     lease: float = LEASE,
     oversized: bool = False,
+    new_columns: str = "refuse",
 ) -> DataFrame:
     """Load the next files of a folder and bring the answers up to date.
 
@@ -71,11 +77,17 @@ def batch_ingest(
     With ``oversized`` a run also takes the folder's files that a stream, or another run, has
     refused for their size.
 
+    A header that goes on after the expected columns is refused like any other. With
+    ``new_columns="add"`` its further columns are added to the table, as text; they are null in
+    all rows of files that do not have them.
+
     Runs may overlap, on one folder too: each file goes to one of them. A run first
     finishes what a run has left behind that was not heard of for ``lease`` seconds.
     """
     ensure_database(spark, lake)
-    finish_abandoned(spark, lake, on_error=on_error, multi_line=multi_line)
+    finish_abandoned(
+        spark, lake, on_error=on_error, multi_line=multi_line, new_columns=new_columns
+    )
     listed = list_incoming(spark, incoming, None)
     seen: dict[str, int] = {}
     changed = None
@@ -107,6 +119,7 @@ def batch_ingest(
         max_bytes=max_bytes,
         on_error=on_error,
         multi_line=multi_line,
+        new_columns=new_columns,
         lease=lease,
         on_claimed=settle,
     )
@@ -122,6 +135,7 @@ def ingest_files(
     max_bytes: int | None = None,
     on_error: str = "quarantine_file",
     multi_line: bool = False,
+    new_columns: str = "refuse",
     lease: float = LEASE,
     owner: str = "run",
     on_claimed: Callable[[Load, DataFrame], None] | None = None,
@@ -132,6 +146,8 @@ def ingest_files(
     """
     if on_error not in ON_ERROR:
         raise ValueError(f"on_error must be one of {ON_ERROR}")
+    if new_columns not in NEW_COLUMNS:
+        raise ValueError(f"new_columns must be one of {NEW_COLUMNS}")
     log = ClaimLog(spark, lake)
     if load_dt is not None:
         named = Load(load_type, load_dt)
@@ -157,6 +173,7 @@ def ingest_files(
                 claimed,
                 on_error=on_error,
                 multi_line=multi_line,
+                new_columns=new_columns,
                 check=check,
             )
             noted.result()
@@ -214,6 +231,7 @@ def finish_abandoned(
     *,
     on_error: str,
     multi_line: bool = False,
+    new_columns: str = "refuse",
     owner: str | None = None,
     max_bytes: int | None = None,
 ) -> list[str]:
@@ -227,7 +245,12 @@ def finish_abandoned(
         mine = log.take_over(claim, owner or "run", claim.lease)
         if mine is None:
             continue
-        again = {"on_error": on_error, "multi_line": multi_line, "max_bytes": max_bytes}
+        again = {
+            "on_error": on_error,
+            "multi_line": multi_line,
+            "new_columns": new_columns,
+            "max_bytes": max_bytes,
+        }
         _under(spark, lake, log, mine, lambda mine=mine: _finish(spark, lake, log, mine, **again))
         done.append(mine.load.batch_id)
     return done
@@ -249,6 +272,7 @@ def resume_batch(
     *,
     on_error: str,
     multi_line: bool = False,
+    new_columns: str = "refuse",
     check: Callable[[], None] = lambda: None,
 ) -> None:
     """Take a batch that stopped half way through the steps it has left."""
@@ -262,6 +286,7 @@ def resume_batch(
         state,
         on_error=on_error,
         multi_line=multi_line,
+        new_columns=new_columns,
         appended=appended,
         check=check,
     )
@@ -275,6 +300,7 @@ def _run(
     *,
     on_error: str,
     multi_line: bool,
+    new_columns: str,
     appended: bool = False,
     check: Callable[[], None] = lambda: None,
 ) -> None:
@@ -294,7 +320,11 @@ def _run(
             left = _listed(good)
             if not left:
                 return
-            if multi_line or not _reads_once(spark, left):
+            if new_columns == "add":
+                refused = _append_with_new_columns(
+                    spark, lake, left, load, multi_line, fail_batch, check
+                )
+            elif multi_line or not _reads_once(spark, left):
                 good = _record_headers(spark, lake, load, good)
                 if fail_batch and _refuse_with_the_first(spark, lake, load, good):
                     return
@@ -303,7 +333,8 @@ def _run(
                     return
                 step = "append"
                 check()
-                _append(spark, lake, _paths(left), load, multi_line=multi_line)
+                rows = with_lineage(read_rows(spark, _paths(left), multi_line), *load)
+                _append(spark, lake, rows, load)
                 refused: list[str] = []
             else:
                 step = "append"
@@ -423,7 +454,7 @@ def _append_and_check(
     refused = [row.file_uri for row in files if row.file_uri not in noted]
     left = [row for row in files if row.file_uri in noted]
     if left and not (fail_batch and refused):
-        _append(spark, lake, _paths(left), load)
+        _append(spark, lake, with_lineage(read_rows(spark, _paths(left)), *load), load)
     else:
         remove_load(spark, lake, "observation", load)
     return refused
@@ -459,21 +490,46 @@ def _record_appended(
     return recorded.where(ledger.is_open())
 
 
-def _append(
+def _append_with_new_columns(
     spark: SparkSession,
     lake: Lake,
-    paths: list[str],
+    files: list[Row],
     load: Load,
-    *,
-    multi_line: bool = False,
-) -> None:
-    """Append the rows of the files, and set aside what cannot be read.
+    multi_line: bool,
+    fail_batch: bool,
+    check: Callable[[], None],
+) -> list[str]:
+    """Append files whose headers may go on after the expected columns; returns those refused.
+
+    Files are read by their headers, one scan for each that there is. Their further columns are
+    added to the table as text, and are null in all other rows.
+    """
+    lines = read_headers(spark, _paths(files)).collect()  # a line for each file of the run
+    more = {row.file_uri: further_columns(row.header) for row in lines}
+    refused = [row.file_uri for row in files if more.get(row.file_uri) is None]
+    left = [row for row in files if row.file_uri not in set(refused)]
+    check()
+    if not left or (fail_batch and refused):
+        return refused
+    kinds = sorted({tuple(more[row.file_uri]) for row in left})
+    add_columns(spark, lake, [name for kind in kinds for name in kind])
+    scans = []
+    for kind in kinds:
+        paths = _paths([row for row in left if tuple(more[row.file_uri]) == kind])
+        scan = read_rows(spark, paths, multi_line, further=kind)
+        scans.append(with_lineage(scan, *load))
+    rows = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
+    _append(spark, lake, rows, load)
+    return refused
+
+
+def _append(spark: SparkSession, lake: Lake, rows: DataFrame, load: Load) -> None:
+    """Append text rows with their lineage, and set aside what cannot be read.
 
     Rows are parsed once and written as they are parsed; nothing is shuffled
     or cached. The same pass counts rows with a flaw. Only if there are any
     does a second pass collect them.
     """
-    rows = with_lineage(read_rows(spark, paths, multi_line), *load)
     seen = Observation()
     judged = assess(rows).observe(seen, F.count_if("is_flawed").alias("n_flawed"))
     append_refined(spark, lake, judged.where(~F.col("is_rejected")), *load)
@@ -483,18 +539,24 @@ def _append(
 
 
 def resume_batches(
-    spark: SparkSession, lake: Lake, *, on_error: str = "fail_batch", multi_line: bool = False
+    spark: SparkSession,
+    lake: Lake,
+    *,
+    on_error: str = "fail_batch",
+    multi_line: bool = False,
+    new_columns: str = "refuse",
 ) -> list[str]:
     """Finish batches that stopped half way, and name them.
 
     Both those whose run is gone and those that an error has stopped. What other runs are at
     work on is left to them.
     """
-    done = finish_abandoned(spark, lake, on_error=on_error, multi_line=multi_line)
+    rules = {"on_error": on_error, "multi_line": multi_line, "new_columns": new_columns}
+    done = finish_abandoned(spark, lake, **rules)
     left = ledger.ingest_ledger(spark, lake).where(ledger.is_open())
     loads = left.select("load_type", "load_dt").distinct().sort("load_dt", "load_type").collect()
     for row in loads:
-        if resume_stopped(spark, lake, Load(*row), on_error=on_error, multi_line=multi_line):
+        if resume_stopped(spark, lake, Load(*row), **rules):
             done.append(Load(*row).batch_id)
     return done
 
@@ -506,6 +568,7 @@ def resume_stopped(
     *,
     on_error: str,
     multi_line: bool = False,
+    new_columns: str = "refuse",
     owner: str = "run",
 ) -> bool:
     """Claim what an error has left of a batch, and finish it; False if another run has."""
@@ -523,7 +586,12 @@ def resume_stopped(
     )
     if made is None:
         return False
-    again = {"on_error": on_error, "multi_line": multi_line, "max_bytes": None}
+    again = {
+        "on_error": on_error,
+        "multi_line": multi_line,
+        "new_columns": new_columns,
+        "max_bytes": None,
+    }
     _under(spark, lake, log, made[0], lambda: _finish(spark, lake, log, made[0], **again))
     return True
 

@@ -13,7 +13,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from obslake.plans.store import Store
 from obslake.schema import (
@@ -98,6 +98,7 @@ def ensure_database(spark: SparkSession, lake: Lake) -> None:
         if _exists(spark, lake.path(name)):
             spark.catalog.recoverPartitions(table)
         if name == "observation":
+            add_columns(spark, lake, added_columns(spark, lake))
             for load in loads_of(spark, lake, "merged"):
                 if copy := merged_copy(spark, lake, load):
                     point_to(spark, lake, load, copy)
@@ -146,8 +147,10 @@ def write_load(
     scan, without the sort that partitions found at run time would need.
     """
     columns = [
-        F.col(field.name).cast(field.dataType).alias(field.name)
-        for field in StructType.fromDDL(_TABLES[name])
+        (F.col(f"`{field.name}`") if field.name in rows.columns else F.lit(None))
+        .cast(field.dataType)
+        .alias(field.name)
+        for field in _schema(spark, lake, name)
         if field.name not in _KEYS
     ]
     folder = f"{lake.path(name)}/{load.folder}"
@@ -180,6 +183,28 @@ def remove_load(spark: SparkSession, lake: Lake, name: str, load: Load) -> None:
     spark.catalog.refreshTable(lake.table(name))
 
 
+def _schema(spark: SparkSession, lake: Lake, name: str) -> StructType:
+    fields = list(StructType.fromDDL(_TABLES[name]))
+    if name == "observation":
+        fields += [StructField(more, StringType()) for more in added_columns(spark, lake)]
+    return StructType(fields)
+
+
+def added_columns(spark: SparkSession, lake: Lake) -> list[str]:
+    """Columns that feeds have added to the refined table, the first ones first."""
+    added = Store(spark, lake.path("columns")).listed()
+    return sorted((name for name in added if name[0] not in "._"), key=lambda n: (added[n], n))
+
+
+def add_columns(spark: SparkSession, lake: Lake, names: list[str]) -> None:
+    """Give the refined table further text columns; loads that do not have them read as null."""
+    store, table = Store(spark, lake.path("columns")), lake.table("observation")
+    for name in dict.fromkeys(names):
+        store.write_new(name, "")
+        if name not in spark.table(table).columns:
+            spark.sql(f"ALTER TABLE {table} ADD COLUMNS (`{name}` string)")
+
+
 def remove_files(spark: SparkSession, lake: Lake, name: str, load: Load) -> None:
     """Delete a load's own folder, to which its partition no longer points."""
     Store(spark, lake.path(name)).remove(load.folder)
@@ -223,11 +248,11 @@ def read_table(
     root = lake.path(name)
     folder = f"{root}/{load.folder}" if load else root
     if load and name == "observation" and (copy := merged_copy(spark, lake, load)):
-        rows = spark.read.schema(_TABLES[name]).parquet(copy)
+        rows = spark.read.schema(_schema(spark, lake, name)).parquet(copy)
         return rows.withColumns({k: F.lit(v) for k, v in zip(_KEYS, load)})
     if not _exists(spark, folder):
         return spark.table(lake.table(name)).where("false")
-    return spark.read.schema(_TABLES[name]).option("basePath", root).parquet(folder)
+    return spark.read.schema(_schema(spark, lake, name)).option("basePath", root).parquet(folder)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

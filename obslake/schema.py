@@ -58,10 +58,6 @@ TYPES = {column: _TYPES.get(column, "int") for column in COLUMNS}
 
 CORRUPT = "_corrupt_record"
 
-# Rows as they stand in the file: text only, plus the reader's note on a
-# row with too few or too many fields.
-RAW_SCHEMA = ", ".join(f"{column} string" for column in [*COLUMNS, CORRUPT])
-
 LINEAGE = ["filename", "load_type", "load_dt"]
 
 # load_dt is ISO text in UTC. Text sorts by time, means the same in every

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from obslake.operators.inference import infer_types, read_as
 from obslake.operators.quality import to_canonical
-from obslake.schema import CORRUPT, RAW_SCHEMA
+from obslake.schema import COLUMNS, CORRUPT
 
 
 def read_rows(
-    spark: SparkSession, paths: str | list[str], multi_line: bool = False, header: bool = True
+    spark: SparkSession,
+    paths: str | list[str],
+    multi_line: bool = False,
+    header: bool = True,
+    further: Sequence[str] = (),
 ) -> DataFrame:
     """All rows of all files in one scan, every field as text.
 
@@ -18,16 +24,19 @@ def read_rows(
     quoted field are one quote. Fields are taken by position, so screen
     headers first (``check_headers``). ``multi_line`` accepts line breaks
     inside quotes, at the price of files that cannot be split. With ``header=False``
-    the header is a row like others.
+    the header is a row like others. ``further`` names columns after the expected ones.
     """
+    schema = ", ".join(f"`{name}` string" for name in [*COLUMNS, *further, CORRUPT])
     return (
-        spark.read.schema(RAW_SCHEMA)
+        spark.read.schema(schema)
         .option("header", header)
         .option("quote", '"')
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("multiLine", multi_line)
+        # A row with too few fields is only noticed where all of them are read.
+        .option("columnPruning", not further)
         .csv(paths)
     )
 

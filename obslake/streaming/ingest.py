@@ -36,6 +36,7 @@ def stream_ingest(
     multi_line: bool = False,
     lease: float = LEASE,
     look_again: float = 60.0,
+    new_columns: str = "refuse",
 ) -> StreamingQuery:
     """Start loading a folder's files as they arrive.
 
@@ -57,10 +58,16 @@ def stream_ingest(
     passes over files that lie further than that behind the newest one. The price is driver
     memory for the names of files seen; lower it where files keep pace.
 
+    ``new_columns="add"`` adds columns that a header has after the expected ones to the table.
     Streams and batch runs may work on one folder: each file goes to one of them.
     """
     ensure_database(spark, lake)
-    options = {"on_error": on_error, "multi_line": multi_line, "owner": checkpoint}
+    options = {
+        "on_error": on_error,
+        "multi_line": multi_line,
+        "new_columns": new_columns,
+        "owner": checkpoint,
+    }
 
     def load(find: Callable[[list[DataFrame]], DataFrame]) -> None:
         # A checkpoint has one query at a time, so what it has begun is there to be finished.

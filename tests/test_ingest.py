@@ -12,6 +12,7 @@ from obslake import (
     answer_or_default,
     batch_ingest,
     current_answers,
+    drop_refined,
     ensure_database,
     ingest_ledger,
     list_incoming,
@@ -377,3 +378,65 @@ def test_multi_line_fields(spark, lake, incoming):
     batch_ingest(spark, str(incoming), lake, multi_line=True)
     [found] = observation(spark, lake).select(F.col("site_name")).collect()
     assert found.site_name == "two\nlines"
+
+
+MORE = [*HEADER, "Cloud Base", "UV"]
+
+
+def test_new_columns_are_refused_unless_asked_for(spark, lake, incoming):
+    write_csv(incoming, "more.csv", [row(8) + ",300,2"], MORE)
+    done = batch_ingest(spark, str(incoming), lake)
+    assert outcome(done) == {"more.csv": ("error", INVALID)}
+    with pytest.raises(ValueError, match="new_columns"):
+        batch_ingest(spark, str(incoming), lake, new_columns="yes")
+
+
+def test_new_columns_are_added_to_the_table(spark, lake, incoming, tmp_path):
+    write_csv(incoming, "old.csv", [row(7)])
+    batch_ingest(spark, str(incoming), lake)
+    write_csv(incoming, "plain.csv", [row(6), row("warm")])
+    write_csv(incoming, "more.csv", [row(8) + ",300,2", row(9) + ",,", row(5), row("x") + ",1,1"], MORE)
+    write_csv(incoming, "uv.csv", [row(10) + ',"a, b"'], [*HEADER, '"UV"'])
+    for name, header in {
+        "moved.csv": ["UV", *HEADER], "twice.csv": [*HEADER, "UV", "uv"],
+        "clash.csv": [*HEADER, "filename"], "unnamed.csv": [*HEADER, ""],
+        "other.csv": HEADER[:-1],
+    }.items():
+        write_csv(incoming, name, [row(50)], header)
+    (incoming / "blank.csv").write_text("\n\n")
+    options = {"on_error": "quarantine_file", "new_columns": "add"}
+    done = outcome(batch_ingest(spark, str(incoming), lake, **options))
+    good = {name: ("processed", None) for name in ("plain.csv", "more.csv", "uv.csv")}
+    bad = ("moved.csv", "twice.csv", "clash.csv", "unnamed.csv", "other.csv", "blank.csv")
+    assert done == {**good, **{name: ("error", INVALID) for name in bad}}
+
+    def loaded():
+        rows = observation(spark, lake).collect()
+        return sorted((r.filename, r.screen_temperature, r.cloud_base, r.uv) for r in rows)
+
+    expected = sorted([
+        ("old.csv", 7.0, None, None), ("plain.csv", 6.0, None, None),
+        ("more.csv", 8.0, "300", "2"), ("more.csv", 9.0, None, None),
+        ("uv.csv", 10.0, None, "a, b"),
+    ])
+    assert loaded() == expected
+    flaws = spark.table(lake.table("quarantine")).select("filename", "reason").collect()
+    assert sorted(map(tuple, flaws)) == [
+        ("more.csv", "invalid number"), ("more.csv", "malformed row"),
+        ("plain.csv", "invalid number"),
+    ]
+    assert answers(spark, lake)[QUESTION_TEMPERATURE] == "10.00"
+    # A run without the option goes on as before, and a new catalog knows the columns.
+    write_csv(incoming, "later.csv", [row(3)])
+    batch_ingest(spark, str(incoming), lake)
+    drop_refined(spark, lake)
+    ensure_database(spark, lake)
+    assert loaded() == sorted([*expected, ("later.csv", 3.0, None, None)])
+
+
+def test_a_bad_header_refuses_a_batch_with_new_columns(spark, lake, incoming):
+    write_csv(incoming, "more.csv", [row(8) + ",300,2"], MORE)
+    write_csv(incoming, "bad.csv", [row(50)], HEADER[:-1])
+    done = outcome(batch_ingest(spark, str(incoming), lake, new_columns="add"))
+    assert done == {"more.csv": ("error", INVALID), "bad.csv": ("error", INVALID)}
+    assert observation(spark, lake).count() == 0
