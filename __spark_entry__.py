@@ -482,6 +482,22 @@ def q_drop_and_recover(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.groupBy("region").agg(F.count(F.lit(1)).alias("n")).withColumn("gone", F.lit(gone))
 
 
+def q_drop_database(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All tables and their database dropped from the catalog, and found again from their files."""
+    lake = _new_lake(spark)
+    batch_ingest(spark, _export_all(spark, sf_dir), lake)
+    drop_refined(spark, lake, database=True)
+    gone = not spark.catalog.databaseExists(lake.database)
+    again = batch_ingest(spark, _export_all(spark, sf_dir), lake).count()
+    found = _per_region(spark, lake)
+    answer = answer_or_default(
+        current_answers(spark.table(lake.table("answer_log"))), QUESTION_TEMPERATURE, "0"
+    )
+    return found.withColumns(
+        {"gone": F.lit(gone), "loaded_again": F.lit(again), "answer": answer.scalar()}
+    )
+
+
 def q_full_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reading behind the answer, unrounded, next to the two decimals shown."""
     lake = _new_lake(spark)
@@ -961,6 +977,12 @@ def oracle_sql() -> dict[str, str]:
         "drop_and_recover": """
             SELECT event_type AS region, count(*) AS n, true AS gone FROM events GROUP BY 1
         """,
+        "drop_database": """
+            SELECT event_type AS region, 'BATCH' AS load_type, count(*) AS n,
+                max(value) AS max_value, true AS gone, 0 AS loaded_again,
+                (SELECT printf('%.2f', max(value)) FROM events) AS answer
+            FROM events GROUP BY 1
+        """,
         "full_precision": """
             SELECT max(value) AS temperature, printf('%.2f', max(value)) AS answer FROM events
         """,
