@@ -220,10 +220,9 @@ def manifest(
     levels = grow(leaves, fanout, "group")
     subroots = roots(leaves, levels)
 
-    tops = subroots.select("grp", F.col("root").alias("hash"))
-    tops = tops.withColumn("all", F.lit(0))
-    tops = stored(numbered(tops, "all", ["grp"], "group-ranges"), "groups")
-    upper_leaves = tops.select(F.lit("all").alias("grp"), "pos", "n", "hash")
+    tops = subroots.select("grp", F.col("root").alias("hash"), F.lit("all").alias("whole"))
+    tops = stored(numbered(tops, "whole", ["grp"], "group-ranges"), "groups")
+    upper_leaves = tops.select(F.col("whole").alias("grp"), "pos", "n", "hash")
     upper = grow(upper_leaves, fanout, "top")
     summit = roots(upper_leaves, upper).select("root")
     nothing = upper_leaves.where("pos = 0").select(
