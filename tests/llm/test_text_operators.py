@@ -46,8 +46,9 @@ def test_packing_is_whole_and_gapless(spark):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(byte_vocabulary())
-    tokenizer.encode_special_tokens = True
-    docs = odd_docs(spark).where("doc_id is null or doc_id not in (4, 10)")
+    named = "a<|endoftext|>b  <|endoftext|> <|endoftext|><|endoftext|>\n<|endoftext | it's"
+    special = spark.createDataFrame([(11, named, "", 0), (12, "<|endoftext|>" * 40, "", 0)], ODD)
+    docs = odd_docs(spark).where("doc_id is null or doc_id not in (4, 10)").unionAll(special)
     packed = packing.pack_documents(docs, byte_vocabulary(), sequence=16).collect()
     texts = {row.doc_id: row.text or "" for row in docs.collect()}
     for row in packed:
