@@ -31,7 +31,6 @@ from obslake.plans.lake import (
     add_columns,
     append_refined,
     ensure_database,
-    loads_of,
     read_table,
     register_load,
     remove_load,
@@ -47,7 +46,7 @@ NEW_COLUMNS = ("refuse", "add")
 
 APPENDED = "appended"
 
-#: Partitions of the ledger beside the merged one, before it is merged again.
+#: Partitions of the ledger that no merge has copied, before it is merged again.
 COMPACT_AFTER = 64
 
 
@@ -219,9 +218,9 @@ def _take(
 
 def _compact(spark: SparkSession, lake: Lake, log: ClaimLog) -> None:
     """Keep what a run reads of earlier ones from growing with their number."""
-    if len(loads_of(spark, lake, "ingest_ledger")) > 2 * COMPACT_AFTER:
+    if ledger.n_not_copied(spark, lake, "ingest_ledger") > COMPACT_AFTER:
         ledger.compact_ledger(spark, lake, set(log.read()[1]))
-    if len(loads_of(spark, lake, "incoming_folders")) > 2 * COMPACT_AFTER:
+    if ledger.n_not_copied(spark, lake, "incoming_folders") > COMPACT_AFTER:
         folders.compact_folders(spark, lake)
 
 
@@ -242,7 +241,7 @@ def finish_abandoned(
     for claim in log.read()[1].values():
         if not (log.expired(claim) or claim.owner.rpartition("#")[0] == owner):
             continue
-        mine = log.take_over(claim, owner or "run", claim.lease)
+        mine = log.take_over(claim, owner or "run")
         if mine is None:
             continue
         again = {

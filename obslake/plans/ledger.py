@@ -153,6 +153,17 @@ def compact_ledger(spark: SparkSession, lake: Lake, open_batches: set[str] | Non
     merge(spark, lake, _TABLE, FILE_KEY, open_batches or set(), is_open())
 
 
+def n_not_copied(spark: SparkSession, lake: Lake, name: str) -> int:
+    """How many partitions of a table no merge has copied yet."""
+    notes = Store(spark, lake.path("merges"))
+    copied = {
+        tuple(load)
+        for note in notes.listed(name)
+        for load in json.loads(notes.read(f"{name}/{note}") or "[]")
+    }
+    return sum(tuple(load) not in copied for load in loads_of(spark, lake, name))
+
+
 def merge(
     spark: SparkSession,
     lake: Lake,
