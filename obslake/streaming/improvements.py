@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from obslake.operators.measure import Measure
-from obslake.session import ship_package
+
+# The state's set-up runs in a Python process that files added to the session do not reach, so
+# what this module sends to tasks goes there whole.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -32,10 +37,8 @@ def stream_improvements(
     meet in gets a row for each task. The state is two numbers. The session needs the
     RocksDB state store (``ROCKSDB`` as spark.sql.streaming.stateStore.providerClass).
     """
-    spark = stream.sparkSession
-    if spark.conf.get(_PROVIDER, "") != ROCKSDB:
+    if stream.sparkSession.conf.get(_PROVIDER, "") != ROCKSDB:
         raise ValueError(f"{_PROVIDER} must be {ROCKSDB}")
-    ship_package(spark)
     rows = stream.select(*_columns(measure)).where(F.col("reading").isNotNull())
     order = [name for name in rows.columns if name.startswith("by_")]
 
