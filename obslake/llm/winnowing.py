@@ -17,45 +17,89 @@ their texts. Extra columns are ignored. An empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Characters of a gram, grams of a window, and of a text that keeps all.
 GRAM, WINDOW, FEW = 8, 12, 48
+#: Characters before an edit whose windows may reach into it.
+_SEAM = GRAM + WINDOW - 2
 #: Documents of a range of ids that is handled together, on average.
 RANGE_ROWS = 2000
 _QUANTILES = 64
 _LOW = (1 << 31) - 1
+_HIGH = 0xFFFFFFFF << 31
+#: Characters that count as white space.
+_SPACE = " \t\n\v\f\r"
 
 
-def with_marks(rows: DataFrame, text: str, marks: str) -> DataFrame:
-    """Adds the marks of a text column, in the order of their positions."""
-    spaced = F.regexp_replace(F.col(text), "[ \\t-\\r]+", " ")
-    rows = rows.withColumn("_t", F.btrim(spaced, F.lit(" ")))
+def _spaced(text: Column) -> Column:
+    return F.regexp_replace(text, "[ \\t-\\r]+", " ")
+
+
+def _trimmed(text: Column) -> Column:
+    return F.btrim(_spaced(text), F.lit(" "))
+
+
+def _apart(array: Column) -> Column:
+    """The array without nulls, outside of the stage's generated method.
+
+    That method is too long for the JVM to compile, so that loops over long arrays in it
+    are many times slower. The argument of a higher-order function is evaluated by itself.
+    """
+    return F.filter(array, lambda x: x.isNotNull())
+
+
+def _folded(rows: DataFrame, name: str, step: int, fold: Callable) -> DataFrame:
+    """Folds every element of an array with the one ``step`` places on; the last get null."""
+    array = F.col(name)
+    later = F.slice(array, F.lit(step + 1), F.size(array))
+    return rows.withColumn(name, F.zip_with(array, later, fold))
+
+
+def _with_hashes(rows: DataFrame, text: str, at: Column) -> DataFrame:
+    """Adds ``_grams`` and ``_least``: marks of all grams, and the least of each window.
+
+    ``text`` is spaced already and begins at position ``at``. The least of a window is
+    found by doubling the width; it is null where less than a window is left.
+    """
     # Each place where a gram begins matches, and the gram is what is seen from there.
-    grams = F.regexp_extract_all(F.col("_t"), F.lit(f"(?s)(?=(.{{{GRAM}}}))"), F.lit(1))
-    whole = F.length("_t") <= GRAM
-    rows = rows.withColumn("_g", F.when(whole, F.array("_t")).otherwise(grams))
+    # The pattern is also tried within characters beyond U+FFFF, where none begins.
+    begin = f"(?s)(?=([^\\x{{DC00}}-\\x{{DFFF}}].{{{GRAM - 1}}}))"
+    grams = F.regexp_extract_all(F.col(text), F.lit(begin), F.lit(1))
+    whole = F.length(text) <= GRAM
+    rows = rows.withColumn("_g", F.when(whole, F.array(text)).otherwise(grams))
+    last = F.lit(_LOW).cast("long") - at
 
     def mark(gram: Column, i: Column) -> Column:
-        bits = F.shiftleft(F.xxhash64(gram).bitwiseAND(F.lit(0xFFFFFFFF)), 31)
-        return bits.bitwiseOR((F.lit(_LOW) - i).cast("long"))
+        bits = F.shiftleft(F.xxhash64(gram), 31).bitwiseAND(F.lit(_HIGH))
+        return bits.bitwiseOR(last - i)
 
-    rows = rows.withColumn("_a", F.transform("_g", mark)).drop("_g")
-    rows = rows.withColumn("_m", F.col("_a"))
+    rows = rows.withColumn("_grams", F.transform("_g", mark)).drop("_g")
+    rows = rows.withColumn("_least", F.col("_grams"))
     width = 1
     while width < WINDOW:
         step = min(width, WINDOW - width)
-        m = F.col("_m")
-        later = F.slice(m, F.lit(step + 1), F.size(m))
-        rows = rows.withColumn("_m", F.zip_with(m, later, lambda a, b: F.least(a, b)))
+        rows = _folded(rows, "_least", step, lambda a, b: F.when(a < b, a).otherwise(b))
         width += step
-    windows = F.greatest(F.size("_m") - (WINDOW - 1), F.lit(1))
-    least = F.array_distinct(F.slice("_m", F.lit(1), windows))
-    found = F.when(F.size("_a") < FEW, F.col("_a")).otherwise(least)
+    return rows
+
+
+def _chosen(text: str) -> Column:
+    """The marks of a whole text that has its hashes."""
     none = F.array().cast("array<bigint>")
-    marked = F.when(F.col("_t") == "", none).otherwise(found)
-    return rows.withColumn(marks, marked).drop("_t", "_a", "_m")
+    least = _apart(F.array_distinct("_least"))
+    found = F.when(F.size("_grams") < FEW, F.col("_grams")).otherwise(least)
+    return F.when(F.col(text) == "", none).otherwise(found)
+
+
+def with_marks(rows: DataFrame, text: str, marks: str) -> DataFrame:
+    """Adds the marks of a text column, in the order of their positions."""
+    rows = rows.withColumn("_t", _trimmed(F.col(text)))
+    rows = _with_hashes(rows, "_t", F.lit(0))
+    return rows.withColumn(marks, _chosen("_t")).drop("_t", "_grams", "_least")
 
 
 def mark_positions(marks: Column) -> Column:
@@ -70,19 +114,20 @@ def mark_positions(marks: Column) -> Column:
 
 
 def fingerprint(marks: Column) -> Column:
-    """A text that equal marks share: the digest of all hashes and positions."""
-    return F.sha2(F.array_join(F.transform(marks, lambda m: m.cast("string")), ","), 256)
+    """A text that equal marks share: 128 bits of all hashes and positions."""
+    halves = [F.xxhash64(F.lit(seed), marks) for seed in (1, 2)]
+    return F.lower(F.concat(*[F.lpad(F.hex(half), 16, "0") for half in halves]))
 
 
 def likeness(left: Column, right: Column) -> Column:
     """Shared hashes among all hashes of two arrays of distinct hashes."""
-    both = F.size(F.array_intersect(left, right))
+    both = F.size(_apart(F.array_intersect(left, right)))
     either = F.size(left) + F.size(right) - both
     return F.when(either == 0, F.lit(1.0)).otherwise(both / either)
 
 
 def _hashes(marks: Column) -> Column:
-    return F.array_distinct(F.transform(marks, lambda m: F.shiftright(m, 31)))
+    return _apart(F.array_distinct(F.transform(marks, lambda m: F.shiftright(m, 31))))
 
 
 def _id_ranges(ids: DataFrame) -> Column:
@@ -149,24 +194,58 @@ def fingerprints_with_edits(docs: DataFrame) -> DataFrame:
     of the next document, by falling id and from the last one on to the first.
     """
     rows, order = _with_next(docs)
-    rows = rows.withColumn("next_text", F.lead("text").over(order))
-    rows = with_marks(rows, "text", "marks")
-    rows = rows.withColumn("next_marks", F.lead("marks").over(order)).where("guest = 0")
+    # Rows are in their ranges from here on, so that only texts are shuffled.
+    rows = rows.withColumn("_next_text", F.lead("text").over(order))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
-    edited = F.concat(
-        F.substring(F.col("text"), F.lit(1), n - half),
-        F.substring(F.col("next_text"), F.lit(1), half),
+    # What stays of a text begins the edited text, and its windows are those of the text
+    # itself, but for the last characters: there the next text may be seen.
+    rows = rows.withColumn("_kept", F.substring(F.col("text"), F.lit(1), n - half))
+    rows = rows.withColumn("_t", _trimmed(F.col("text"))).withColumn("_k", _trimmed(F.col("_kept")))
+    shared = F.length("_k") - _SEAM
+    rows = rows.withColumn("_at", F.when(shared >= FEW, shared).otherwise(F.lit(0)))
+    rows = _with_hashes(rows, "_t", F.lit(0))
+    ends_in_space = F.btrim(F.substring("_kept", -1, 1), F.lit(_SPACE)) == ""
+    rows = rows.select(
+        "doc_id",
+        "key",
+        "text",
+        "range",
+        "guest",
+        "_next_text",
+        "_at",
+        F.concat(
+            F.when(F.col("_at") == 0, F.col("_kept")).otherwise(F.right("_k", F.lit(_SEAM))),
+            F.when((F.col("_at") > 0) & ends_in_space, F.lit(" ")).otherwise(F.lit("")),
+        ).alias("_seam"),
+        _chosen("_t").alias("marks"),
+        _apart(F.array_distinct(F.slice("_least", F.lit(1), F.col("_at")))).alias("_before"),
     )
-    rows = with_marks(rows.withColumn("edited", edited), "edited", "edited_marks")
     rows = rows.withColumn("_own", _hashes(F.col("marks")))
-    own = F.col("_own")
+    rows = rows.withColumn("_next", F.lead("_own").over(order)).where("guest = 0")
+    new = F.substring(F.col("_next_text"), F.lit(1), half)
+    rows = rows.withColumn("_new", new).withColumn("_rest", _spaced(F.concat("_seam", "_new")))
+    # The seam may begin with a space that stands within the edited text.
+    trimmed = F.rtrim(F.col("_rest"), F.lit(" "))
+    rows = rows.withColumn(
+        "_rest", F.when(F.col("_at") == 0, F.ltrim(trimmed, F.lit(" "))).otherwise(trimmed)
+    )
+    rows = _with_hashes(rows, "_rest", F.col("_at"))
+    joined = _apart(F.array_distinct(F.concat("_before", "_least")))
     return rows.select(
         "doc_id",
         n.cast("long").alias("n_chars"),
+        F.concat(F.substring(F.col("text"), F.lit(1), n - half), "_new").alias("edited"),
+        "marks",
+        F.when(F.col("_at") == 0, _chosen("_rest")).otherwise(joined).alias("edited_marks"),
+        "_own",
+        "_next",
+    ).select(
+        "doc_id",
+        "n_chars",
         "edited",
         "marks",
         "edited_marks",
-        likeness(own, _hashes(F.col("edited_marks"))).alias("near_edited"),
-        likeness(own, _hashes(F.col("next_marks"))).alias("near_next"),
+        likeness(F.col("_own"), _hashes(F.col("edited_marks"))).alias("near_edited"),
+        likeness(F.col("_own"), F.col("_next")).alias("near_next"),
     )

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import math
+import re
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from obslake.llm import lm, minhash, packing, pieces, pivots, toxicity, winnowing
@@ -483,3 +485,44 @@ def test_labelled_sample_is_drawn_from_the_rows_at_hand(spark):
     n = [sum(row.doc_id % 2 == k and row.doc_id not in held for row in docs.collect()) for k in (0, 1)]
     assert min(n) > 10 and sorted(row.label for row in found.collect()) == [0] * 10 + [1] * 10
     assert weights == {0: n[0] / 10, 1: n[1] / 10}
+
+
+def plain_winnowing(text):
+    """Marks of a text, each window looked at by itself."""
+    text = re.sub("[ \t-\r]+", " ", text).strip(" ")
+    gram, window, low = winnowing.GRAM, winnowing.WINDOW, (1 << 31) - 1
+    if not text:
+        return []
+    grams = [text[i : i + gram] for i in range(max(1, len(text) - gram + 1))]
+    hashes = [xxhash.xxh64_intdigest(g.encode(), seed=42) & 0xFFFFFFFF for g in grams]
+    if len(hashes) < winnowing.FEW:
+        return [h << 31 | low - i for i, h in enumerate(hashes)]
+    marks = set()
+    for start in range(len(hashes) - window + 1):
+        least = min(hashes[start : start + window])
+        marks.add(max(i for i in range(start, start + window) if hashes[i] == least))
+    return [hashes[i] << 31 | low - i for i in sorted(marks)]
+
+
+def test_marks_equal_a_plain_winnowing(spark):
+    rng = np.random.default_rng(21)
+    texts = [r.text for r in documents(spark).orderBy("doc_id").limit(60).collect()]
+    # Cuts in white space, spaces at the seam, and lengths around every limit.
+    texts += ["".join(rng.choice(list("ab \n\t中😀"), n)) for n in range(150)]
+    texts += ["x" * 200, "ab " * 90, " " * 300, "word " * 30 + " " * 150, LONG[:20_000], "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r for r in winnowing.fingerprints_with_edits(docs).collect()}
+    hashes = {}
+    for i, text in enumerate(texts):
+        text, following = text or "", texts[i - 1] or ""
+        half = len(text) // 2
+        edited = text[: len(text) - half] + following[:half]
+        assert found[i].edited == edited
+        assert found[i].marks == plain_winnowing(text)
+        assert found[i].edited_marks == plain_winnowing(edited)
+        hashes[i] = {m >> 31 for m in found[i].marks}
+    for i in range(len(texts)):
+        own, others = hashes[i], {m >> 31 for m in found[i].edited_marks}
+        for other, got in ((others, found[i].near_edited), (hashes[(i - 1) % len(texts)], found[i].near_next)):
+            either = len(own | other)
+            assert got == pytest.approx(len(own & other) / either if either else 1.0)
