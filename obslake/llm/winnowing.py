@@ -43,12 +43,7 @@ def _trimmed(text: Column) -> Column:
     return F.btrim(_spaced(text), F.lit(" "))
 
 
-def _apart(array: Column) -> Column:
-    """The array without nulls, outside of the stage's generated method.
-
-    That method is too long for the JVM to compile, so that loops over long arrays in it
-    are many times slower. The argument of a higher-order function is evaluated by itself.
-    """
+def _present(array: Column) -> Column:
     return F.filter(array, lambda x: x.isNotNull())
 
 
@@ -90,7 +85,7 @@ def _with_hashes(rows: DataFrame, text: str, at: Column) -> DataFrame:
 def _chosen(text: str) -> Column:
     """The marks of a whole text that has its hashes."""
     none = F.array().cast("array<bigint>")
-    least = _apart(F.array_distinct("_least"))
+    least = _present(F.array_distinct("_least"))
     found = F.when(F.size("_grams") < FEW, F.col("_grams")).otherwise(least)
     return F.when(F.col(text) == "", none).otherwise(found)
 
@@ -121,13 +116,13 @@ def fingerprint(marks: Column) -> Column:
 
 def likeness(left: Column, right: Column) -> Column:
     """Shared hashes among all hashes of two arrays of distinct hashes."""
-    both = F.size(_apart(F.array_intersect(left, right)))
+    both = F.size(F.array_intersect(left, right))
     either = F.size(left) + F.size(right) - both
     return F.when(either == 0, F.lit(1.0)).otherwise(both / either)
 
 
 def _hashes(marks: Column) -> Column:
-    return _apart(F.array_distinct(F.transform(marks, lambda m: F.shiftright(m, 31))))
+    return F.array_distinct(F.transform(marks, lambda m: F.shiftright(m, 31)))
 
 
 def _id_ranges(ids: DataFrame) -> Column:
@@ -219,7 +214,7 @@ def fingerprints_with_edits(docs: DataFrame) -> DataFrame:
             F.when((F.col("_at") > 0) & ends_in_space, F.lit(" ")).otherwise(F.lit("")),
         ).alias("_seam"),
         _chosen("_t").alias("marks"),
-        _apart(F.array_distinct(F.slice("_least", F.lit(1), F.col("_at")))).alias("_before"),
+        _present(F.array_distinct(F.slice("_least", F.lit(1), F.col("_at")))).alias("_before"),
     )
     rows = rows.withColumn("_own", _hashes(F.col("marks")))
     rows = rows.withColumn("_next", F.lead("_own").over(order)).where("guest = 0")
@@ -231,7 +226,7 @@ def fingerprints_with_edits(docs: DataFrame) -> DataFrame:
         "_rest", F.when(F.col("_at") == 0, F.ltrim(trimmed, F.lit(" "))).otherwise(trimmed)
     )
     rows = _with_hashes(rows, "_rest", F.col("_at"))
-    joined = _apart(F.array_distinct(F.concat("_before", "_least")))
+    joined = _present(F.array_distinct(F.concat("_before", "_least")))
     return rows.select(
         "doc_id",
         n.cast("long").alias("n_chars"),
