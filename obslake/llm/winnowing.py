@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 GRAM, WINDOW, FEW = 8, 12, 48
 #: Characters before an edit whose windows may reach into it.
 _SEAM = GRAM + WINDOW - 2
+#: The last characters of a text's beginning that decide which marks its windows have there.
+_TAIL = GRAM + 2 * WINDOW - 3
 #: Documents of a range of ids that is handled together, on average.
 RANGE_ROWS = 2000
 _QUANTILES = 64
@@ -43,12 +45,8 @@ def _trimmed(text: Column) -> Column:
     return F.btrim(_spaced(text), F.lit(" "))
 
 
-def _present(array: Column) -> Column:
-    return F.filter(array, lambda x: x.isNotNull())
-
-
 def _folded(rows: DataFrame, name: str, step: int, fold: Callable) -> DataFrame:
-    """Folds every element of an array with the one ``step`` places on; the last get null."""
+    """Folds every element of an array with the one ``step`` places on; the last keep theirs."""
     array = F.col(name)
     later = F.slice(array, F.lit(step + 1), F.size(array))
     return rows.withColumn(name, F.zip_with(array, later, fold))
@@ -58,7 +56,7 @@ def _with_hashes(rows: DataFrame, text: str, at: Column) -> DataFrame:
     """Adds ``_grams`` and ``_least``: marks of all grams, and the least of each window.
 
     ``text`` is spaced already and begins at position ``at``. The least of a window is
-    found by doubling the width; it is null where less than a window is left.
+    found by doubling the width; there is none where less than a window is left.
     """
     # Each place where a gram begins matches, and the gram is what is seen from there.
     # The pattern is also tried within characters beyond U+FFFF, where none begins.
@@ -77,15 +75,16 @@ def _with_hashes(rows: DataFrame, text: str, at: Column) -> DataFrame:
     width = 1
     while width < WINDOW:
         step = min(width, WINDOW - width)
-        rows = _folded(rows, "_least", step, lambda a, b: F.when(a < b, a).otherwise(b))
+        rows = _folded(rows, "_least", step, lambda a, b: F.least(a, b))
         width += step
-    return rows
+    whole = F.greatest(F.size("_grams") - (WINDOW - 1), F.lit(0))
+    return rows.withColumn("_least", F.slice("_least", F.lit(1), whole))
 
 
 def _chosen(text: str) -> Column:
     """The marks of a whole text that has its hashes."""
     none = F.array().cast("array<bigint>")
-    least = _present(F.array_distinct("_least"))
+    least = F.array_distinct("_least")
     found = F.when(F.size("_grams") < FEW, F.col("_grams")).otherwise(least)
     return F.when(F.col(text) == "", none).otherwise(found)
 
@@ -186,7 +185,9 @@ def fingerprints_with_edits(docs: DataFrame) -> DataFrame:
     """Each document's marks, its edited text and that one's marks, and both likenesses.
 
     The edited text has the last half of the characters replaced by as many of the first
-    of the next document, by falling id and from the last one on to the first.
+    of the next document, by falling id and from the last one on to the first. Its windows
+    within either part are those of the two documents; only what lies across the seam and at
+    the cut is hashed anew.
     """
     rows, order = _with_next(docs)
     # Rows are in their ranges from here on, so that only texts are shuffled.
@@ -214,10 +215,11 @@ def fingerprints_with_edits(docs: DataFrame) -> DataFrame:
             F.when((F.col("_at") > 0) & ends_in_space, F.lit(" ")).otherwise(F.lit("")),
         ).alias("_seam"),
         _chosen("_t").alias("marks"),
-        _present(F.array_distinct(F.slice("_least", F.lit(1), F.col("_at")))).alias("_before"),
+        F.array_distinct(F.slice("_least", F.lit(1), F.col("_at"))).alias("_before"),
     )
     rows = rows.withColumn("_own", _hashes(F.col("marks")))
-    rows = rows.withColumn("_next", F.lead("_own").over(order)).where("guest = 0")
+    rows = rows.withColumn("_next", F.lead("_own").over(order))
+    rows = rows.withColumn("_next_marks", F.lead("marks").over(order)).where("guest = 0")
     new = F.substring(F.col("_next_text"), F.lit(1), half)
     rows = rows.withColumn("_new", new).withColumn("_rest", _spaced(F.concat("_seam", "_new")))
     # The seam may begin with a space that stands within the edited text.
@@ -225,22 +227,48 @@ def fingerprints_with_edits(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn(
         "_rest", F.when(F.col("_at") == 0, F.ltrim(trimmed, F.lit(" "))).otherwise(trimmed)
     )
-    rows = _with_hashes(rows, "_rest", F.col("_at"))
-    joined = _present(F.array_distinct(F.concat("_before", "_least")))
-    return rows.select(
+    # Behind the seam and a space, if any, the next text begins; it has its windows' marks
+    # if it keeps as many grams as a text that does not have all of them as marks.
+    begins = _SEAM + (F.substring("_rest", _SEAM + 1, 1) == " ").cast("int")
+    rows = rows.withColumn("_begins", begins)
+    # Each is used several times below: what is used once would be put into a function of
+    # elements, and then be found anew for each element.
+    rows = rows.withColumn("_taken", (F.length("_rest") - F.col("_begins")).cast("long"))
+    rows = rows.withColumn("_moved", (F.col("_at") + F.col("_begins")).cast("long"))
+    far = (F.col("_at") > 0) & (F.col("_taken") >= FEW + GRAM - 1)
+    # A mark is the beginning's own if even the last window that it could begin is whole there.
+    whole = F.lit(_LOW + GRAM + WINDOW - 1)
+    own = F.filter("_next_marks", lambda m: m.bitwiseAND(F.lit(_LOW)) + F.col("_taken") >= whole)
+    rows = rows.select(
+        "*",
+        F.when(far, F.transform(own, lambda m: m - F.col("_moved")))
+        .otherwise(F.array().cast("array<bigint>"))
+        .alias("_body"),
+        F.when(far, F.right("_rest", F.lit(_TAIL))).otherwise("").alias("_tail"),
+        (F.col("_moved") + F.col("_taken") - _TAIL).alias("_tail_at"),
+        F.when(far, F.left("_rest", F.col("_begins") + _SEAM))
+        .otherwise(F.col("_rest"))
+        .alias("_across"),
+    )
+    rows = _with_hashes(rows, "_tail", F.col("_tail_at")).withColumnRenamed("_least", "_end")
+    rows = _with_hashes(rows.drop("_grams"), "_across", F.col("_at"))
+    joined = F.array_distinct(F.concat("_before", "_least", "_body", "_end"))
+    rows = rows.select(
         "doc_id",
         n.cast("long").alias("n_chars"),
         F.concat(F.substring(F.col("text"), F.lit(1), n - half), "_new").alias("edited"),
         "marks",
-        F.when(F.col("_at") == 0, _chosen("_rest")).otherwise(joined).alias("edited_marks"),
+        F.when(F.col("_at") == 0, _chosen("_across")).otherwise(joined).alias("edited_marks"),
         "_own",
         "_next",
-    ).select(
+    )
+    rows = rows.withColumn("_edited", _hashes(F.col("edited_marks")))
+    return rows.select(
         "doc_id",
         "n_chars",
         "edited",
         "marks",
         "edited_marks",
-        likeness(F.col("_own"), _hashes(F.col("edited_marks"))).alias("near_edited"),
+        likeness(F.col("_own"), F.col("_edited")).alias("near_edited"),
         likeness(F.col("_own"), F.col("_next")).alias("near_next"),
     )

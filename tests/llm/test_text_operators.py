@@ -526,3 +526,28 @@ def test_marks_equal_a_plain_winnowing(spark):
         for other, got in ((others, found[i].near_edited), (hashes[(i - 1) % len(texts)], found[i].near_next)):
             either = len(own | other)
             assert got == pytest.approx(len(own & other) / either if either else 1.0)
+
+
+def test_an_edit_hashes_only_what_is_across_the_seam(spark, monkeypatch):
+    rng = np.random.default_rng(22)
+    # Beginnings that keep just enough grams, with spaces at the seam and at the cut.
+    texts = [rng.choice(["", " ", "\n "]) + "".join(rng.choice(list("abc \t中😀"), n)) for n in range(100, 260)]
+    texts += ["y" * 400, "ab " * 150, "z" * 130, LONG[:3000]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    hashed, with_hashes = [], winnowing._with_hashes
+
+    def noted(rows, text, at):
+        hashed.append(rows.select(F.length(text).alias("n")))
+        return with_hashes(rows, text, at)
+
+    monkeypatch.setattr(winnowing, "_with_hashes", noted)
+    found = {r.doc_id: r for r in winnowing.fingerprints_with_edits(docs).collect()}
+    seam = 2 * (winnowing.GRAM + winnowing.WINDOW)
+    for frame in hashed[1:]:
+        # All but the texts whose parts are too short: a part of the next one's half.
+        assert frame.where(F.col("n") > seam).count() < len(texts) / 2
+        assert frame.agg(F.max("n")).first()[0] < 300
+    for i, text in enumerate(texts):
+        half = len(text) // 2
+        edited = text[: len(text) - half] + texts[i - 1][:half]
+        assert found[i].edited_marks == plain_winnowing(edited)
