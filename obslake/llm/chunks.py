@@ -50,7 +50,9 @@ def word_list(packed: bytes) -> list[bytes]:
     return unsqueeze(packed).split(b" ")
 
 
-class _Numbers(dict):
+class Numbers(dict):
+    """Words numbered in the order in which they are asked for."""
+
     def __missing__(self, word: bytes) -> int:
         number = self[word] = len(self)
         return number
@@ -67,7 +69,7 @@ def word_chunks(
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, ids, held, texts, size = _Numbers(), [], [], [], 0
+        known, ids, held, texts, size = Numbers(), [], [], [], 0
 
         def flush() -> pa.RecordBatch:
             lengths = np.array([len(t) for t in texts], np.int32)
@@ -94,7 +96,7 @@ def word_chunks(
                 words = split(text)
                 if texts and size + len(words) > limit:
                     yield flush()
-                    known, ids, held, texts, size = _Numbers(), [], [], [], 0
+                    known, ids, held, texts, size = Numbers(), [], [], [], 0
                 texts.append(np.fromiter(map(known.__getitem__, words), np.int32, len(words)))
                 ids.append(doc_id)
                 held.append(kept_out)
@@ -145,3 +147,17 @@ def squeezed(frame: DataFrame, purpose: str) -> DataFrame:
     path = work_dir(spark, purpose)
     frame.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def bucketed(frame: DataFrame, key: str, purpose: str) -> DataFrame:
+    """Like ``squeezed``, in buckets by a key, so that joins on it do not shuffle the frame."""
+    spark = frame.sparkSession
+    path = work_dir(spark, purpose)
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = frame.write.bucketBy(buckets, key).option("compression", "zstd").option("path", path)
+    writer.saveAsTable(name)
+    found = spark.table(name)
+    # What was read keeps to its files; the name would stay in the catalog.
+    spark.sql(f"DROP TABLE {name}")
+    return found

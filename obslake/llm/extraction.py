@@ -12,8 +12,9 @@ pages are concatenated by host and their suffixes brought into the order of thei
 DEPTH tokens: suffixes that agree that far stand side by side, and those of different
 pages mark a repeated substring. The order is kept to that depth and by 48 bits of hash,
 since only agreement matters, so the suffixes of one large host spread over all tasks:
-chunks of pages send their distinct prefixes to ranges of hashes, and get back those that
-several pages have with the number of these pages. A block that is mostly covered by
+chunks of pages send their distinct prefixes to ranges of hashes, shortened first and whole
+where another chunk may have them, and get back those that several pages have with the
+number of these pages. A block that is mostly covered by
 repeated substrings is boilerplate, the others are kept.
 
 Near copies of a page on a host, found by SKETCH least hashes of their paragraphs, count as
@@ -36,7 +37,9 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
+from functools import cached_property
 from html import unescape
 
 import numpy as np
@@ -45,15 +48,24 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obslake.llm.chunks import packed, squeeze, squeezed, unpacked, unsqueeze
+from obslake.llm.chunks import (
+    Numbers,
+    bucketed,
+    packed,
+    squeeze,
+    squeezed,
+    unpacked,
+    unsqueeze,
+    word_list,
+)
 from obslake.llm.common import SLICE, as_bytes, map_batches, map_groups
 
 #: Tokens of a substring that is long enough to be boilerplate, and the covered share of a block.
 DEPTH, COVERED = 6, 0.6
 #: Words of a paragraph that is text when nothing else is.
 PARAGRAPH = 15
-#: Bits of a prefix's hash.
-HASH_BITS = 48
+#: Bits of a prefix's hash, and of a shortened one beyond those that number all tokens.
+HASH_BITS, SPARE = 48, 4
 #: Tokens of a chunk of pages, before the page that exceeds them, and of a range of hashes.
 CHUNK_TOKENS, RANGE_TOKENS = 500_000, 2_000_000
 #: Pages, and share of a host's pages, that have what is usual there.
@@ -62,8 +74,6 @@ USUAL_PAGES, USUAL_SHARE = 3, 0.5
 SOME_PAGES, SOME_SHARE = 20, 0.1
 #: Least hashes of a page, and how many of them near copies share.
 SKETCH, ALIKE = 8, 5
-#: Tokens whose hashes a task remembers at a time.
-REMEMBERED = 200_000
 
 CHROME, OTHER, MAIN, ARTICLE = 0, 1, 2, 3
 #: In a form or an element named like chrome: anything, and articles. Settled for the whole page.
@@ -243,68 +253,141 @@ def _whole_host(host: str) -> np.uint64:
     return np.uint64(xxhash.xxh3_64_intdigest(host.encode(), seed=1) >> (64 - HASH_BITS))
 
 
-class _Hashes(dict):
-    def __missing__(self, token: bytes) -> int:
-        if len(self) > REMEMBERED:
-            self.clear()
-        found = self[token] = xxhash.xxh3_64_intdigest(token)
-        return found
-
-
-_hashes = _Hashes()
-
-
-def _prefixes(host: str, zones: list[int], texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the host, zone and first DEPTH tokens of each suffix, and the block of each token.
-
-    Substrings run across blocks, so that short blocks in the same order agree too.
-    """
-    parts = [text.encode().split() for text in texts]
-    sizes = np.array([len(part) for part in parts], np.int64)
-    owner = np.repeat(np.arange(len(parts)), sizes)
-    tokens = np.array([_hashes[token] for part in parts for token in part], np.uint64)
-    found = np.zeros(max(len(tokens) - DEPTH + 1, 0), np.uint64)
-    kinds = np.array(zones, np.int64).astype(np.uint64)
-    found += np.uint64(xxhash.xxh3_64_intdigest(host.encode())) + kinds[owner[: len(found)]]
-    for step in range(DEPTH):
-        found = (found ^ tokens[step : step + len(found)]) * np.uint64(0x9E3779B97F4A7C15)
-        found ^= found >> np.uint64(29)
-    return found >> np.uint64(64 - HASH_BITS), owner
-
-
-def _sketch(host: str, zones: list[int], texts: list[str]) -> list[int]:
-    """Least hashes of the prefixes in paragraphs outside of chrome, or of the whole stream."""
-    prefixes, owner = _prefixes(host, zones, texts)
-    owner = owner[: len(prefixes)]
-    words = np.array([text.count(" ") + 1 for text in texts], np.int64)
-    content = (words >= PARAGRAPH) & (np.array(zones, np.int64) != CHROME)
-    values = prefixes[content[owner]]
-    if not len(values):
-        stream = "\0".join([host, *texts]).encode()
-        values = np.array([xxhash.xxh3_64_intdigest(stream)], np.uint64)
-    least = []
-    for i in range(SKETCH):
-        mixed = (values ^ np.uint64(i * 0xD6E8FEB86659FD93 & 2**64 - 1)) * np.uint64(0x9E3779B97F4A7C15)
-        mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-        least.append(int((mixed ^ (mixed >> np.uint64(32))).min() >> np.uint64(1)))
-    return least
-
-
-_CHUNKS = "blocks binary, sketches array<long>, tokens long"
+@dataclass
+class Chunk:
+    """Pages one after the other, as numbers of words."""
+
+    #: page_id, url and host of each page.
+    pages: list[list]
+    #: Blocks of each page, zone and words of each block, and all words by their place in ``words``.
+    blocks: np.ndarray
+    zones: np.ndarray
+    sizes: np.ndarray
+    numbers: np.ndarray
+    words: list[bytes]
+
+    @staticmethod
+    def of(pages: list[list], blocks: list[int], zones: list[int], sizes: list[int], numbers, words):
+        whole = (np.array(x, np.int64) for x in (blocks, zones, sizes))
+        return Chunk(pages, *whole, np.concatenate([np.zeros(0, np.int32), *numbers]), list(words))
+
+    @staticmethod
+    def read(pages: bytes, shape: bytes, numbers: bytes, words: bytes) -> Chunk:
+        about = json.loads(unsqueeze(pages))
+        flat = np.frombuffer(unsqueeze(shape), "<i4").astype(np.int64)
+        blocks, rest = flat[: len(about)], flat[len(about) :].reshape(2, -1)
+        planes = np.frombuffer(unsqueeze(numbers), np.uint8).reshape(4, -1).T
+        places = np.ascontiguousarray(planes).view("<i4").ravel()
+        return Chunk(about, blocks, *rest, places, word_list(words))
+
+    def stored(self) -> list[bytes]:
+        """What ``read`` takes."""
+        shape = np.concatenate([self.blocks, self.zones, self.sizes]).astype("<i4")
+        planes = self.numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T
+        about = json.dumps(self.pages, ensure_ascii=False).encode()
+        raw = (about, shape.tobytes(), planes.tobytes(), b" ".join(self.words))
+        return [squeeze(x) for x in raw]
+
+    @cached_property
+    def page_of_block(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.pages)), self.blocks)
+
+    @cached_property
+    def owner(self) -> np.ndarray:
+        """The block of each word."""
+        return np.repeat(np.arange(len(self.sizes)), self.sizes)
+
+    @cached_property
+    def prefixes(self) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the host, zone and first DEPTH words of each suffix, and where it begins.
+
+        Substrings run across blocks, so that short blocks in the same order agree too.
+        """
+        known = np.fromiter(map(xxhash.xxh3_64_intdigest, self.words), np.uint64, len(self.words))
+        words = known[self.numbers]
+        page = self.page_of_block[self.owner]
+        ends = np.cumsum(np.bincount(page, minlength=len(self.pages)))
+        at = np.flatnonzero(ends[page] - np.arange(len(page)) >= DEPTH)
+        hosts = [xxhash.xxh3_64_intdigest(host.encode()) for _, _, host in self.pages]
+        found = np.array(hosts, np.uint64)[page[at]] + self.zones.astype(np.uint64)[self.owner[at]]
+        for step in range(DEPTH):
+            found = (found ^ words[at + step]) * np.uint64(0x9E3779B97F4A7C15)
+            found ^= found >> np.uint64(29)
+        return found >> np.uint64(64 - HASH_BITS), at
+
+    @cached_property
+    def with_hosts(self) -> np.ndarray:
+        """The prefixes of all suffixes, then what stands for the host of each page."""
+        hosts = [_whole_host(host) for _, _, host in self.pages]
+        return np.concatenate([self.prefixes[0], np.array(hosts, np.uint64)])
+
+    def counted(self, copies: list[int] | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct values of ``with_hosts``, on how many pages but copies, and the place of each one."""
+        every = self.with_hosts
+        counts = ~np.isin(np.arange(len(self.pages)), copies or [])
+        page = np.concatenate([self.page_of_block[self.owner[self.prefixes[1]]], np.arange(len(counts))])
+        order = np.argsort(every, kind="stable")
+        ordered, page = every[order], page[order]
+        first = np.diff(ordered, prepend=~ordered[:1]) != 0
+        fresh = first | (np.diff(page, prepend=-1) != 0)  # a page counts once
+        rank = np.cumsum(first) - 1
+        pages = np.bincount(rank[fresh], counts[page[fresh]], rank[-1] + 1).astype("<i8")
+        place = np.empty(len(order), np.int64)
+        place[order] = rank
+        return ordered[first], pages, place
+
+    def sketches(self) -> np.ndarray:
+        """Least hashes of each page's prefixes in paragraphs outside of chrome, or of its whole stream."""
+        prefixes, at = self.prefixes
+        content = (self.sizes >= PARAGRAPH) & (self.zones != CHROME)
+        inside = content[self.owner[at]]
+        values, page = prefixes[inside], self.page_of_block[self.owner[at[inside]]]
+        without = np.setdiff1d(np.arange(len(self.pages)), page)
+        if len(without):
+            first = np.concatenate([[0], np.cumsum(self.blocks)])
+            streams = [
+                b"\0".join([self.pages[i][2].encode(), *self.texts(range(first[i], first[i + 1]))])
+                for i in without.tolist()
+            ]
+            whole = [xxhash.xxh3_64_intdigest(stream) for stream in streams]
+            values, page = np.append(values, np.array(whole, np.uint64)), np.append(page, without)
+            order = np.argsort(page, kind="stable")
+            values, page = values[order], page[order]
+        starts = np.searchsorted(page, np.arange(len(self.pages)))
+        least = np.zeros((len(self.pages), SKETCH), np.int64)
+        for i in range(SKETCH):
+            mixed = (values ^ np.uint64(i * 0xD6E8FEB86659FD93 & 2**64 - 1)) * np.uint64(0x9E3779B97F4A7C15)
+            mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+            lowest = np.minimum.reduceat(mixed ^ (mixed >> np.uint64(32)), starts)
+            least[:, i] = (lowest >> np.uint64(1)).astype(np.int64)
+        return least
+
+    @cached_property
+    def _places(self) -> tuple[list[int], np.ndarray]:
+        return np.concatenate([[0], np.cumsum(self.sizes)]).tolist(), np.array(self.words, object)
+
+    def texts(self, blocks: Iterable[int]) -> list[bytes]:
+        ends, words = self._places
+        return [b" ".join(words[self.numbers[ends[i] : ends[i + 1]]].tolist()) for i in blocks]
+
+
+_CHUNKS = "pages binary, shape binary, numbers binary, words binary, sketches array<long>, tokens long"
+_CHUNK = ["pages", "shape", "numbers", "words"]
 
 
 def _parse(pages: DataFrame) -> DataFrame:
-    """Chunks of pages, stored: ids, urls, hosts, zones and blocks, and the pages' sketches."""
+    """Chunks of pages, stored in buckets: ids, urls, hosts, zones and blocks, and the pages' sketches."""
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, sketches, size = [], [], 0
+        known = Numbers()
+        about, blocks, zones, sizes, numbers, size = [], [], [], [], [], 0
 
         def flush() -> pa.RecordBatch:
-            blocks = squeeze(json.dumps(found, ensure_ascii=False).encode())
-            kinds = [pa.binary(), pa.list_(pa.int64()), pa.int64()]
+            chunk = Chunk.of(about, blocks, zones, sizes, numbers, known)
+            columns = [*chunk.stored(), chunk.sketches().ravel(), size]
+            kinds = [pa.binary()] * 4 + [pa.list_(pa.int64()), pa.int64()]
             return pa.RecordBatch.from_arrays(
-                [pa.array([v], kind) for v, kind in zip((blocks, sketches, size), kinds)],
-                ["blocks", "sketches", "tokens"],
+                [pa.array([v], kind) for v, kind in zip(columns, kinds)], [*_CHUNK, "sketches", "tokens"]
             )
 
         for batch in batches:
@@ -313,21 +396,24 @@ def _parse(pages: DataFrame) -> DataFrame:
             ):
                 if size > CHUNK_TOKENS:
                     yield flush()
-                    found, sketches, size = [], [], 0
-                blocks = page_blocks(html.decode("utf-8", "replace"))
-                zones, texts = [zone for zone, _ in blocks], [text for _, text in blocks]
-                host = _host(url or "")
-                found.append([page_id, url, host, zones, texts])
-                sketches += _sketch(host, zones, texts)
-                size += sum(text.count(" ") + 1 for text in texts) + 1
-        if found:
+                    known = Numbers()
+                    about, blocks, zones, sizes, numbers, size = [], [], [], [], [], 0
+                found = page_blocks(html.decode("utf-8", "replace"))
+                about.append([page_id, url, _host(url or "")])
+                blocks.append(len(found))
+                zones += [zone for zone, _ in found]
+                sizes += [text.count(" ") + 1 for _, text in found]
+                words = " ".join([text for _, text in found]).encode().split()
+                numbers.append(np.fromiter(map(known.__getitem__, words), np.int32, len(words)))
+                size += len(words) + 1
+        if about:
             yield flush()
 
     rows = pages.select(
         F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")
     )
     chunks = map_batches(rows, parse, _CHUNKS)
-    return squeezed(chunks.withColumn("chunk", F.monotonically_increasing_id()), "pages")
+    return bucketed(chunks.withColumn("chunk", F.monotonically_increasing_id()), "chunk", "pages")
 
 
 def _copies(chunks: DataFrame) -> DataFrame:
@@ -342,34 +428,86 @@ def _copies(chunks: DataFrame) -> DataFrame:
     return copies.groupBy("page.chunk").agg(F.collect_set("page.at").alias("copies"))
 
 
-def _repeated(chunks: DataFrame) -> DataFrame:
-    """(chunk, prefixes, pages): the prefixes of a chunk that more than one page has, and on how many."""
+def _by_range(values: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Ranges of hashes that ascending values lie in, and where."""
+    cuts = np.searchsorted(values, bounds).tolist()
+    for i, (low, high) in enumerate(zip([0, *cuts], [*cuts, len(values)])):
+        if low < high:
+            yield i, slice(low, high)
+
+
+def _in_order(parts: DataFrame, name: str, *columns: str) -> DataFrame:
+    """(chunk, name): what the ranges of hashes know of a chunk, from the lowest on."""
+    found = F.sort_array(F.collect_list(F.struct("range", *columns)))
+    return parts.groupBy("chunk").agg(found.alias(name))
+
+
+def _shared(chunks: DataFrame, bounds: np.ndarray, shift: np.uint64) -> DataFrame:
+    """(chunk, range, shared): which of a chunk's shortened prefixes in a range another chunk has, too."""
+
+    def shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                number, *stored = (batch.column(i)[row].as_py() for i in range(batch.num_columns))
+                values = np.unique(Chunk.read(*stored).with_hosts)
+                for i, some in _by_range(values, bounds):
+                    short = values[some] >> shift
+                    short = short[np.diff(short, prepend=~short[:1]) != 0]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([i], pa.int32()),
+                            pa.array([number], pa.int64()),
+                            pa.array([packed(short)], pa.binary()),
+                        ],
+                        ["range", "chunk", "prefixes"],
+                    )
+
+    def several(table: pa.Table) -> pa.Table:
+        each = [unpacked(raw) for raw in table["prefixes"].to_pylist()]
+        _, place, n = np.unique(np.concatenate(each), return_inverse=True, return_counts=True)
+        found = np.split(n[place] > 1, np.cumsum([len(x) for x in each])[:-1])
+        marks = [squeeze(np.packbits(x).tobytes()) for x in found]
+        return table.select(["chunk", "range"]).append_column("shared", pa.array(marks, pa.binary()))
+
+    sent = map_batches(
+        chunks.select("chunk", *_CHUNK), shortened, "range int, chunk long, prefixes binary"
+    )
+    return map_groups(sent, ["range"], several, "chunk long, range int, shared binary")
+
+
+def _repeated(chunks: DataFrame, copies: DataFrame) -> DataFrame:
+    """(chunk, found): on how many pages the prefixes are that a chunk may share with others.
+
+    Most prefixes are in one chunk only. So they travel shortened first, to SPARE bits more
+    than would tell all of them apart if they were dealt evenly, and whole only where the
+    shortened ones agree.
+    """
     spark = chunks.sparkSession
     tokens = chunks.agg(F.sum("tokens")).first()[0] or 0
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-tokens // RANGE_TOKENS))
     bounds = np.array([i * 2**HASH_BITS // ranges for i in range(1, ranges)], np.uint64)
+    shift = np.uint64(max(HASH_BITS - tokens.bit_length() - SPARE, 0))
 
-    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                chunk, blocks, copies = (batch.column(i)[row].as_py() for i in range(3))
-                every, sizes = [], []
-                for _, _, host, zones, texts in json.loads(unsqueeze(blocks)):
-                    found = np.unique(_prefixes(host, zones, texts)[0])
-                    every.append(np.append(found, _whole_host(host)))
-                    sizes.append(len(every[-1]))
-                counts = ~np.isin(np.arange(len(every)), copies or [])
-                values, place = np.unique(np.concatenate(every), return_inverse=True)
-                pages = np.bincount(place, np.repeat(counts, sizes), len(values)).astype("<i8")
-                cuts = np.searchsorted(values, bounds).tolist()
-                for i, (low, high) in enumerate(zip([0, *cuts], [*cuts, len(values)])):
-                    if low < high:
+                number, shared, copies, *stored = (
+                    batch.column(i)[row].as_py() for i in range(batch.num_columns)
+                )
+                values, pages, _ = Chunk.read(*stored).counted(copies)
+                marks = {part["range"]: part["shared"] for part in shared}
+                for i, some in _by_range(values, bounds):
+                    short = values[some] >> shift
+                    rank = np.cumsum(np.diff(short, prepend=short[:1]) != 0)
+                    bits = np.unpackbits(np.frombuffer(unsqueeze(marks[i]), np.uint8))
+                    sent = bits[rank].astype(bool)
+                    if sent.any():
                         yield pa.RecordBatch.from_arrays(
                             [
                                 pa.array([i], pa.int32()),
-                                pa.array([chunk], pa.int64()),
-                                pa.array([packed(values[low:high])], pa.binary()),
-                                pa.array([squeeze(pages[low:high].tobytes())], pa.binary()),
+                                pa.array([number], pa.int64()),
+                                pa.array([packed(values[some][sent])], pa.binary()),
+                                pa.array([squeeze(pages[some][sent].tobytes())], pa.binary()),
                             ],
                             ["range", "chunk", "prefixes", "pages"],
                         )
@@ -381,20 +519,27 @@ def _repeated(chunks: DataFrame) -> DataFrame:
         total = np.bincount(place, np.concatenate(pages), len(values)).astype("<i8")[place]
         ends = np.cumsum([len(x) for x in each])
         rows = []
-        for chunk, found, end in zip(table["chunk"].to_pylist(), each, ends):
+        for chunk, i, found, end in zip(
+            table["chunk"].to_pylist(), table["range"].to_pylist(), each, ends
+        ):
             here = total[end - len(found) : end]
             several = here > 1
-            rows.append((chunk, packed(found[several]), squeeze(here[several].tobytes())))
-        kinds = (pa.int64(), pa.binary(), pa.binary())
+            rows.append((chunk, i, packed(found[several]), squeeze(here[several].tobytes())))
+        kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary())
         return pa.table(
-            [pa.array(v, kind) for v, kind in zip(zip(*rows), kinds)], ["chunk", "prefixes", "pages"]
+            [pa.array(v, kind) for v, kind in zip(zip(*rows), kinds)],
+            ["chunk", "range", "prefixes", "pages"],
         )
 
-    known = chunks.join(_copies(chunks), "chunk", "left").select("chunk", "blocks", "copies")
-    sent = map_batches(known, distinct, "range int, chunk long, prefixes binary, pages binary")
-    sums = map_groups(sent, ["range"], summed, "chunk long, prefixes binary, pages binary")
-    found = F.sort_array(F.collect_list(F.struct("prefixes", "pages"))).alias("found")
-    return sums.groupBy("chunk").agg(found)
+    shared = _in_order(_shared(chunks, bounds, shift), "shared", "shared")
+    known = chunks.join(shared, "chunk").join(copies, "chunk", "left")
+    sent = map_batches(
+        known.select("chunk", "shared", "copies", *_CHUNK),
+        whole,
+        "range int, chunk long, prefixes binary, pages binary",
+    )
+    sums = map_groups(sent, ["range"], summed, "chunk long, range int, prefixes binary, pages binary")
+    return _in_order(sums, "found", "prefixes", "pages")
 
 
 def chosen(
@@ -422,50 +567,48 @@ def chosen(
 def extract_text(pages: DataFrame) -> DataFrame:
     """page_id, url and text for each row of (page_id, url, html)."""
     chunks = _parse(pages)
+    copies = squeezed(_copies(chunks), "copies")
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                raw, found = (batch.column(i)[row].as_py() for i in range(2))
-                known = np.concatenate([unpacked(part["prefixes"]) for part in found or []] or [[]])
-                pages_with = [np.frombuffer(unsqueeze(part["pages"]), "<i8") for part in found or []]
-                order = np.argsort(known)
-                known = np.append(known[order].astype(np.uint64), np.uint64(2**64 - 1))
-                counts = np.append(np.concatenate([*pages_with, []])[order], 1)
-
-                def on_pages(prefixes: np.ndarray) -> np.ndarray:
-                    at = np.searchsorted(known, prefixes)
-                    return np.where(known[at] == prefixes, counts[at], 1)
-
-                ids, urls, texts = [], [], []
-                for page_id, url, host, zones, blocks in json.loads(unsqueeze(raw)):
-                    prefixes, owner = _prefixes(host, zones, blocks)
-                    n, on_host = on_pages(prefixes), on_pages(_whole_host(host))
-                    words = np.bincount(owner, minlength=len(blocks))
-
-                    def mostly(hits: np.ndarray) -> np.ndarray:
-                        under = np.zeros(len(owner), bool)
-                        for step in range(DEPTH):
-                            under[np.flatnonzero(hits) + step] = True
-                        share = np.bincount(owner, under, len(blocks)) / np.maximum(words, 1)
-                        return share >= COVERED
-
-                    usual = (n >= USUAL_PAGES) & (n >= USUAL_SHARE * on_host)
-                    some = n >= max(2, min(SOME_PAGES, SOME_SHARE * on_host))
-                    kept = chosen(zones, words, mostly(some), mostly(usual))
-                    ids.append(page_id)
-                    urls.append(url)
-                    texts.append("\n\n".join(blocks[i] for i in kept))
-                for low in range(0, len(ids), SLICE):
-                    some = slice(low, low + SLICE)
+                copies, found, *stored = (batch.column(i)[row].as_py() for i in range(batch.num_columns))
+                chunk = Chunk.read(*stored)
+                values, pages, place = chunk.counted(copies)
+                for part in found or []:
+                    at = np.searchsorted(values, unpacked(part["prefixes"]))
+                    pages[at] = np.frombuffer(unsqueeze(part["pages"]), "<i8")
+                at, owner = chunk.prefixes[1], chunk.owner
+                n = np.maximum(pages, 1)[place]
+                n, on_host = n[: len(at)], n[len(at) :][chunk.page_of_block[owner[at]]]
+
+                def mostly(hits: np.ndarray) -> np.ndarray:
+                    under = np.zeros(len(owner), bool)
+                    for step in range(DEPTH):
+                        under[at[hits] + step] = True
+                    return np.bincount(owner, under, len(chunk.sizes)) / chunk.sizes >= COVERED
+
+                usual = mostly((n >= USUAL_PAGES) & (n >= USUAL_SHARE * on_host))
+                some = mostly(n >= np.maximum(2, np.minimum(SOME_PAGES, SOME_SHARE * on_host)))
+                first = np.concatenate([[0], np.cumsum(chunk.blocks)]).tolist()
+                for low in range(0, len(chunk.pages), SLICE):
+                    ids, urls, texts = [], [], []
+                    for i, (page_id, url, _) in enumerate(chunk.pages[low : low + SLICE], low):
+                        of = slice(first[i], first[i + 1])
+                        kept = chosen(chunk.zones[of].tolist(), chunk.sizes[of], some[of], usual[of])
+                        ids.append(page_id)
+                        urls.append(url)
+                        texts.append(b"\n\n".join(chunk.texts(first[i] + k for k in kept)).decode())
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(ids[some], pa.int64()),
-                            pa.array(urls[some], pa.string()),
-                            pa.array(texts[some], pa.string()),
+                            pa.array(ids, pa.int64()),
+                            pa.array(urls, pa.string()),
+                            pa.array(texts, pa.string()),
                         ],
                         ["page_id", "url", "text"],
                     )
 
-    joined = chunks.join(_repeated(chunks), "chunk", "left").select("blocks", "found")
-    return map_batches(joined, judge, "page_id long, url string, text string")
+    joined = chunks.join(_repeated(chunks, copies), "chunk", "left").join(copies, "chunk", "left")
+    return map_batches(
+        joined.select("copies", "found", *_CHUNK), judge, "page_id long, url string, text string"
+    )

@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from obslake.llm import lm, minhash, packing, pieces, pivots, toxicity, winnowing
+from obslake.llm import extraction, lm, minhash, packing, pieces, pivots, toxicity, winnowing
 from obslake.llm.chat import format_conversations, parse_conversations
 from obslake.llm.common import held_out, labelled_sample
 from obslake.llm.extraction import extract_text, page_blocks
@@ -372,6 +372,27 @@ def test_host_repeats_decide_pages_with_articles(spark):
         assert got[i] == f"Title of page {i}\n\n{own}\n\n{last}"
 
 
+def test_pages_in_many_chunks_are_judged_together(spark, monkeypatch, capsys):
+    """However many shortened prefixes agree by chance, and without a shuffle of the blocks."""
+    shared = " ".join(f"shared{i}" for i in range(20))
+    rows = [(None, None, None), (-1, "http://h0/x", "<p>alone"), (-2, None, "")]
+    for i in range(60):
+        own = " ".join(f"own{i}x{k}" for k in range(20))
+        page = f"<div>Home of all pages and more here</div><p>{own}</p><p>{shared}</p><div>end {i}</div>"
+        rows.append((i, f"http://h{i % 2}/{i}", page))
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    whole = values(extract_text(frame), "page_id", "text")
+    assert dict(whole)[7].startswith("own7x0 ") and shared not in dict(whole)[7]
+    monkeypatch.setattr(extraction, "CHUNK_TOKENS", 300)
+    for spare in (-9, 4, 48):
+        monkeypatch.setattr(extraction, "SPARE", spare)
+        found = extract_text(frame)
+        assert values(found, "page_id", "text") == whole
+    found.explain()
+    plan = capsys.readouterr().out
+    assert "Bucketed: true" in plan and not re.search(r"Exchange hashpartitioning.*\n.*FileScan", plan)
+
+
 def test_hidden_markov_learns_states_of_rare_words(spark):
     """Words beyond any fixed number of common ones tell the states apart, too."""
     rng = np.random.default_rng(11)
