@@ -7,6 +7,7 @@ chunk by a join on words, one row for each word of a chunk and not for each occu
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -22,7 +23,7 @@ CHUNK_WORDS = 1_000_000
 
 SCHEMA = (
     "doc_ids array<long>, held_out array<boolean>, lengths binary, numbers binary,"
-    " words binary, counts binary"
+    " words binary, counts binary, types long"
 )
 
 
@@ -45,6 +46,22 @@ def unpacked(raw: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(steps).view("<u8").ravel(), dtype=np.uint64)
 
 
+def by_place(numbers: np.ndarray) -> bytes:
+    """32-bit numbers, as their bytes by place."""
+    return squeeze(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def from_places(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(unsqueeze(raw), np.uint8).reshape(4, -1).T
+    return np.ascontiguousarray(planes).view("<i4").ravel()
+
+
+def expanded(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of slices that begin at ``first``, one slice after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(first - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
 def word_list(packed: bytes) -> list[bytes]:
     """The dictionary of a chunk; its words hold no space."""
     return unsqueeze(packed).split(b" ")
@@ -59,13 +76,18 @@ class Numbers(dict):
 
 
 def word_chunks(
-    docs: DataFrame, split: Callable[[bytes], list[bytes]], limit: int = CHUNK_WORDS
+    docs: DataFrame,
+    split: Callable[[bytes], list[bytes]],
+    limit: int = CHUNK_WORDS,
+    cut: Callable[[bytes], list[bytes]] | None = None,
+    store: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """Chunks of the rows (doc_id, held_out, text), stored.
 
     ``lengths`` has the words of each text and ``numbers`` those words one after the
     other, as 32-bit places in ``words``; ``counts`` says how often each word occurs in
     rows that are not held out. All but ``lengths`` are compressed: they are shuffled.
+    With ``cut`` it is the parts of the words that are numbered; a word is cut once in a chunk.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,19 +95,30 @@ def word_chunks(
 
         def flush() -> pa.RecordBatch:
             lengths = np.array([len(t) for t in texts], np.int32)
-            numbers = np.concatenate(texts)
+            numbers, words = np.concatenate(texts), known
+            if cut is not None:
+                words, flat, ends = Numbers(), array("i"), array("q")
+                for word in known:
+                    flat.extend(map(words.__getitem__, cut(word)))
+                    ends.append(len(flat))
+                flat, sizes = np.array(flat), np.diff(np.array(ends), prepend=0)
+                taken = sizes[numbers]
+                marks = np.concatenate([[0], np.cumsum(taken)])
+                lengths = np.diff(marks[np.concatenate([[0], np.cumsum(lengths)])]).astype(np.int32)
+                numbers = flat[expanded((np.cumsum(sizes) - sizes)[numbers], taken)]
             learned = np.repeat(~np.array(held, bool), lengths)
-            counts = np.bincount(numbers[learned], minlength=len(known))
+            counts = np.bincount(numbers[learned], minlength=len(words))
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([ids], pa.list_(pa.int64())),
                     pa.array([held], pa.list_(pa.bool_())),
                     pa.array([lengths.tobytes()], pa.binary()),
                     pa.array([squeeze(numbers.tobytes())], pa.binary()),
-                    pa.array([squeeze(b" ".join(known))], pa.binary()),
+                    pa.array([squeeze(b" ".join(words))], pa.binary()),
                     pa.array([squeeze(counts.astype("<i8").tobytes())], pa.binary()),
+                    pa.array([len(words)], pa.int64()),
                 ],
-                ["doc_ids", "held_out", "lengths", "numbers", "words", "counts"],
+                ["doc_ids", "held_out", "lengths", "numbers", "words", "counts", "types"],
             )
 
         for batch in batches:
@@ -108,7 +141,8 @@ def word_chunks(
         F.col("doc_id").cast("long"), "held_out", F.col("text").cast("string").alias("text")
     )
     chunks = map_batches(rows, encode, SCHEMA)
-    return squeezed(chunks.withColumn("chunk", F.monotonically_increasing_id()), "chunks")
+    numbered = chunks.withColumn("chunk", F.monotonically_increasing_id())
+    return (store or squeezed)(numbered, "chunks")
 
 
 def dictionary_rows(
@@ -149,7 +183,7 @@ def squeezed(frame: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def bucketed(frame: DataFrame, key: str, purpose: str) -> DataFrame:
+def bucketed(frame: DataFrame, purpose: str, key: str = "chunk") -> DataFrame:
     """Like ``squeezed``, in buckets by a key, so that joins on it do not shuffle the frame."""
     spark = frame.sparkSession
     path = work_dir(spark, purpose)

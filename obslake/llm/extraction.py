@@ -413,7 +413,7 @@ def _parse(pages: DataFrame) -> DataFrame:
         F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")
     )
     chunks = map_batches(rows, parse, _CHUNKS)
-    return bucketed(chunks.withColumn("chunk", F.monotonically_increasing_id()), "chunk", "pages")
+    return bucketed(chunks.withColumn("chunk", F.monotonically_increasing_id()), "pages")
 
 
 def _copies(chunks: DataFrame) -> DataFrame:

@@ -446,6 +446,23 @@ def test_long_bridged_words_equal_a_plain_viterbi(spark):
         assert back[i].codes == best[-1][1] and back[i].text == text
 
 
+def test_parts_of_many_chunks_ranges_and_blocks(spark, monkeypatch, capsys):
+    """The codes do not depend on how parts are dealt, and come to the chunks without a shuffle of these."""
+    docs = odd_docs(spark).where("doc_id is null or doc_id not in (4, 10)")
+    docs = docs.select("doc_id", "text").unionAll(documents(spark).select("doc_id", "text").limit(40))
+    docs = docs.unionAll(spark.createDataFrame([(99, "a" * 90 + " 中文中文")], "doc_id long, text string"))
+    whole = values(pieces.encode_texts(docs, piece_model()), "doc_id", "codes")
+    assert len(whole) == docs.count()
+    for name, value in (("CHUNK", 300), ("RANGE_TYPES", 40), ("BLOCK_PARTS", 8), ("TASK_PARTS", 500)):
+        monkeypatch.setattr(pieces, name, value)
+    found = pieces.encode_texts(docs, piece_model())
+    assert values(found, "doc_id", "codes") == whole
+    found.explain()
+    plan = capsys.readouterr().out
+    assert "Bucketed: true" in plan and not re.search(r"Exchange hashpartitioning.*\n.*numbers#", plan)
+    assert pieces.encode_texts(docs.limit(0), piece_model()).count() == 0
+
+
 def test_short_and_unspaced_texts_share_marks_with_their_edits(spark):
     texts = [
         "seven words are enough for a mark", "four words, two halves",
