@@ -145,48 +145,20 @@ def word_chunks(
     return (store or squeezed)(numbered, "chunks")
 
 
-def dictionary_rows(
-    chunks: DataFrame, kept: Callable[[list[bytes], np.ndarray], np.ndarray]
-) -> DataFrame:
-    """(chunk, at, word, c): the chosen places of each chunk's dictionary, a row for each.
-
-    ``kept`` gives the places from the words and their counts.
-    """
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for chunk, packed, counted in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                words, counts = word_list(packed), np.frombuffer(unsqueeze(counted), "<i8")
-                places = kept(words, counts)
-                for start in range(0, len(places), 50_000):
-                    at = places[start : start + 50_000]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([chunk] * len(at), pa.int64()),
-                            pa.array(at.astype(np.int32)),
-                            pa.array([words[i] for i in at.tolist()], pa.binary()),
-                            pa.array(counts[at]),
-                        ],
-                        ["chunk", "at", "word", "c"],
-                    )
-
-    return map_batches(
-        chunks.select("chunk", "words", "counts"), rows, "chunk long, at int, word binary, c long"
-    )
-
-
-def squeezed(frame: DataFrame, purpose: str) -> DataFrame:
+def squeezed(frame: DataFrame, purpose: str, path: str | None = None) -> DataFrame:
     """The frame as a table in the shared folder, compressed well."""
     spark = frame.sparkSession
-    path = work_dir(spark, purpose)
+    path = path or work_dir(spark, purpose)
     frame.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def bucketed(frame: DataFrame, purpose: str, key: str = "chunk") -> DataFrame:
+def bucketed(
+    frame: DataFrame, purpose: str, key: str = "chunk", path: str | None = None
+) -> DataFrame:
     """Like ``squeezed``, in buckets by a key, so that joins on it do not shuffle the frame."""
     spark = frame.sparkSession
-    path = work_dir(spark, purpose)
+    path = path or work_dir(spark, purpose)
     name = path.rsplit("/", 1)[-1].replace("-", "_")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     writer = frame.write.bucketBy(buckets, key).option("compression", "zstd").option("path", path)

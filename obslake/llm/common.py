@@ -70,6 +70,12 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a table of the shared folder that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, per_class: int, modulus: int
 ) -> tuple[DataFrame, dict[int, float]]:

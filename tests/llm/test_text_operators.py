@@ -417,6 +417,61 @@ def test_hidden_markov_learns_alike_from_any_order(spark):
         assert score == pytest.approx(one[doc_id], rel=2e-3)
 
 
+def test_hidden_markov_deals_words_to_chunks_and_ranges(spark, monkeypatch, capsys):
+    """The scores do not depend on how words are dealt; the sums come to chunks that are not shuffled."""
+    docs = documents(spark).select("doc_id", "text")
+    docs = docs.orderBy("doc_id").limit(60).withColumn("held_out", F.col("doc_id") % 5 == 0)
+    odd = [(-1, "everywhere a", False), (-2, "held a b", True), (-3, "held twice twice", False)]
+    docs = docs.unionAll(spark.createDataFrame(odd, docs.schema))
+    texts = docs.collect()
+    counts = Counter()
+    for row in texts:
+        if not row.held_out:
+            counts.update(lm.tokens_of((row.text or "").encode()))
+    words = {row.doc_id: lm.tokens_of((row.text or "").encode()) for row in texts}
+    whole = dict(values(lm.score_texts(docs), "doc_id", "score"))
+    monkeypatch.setattr(lm, "CHUNK", 300)
+    monkeypatch.setattr(lm, "RANGE", 700)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = lm.score_texts(docs)
+        found.explain()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    plan = capsys.readouterr().out
+    shuffled = re.search(r"Exchange hashpartitioning.*\n.*FileScan[^\n]*symbols", plan)
+    assert "Bucketed: true" in plan and not shuffled
+    for row in found.collect():
+        assert row.n_known == sum(counts[w] > 0 for w in words[row.doc_id])
+        assert row.train_tokens == sum(counts.values())
+        assert row.score == pytest.approx(whole[row.doc_id], rel=2e-3)
+
+
+def test_ranges_know_the_words_of_one_chunk(spark):
+    """Of these, nothing needs to travel; words that others hold only in held-out texts do."""
+    words = {1: [b"", b"own", b"both", b"shown"], 2: [b"", b"both", b"shown", b"unknown"]}
+    counts = {1: [2, 3, 1, 4], 2: [1, 1, 0, 0]}
+    pack = lambda x: lm.squeeze(np.array(x, "<i8").tobytes())
+    rows = [(k, lm.squeeze(b" ".join(words[k])), pack(counts[k]), 4) for k in words]
+    chunks = spark.createDataFrame(rows, "chunk long, words binary, counts binary, types long")
+    found = lm._ranges(chunks).orderBy("range").collect()
+    assert sum(r.tokens for r in found) == 12 and sum(r.types for r in found) == 4
+    expected = {b"": (3, False), b"own": (3, True), b"both": (2, False), b"shown": (4, False)}
+    expected[b"unknown"] = (0, True)
+    for chunk in words:
+        mine = [r for r in found if r.chunk == chunk]
+        order, _ = lm._seeds(words[chunk])
+        total = np.concatenate([np.frombuffer(lm.unsqueeze(r.totals), "<i8") for r in mine])
+        alone = np.concatenate([np.frombuffer(lm.unsqueeze(r.alone), "?") for r in mine])
+        for at, of_all, only in zip(order, total, alone):
+            assert (of_all, only) == expected[words[chunk][at]]
+        shared = [k for k in order if expected[words[chunk][k]][0] and not expected[words[chunk][k]][1]]
+        own = np.concatenate([np.frombuffer(lm.unsqueeze(r.own), "<i4") for r in mine])
+        assert own.tolist() == [counts[chunk][k] for k in shared]
+    places = {(r.range, int(p)) for r in found for p in lm.unpacked(r.places)}
+    assert len(places) == 3
+
+
 def test_long_bridged_words_equal_a_plain_viterbi(spark):
     rng = np.random.default_rng(12)
     words = ["-" * 80, "antidisestablishmentarianismfloccinaucinihilipilification", "a" * 33]
